@@ -71,7 +71,7 @@ cte("cease", "SELECT * EXCLUDE (o_orderkey) FROM cease_keyed", "cease_keyed")
 cte("first_cease", "SELECT unique_customer_identifier, min(cease_placed_date) AS first_cease FROM cease GROUP BY 1", "cease")
 cte("scored", f"""
 SELECT o_orderkey AS id, CAST(o_orderstatus = 'F' AS INTEGER) AS y,
-  round(CAST({h32('o_orderkey')} % 10000 AS DOUBLE) * 0.7::DOUBLE / 10000.0::DOUBLE + CAST(o_orderstatus = 'F' AS INTEGER) * 0.3::DOUBLE, 4) AS p
+  ((7 * ({h32('o_orderkey')} % 10000) + CASE WHEN o_orderstatus = 'F' THEN 30000 ELSE 0 END + 5) // 10) / 10000.0::DOUBLE AS p
 FROM orders""")
 cte("scored_accounts", "SELECT a.*, s.id, s.y, s.p FROM accounts a JOIN scored s ON s.id = a.o_orderkey", "accounts", "scored")
 cte("lifetimes", """

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.functions.scalars import ID  # noqa: F401
+from ebbtide.functions.scalars import portable_hash
 from ebbtide.session import settle, shuffle_width
 
 _BLOCK_BITS = 33  # layout of monotonically_increasing_id: partition in the upper bits, row below
@@ -122,8 +122,24 @@ def median(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "media
 
 
 def hash_sample(df: DataFrame, key: str, n: int) -> DataFrame:
-    """Fixed-size pseudo-random sample: the ``n`` rows with the smallest key hash."""
-    return df.orderBy(F.md5(F.col(key).cast("string")), key).limit(n)
+    """Fixed-size pseudo-random sample: the ``n`` rows with the smallest key hash.
+
+    Rows that cannot be among them are dropped by a bound on the hash first, so
+    the final top-n sees little more than n rows however large the input is.
+    """
+    order = [F.md5(F.col(key).cast("string")), F.col(key)]
+    total = df.count()
+    share = (n + 10 * n**0.5 + 100) / max(total, 1)
+    if share < 1:
+        near = df.where(portable_hash(key) <= F.lit(int(share * 2**32)))
+        if near.count() >= n:
+            df = near
+    return df.orderBy(*order).limit(n)
+
+
+def capped_sample(df: DataFrame, key: str, n: int) -> DataFrame:
+    """All rows when there are at most ``n``, else a sample of ``n``."""
+    return hash_sample(df, key, n)
 
 
 def top_rows(df: DataFrame, score: str, tie: str, n: int, rank: str = "rank") -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ebbtide.functions.scalars import at_least, ratio
 
@@ -66,7 +67,7 @@ def conditional_churn(curve: DataFrame, age: float, horizon: float, by: Sequence
     return curve.groupBy(*by).agg(now.alias("s_now"), then.alias("s_later"), ratio(now - then, now).alias("p_churn"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chi2_sf1(x: pd.Series) -> pd.Series:
     """Upper tail of chi-square with one degree of freedom; used on report rows only."""
     return x.map(lambda v: math.erfc(math.sqrt(max(v, 0.0) / 2)) if pd.notna(v) else None).astype(float)

@@ -42,3 +42,32 @@ def feature_matrix(
     """Model-ready matrix. Without an encoder the encoded columns are leave-fold-out values."""
     df = assemble(panel, calls, usage, cease, snapshots, settings)
     return encoder.apply(df) if encoder else encoding.out_of_fold(df, settings.encoding)
+
+
+def materialise(
+    panel: DataFrame,
+    calls: DataFrame,
+    usage: DataFrame,
+    cease: DataFrame,
+    snapshots: Sequence[str],
+    folder: str,
+    settings: Settings = DEFAULTS,
+) -> encoding.FittedEncoder:
+    """Write one matrix per snapshot and return the encoder.
+
+    The encoder is fitted on the earliest snapshot, which gets leave-fold-out
+    values; later snapshots get its full-data map. The logs are scanned once for
+    all later dates together, and the encoder is stored next to the matrices.
+    """
+    from ebbtide.sources.sinks import write_features
+
+    spark = panel.sparkSession
+    first, *later = sorted(snapshots)
+    base = assemble(panel, calls, usage, cease, first, settings)
+    write_features(encoding.out_of_fold(base, settings.encoding), f"{folder}/matrix")
+    written = spark.read.parquet(f"{folder}/matrix").where(F.col(SNAP) == F.lit(first).cast("date"))
+    encoding.fit(written, settings.encoding).save(f"{folder}/encoder")
+    encoder = encoding.FittedEncoder.load(spark, f"{folder}/encoder")
+    if later:
+        write_features(encoder.apply(assemble(panel, calls, usage, cease, later, settings)), f"{folder}/matrix")
+    return encoder
