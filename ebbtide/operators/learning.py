@@ -1,14 +1,277 @@
-"""Model training on Spark ML."""
+"""Model training, calibration, tuning and gates on Spark ML."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+import random
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-from pyspark.sql import DataFrame
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ebbtide.config import DEFAULTS, NON_FEATURES
+from ebbtide.operators.metrics import average_precision
+from ebbtide.operators.profiling import numeric_columns
+from ebbtide.session import scratch
+
+
+# ---- columns ---------------------------------------------------------------------------------
+def feature_columns(df: DataFrame, also_exclude: Sequence[str] = ()) -> list[str]:
+    """Numeric model inputs: no identifiers, dates, labels or raw categories."""
+    return numeric_columns(df, (*NON_FEATURES, *also_exclude))
+
 
 def align_features(df: DataFrame, wanted: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Exactly the wanted features in order as doubles; absent ones become 0.0."""
     have = set(df.columns)
     return df.select(*keep, *[(F.col(c).cast("double") if c in have else F.lit(0.0)).alias(c) for c in wanted])
+
+
+def missing_flags(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """0/1 ``<c>_is_null`` per column, so trees can tell an absent value from a zero."""
+    names = [f"{c}_is_null" for c in columns]
+    return df.withColumns({n: F.col(c).isNull().cast("double") for n, c in zip(names, columns)}), names
+
+
+def assemble_features(df: DataFrame, features: Sequence[str], output: str = "features") -> DataFrame:
+    """Feature vector with NULL as 0; features absent from ``df`` are 0 as well."""
+    have = set(df.columns)
+    filled = {f"_x_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) if c in have else F.lit(0.0) for c in features}
+    out = VectorAssembler(inputCols=list(filled), outputCol=output).transform(df.withColumns(filled))
+    return out.drop(*filled)
+
+
+def probability(column: str = "probability") -> Column:
+    return vector_to_array(F.col(column))[1]
+
+
+def class_weights(df: DataFrame, target: str = "churned") -> DataFrame:
+    """(label, n, weight) with weight n_all / (2 · n_class)."""
+    total = df.select(F.count("*")).scalar()
+    per = df.groupBy(F.col(target).alias("label")).agg(F.count("*").alias("n"))
+    return per.withColumn("weight", total / (F.col("n") * 2.0))
+
+
+def with_weight(df: DataFrame, target: str = "churned") -> DataFrame:
+    w = {r["label"]: r["weight"] for r in class_weights(df, target).collect()}  # two rows
+    return df.withColumn("weight", F.when(F.col(target) == 1, float(w.get(1, 1.0))).otherwise(float(w.get(0, 1.0))))
+
+
+# ---- models ----------------------------------------------------------------------------------
+@dataclass
+class ChurnModel:
+    """A fitted classifier together with the feature list it was trained on."""
+
+    model: object
+    features: list[str]
+    kind: str
+
+    def score(self, df: DataFrame, name: str = "p") -> DataFrame:
+        """Add the leaving probability; missing features count as 0."""
+        x = assemble_features(with_null_flags(df, self.features), self.features, "_features")
+        out = self.model.transform(x).withColumn(name, probability("_probability"))
+        return out.drop("_features", "_scaled", "_raw", "_probability", "_prediction", *[c for c in out.columns if c.endswith("_is_null") and c not in df.columns])
+
+    def save(self, path: str) -> None:
+        self.model.write().overwrite().save(path)
+
+
+def with_null_flags(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    wanted = [f[: -len("_is_null")] for f in features if f.endswith("_is_null") and f not in df.columns]
+    have = set(df.columns)
+    return df.withColumns({f"{c}_is_null": (F.col(c).isNull().cast("double") if c in have else F.lit(1.0)) for c in wanted}) if wanted else df
+
+
+def predict_label(p: Column, threshold: float = 0.5) -> Column:
+    return (p >= threshold).cast("int")
+
+
+def _named(estimator, features: str = "_features"):
+    """Private column names, so that a model never collides with columns of the scored frame."""
+    for setter, value in (("Features", features), ("RawPrediction", "_raw"), ("Probability", "_probability"), ("Prediction", "_prediction"), ("Label", "_label")):
+        getattr(estimator, f"set{setter}Col")(value)
+    return estimator.setWeightCol("weight")
+
+
+def fit_logistic(train: DataFrame, features: Sequence[str] | None = None, target: str = "churned", max_iter: int = 100, reg: float = 0.0) -> ChurnModel:
+    """Standardised, class-balanced logistic regression."""
+    features = list(features or feature_columns(train))
+    data = assemble_features(with_weight(train, target), features, "_features").withColumn("_label", F.col(target).cast("double"))
+    scaler = StandardScaler(inputCol="_features", outputCol="_scaled", withMean=True, withStd=True).fit(data)
+    lr = _named(LogisticRegression(maxIter=max_iter, regParam=reg, standardization=False), "_scaled").fit(scaler.transform(data))
+    return ChurnModel(PipelineModel([scaler, lr]), features, "logistic")
+
+
+# --- fixed values: boosting defaults ----------------------------------------------------------
+BOOSTING = {"max_depth": 5, "step_size": 0.05, "min_rows": 50, "subsample": 0.8, "feature_share": 0.8, "rounds": 60, "stop_tolerance": 0.001}
+
+
+def fit_boosted(train: DataFrame, val: DataFrame | None = None, params: Mapping[str, float] | None = None, features: Sequence[str] | None = None, target: str = "churned", seed: int = 42) -> ChurnModel:
+    """Class-balanced gradient-boosted trees, stopping early on ``val`` when given.
+
+    Absent values get indicator columns, because the trees have no branch for NULL.
+    """
+    p = {**BOOSTING, **(params or {})}
+    base = list(features or feature_columns(train))
+    holes = train.select(*[F.max(F.col(c).isNull().cast("int")).alias(c) for c in base]).first().asDict()
+    features = base + [f"{c}_is_null" for c in base if holes[c]]
+    data = with_weight(train, target).withColumn("_is_val", F.lit(False))
+    if val is not None:
+        data = data.unionByName(val.withColumn("weight", F.lit(1.0)).withColumn("_is_val", F.lit(True)), allowMissingColumns=True)
+    data = assemble_features(with_null_flags(data, features), features, "_features").withColumn("_label", F.col(target).cast("double"))
+    gbt = GBTClassifier(
+        maxDepth=int(p["max_depth"]), stepSize=float(p["step_size"]), minInstancesPerNode=int(p["min_rows"]),
+        subsamplingRate=float(p["subsample"]), featureSubsetStrategy=str(float(p["feature_share"])), maxIter=int(p["rounds"]), validationTol=float(p["stop_tolerance"]), seed=seed,
+    )
+    gbt = _named(gbt)
+    if val is not None:
+        gbt = gbt.setValidationIndicatorCol("_is_val")
+    slim = data.select("_features", "_label", "weight", "_is_val").persist()  # every boosting round reads it again
+    try:
+        return ChurnModel(gbt.fit(slim), features, "boosted")
+    finally:
+        slim.unpersist()
+
+
+def node_table(model: ChurnModel, spark) -> DataFrame:
+    """(tree, node, feature, threshold, left, right, prediction, gain, weight) of a boosted model."""
+    path = scratch(spark, "boosted")
+    model.save(path)
+    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
+    weights = F.create_map(*[x for i, w in enumerate(model.model.treeWeights) for x in (F.lit(i), F.lit(float(w)))])
+    return nodes.select(
+        F.col("treeID").alias("tree"), F.col("id").alias("node"), F.col("split.featureIndex").alias("feature"),
+        F.get(F.col("split.leftCategoriesOrThreshold"), 0).alias("threshold"), F.col("leftChild").alias("left"), F.col("rightChild").alias("right"),
+        "prediction", "gain", F.element_at(weights, F.col("treeID")).alias("weight"),
+    )
+
+
+def importance(model: ChurnModel, spark) -> DataFrame:
+    """(feature, gain, splits, rank): gain-type importance and number of splits."""
+    gains = [(i, f, float(g)) for i, (f, g) in enumerate(zip(model.features, model.model.featureImportances.toArray()))]
+    base = spark.createDataFrame(gains, "i int, feature string, gain double")
+    splits = node_table(model, spark).where("left >= 0").groupBy(F.col("feature").alias("i")).agg(F.count("*").alias("splits"))
+    out = base.join(splits, "i", "left").select("feature", "gain", F.coalesce("splits", F.lit(0).cast("bigint")).alias("splits"))
+    return out.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("gain"), "feature")))  # one row per feature
+
+
+# ---- calibration -----------------------------------------------------------------------------
+@dataclass
+class Calibrator:
+    method: str
+    model: object
+
+    def apply(self, df: DataFrame, p: str = "p", name: str = "calibrated") -> DataFrame:
+        if self.method == "isotonic":
+            if isinstance(self.model, IsotonicRegressionModel):
+                out = self.model.setFeaturesCol(p).setPredictionCol("_iso").transform(df)
+                return out.withColumn(name, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("_iso")))).drop("_iso")
+            raise TypeError("isotonic calibrator needs an isotonic model")
+        slope, intercept = float(self.model.coefficients[0]), float(self.model.intercept)
+        return df.withColumn(name, 1 / (1 + F.exp(-(F.col(p) * slope + intercept))))
+
+
+def calibrate(scored: DataFrame, method: str = "isotonic", y: str = "y", p: str = "p") -> Calibrator:
+    """Map raw scores to observed rates: isotonic steps or a logistic curve (L2 strength 1).
+
+    Scores are counted per distinct value first, so ties cost one weighted row each.
+    """
+    counted = scored.groupBy(F.col(p).alias("_p")).agg(F.avg(F.col(y).cast("double")).alias("_rate"), F.count("*").cast("double").alias("_w"), F.sum(F.col(y).cast("double")).alias("_pos"))
+    if method == "isotonic":
+        return Calibrator(method, IsotonicRegression(featuresCol="_p", labelCol="_rate", weightCol="_w", predictionCol="_iso").fit(counted))
+    if method == "sigmoid":
+        sides = F.array(F.struct(F.lit(1.0).alias("label"), F.col("_pos").alias("w")), F.struct(F.lit(0.0).alias("label"), (F.col("_w") - F.col("_pos")).alias("w")))
+        rows = counted.select("_p", F.explode(sides).alias("s")).select("_p", "s.label", "s.w").where("w > 0")
+        data = VectorAssembler(inputCols=["_p"], outputCol="features").transform(rows)
+        n = rows.agg(F.sum("w")).first()[0] or 1.0
+        return Calibrator(method, LogisticRegression(regParam=1.0 / n, standardization=False, weightCol="w").fit(data))
+    raise ValueError(f"unknown calibration method {method!r}: use isotonic or sigmoid")
+
+
+# ---- tuning ----------------------------------------------------------------------------------
+# --- fixed values: search bounds ---------------------------------------------------------------
+LEAVES, LEARNING_RATE, MIN_ROWS, SHARE = (20, 300), (0.005, 0.3), (20, 500), (0.5, 1.0)
+
+
+def draw_trials(n: int, seed: int = 42) -> list[dict[str, float]]:
+    """Seeded random draws within the bounds; a leaf budget becomes the depth that can hold it."""
+    rng = random.Random(seed)
+    trials = []
+    for _ in range(n):
+        leaves = rng.randint(*LEAVES)
+        trials.append({
+            "max_depth": min(10, max(2, round(math.log2(leaves)))),
+            "step_size": math.exp(rng.uniform(*map(math.log, LEARNING_RATE))),
+            "min_rows": rng.randint(*MIN_ROWS),
+            "feature_share": rng.uniform(*SHARE),
+            "subsample": rng.uniform(*SHARE),
+        })
+    return trials
+
+
+def tune(train: DataFrame, val: DataFrame, n_trials: int = 50, seed: int = 42, parallelism: int = 2, fixed: Mapping[str, float] | None = None, target: str = "churned") -> tuple[dict[str, float], DataFrame]:
+    """Random search for the highest average precision on the temporal validation split.
+
+    Returns the best parameters and the trial table. Trials are independent Spark
+    jobs and run ``parallelism`` at a time.
+    """
+    fixed = dict(fixed or {})
+
+    def run(trial):
+        i, params = trial
+        model = fit_boosted(train, val, {**params, **fixed}, target=target)
+        ap = average_precision(model.score(val), target, "p").first()["auc_pr"]
+        return {"trial": i, **{k: float(v) for k, v in params.items()}, "auc_pr": float(ap if ap is not None else 0.0)}
+
+    with ThreadPool(parallelism) as pool:
+        rows = pool.map(run, list(enumerate(draw_trials(n_trials, seed))))
+    best = max(rows, key=lambda r: (r["auc_pr"], -r["trial"]))
+    table = train.sparkSession.createDataFrame(rows)
+    return {k: v for k, v in best.items() if k not in ("trial", "auc_pr")}, table
+
+
+# ---- gates over run tables ---------------------------------------------------------------------
+def promote_gate(runs: DataFrame, tolerance: float = DEFAULTS.promote_tolerance, metric: str = "auc_pr") -> DataFrame:
+    """Compare the latest challenger with the latest champion (0 when there is none).
+
+    ``runs`` has (role, logged_at, metric, value).
+    """
+    def latest(role: str) -> Column:
+        return F.max_by(F.when(F.col("role") == role, F.col("value")), F.when(F.col("role") == role, F.col("logged_at")))
+
+    row = runs.where(F.col("metric") == metric).agg(F.coalesce(latest("challenger"), F.lit(0.0)).alias("challenger"), F.coalesce(latest("champion"), F.lit(0.0)).alias("champion"))
+    return row.withColumn("promote", F.col("challenger") >= F.col("champion") - tolerance)
+
+
+def retune_gate(runs: DataFrame, now: str, after_days: int = DEFAULTS.retune_after_days) -> DataFrame:
+    """(model, age_days, action) from (model, tuned_at): search again when never tuned or too old."""
+    per = runs.groupBy("model").agg(F.max("tuned_at").alias("tuned_at"))
+    age = F.datediff(F.lit(now).cast("date"), F.col("tuned_at"))
+    stale = F.col("tuned_at").isNull() | (age >= after_days)
+    return per.select("model", age.alias("age_days"), F.when(stale, "full_tune").otherwise("quick_refit").alias("action"))
+
+
+# ---- projection ------------------------------------------------------------------------------
+def pca(df: DataFrame, columns: Sequence[str], k: int = 2):
+    """Standardise, project on ``k`` components; returns (scored frame, loadings, explained shares)."""
+    data = assemble_features(df, columns, "_features")
+    scaled = StandardScaler(inputCol="_features", outputCol="_scaled", withMean=True, withStd=True).fit(data).transform(data)
+    model = PCA(k=k, inputCol="_scaled", outputCol="_pc").fit(scaled)
+    out = model.transform(scaled).withColumn("_pc", vector_to_array("_pc"))
+    out = out.withColumns({f"pc{i + 1}": F.col("_pc")[i] for i in range(k)}).drop("_features", "_scaled", "_pc")
+    m = model.pc.toArray()
+    rows = [(c, *[float(m[j, i]) for i in range(k)]) for j, c in enumerate(columns)]
+    loadings = df.sparkSession.createDataFrame(rows, "feature string, " + ", ".join(f"pc{i + 1} double" for i in range(k)))
+    return out, loadings, [float(v) for v in model.explainedVariance]
+
+
+def top_loadings(loadings: DataFrame, n: int = 10) -> DataFrame:
+    parts = [F.abs(F.col(c)) for c in loadings.columns if c != "feature"]
+    return loadings.withColumn("strength", F.greatest(*parts)).orderBy(F.desc("strength"), "feature").limit(n)
