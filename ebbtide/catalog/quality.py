@@ -9,6 +9,7 @@ from ebbtide.catalog.eda import NULL_SQL, NULLABLE
 from ebbtide.catalog.registry import query
 from ebbtide.catalog.shared import assembled, rounded
 from ebbtide.operators import profiling as pf, quality as dq, splitting
+from ebbtide.session import settle
 from ebbtide.sources.starschema import SPLITS
 
 DATA_END = "2000-01-01"
@@ -165,7 +166,7 @@ def dq_panel_overlap(d):
  UNION ALL SELECT 'Leakage risk', 'PASS')
  SELECT "check", status FROM g UNION ALL SELECT 'VERDICT', CASE WHEN count(*) FILTER (WHERE status = 'FAIL') > 0 THEN 'BLOCKED' WHEN count(*) FILTER (WHERE status = 'WARN') > 0 THEN 'PROCEED WITH CAUTION' ELSE 'ALL CLEAR' END FROM g"""))
 def dq_gate(d):
-    rows = dq.gate(d.raw_tables(), DATA_END)
+    rows = settle(dq.gate(d.raw_tables(), DATA_END))  # a handful of rows, used for the verdict as well
     return rows.unionByName(dq.verdict(rows).select(F.lit("VERDICT").alias("check"), F.col("verdict").alias("status")))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.config import DEFAULTS, Encoding
 from ebbtide.functions.scalars import ID, portable_hash
+from ebbtide.session import settle
 
 
 def fold_of(key: Column | str = ID, folds: int = DEFAULTS.encoding.folds) -> Column:
@@ -57,11 +58,22 @@ def _smoothed(pos: Column, n: Column, prior: Column, strength: float) -> Column:
     return (pos + prior * strength) / (n + F.lit(strength))
 
 
+def _prior(stats: DataFrame) -> float:
+    """Overall target mean, read off the category counts of one column."""
+    one = stats.agg(F.min("column").alias("c")).first()["c"]
+    row = stats.where(F.col("column") == one).agg(F.sum("pos").alias("pos"), F.sum("n").alias("n")).first()
+    return float(row["pos"]) / row["n"] if row["n"] else 0.0
+
+
 def out_of_fold(df: DataFrame, settings: Encoding = DEFAULTS.encoding, target: str = "churned", key: Column | str = ID) -> DataFrame:
-    """Training matrix with leave-fold-out ``<column>_encoded`` columns."""
+    """Training matrix with leave-fold-out ``<column>_encoded`` columns.
+
+    The counts are taken in a first pass that reads only the encoded columns,
+    the key and the target; they are written once and joined in a second pass.
+    """
     fold = fold_of(key, settings.folds)
-    stats = category_stats(df, settings.columns, target, fold)
-    prior = df.select(F.avg(F.col(target).cast("double"))).scalar()
+    stats = settle(category_stats(df, settings.columns, target, fold))
+    prior = F.lit(_prior(stats))
     whole = Window.partitionBy("column", "category")  # at most `folds` rows per category
     n_out = F.sum("n").over(whole) - F.col("n")
     pos_out = F.sum("pos").over(whole) - F.col("pos")
@@ -75,14 +87,9 @@ def out_of_fold(df: DataFrame, settings: Encoding = DEFAULTS.encoding, target: s
     return out.drop("_fold")
 
 
-def category_map(df: DataFrame, settings: Encoding = DEFAULTS.encoding, target: str = "churned") -> DataFrame:
-    """Full-data category means for scoring: (column, category, n, pos, encoded)."""
-    prior = df.select(F.avg(F.col(target).cast("double"))).scalar()
-    stats = category_stats(df, settings.columns, target, F.lit(0)).where(F.col("category").isNotNull())
-    return stats.select("column", "category", "n", "pos", _smoothed(F.col("pos"), F.col("n"), prior, settings.smoothing).alias("encoded"))
-
-
 def fit(df: DataFrame, settings: Encoding = DEFAULTS.encoding, target: str = "churned") -> FittedEncoder:
-    prior = df.agg(F.avg(F.col(target).cast("double"))).first()[0]
-    maps = category_map(df, settings, target).drop("pos")
-    return FittedEncoder(maps, float(prior or 0.0), tuple(settings.columns))
+    """Full-data category means for later snapshots and scoring."""
+    stats = settle(category_stats(df, settings.columns, target, F.lit(0)))
+    prior = _prior(stats)
+    maps = stats.where(F.col("category").isNotNull()).select("column", "category", "n", _smoothed(F.col("pos"), F.col("n"), F.lit(prior), settings.smoothing).alias("encoded"))
+    return FittedEncoder(maps, prior, tuple(settings.columns))

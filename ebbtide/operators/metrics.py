@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.functions.scalars import one_row, ratio
 from ebbtide.operators.ranking import running_totals, with_position
+from ebbtide.session import settle
 
 TOP_PERCENTS = (5, 10, 20)
 METRICS = (
@@ -205,15 +206,17 @@ def gains_points(df: DataFrame, percents: Sequence[int] = (10, 25, 50), id_col:
 def segment_quality(df: DataFrame, segments: dict[str, Column], minimum: int = 50, y: str = "y", p: str = "p") -> DataFrame:
     """Ranking quality per segment value; small or one-class groups are left out.
 
-    All segmentations share one shuffle: counts per (segment, group, score).
+    All segmentations, and the aggregate they are compared with, share one
+    shuffle: counts per (segment, group, score).
     """
-    cells = F.array(*[F.struct(F.lit(name).alias("segment"), c.cast("string").alias("group")) for name, c in segments.items()])
-    long = df.select(F.explode(cells).alias("s"), y, p).select("s.segment", "s.group", y, p).where(F.col("group").isNotNull())
+    named = [F.struct(F.lit(name).alias("segment"), c.cast("string").alias("group")) for name, c in segments.items()]
+    everyone = F.struct(F.lit("").alias("segment"), F.lit("").alias("group"))
+    long = df.select(F.explode(F.array(everyone, *named)).alias("s"), y, p).select("s.segment", "s.group", y, p).where(F.col("group").isNotNull())
     by = ["segment", "group"]
-    per = curve_quality(score_curve(long, y, p, by), by)
-    kept = per.where((F.col("n") >= minimum) & (F.col("churners") > 0) & (F.col("churners") < F.col("n")))
-    overall = average_precision(df, y, p).scalar()
-    return kept.withColumn("churn_rate", F.col("churners") / F.col("n")).withColumn("vs_aggregate", F.col("auc_pr") - overall)
+    per = settle(curve_quality(score_curve(long, y, p, by), by))  # one row per group, read twice
+    overall = per.where("segment = ''").first()
+    kept = per.where((F.col("segment") != "") & (F.col("n") >= minimum) & (F.col("churners") > 0) & (F.col("churners") < F.col("n")))
+    return kept.withColumn("churn_rate", F.col("churners") / F.col("n")).withColumn("vs_aggregate", F.col("auc_pr") - F.lit(overall["auc_pr"] if overall else None).cast("double"))
 
 
 def stability(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -38,7 +38,8 @@ def format_scored(df: DataFrame, p: str = "p", drivers: str = "drivers", tie: st
     keys = [ID] if tie == ID else [ID, tie]
     flat = df.select(*keys, F.round(F.col(p), 4).alias("churn_probability"), risk_tier(F.col(p), tiers).alias("risk_tier"), *names, *context)
     ordered = with_position(flat, F.col("churn_probability").desc(), F.col(tie).asc(), total="_n")
-    any_higher = flat.select(F.coalesce(F.max(F.col("risk_tier") != "Low"), F.lit(False))).scalar()
+    # Read off the numbered rows, which are on storage already, not computed again.
+    any_higher = ordered.select(F.coalesce(F.max(F.col("risk_tier") != "Low"), F.lit(False))).scalar()
     high_n = F.greatest(F.lit(1), F.ceil(F.col("_n") * tiers.fallback_high_share))
     medium_n = F.greatest(high_n + 1, F.ceil(F.col("_n") * tiers.fallback_medium_share))
     fallback = F.when(F.col("position") < high_n, "High").when(F.col("position") < medium_n, "Medium").otherwise("Low")

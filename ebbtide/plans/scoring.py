@@ -10,6 +10,7 @@ from ebbtide.functions.scalars import ID
 from ebbtide.operators import attribution, encoding, learning, panel as panels, scoring, trees
 from ebbtide.plans import features as plans
 from ebbtide.plans.training import with_row_key
+from ebbtide.session import settle
 
 
 def score_active(
@@ -25,7 +26,8 @@ def score_active(
     scored = calibrator.apply(model.score(rows))
     context = [c for c in scored.columns if c in scoring.CONTEXT_COLUMNS]
     explained = trees.tree_contributions(scored, model, [ID, "row_key", "calibrated", *context])
-    listed = explained.withColumn("drivers", attribution.driver_names(n=settings.tiers.top_drivers))
+    # Ranking samples its input before it sorts it; written once, rows are scored and explained only once.
+    listed = settle(explained.select(ID, "row_key", "calibrated", *context, attribution.driver_names(n=settings.tiers.top_drivers).alias("drivers")))
     return scoring.format_scored(listed, p="calibrated", tie="row_key", tiers=settings.tiers)
 
 
