@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.functions.scalars import ratio
 
-WIDE = 16  # above this many columns the pair sums are formed as matrix products per task
+WIDE = 8  # above this many columns the pair sums are formed as matrix products per task
 
 
 def _narrow(df: DataFrame, cols: Sequence[str]) -> DataFrame:

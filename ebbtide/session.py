@@ -48,9 +48,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to reliable storage so that ids drawn from its partitions stay fixed."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as Parquet in the shared folder and go on from there.
+
+    Cuts the lineage on storage that outlives any executor, fixes ids drawn from
+    partitions, and lets later readers prune columns.
+    """
+    path = scratch(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shuffle_width(spark: SparkSession) -> int:
