@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 from pyspark.ml.classification import LogisticRegression
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.catalog.ctes import ID, S, h32, sql
@@ -27,15 +28,13 @@ QUICK = {"rounds": 10, "max_depth": 4, "step_size": 0.2}
 
 
 @lru_cache(maxsize=4)
-def _features_folder(app: str, folder: str) -> str:
-    from pyspark.sql import SparkSession
-
-    return written_matrix(StarSchema(SparkSession.getActiveSession(), folder))
+def _features_folder(spark: SparkSession, folder: str) -> str:
+    return written_matrix(StarSchema(spark, folder))
 
 
 def features(d):
     """Written feature matrix of all three snapshots; built once per session and data folder."""
-    folder = _features_folder(d.spark.sparkContext.applicationId, d.folder)
+    folder = _features_folder(d.spark, d.folder)
     return readers.read_snapshots(d.spark, folder + "/matrix"), encoding.FittedEncoder.load(d.spark, folder + "/encoder")
 
 
@@ -44,16 +43,14 @@ def parts(d):
 
 
 @lru_cache(maxsize=4)
-def _boosted(app: str, folder: str):
-    from pyspark.sql import SparkSession
-
-    s = parts(StarSchema(SparkSession.getActiveSession(), folder))
+def _boosted(spark: SparkSession, folder: str):
+    s = parts(StarSchema(spark, folder))
     model = learning.fit_boosted(s.train, s.val, QUICK)
     return model, learning.calibrate(model.score(s.val), y="churned")
 
 
 def boosted(d):
-    return _boosted(d.spark.sparkContext.applicationId, d.folder)
+    return _boosted(d.spark, d.folder)
 
 
 @query("mdl_logreg")
@@ -144,14 +141,12 @@ def lifetimes(d):
 
 
 @lru_cache(maxsize=4)
-def _cox(app: str, folder: str):
-    from pyspark.sql import SparkSession
-
-    return hazards.fit_cox(lifetimes(StarSchema(SparkSession.getActiveSession(), folder)), COVARIATES)
+def _cox(spark: SparkSession, folder: str):
+    return hazards.fit_cox(lifetimes(StarSchema(spark, folder)), COVARIATES)
 
 
 def cox(d):
-    return _cox(d.spark.sparkContext.applicationId, d.folder)
+    return _cox(d.spark, d.folder)
 
 
 @query("surv_cox_fit")
@@ -256,6 +251,6 @@ def str_score(d):
  SELECT {ID}, window_start, CAST(window_start + 7 AS DATE) AS window_end, count(*) AS n_calls, count(*) FILTER (WHERE call_type = 'Loyalty') AS n_loyalty FROM w WHERE window_start + 7 <= (SELECT max(event_date) FROM calls) - 30 GROUP BY 1, 2"""))
 def str_call_counts(d):
     path = scratch(d.spark, "calls")
-    d.calls().withColumn("event_time", F.col("event_date").cast("timestamp")).write.parquet(path)
+    d.calls().withColumn("event_time", jobs.utc_midnight(F.col("event_date"))).write.parquet(path)
     stream = jobs.read_parquet_stream(d.spark, path, d.spark.read.parquet(path).schema)
     return jobs.run_to_table(jobs.call_counts(stream), "call-counts")

@@ -40,7 +40,6 @@ def src_parquet(d):
 
 def ingested(d):
     root = scratch(d.spark, "raw")
-    readers.ingest(d.raw_tables(), root)
     return readers.load_all(d.spark, readers.ingest(d.raw_tables(), root))
 
 

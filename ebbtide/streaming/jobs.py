@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,4 +42,13 @@ def call_counts(calls: DataFrame, time_col: str = "event_time", width: str = "7
     counted = calls.withWatermark(time_col, delay).groupBy(F.window(time_col, width, slide).alias("w"), ID).agg(
         F.count("*").alias("n_calls"), F.count_if(F.col("call_type") == "Loyalty").alias("n_loyalty")
     )
-    return counted.select(ID, F.col("w.start").cast("date").alias("window_start"), F.col("w.end").cast("date").alias("window_end"), "n_calls", "n_loyalty")
+    return counted.select(ID, utc_date(F.col("w.start")).alias("window_start"), utc_date(F.col("w.end")).alias("window_end"), "n_calls", "n_loyalty")
+
+
+def utc_midnight(day: Column) -> Column:
+    """Instant at which ``day`` starts in UTC, whatever the session time zone."""
+    return F.timestamp_seconds(F.unix_date(day).cast("bigint") * 86400)
+
+
+def utc_date(instant: Column) -> Column:
+    return F.date_from_unix_date(F.floor(F.unix_seconds(instant) / 86400).cast("int"))
