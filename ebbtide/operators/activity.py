@@ -38,31 +38,49 @@ def stamp(events: DataFrame, date_col: str, snapshots: str | Sequence[str], incl
     return events.withColumn(SNAP, F.explode(all_days)).where(visible(F.col(SNAP)))
 
 
-def _last(date_col: str, days: int) -> Column:
-    return F.col(date_col) >= F.date_sub(F.col(SNAP), days)
+def grain(snapshots: str | Sequence[str]) -> tuple[list[str], Column]:
+    """Grouping keys and the snapshot as a column.
+
+    A single snapshot is a literal and stays out of the keys, so that the
+    aggregate is already partitioned by customer for the joins that follow.
+    """
+    days = dates_of(snapshots)
+    return ([ID], F.lit(days[0]).cast("date")) if len(days) == 1 else ([ID, SNAP], F.col(SNAP))
+
+
+def stamped(df: DataFrame, snapshots: str | Sequence[str]) -> DataFrame:
+    """Aggregated frame with its snapshot column in second place."""
+    _, snap = grain(snapshots)
+    return df.select(ID, snap.alias(SNAP), *[c for c in df.columns if c not in (ID, SNAP)])
+
+
+def _last(date_col: str, snap: Column, days: int) -> Column:
+    return F.col(date_col) >= F.date_sub(snap, days)
 
 
 def call_counts(calls: DataFrame, snapshots: str | Sequence[str], windows: Sequence[int] = DEFAULTS.call_windows) -> DataFrame:
     """Calls per customer in each trailing window."""
-    return stamp(calls, "event_date", snapshots).groupBy(ID, SNAP).agg(
-        *[F.count_if(_last("event_date", w)).alias(f"call_count_{w}d") for w in windows]
-    )
+    keys, snap = grain(snapshots)
+    counts = [F.count_if(_last("event_date", snap, w)).alias(f"call_count_{w}d") for w in windows]
+    return stamped(stamp(calls, "event_date", snapshots).groupBy(*keys).agg(*counts), snapshots)
 
 
 def call_features(calls: DataFrame, snapshots: str | Sequence[str], windows: Sequence[int] = DEFAULTS.call_windows) -> DataFrame:
-    in30, in90 = _last("event_date", 30), _last("event_date", 90)
+    keys, snap = grain(snapshots)
+    in30, in90 = _last("event_date", snap, 30), _last("event_date", snap, 90)
     loyal = F.col("call_type") == "Loyalty"
     n30, n90, loyal90 = F.count_if(in30), F.count_if(in90), F.count_if(loyal & in90)
-    return stamp(calls, "event_date", snapshots).groupBy(ID, SNAP).agg(
-        *[F.count_if(_last("event_date", w)).alias(f"call_count_{w}d") for w in windows],
+    per = stamp(calls, "event_date", snapshots).groupBy(*keys).agg(
+        *[F.count_if(_last("event_date", snap, w)).alias(f"call_count_{w}d") for w in windows],
         F.max(F.when(loyal & in30, 1).otherwise(0)).alias("loyalty_call_flag_30d"),
         loyal90.alias("loyalty_call_count_90d"),
         ratio(loyal90, n90, 0.0).alias("pct_loyalty_calls_90d"),
         F.avg(F.when(in30, F.col("talk_time_seconds"))).alias("avg_talk_time_30d"),
         F.avg(F.when(in30, F.col("hold_time_seconds"))).alias("avg_hold_time_30d"),
-        F.datediff(F.col(SNAP), F.max("event_date")).alias("days_since_last_call"),
+        F.datediff(snap, F.max("event_date")).alias("days_since_last_call"),
         ratio(n30, n90 / F.lit(3.0), 1.0).alias("call_frequency_trend"),
     )
+    return stamped(per, snapshots)
 
 
 def parsed_usage(usage: DataFrame, *keep: str) -> DataFrame:
@@ -70,12 +88,13 @@ def parsed_usage(usage: DataFrame, *keep: str) -> DataFrame:
 
 
 def usage_features(usage: DataFrame, snapshots: str | Sequence[str]) -> DataFrame:
-    in7, in30, in60 = (_last("calendar_date", w) for w in (7, 30, 60))
+    keys, snap = grain(snapshots)
+    in7, in30, in60 = (_last("calendar_date", snap, w) for w in (7, 30, 60))
     dl, ul = F.col("dl"), F.col("ul")
     avg7, avg30 = F.avg(F.when(in7, dl)), F.avg(F.when(in30, dl))
     prior = F.avg(F.when(in60 & ~in30, dl))
     total = F.coalesce(dl, F.lit(0.0)) + F.coalesce(ul, F.lit(0.0))
-    return parsed_usage(stamp(usage, "calendar_date", snapshots), SNAP).groupBy(ID, SNAP).agg(
+    per = parsed_usage(stamp(usage, "calendar_date", snapshots), SNAP).groupBy(*keys).agg(
         avg30.alias("avg_download_30d"),
         F.avg(F.when(in30, ul)).alias("avg_upload_30d"),
         avg7.alias("avg_download_7d"),
@@ -85,6 +104,7 @@ def usage_features(usage: DataFrame, snapshots: str | Sequence[str]) -> DataFram
         F.stddev_samp(F.when(in30, dl)).alias("usage_volatility_30d"),
         F.avg(F.when(in30, total)).alias("avg_daily_total_mb_30d"),
     )
+    return stamped(per, snapshots)
 
 
 def calls_all_time(calls: DataFrame) -> DataFrame:

@@ -65,14 +65,15 @@ def _prior(stats: DataFrame) -> float:
     return float(row["pos"]) / row["n"] if row["n"] else 0.0
 
 
-def out_of_fold(df: DataFrame, settings: Encoding = DEFAULTS.encoding, target: str = "churned", key: Column | str = ID) -> DataFrame:
+def out_of_fold(df: DataFrame, settings: Encoding = DEFAULTS.encoding, target: str = "churned", key: Column | str = ID, counts_from: DataFrame | None = None) -> DataFrame:
     """Training matrix with leave-fold-out ``<column>_encoded`` columns.
 
-    The counts are taken in a first pass that reads only the encoded columns,
-    the key and the target; they are written once and joined in a second pass.
+    The counts are taken in a first pass, written once and joined in a second.
+    ``counts_from`` may name a cheaper frame with the same rows that has only
+    the encoded columns, the key and the target.
     """
     fold = fold_of(key, settings.folds)
-    stats = settle(category_stats(df, settings.columns, target, fold))
+    stats = settle(category_stats(df if counts_from is None else counts_from, settings.columns, target, fold))
     prior = F.lit(_prior(stats))
     whole = Window.partitionBy("column", "category")  # at most `folds` rows per category
     n_out = F.sum("n").over(whole) - F.col("n")

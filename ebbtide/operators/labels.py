@@ -20,6 +20,8 @@ def leavers(cease: DataFrame, snapshots: str | Sequence[str], label: Label = DEF
     rows = cease.where((d >= low) & (d < high))
     if not label.include_pending:
         rows = rows.where(F.col("cease_completed_date").isNotNull())
+    if len(days) == 1:
+        return rows.select(ID).distinct().withColumn(SNAP, low)
     rows = rows.withColumn(SNAP, F.explode(F.array(*[F.lit(x).cast("date") for x in days])))
     return rows.where((d >= F.col(SNAP)) & (d < F.date_add(F.col(SNAP), label.window_days))).select(ID, SNAP).distinct()
 

@@ -13,21 +13,23 @@ from ebbtide.operators import activity, contract, encoding, labels, panel as pan
 from ebbtide.operators.activity import SNAP
 
 
+def labelled_accounts(panel: DataFrame, cease: DataFrame, snapshots: str | Sequence[str], settings: Settings = DEFAULTS) -> DataFrame:
+    """Account features and label of every as-of panel row; the event logs are not touched."""
+    base = contract.contract_features(panels.latest_asof(panel, snapshots), keep=[SNAP])
+    gone = labels.leavers(cease, snapshots, settings.label).withColumn("churned", F.lit(1))
+    return base.join(gone, [ID, SNAP], "left").withColumn("churned", F.coalesce("churned", F.lit(0)))
+
+
 def assemble(panel: DataFrame, calls: DataFrame, usage: DataFrame, cease: DataFrame, snapshots: str | Sequence[str], settings: Settings = DEFAULTS) -> DataFrame:
     """Features and label for every as-of panel row, before encoding.
 
     All sides are keyed by (customer, snapshot) and already reduced to that
     grain, so each join moves at most one row per customer from the logs.
     """
-    base = contract.contract_features(panels.latest_asof(panel, snapshots), keep=[SNAP])
-    parts = [
-        activity.call_features(calls, snapshots, settings.call_windows),
-        activity.usage_features(usage, snapshots),
-        labels.leavers(cease, snapshots, settings.label).withColumn("churned", F.lit(1)),
-    ]
-    for part in parts:
-        base = base.join(part, [ID, SNAP], "left")
-    return base.withColumn("churned", F.coalesce("churned", F.lit(0)))
+    out = labelled_accounts(panel, cease, snapshots, settings)
+    for part in (activity.call_features(calls, snapshots, settings.call_windows), activity.usage_features(usage, snapshots)):
+        out = out.join(part, [ID, SNAP], "left")
+    return out
 
 
 def feature_matrix(
@@ -39,9 +41,13 @@ def feature_matrix(
     encoder: encoding.FittedEncoder | None = None,
     settings: Settings = DEFAULTS,
 ) -> DataFrame:
-    """Model-ready matrix. Without an encoder the encoded columns are leave-fold-out values."""
+    """Model-ready matrix. Without an encoder the encoded columns are leave-fold-out values,
+    whose counts need only the accounts and the label, not the logs.
+    """
     df = assemble(panel, calls, usage, cease, snapshots, settings)
-    return encoder.apply(df) if encoder else encoding.out_of_fold(df, settings.encoding)
+    if encoder:
+        return encoder.apply(df)
+    return encoding.out_of_fold(df, settings.encoding, counts_from=labelled_accounts(panel, cease, snapshots, settings))
 
 
 def materialise(
@@ -63,8 +69,7 @@ def materialise(
 
     spark = panel.sparkSession
     first, *later = sorted(snapshots)
-    base = assemble(panel, calls, usage, cease, first, settings)
-    write_features(encoding.out_of_fold(base, settings.encoding), f"{folder}/matrix")
+    write_features(feature_matrix(panel, calls, usage, cease, first, settings=settings), f"{folder}/matrix")
     written = spark.read.parquet(f"{folder}/matrix").where(F.col(SNAP) == F.lit(first).cast("date"))
     encoding.fit(written, settings.encoding).save(f"{folder}/encoder")
     encoder = encoding.FittedEncoder.load(spark, f"{folder}/encoder")
