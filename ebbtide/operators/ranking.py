@@ -78,6 +78,8 @@ def running_totals(df: DataFrame, value: str, sums: Sequence[str], by: Sequence[
     )
     inside = Window.partitionBy("_block", *by).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
     part = ranged.select("*", *[F.sum(s).over(inside).alias(f"_c_{s}") for s in sums])
+    if not by:
+        offsets = F.broadcast(offsets)  # at most shuffle-width rows
     out = _null_safe_join(part, offsets, [*by, "_block"])
     for s in sums:
         out = out.withColumn(f"cum_{s}", F.col(f"_c_{s}") + F.col(f"_o_{s}"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ebbtide.config import DEFAULTS, Settings
 from ebbtide.functions.scalars import ID
 from ebbtide.operators import learning, metrics, quality, splitting
+from ebbtide.session import settle
 from ebbtide.sources import sinks
 
 
@@ -42,7 +43,8 @@ def train(matrix: DataFrame, settings: Settings = DEFAULTS, n_trials: int = 0, f
     params, _ = learning.tune(split.train, split.val, n_trials, fixed=fixed) if n_trials else ({}, None)
     model = learning.fit_boosted(split.train, split.val, {**params, **fixed})
     calibrator = learning.calibrate(model.score(split.val), y="churned")
-    scored = calibrator.apply(model.score(with_row_key(split.test)))
+    # The metrics read the scores several times; written once, each test row is scored once.
+    scored = settle(calibrator.apply(model.score(with_row_key(split.test))).select("row_key", "churned", "calibrated"))
     result = metrics.metrics_long(scored, id_col="row_key", y="churned", p="calibrated")
     sizes = splitting.split_sizes(matrix, splits=settings.splits)
     if run_path:
