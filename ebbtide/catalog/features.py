@@ -157,7 +157,10 @@ def prj_align_features(d):
     return rounded(align_features(assembled(d), wanted, keep=[ID]))
 
 
-@query("prj_numeric_only")
+NUMERIC_COLS = [c for c in [*CONTRACT_COLS, *CALL_COLS, *USAGE_COLS] if c not in ("tenure_bucket", "sales_channel", "crm_package_name")]
+
+
+@query("prj_numeric_only", sql("assembled", f"SELECT {ID}, {out_cols([*NUMERIC_COLS, 'churned'])} FROM assembled"))
 def prj_numeric_only(d):
     from ebbtide.operators.profiling import numeric_columns
 

@@ -11,6 +11,8 @@ from ebbtide.catalog.shared import CALL_COLS, CONTRACT_COLS, USAGE_COLS, assembl
 from ebbtide.config import DEFAULT_ACTION, DRIVER_ACTIONS
 from ebbtide.functions.scalars import ID as KEY
 from ebbtide.operators import attribution, drift, scoring, splitting, survival, uplift
+from ebbtide.session import scratch
+from ebbtide.sources import readers, sinks
 from ebbtide.sources.starschema import SPLITS
 
 # ---- drift -----------------------------------------------------------------------------------
@@ -75,6 +77,13 @@ def drf_full(d):
     return rounded(drift.full_monitoring(*d.drift_pair()))
 
 
+@query("sink_json_report", sql("drift_long", f"SELECT '19980601_000000' AS reported_at, drift_share, drift_detected, psi_alerts, CAST(n_alerts AS BIGINT) AS n_alerts FROM {FULL} CROSS JOIN {ALERTS}"))
+def sink_json_report(d):
+    path = scratch(d.spark, "reports")
+    sinks.append_report(drift.full_monitoring(*d.drift_pair()), path, "19980601_000000")
+    return rounded(d.spark.read.json(path))
+
+
 @query("drf_severity", sql("drift_long", f"""SELECT CASE WHEN NOT drift_detected AND n_alerts = 0 THEN 'No Drift Detected' ELSE 'Churn Model Drift Alert' END AS title,
  CASE WHEN NOT drift_detected AND n_alerts = 0 THEN 'All features stable.' ELSE 'Drift detected: ' || CASE WHEN drift_detected THEN 'Yes' ELSE 'No' END || chr(10) || 'Drifted feature share: ' || printf('%.1f', drift_share * 100) || '%' || CASE WHEN n_alerts > 0 THEN chr(10) || 'Features with PSI > 0.2: ' || psi_alerts ELSE '' END
   || chr(10) || '→ **Recommended action**: trigger retraining pipeline' END AS message,
@@ -90,9 +99,6 @@ UNPIVOT = " UNION ALL ".join(f"SELECT CASE WHEN snapshot_date = {T1} THEN 'ref'
 @query("drf_oldest_newest", sql("assembled_all", f""", l AS ({UNPIVOT}) SELECT f.feature, CASE WHEN nr > 0 AND nc > 0 THEN round(psi, 4) ELSE 0.0::DOUBLE END AS psi, nr > 0 AND nc > 0 AND psi >= 0.2 AS warned FROM {psi_sql('l')} p
  JOIN (SELECT feature, count(*) FILTER (WHERE side = 'ref') AS nr, count(*) FILTER (WHERE side = 'cur') AS nc FROM l GROUP BY 1) f USING (feature)"""))
 def drf_oldest_newest(d):
-    from ebbtide.session import scratch
-    from ebbtide.sources import readers, sinks
-
     folder = scratch(d.spark, "snapshots")
     sinks.write_features(assembled(d, SPLITS.snapshots), folder)
     return drift.psi_all(*drift.oldest_newest(readers.read_snapshots(d.spark, folder)))

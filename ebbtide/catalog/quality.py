@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ebbtide.catalog.ctes import ID, num, sql
 from ebbtide.catalog.eda import NULL_SQL, NULLABLE
 from ebbtide.catalog.registry import query
-from ebbtide.catalog.shared import assembled, rounded
+from ebbtide.catalog.shared import MATRIX_COLS, assembled, out_cols, rounded
 from ebbtide.operators import profiling as pf, quality as dq, splitting
 from ebbtide.session import settle
 from ebbtide.sources.starschema import SPLITS
@@ -63,7 +63,7 @@ def dq_lazy_report(d):
     return dq.full_report(d.raw_tables())
 
 
-@query("dq_strict")
+@query("dq_strict", sql("assembled", f"SELECT {out_cols(MATRIX_COLS)} FROM assembled"))
 def dq_strict(d):
     return dq.validate(rounded(assembled(d)), "matrix")
 
@@ -139,7 +139,7 @@ def dq_cardinality(d):
     return dq.cardinality(d.panel(), d.calls())
 
 
-@query("dq_leak_cols")
+@query("dq_leak_cols", sql("assembled", " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count({c}) AS n_values, false AS leaky FROM assembled" for c in MATRIX_COLS)))
 def dq_leak_cols(d):
     """Columns of the built matrix with their leak flag, counted over the matrix rows."""
     m = assembled(d)

@@ -8,7 +8,7 @@ from ebbtide.catalog.ctes import ID, S, sql
 from ebbtide.catalog.features import KEYED
 from ebbtide.catalog.registry import query
 from ebbtide.catalog.shared import MATRIX_COLS, assembled, rounded
-from ebbtide.operators import drift, metrics, scoring
+from ebbtide.operators import metrics, scoring
 from ebbtide.operators.ranking import capped_sample, hash_sample
 from ebbtide.plans import features as plans
 from ebbtide.session import scratch
@@ -109,14 +109,6 @@ def sink_scored_csv(d):
     return d.spark.read.schema("priority_rank int, id int, churn_probability double").option("header", True).csv(path)
 
 
-@query("sink_json_report")
-def sink_json_report(d):
-    path = scratch(d.spark, "reports")
-    ref, cur = d.drift_pair()
-    sinks.append_report(drift.full_monitoring(ref, cur), path, "19980601_000000")
-    return d.spark.read.json(path)
-
-
 @query("sink_metrics", sql("scored", "SELECT 'run-1' AS run_id, 'brier_score' AS metric, round(avg((p - y) * (p - y)), 6) AS value FROM scored UNION ALL SELECT 'run-1', 'base_rate', round(avg(y), 6) FROM scored"))
 def sink_metrics(d):
     path = scratch(d.spark, "runs")
