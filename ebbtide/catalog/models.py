@@ -95,8 +95,8 @@ def mdl_tune(d):
     return rounded(learning.tune(s.train, s.val, n_trials=2, fixed={"rounds": 5})[1])
 
 
-@query("mdl_train_pipeline")
-def mdl_train_pipeline(d):
+@query("mdl_train")
+def mdl_train(d):
     run = training.train(features(d)[0], SETTINGS, fixed=QUICK, run_path=scratch(d.spark, "run"), run_id="run-1")
     return rounded(run.metrics)
 

