@@ -130,27 +130,28 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         more = fit_counts(length, n, budget)
         return pa.table({"source": table["source"], "size": table["size"], "_whole": pa.array(np.full(len(n), whole)), "_more": pa.array(more)})
 
-    chosen = settle(lengths.join(targets, lengths["source"].eqNullSafe(targets["source"])).select(lengths["source"], "size", "n", "source_size", "target")
-                    .groupBy("source").applyInArrow(fit, "source string, size long, _whole long, _more long"))
+    chosen = settle(_same(lengths, targets, ["source"]).groupBy("source").applyInArrow(fit, "source string, size long, _whole long, _more long"))
     # Per hash range: taken whole, not at all, or in part; only the range at the edge is ranked.
     before = F.coalesce(F.sum("n").over(Window.partitionBy("source", "size").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    key = ["source", "size"]
-    same = lambda a, b, cols: [a[c].eqNullSafe(b[c]) for c in cols]
-    ranges = slices.withColumn("_before", before)
-    plan = ranges.join(chosen, same(ranges, chosen, key)).select(
-        ranges["source"], ranges["size"], "_slice", "_whole", F.greatest(F.lit(0), F.least(F.col("n"), F.col("_more") - F.col("_before"))).alias("_part"), "n",
-    ).where("_whole > 0 OR _part > 0")
-    rows = base.join(plan, same(base, plan, [*key, "_slice"]), "left").select(
-        base["doc_id"], base["source"], base["size"], base["_slice"], "_hash", F.coalesce("_whole", F.lit(0)).alias("_whole"),
-        F.when(F.col("_part") == F.col("n"), 1).when(F.coalesce("_part", F.lit(0)) == 0, 0).alias("_extra"), "_part",
-    )
+    part = F.greatest(F.lit(0), F.least(F.col("n"), F.col("_more") - F.col("_before")))
+    plan = _same(slices.withColumn("_before", before), chosen, ["source", "size"]).withColumn("_part", part)
+    plan = plan.where("_whole > 0 OR _part > 0").select("source", "size", "_slice", "_whole", "_part", "n")
+    rows = _same(base, plan, ["source", "size", "_slice"], "left").withColumn("_whole", F.coalesce("_whole", F.lit(0)))
+    rows = rows.withColumn("_extra", F.when(F.col("_part") == F.col("n"), 1).when(F.coalesce("_part", F.lit(0)) == 0, 0))
     sure = rows.where("_extra IS NOT NULL").withColumn("copies", F.col("_whole") + F.col("_extra"))
     edge = rows.where("_extra IS NULL")
     place = F.row_number().over(Window.partitionBy("source", "size", "_slice").orderBy("_hash", "doc_id"))
     edge = edge.withColumn("copies", F.col("_whole") + F.when(place <= F.col("_part"), 1).otherwise(0))
     taken = sure.select("doc_id", "source", "size", "copies", "_hash").unionByName(edge.select("doc_id", "source", "size", "copies", "_hash"))
-    return taken.join(targets, taken["source"].eqNullSafe(targets["source"])).select(
-        taken["doc_id"], taken["source"], taken["size"], "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), "_hash")
+    full = _same(taken, targets, ["source"])
+    return full.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), "_hash")
+
+
+def _same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, null equal to null; the keys stay once."""
+    other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(other, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
 def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 42) -> DataFrame:

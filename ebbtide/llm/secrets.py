@@ -119,6 +119,10 @@ def scan_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return base.mapInArrow(run, "doc_id long, spans array<struct<kind: string, start: long, end: long, base: boolean>>")
 
 
+def _count(spans, kind: str) -> F.Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
 def digest(found: DataFrame) -> DataFrame:
     base = F.filter("spans", lambda s: s["base"])
     # Base spans arrive ordered; all spans are put in order by start, listed kinds first.
@@ -127,7 +131,7 @@ def digest(found: DataFrame) -> DataFrame:
     text = lambda kind, a, b: F.concat_ws(":", kind, a.cast("string"), b.cast("string"))
     return found.select(
         "doc_id",
-        *[F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS],
+        *[_count(base, k) for k in KINDS],
         F.sha2(F.array_join(F.transform(base, lambda s: text(s["kind"], s["start"], s["end"])), ","), 256).alias("base_sha256"),
         F.array_join(F.transform(every, lambda s: text(s["kind"], s["a"], s["b"])), ",").alias("spans"),
     )
