@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +28,17 @@ def get_session(app: str = "ebbtide", master: str | None = None, shuffle_partiti
     return spark
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did.
+
+    Enough where executors see the driver's folders; elsewhere ship it with ``--py-files``.
+    """
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def _setting(spark: SparkSession, key: str) -> str | None:
     return spark.conf.get(key, None) or spark.sparkContext.getConf().get(key, None)
 
