@@ -12,54 +12,50 @@ from pyspark.sql import functions as F
 
 from ebbtide.functions.scalars import ratio
 
-WIDE = 8  # above this many columns the pair sums are formed as matrix products per task
 
-
-def _narrow(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    cells = []
-    for a, b in combinations(cols, 2):
-        x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        both_x, both_y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-        r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(both_x) * F.stddev_pop(both_y))
-        cells.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r")))
-    return df.agg(F.array(*cells).alias("cells")).select(F.explode("cells").alias("c")).select("c.*")
-
-
-def _wide(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    cols = list(cols)
-    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    means = doubles.agg(*[F.avg(c).alias(c) for c in cols]).first()
-    centre = np.array([m if m is not None else 0.0 for m in means])
+def _pair_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(i, j, n, mx, my, vx, vy, cxy) per task and pair: moments of its complete rows around their own means."""
     ia, ib = np.triu_indices(len(cols), 1)
 
     def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = None
         for pdf in batches:
-            x = pdf.to_numpy(dtype=float) - centre
-            seen = (~np.isnan(x)).astype(float)
-            x = np.nan_to_num(x)
-            sx, sxx = x.T @ seen, (x * x).T @ seen
-            part = np.stack([(seen.T @ seen)[ia, ib], sx[ia, ib], sx.T[ia, ib], (x.T @ x)[ia, ib], sxx[ia, ib], sxx.T[ia, ib]], axis=1)
-            total = part if total is None else total + part
-        if total is not None:
-            out = pd.DataFrame(total, columns=["n", "sx", "sy", "sxy", "sxx", "syy"])
-            yield out.assign(i=ia, j=ib)
-
-    sums = doubles.mapInPandas(moments, "n double, sx double, sy double, sxy double, sxx double, syy double, i int, j int")
-    s = sums.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxy", "sxx", "syy")])
-    n = F.col("n")
-    cov = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), n)
-    vx = F.col("sxx") - F.try_divide(F.col("sx") * F.col("sx"), n)
-    vy = F.col("syy") - F.try_divide(F.col("sy") * F.col("sy"), n)
-    # A variance within rounding noise of its own sum of squares counts as zero.
-    ok = (vx > F.col("sxx") * 1e-13) & (vy > F.col("syy") * 1e-13)
-    names = F.array(*[F.lit(c) for c in cols])
-    return s.select(names[F.col("i")].alias("a"), names[F.col("j")].alias("b"), F.when(ok, F.try_divide(cov, F.sqrt(vx * vy))).alias("r"))
+            x = pdf.to_numpy(dtype=float)
+            seen = ~np.isnan(x)
+            rows = []
+            for i, j in zip(ia.tolist(), ib.tolist(), strict=True):
+                both = seen[:, i] & seen[:, j]
+                n = int(both.sum())
+                if not n:
+                    continue
+                a, b = x[both, i], x[both, j]
+                # Taken from the first value, so that a constant deviates by exactly nothing.
+                da, db = a - a[0], b - b[0]
+                ma, mb = da.mean(), db.mean()
+                da, db = da - ma, db - mb
+                rows.append((i, j, float(n), a[0] + ma, b[0] + mb, da @ da, db @ db, da @ db))
+            yield pd.DataFrame(rows, columns=["i", "j", "n", "mx", "my", "vx", "vy", "cxy"])
+
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    return doubles.mapInPandas(moments, "i int, j int, n double, mx double, my double, vx double, vy double, cxy double")
 
 
 def pearson_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(a, b, r) for every unordered pair; NULL r where a column does not vary."""
-    return _narrow(df, cols) if len(cols) <= WIDE else _wide(df, cols)
+    """(a, b, r) for every unordered pair over its complete rows; NULL r where a column does not vary.
+
+    The input is read once. Each batch gives one line per pair; lines are merged by
+    the parallel variance formula, with means taken relative to one of them.
+    """
+    cols = list(cols)
+    pair = Window.partitionBy("i", "j")
+    lines = _pair_moments(df, cols).withColumns({"_x": F.col("mx") - F.min("mx").over(pair), "_y": F.col("my") - F.min("my").over(pair)})
+    share = F.col("n") / F.sum("n").over(pair)
+    lines = lines.withColumns({"_gx": F.col("_x") - F.sum(F.col("_x") * share).over(pair), "_gy": F.col("_y") - F.sum(F.col("_y") * share).over(pair)})
+    n, gx, gy = F.col("n"), F.col("_gx"), F.col("_gy")
+    sums = lines.groupBy("i", "j").agg(F.sum(F.col("vx") + n * gx * gx).alias("vx"), F.sum(F.col("vy") + n * gy * gy).alias("vy"), F.sum(F.col("cxy") + n * gx * gy).alias("cxy"))
+    names = F.array(*[F.lit(c) for c in cols])
+    index = df.sparkSession.createDataFrame(list(combinations(range(len(cols)), 2)), "i int, j int")
+    found = index.join(sums, ["i", "j"], "left")
+    return found.select(names[F.col("i")].alias("a"), names[F.col("j")].alias("b"), F.try_divide("cxy", F.sqrt("vx") * F.sqrt("vy")).alias("r"))
 
 
 def pearson_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:

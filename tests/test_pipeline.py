@@ -1,5 +1,6 @@
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,10 +46,19 @@ def test_split_is_disjoint_and_guarded(spark):
 
 
 def test_constant_column_has_no_correlation(spark):
-    df = spark.createDataFrame([(1.0, 2.0, 5.0), (2.0, 4.1, 5.0), (3.0, None, 5.0), (None, 1.0, 5.0), (4.0, 7.0, 5.0)], "a double, b double, c double")
-    narrow = {(r["a"], r["b"]): r["r"] for r in association._narrow(df, ["a", "b", "c"]).collect()}
-    wide = {(r["a"], r["b"]): r["r"] for r in association._wide(df, ["a", "b", "c"]).collect()}
-    assert narrow[("a", "b")] == pytest.approx(wide[("a", "b")]) and narrow[("a", "c")] is None and wide[("a", "c")] is None
+    df = spark.createDataFrame([(1.0, 2.0, 0.1), (2.0, 4.1, 0.1), (3.0, None, 0.1), (None, 1.0, 0.1), (4.0, 7.0, 0.1)], "a double, b double, c double").repartition(3)
+    got = {(r["a"], r["b"]): r["r"] for r in association.pearson_pairs(df, ["a", "b", "c"]).collect()}
+    assert got[("a", "b")] == pytest.approx(np.corrcoef([1, 2, 4], [2, 4.1, 7])[0, 1]) and got[("a", "c")] is None and got[("b", "c")] is None
+
+
+@pytest.mark.parametrize("width", [2, 12])
+def test_correlation_does_not_depend_on_other_columns_or_rows(spark, width):
+    """Complete rows lie far from the column's mean over all rows."""
+    rows = [(1e8 + i % 2, float(i % 2)) for i in range(40)] + [(0.0, None)] * 4000
+    df = spark.createDataFrame(rows, "a double, b double").repartition(4)
+    df = df.withColumns({f"x{i}": F.rand(i) for i in range(width - 2)})
+    got = {(r["a"], r["b"]): r["r"] for r in association.pearson_pairs(df, df.columns).collect()}
+    assert len(got) == width * (width - 1) // 2 and got[("a", "b")] == pytest.approx(1.0)
 
 
 def test_two_by_two_uses_the_continuity_correction(spark):
