@@ -35,6 +35,11 @@ def ratio(num: Column, den: Column, default: float | None = None) -> Column:
     return out if default is None else F.coalesce(out, F.lit(float(default)))
 
 
+def whole_days(column: str) -> Column:
+    """Duration in whole days, at least 1; fractions are cut, so distinct values are bounded by the period."""
+    return at_least(F.floor(F.col(column).cast("double")).cast("double"), 1)
+
+
 def at_least(c: Column, floor: float) -> Column:
     """Lower clip that keeps NULL (``greatest`` alone would skip it)."""
     return F.when(c.isNotNull(), F.greatest(c, F.lit(float(floor))))

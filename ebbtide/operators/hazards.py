@@ -22,42 +22,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbtide.functions.scalars import at_least
+from ebbtide.functions.scalars import whole_days
 from ebbtide.operators.learning import assemble_features
 from ebbtide.operators.survival import Z95
 from ebbtide.session import settle, shuffle_width
 
-DIRECT_TIES = 2000  # above this many events on a day the tie sums use closed forms
+TIE_CHUNK = 1 << 20  # events of one day summed at a time; bounds memory, not the sum
 
 
 # ---- tie sums --------------------------------------------------------------------------------
-def _digamma(x: float) -> float:
-    out = 0.0
-    while x < 12:
-        out -= 1 / x
-        x += 1
-    i = 1 / (x * x)
-    return out + math.log(x) - 0.5 / x - i * (1 / 12 - i * (1 / 120 - i * (1 / 252 - i / 240)))
-
-
-def _trigamma(x: float) -> float:
-    out = 0.0
-    while x < 12:
-        out += 1 / (x * x)
-        x += 1
-    i = 1 / (x * x)
-    return out + 1 / x + i / 2 + i / x * (1 / 6 - i * (1 / 30 - i * (1 / 42 - i / 30)))
-
-
-def tie_sums(risk: float, tied: float, d: int) -> tuple[float, float, float]:
-    """Σ log s_l, Σ 1/s_l and Σ 1/s_l² for s_l = risk − (l/d)·tied, l = 0..d−1."""
-    if d <= DIRECT_TIES:
-        s = risk - tied * np.arange(d) / d
-        return float(np.log(s).sum()), float((1 / s).sum()), float((1 / (s * s)).sum())
-    u, top = tied / d, d * risk / tied
-    low = top - d + 1
-    logs = d * math.log(u) + math.lgamma(top + 1) - math.lgamma(low)
-    return logs, (_digamma(top + 1) - _digamma(low)) / u, (_trigamma(low) - _trigamma(top + 1)) / (u * u)
+def tie_sums(risk: float, tied: float, d: int) -> tuple[float, ...]:
+    """Efron sums over s_l = risk − w_l·tied with w_l = l/d, l = 0..d−1.
+
+    Returns Σ log s, Σ 1/s, Σ w/s, Σ 1/s², Σ w/s² and Σ w²/s².
+    """
+    out = np.zeros(6)
+    for lo in range(0, d, TIE_CHUNK):
+        w = np.arange(lo, min(d, lo + TIE_CHUNK)) / d
+        s = risk - tied * w
+        r = 1 / s
+        out += [np.log(s).sum(), r.sum(), (w * r).sum(), (r * r).sum(), (w * r * r).sum(), (w * w * r * r).sum()]
+    return tuple(float(x) for x in out)
 
 
 # ---- per-day moments --------------------------------------------------------------------------
@@ -110,10 +95,7 @@ def _newton_terms(m: dict[str, np.ndarray], beta: np.ndarray):
         d = int(round(m["d"][i]))
         r0, r1, r2 = risk[i, 0], risk[i, 1 : 1 + p], risk[i, 1 + p :]
         k0, k1, k2 = m["tied"][i, 0], m["tied"][i, 1 : 1 + p], m["tied"][i, 1 + p :]
-        logs, a, c = tie_sums(r0, k0, d)
-        b = (r0 * a - d) / k0  # Σ (l/d)/s
-        e = (r0 * c - a) / k0  # Σ (l/d)/s²
-        f = (r0 * r0 * c - 2 * r0 * a + d) / (k0 * k0)  # Σ (l/d)²/s²
+        logs, a, b, c, e, f = tie_sums(r0, k0, d)
         residual[i] = m["sx"][i] - (r1 * a - k1 * b)
         ll += float(beta @ m["sx"][i]) - logs
         grad += residual[i]
@@ -184,7 +166,7 @@ class CoxModel:
 def fit_cox(df: DataFrame, covariates: Sequence[str], duration: str = "duration", event: str = "event", penalizer: float = 0.1, max_iter: int = 25, tolerance: float = 1e-8) -> CoxModel:
     """Efron ties, ridge penalty on standardised covariates per observation; constant covariates are left out."""
     filled = df.select(
-        at_least(F.col(duration).cast("double"), 1).alias("t"), F.col(event).cast("double").alias("e"), *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_c{i}") for i, c in enumerate(covariates)]
+        whole_days(duration).alias("t"), F.col(event).cast("double").alias("e"), *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_c{i}") for i, c in enumerate(covariates)]
     )
     stats = filled.agg(F.count("*").alias("n"), F.sum("e").alias("events"), *[f(f"_c{i}").alias(f"{k}{i}") for i in range(len(covariates)) for k, f in (("m", F.avg), ("s", F.stddev_samp))]).first()
     use = [i for i in range(len(covariates)) if (stats[f"s{i}"] or 0.0) > 1e-9]
@@ -211,6 +193,8 @@ def fit_cox(df: DataFrame, covariates: Sequence[str], duration: str = "duration"
         if np.abs(step).max() < tolerance:
             break
         previous, beta = objective, beta + step
+    else:
+        raise ValueError(f"the Cox fit has not converged in {max_iter} steps; raise max_iter or the penalizer")
     variance = np.linalg.inv(info + n * penalizer * np.eye(p))
     risk = np.cumsum(m["own"][::-1, 0])[::-1]
     model = CoxModel(
@@ -251,7 +235,7 @@ def concordance(df: DataFrame, bins: int, duration: str = "duration", event: str
     Works on the day × bin table only; its size is bounded by the observation
     period and the number of bins.
     """
-    t = F.col(duration).cast("double")
+    t = F.floor(F.col(duration).cast("double")).cast("double")
     cells = df.groupBy(t.alias("t"), F.col(bin_col).alias("b")).agg(F.count("*").alias("n"), F.sum(F.col(event).cast("bigint")).alias("d"))
     grid = cells.select("t").distinct().withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     full = grid.join(cells, ["t", "b"], "left").fillna(0, ["n", "d"])
@@ -273,7 +257,7 @@ def fit_weibull(df: DataFrame, covariates: Sequence[str], duration: str = "durat
 
 def weibull_input(df: DataFrame, covariates: Sequence[str], duration: str, event: str) -> DataFrame:
     data = assemble_features(df, covariates, "_features")
-    return data.withColumn("_t", at_least(F.col(duration).cast("double"), 1)).withColumn("_e", F.col(event).cast("double"))
+    return data.withColumn("_t", whole_days(duration)).withColumn("_e", F.col(event).cast("double"))
 
 
 def weibull_median(model, df: DataFrame, covariates: Sequence[str], duration: str = "duration", event: str = "event") -> DataFrame:

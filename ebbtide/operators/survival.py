@@ -14,15 +14,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbtide.functions.scalars import at_least, ratio
+from ebbtide.functions.scalars import ratio, whole_days
 
 Z95 = 1.959963984540054  # 97.5 % point of the standard normal
 CHI2_1_95 = 3.841458820694124  # 95 % point of chi-square with one degree of freedom
 
 
 def life_table(df: DataFrame, duration: str = "duration", event: str = "event", by: Sequence[str] = ()) -> DataFrame:
-    """(by…, t, d, n): events and rows leaving at each distinct day; durations below 1 count as 1."""
-    t = at_least(F.col(duration).cast("double"), 1).alias("t")
+    """(by…, t, d, n): events and rows leaving at each distinct day; durations are whole days, at least 1."""
+    t = whole_days(duration).alias("t")
     return df.groupBy(*by, t).agg(F.sum(F.col(event).cast("bigint")).alias("d"), F.count("*").alias("n"))
 
 
@@ -76,7 +76,7 @@ def chi2_sf1(x: pd.Series) -> pd.Series:
 def logrank(df: DataFrame, group: str, duration: str = "duration", event: str = "event") -> DataFrame:
     """Two-group log-rank test of ``group`` in {0, 1}: statistic and significance at 5 %."""
     rows = df.where(F.col(group).isin(0, 1))
-    t = at_least(F.col(duration).cast("double"), 1).alias("t")
+    t = whole_days(duration).alias("t")
     g, e = F.col(group) == 1, F.col(event) == 1
     per = rows.groupBy(t).agg(F.count_if(e).alias("d"), F.count("*").alias("n"), F.count_if(e & g).alias("d1"), F.count_if(g).alias("n1"))
     later = Window.orderBy("t").rowsBetween(0, Window.unboundedFollowing)  # distinct days
