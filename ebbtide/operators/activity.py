@@ -58,29 +58,74 @@ def _last(date_col: str, snap: Column, days: int) -> Column:
     return F.col(date_col) >= F.date_sub(snap, days)
 
 
+def recent(events: DataFrame, date_col: str, snapshots: str | Sequence[str], days: int) -> DataFrame:
+    """Events of the last ``days`` days before each snapshot, once per such snapshot.
+
+    The outer bounds are plain comparisons, so they reach the scan; an event is
+    copied only to snapshots whose window holds it.
+    """
+    dates = dates_of(snapshots)
+    d = F.col(date_col)
+    first, last = (F.lit(x).cast("date") for x in (dates[0], dates[-1]))
+    near = events.where((d >= F.date_sub(first, days)) & (d < last))
+    if len(dates) == 1:
+        return near.withColumn(SNAP, last)
+    every = F.array(*[F.lit(x).cast("date") for x in dates])
+    return near.withColumn(SNAP, F.explode(F.filter(every, lambda s: (s > d) & (s <= F.date_add(d, days)))))
+
+
+def last_seen(events: DataFrame, date_col: str, snapshots: str | Sequence[str]) -> DataFrame:
+    """(id, snapshot, _last): newest event before each snapshot, for everybody with one.
+
+    Events are reduced to one date per customer and gap between snapshots first; only
+    those few rows are copied to the later snapshots.
+    """
+    dates = dates_of(snapshots)
+    d = F.col(date_col)
+    past = events.where(d < F.lit(dates[-1]).cast("date")).select(ID, date_col)
+    if len(dates) == 1:
+        return past.groupBy(ID).agg(F.max(date_col).alias("_last")).select(ID, F.lit(dates[0]).cast("date").alias(SNAP), "_last")
+    every = F.array(*[F.lit(x).cast("date") for x in dates])
+    per_gap = past.withColumn("_next", F.element_at(F.filter(every, lambda s: s > d), 1)).groupBy(ID, "_next").agg(F.max(date_col).alias("_last"))
+    spread = per_gap.withColumn(SNAP, F.explode(F.filter(every, lambda s: s >= F.col("_next"))))
+    return spread.groupBy(ID, SNAP).agg(F.max("_last").alias("_last"))
+
+
+def _filled(count: str) -> Column:
+    return F.coalesce(F.col(count), F.lit(0).cast("bigint")).alias(count)
+
+
 def call_counts(calls: DataFrame, snapshots: str | Sequence[str], windows: Sequence[int] = DEFAULTS.call_windows) -> DataFrame:
     """Calls per customer in each trailing window."""
-    keys, snap = grain(snapshots)
-    counts = [F.count_if(_last("event_date", snap, w)).alias(f"call_count_{w}d") for w in windows]
-    return stamped(stamp(calls, "event_date", snapshots).groupBy(*keys).agg(*counts), snapshots)
+    snap = F.col(SNAP)
+    names = [f"call_count_{w}d" for w in windows]
+    counts = recent(calls.select(ID, "event_date"), "event_date", snapshots, max(windows)).groupBy(ID, SNAP).agg(
+        *[F.count_if(_last("event_date", snap, w)).alias(n) for n, w in zip(names, windows, strict=True)])
+    return last_seen(calls, "event_date", snapshots).join(counts, [ID, SNAP], "left").select(ID, SNAP, *map(_filled, names))
 
 
 def call_features(calls: DataFrame, snapshots: str | Sequence[str], windows: Sequence[int] = DEFAULTS.call_windows) -> DataFrame:
-    keys, snap = grain(snapshots)
+    snap = F.col(SNAP)
     in30, in90 = _last("event_date", snap, 30), _last("event_date", snap, 90)
     loyal = F.col("call_type") == "Loyalty"
-    n30, n90, loyal90 = F.count_if(in30), F.count_if(in90), F.count_if(loyal & in90)
-    per = stamp(calls, "event_date", snapshots).groupBy(*keys).agg(
-        *[F.count_if(_last("event_date", snap, w)).alias(f"call_count_{w}d") for w in windows],
+    names = [f"call_count_{w}d" for w in windows]
+    near = recent(calls.select(ID, "event_date", "call_type", "talk_time_seconds", "hold_time_seconds"), "event_date", snapshots, max(90, *windows))
+    per = near.groupBy(ID, SNAP).agg(
+        *[F.count_if(_last("event_date", snap, w)).alias(n) for n, w in zip(names, windows, strict=True)],
         F.max(F.when(loyal & in30, 1).otherwise(0)).alias("loyalty_call_flag_30d"),
-        loyal90.alias("loyalty_call_count_90d"),
-        ratio(loyal90, n90, 0.0).alias("pct_loyalty_calls_90d"),
+        F.count_if(loyal & in90).alias("loyalty_call_count_90d"),
+        F.count_if(in30).alias("_n30"), F.count_if(in90).alias("_n90"),
         F.avg(F.when(in30, F.col("talk_time_seconds"))).alias("avg_talk_time_30d"),
         F.avg(F.when(in30, F.col("hold_time_seconds"))).alias("avg_hold_time_30d"),
-        F.datediff(snap, F.max("event_date")).alias("days_since_last_call"),
+    )
+    out = last_seen(calls, "event_date", snapshots).join(per, [ID, SNAP], "left")
+    loyal90, n30, n90 = (F.coalesce(F.col(c), F.lit(0)) for c in ("loyalty_call_count_90d", "_n30", "_n90"))
+    return out.select(
+        ID, SNAP, *map(_filled, names), F.coalesce("loyalty_call_flag_30d", F.lit(0)).alias("loyalty_call_flag_30d"), _filled("loyalty_call_count_90d"),
+        ratio(loyal90, n90, 0.0).alias("pct_loyalty_calls_90d"), "avg_talk_time_30d", "avg_hold_time_30d",
+        F.datediff(snap, F.col("_last")).alias("days_since_last_call"),
         ratio(n30, n90 / F.lit(3.0), 1.0).alias("call_frequency_trend"),
     )
-    return stamped(per, snapshots)
 
 
 def parsed_usage(usage: DataFrame, *keep: str) -> DataFrame:
@@ -88,23 +133,26 @@ def parsed_usage(usage: DataFrame, *keep: str) -> DataFrame:
 
 
 def usage_features(usage: DataFrame, snapshots: str | Sequence[str]) -> DataFrame:
-    keys, snap = grain(snapshots)
+    """Values are read and parsed for the last 60 days only; older rows count by id and date."""
+    snap = F.col(SNAP)
     in7, in30, in60 = (_last("calendar_date", snap, w) for w in (7, 30, 60))
     dl, ul = F.col("dl"), F.col("ul")
-    avg7, avg30 = F.avg(F.when(in7, dl)), F.avg(F.when(in30, dl))
-    prior = F.avg(F.when(in60 & ~in30, dl))
     total = F.coalesce(dl, F.lit(0.0)) + F.coalesce(ul, F.lit(0.0))
-    per = parsed_usage(stamp(usage, "calendar_date", snapshots), SNAP).groupBy(*keys).agg(
-        avg30.alias("avg_download_30d"),
+    per = recent(parsed_usage(usage), "calendar_date", snapshots, 60).groupBy(ID, SNAP).agg(
+        F.avg(F.when(in30, dl)).alias("avg_download_30d"),
         F.avg(F.when(in30, ul)).alias("avg_upload_30d"),
-        avg7.alias("avg_download_7d"),
-        ratio(avg7, avg30, 1.0).alias("download_trend_7_30"),
-        ratio(avg30 - prior, prior, 0.0).alias("download_pct_change_30_60d"),
+        F.avg(F.when(in7, dl)).alias("avg_download_7d"),
+        F.avg(F.when(in60 & ~in30, dl)).alias("_prior"),
         F.count_if(in30 & (dl.isNull() | (dl == 0))).alias("zero_usage_days_30d"),
         F.stddev_samp(F.when(in30, dl)).alias("usage_volatility_30d"),
         F.avg(F.when(in30, total)).alias("avg_daily_total_mb_30d"),
     )
-    return stamped(per, snapshots)
+    avg7, avg30, prior = (F.col(c) for c in ("avg_download_7d", "avg_download_30d", "_prior"))
+    return last_seen(usage, "calendar_date", snapshots).join(per, [ID, SNAP], "left").select(
+        ID, SNAP, "avg_download_30d", "avg_upload_30d", "avg_download_7d",
+        ratio(avg7, avg30, 1.0).alias("download_trend_7_30"), ratio(avg30 - prior, prior, 0.0).alias("download_pct_change_30_60d"),
+        _filled("zero_usage_days_30d"), "usage_volatility_30d", "avg_daily_total_mb_30d",
+    )
 
 
 def calls_all_time(calls: DataFrame) -> DataFrame:
