@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.operators.learning import ChurnModel, node_table, with_null_flags
+from ebbtide.session import settle
 
 
 def _pack(model: ChurnModel, spark) -> list[dict[str, np.ndarray]]:
@@ -70,13 +71,15 @@ def tree_contributions(df: DataFrame, model: ChurnModel, keep: list[str], name:
     return raw.select(*keep, "margin", "bias", entries.alias(name))
 
 
-def cluster_contributions(df: DataFrame, k: int = 4, seed: int = 42, contributions: str = "contributions", name: str = "cluster") -> DataFrame:
-    """K-means on standardised contributions; adds the cluster id."""
+def cluster_contributions(df: DataFrame, k: int = 4, seed: int = 42, starts: int = 10, contributions: str = "contributions", name: str = "cluster") -> DataFrame:
+    """K-means on standardised contributions, the cheapest of ``starts`` seeded runs; adds the cluster id."""
     values = F.transform(F.col(contributions), lambda e: e["contribution"])
     data = df.withColumn("_v", array_to_vector(values))
     scaled = StandardScaler(inputCol="_v", outputCol="_s", withMean=True, withStd=True).fit(data).transform(data)
-    model = KMeans(k=k, seed=seed, initSteps=10, featuresCol="_s", predictionCol=name).fit(scaled)
-    return model.transform(scaled).drop("_v", "_s")
+    points = settle(scaled.select("_s"))
+    runs = [KMeans(k=k, seed=seed + i, featuresCol="_s", predictionCol=name).fit(points) for i in range(starts)]
+    best = min(runs, key=lambda m: m.summary.trainingCost)
+    return best.transform(scaled).drop("_v", "_s")
 
 
 # --- fixed values: default names of the four segments ------------------------------------------

@@ -17,11 +17,17 @@ def score_active(
     model: learning.ChurnModel, calibrator: learning.Calibrator, encoder: encoding.FittedEncoder | None,
     snapshot: str | None = None, settings: Settings = DEFAULTS,
 ) -> DataFrame:
-    """Features → probability → drivers → ranked list for customers without a cancellation."""
+    """Features → probability → drivers → ranked list for customers without a cancellation.
+
+    Customers who left are filtered from the panel and both logs before any feature is
+    built. Panel rows that tie on the newest date are cut to one per customer: the one
+    with the smallest row key, a hash of the row's own values.
+    """
     day = snapshot or scoring.default_snapshot(panel)
     active = panels.active_customers(panel, cease)
+    panel, calls, usage = (df.join(active, ID, "left_semi") for df in (panel, calls, usage))
     matrix = plans.feature_matrix(panel, calls, usage, cease, day, encoder, settings) if encoder else plans.assemble(panel, calls, usage, cease, day, settings)
-    rows = with_row_key(matrix.join(active, ID, "left_semi"))
+    rows = panels.first_per_key(with_row_key(matrix), ID, ["row_key"])
     scored = calibrator.apply(model.score(rows))
     context = [c for c in scored.columns if c in scoring.CONTEXT_COLUMNS]
     explained = trees.tree_contributions(scored, model, [ID, "row_key", "calibrated", *context])
