@@ -10,6 +10,8 @@ from ebbtide.catalog.registry import query
 from ebbtide.catalog.shared import CALL_COLS, CONTRACT_COLS, USAGE_COLS, assembled, rounded
 from ebbtide.operators import activity, association, metrics, panel as panels, profiling as pf
 from ebbtide.operators.ranking import quantiles
+from ebbtide.sources.schemas import CALLS, CEASE, USAGE
+from ebbtide.sources.starschema import StarSchema
 
 BEST = 0.4  # decision threshold used by the error-analysis queries
 
@@ -58,10 +60,11 @@ def agg_reason_first(d):
 
 
 @query("agg_topk_trend", sql("cease_keyed", f""", counted AS (SELECT CAST(date_trunc('month', cease_placed_date) AS DATE) AS month, reason_description_insight AS r, count(*) AS n FROM cease_keyed WHERE r IN
- (SELECT reason_description_insight FROM cease_keyed GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 5) GROUP BY 1, 2) SELECT month, r AS reason, n FROM counted"""))
+ (SELECT reason_description_insight FROM cease_keyed GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 5) GROUP BY 1, 2),
+ grid AS (SELECT m.month, t.r FROM (SELECT DISTINCT month FROM counted) m, (SELECT DISTINCT r FROM counted) t) SELECT month, r AS reason, coalesce(n, 0) AS n FROM grid LEFT JOIN counted USING (month, r)"""))
 def agg_topk_trend(d):
     wide = pf.reason_trend(d.cease(), 5)
-    return wide.unpivot(["month"], wide.columns[1:], "reason", "n").where("n > 0")
+    return wide.unpivot(["month"], wide.columns[1:], "reason", "n")
 
 
 @query("agg_value_counts", sql("accounts calls", """SELECT 'contract_status' AS field, contract_status AS value, count(*) AS n FROM accounts GROUP BY 2 UNION ALL SELECT 'technology', technology, count(*) FROM accounts GROUP BY 2
@@ -219,15 +222,17 @@ def agg_cramers_v(d):
     return rounded(association.cramers_v(base(d), CATS))
 
 
-NULLABLE = {"customer_info": ("panel", ["contract_status", "ooc_days", "contract_dd_cancels", "technology", "line_speed", "tenure_days"]), "cease": ("cease", ["cease_completed_date", "reason_description_insight"]),
-            "calls": ("calls", ["hold_time_seconds", "call_type"]), "usage": ("usage", ["usage_download_mbs", "usage_upload_mbs"])}
+NULLABLE = {t: (view, list(columns)) for t, view, columns in (
+    ("customer_info", "panel", StarSchema.PANEL_COLUMNS), ("cease", "cease", [c for c in CEASE.fieldNames() if c != "reason_description"]),  # the mapping has no long reason
+    ("calls", "calls", CALLS.fieldNames()), ("usage", "usage", USAGE.fieldNames()),
+)}
 NULL_SQL = " UNION ALL ".join(f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", round(avg(CAST({c} IS NULL AS INTEGER)), 6) AS null_pct FROM {s}" for t, (s, cols) in NULLABLE.items() for c in cols)
 
 
 @query("agg_null_rates", sql("panel cease calls usage", NULL_SQL))
 def agg_null_rates(d):
     t = d.raw_tables()
-    return rounded(pf.null_rates({k: t[k].select(*cols) for k, (_, cols) in NULLABLE.items()}))
+    return rounded(pf.null_rates(t))
 
 
 @query("agg_null_group", sql("assembled", """SELECT 'calls' AS feature_group, count(*) FILTER (WHERE call_count_30d IS NULL AND avg_talk_time_30d IS NULL AND days_since_last_call IS NULL) AS n_missing, round(avg(CAST(call_count_30d IS NULL AS INTEGER)), 6) AS share FROM assembled

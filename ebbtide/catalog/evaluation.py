@@ -217,7 +217,7 @@ def met_stability(d):
     return rounded(metrics.stability(metrics.metrics_long(val), metrics.metrics_long(test)))
 
 
-TIERS_SQL = "CASE WHEN p >= 0.5 AND p < 1.0 THEN 'Critical' WHEN p >= t AND p < 0.5 THEN 'High' WHEN p >= t * 0.5::DOUBLE AND p < t THEN 'Watch' WHEN p >= 0 AND p < t * 0.5::DOUBLE THEN 'Low Risk' END"
+TIERS_SQL = "CASE WHEN p >= 0.5 AND p <= 1.0 THEN 'Critical' WHEN p >= t AND p < 0.5 THEN 'High' WHEN p >= t * 0.5::DOUBLE AND p < t THEN 'Watch' WHEN p >= 0 AND p < t * 0.5::DOUBLE THEN 'Low Risk' END"
 
 
 @query("met_priority_tiers", sql("scored_accounts", f"""SELECT tier, count(*) AS n, sum(y)::BIGINT AS churners, round(avg(y), 6) AS churn_rate, CASE tier WHEN 'Critical' THEN 'Immediate outbound call + bespoke offer' WHEN 'High' THEN 'Proactive retention call within 7 days'

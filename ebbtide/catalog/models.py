@@ -209,7 +209,7 @@ def explained_tree(d):
 
 @query("exp_contrib_tree")
 def exp_contrib_tree(d):
-    return rounded(attribution.long_form(explained_tree(d), "row_key").where("contribution <> 0"))
+    return rounded(attribution.long_form(explained_tree(d), "row_key"))
 
 
 @query("exp_kmeans")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ebbtide.catalog.ctes import ID, num, sql
-from ebbtide.catalog.eda import NULL_SQL, NULLABLE
+from ebbtide.catalog.eda import NULL_SQL
 from ebbtide.catalog.registry import query
 from ebbtide.catalog.shared import MATRIX_COLS, assembled, out_cols, rounded
 from ebbtide.operators import profiling as pf, quality as dq, splitting
@@ -77,7 +77,7 @@ def dq_date_issue_split(d):
 @query("dq_nulls_gate", sql(ALL, f"SELECT *, 'WARN' AS status FROM ({NULL_SQL}) WHERE null_pct > 0.30"))
 def dq_nulls_gate(d):
     t = d.raw_tables()
-    return rounded(dq.nulls_gate(pf.null_rates({k: t[k].select(*cols) for k, (_, cols) in NULLABLE.items()})))
+    return rounded(dq.nulls_gate(pf.null_rates(t)))
 
 
 @query("dq_dup_profile", sql("cease", f"""SELECT {ID}, count(*) AS n_events, count(DISTINCT cease_placed_date) AS n_dates, count(DISTINCT reason_description_insight) AS n_reasons,
@@ -166,7 +166,7 @@ def dq_panel_overlap(d):
  UNION ALL SELECT 'Leakage risk', 'PASS')
  SELECT "check", status FROM g UNION ALL SELECT 'VERDICT', CASE WHEN count(*) FILTER (WHERE status = 'FAIL') > 0 THEN 'BLOCKED' WHEN count(*) FILTER (WHERE status = 'WARN') > 0 THEN 'PROCEED WITH CAUTION' ELSE 'ALL CLEAR' END FROM g"""))
 def dq_gate(d):
-    rows = settle(dq.gate(d.raw_tables(), DATA_END))  # a handful of rows, used for the verdict as well
+    rows = settle(dq.gate(d.raw_tables(), DATA_END, assembled(d).columns))  # a handful of rows, used for the verdict as well
     return rows.unionByName(dq.verdict(rows).select(F.lit("VERDICT").alias("check"), F.col("verdict").alias("status")))
 
 

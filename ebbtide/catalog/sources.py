@@ -32,10 +32,9 @@ def src_csv(d):
     return out
 
 
-@query("src_parquet", "SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders WHERE o_orderdate >= DATE '2000-01-01'")
+@query("src_parquet", "SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate) FROM orders")
 def src_parquet(d):
-    o = d.table("orders").where(F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp_ntz"))
-    return o.select("o_orderkey", "o_custkey", "o_orderstatus", F.col("o_orderdate").cast("date").alias("o_orderdate"))
+    return d.table("orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
 
 
 def ingested(d):

@@ -237,10 +237,10 @@ TIER_ACTIONS = {
 
 
 def priority_tier(threshold: Column, p: str = "p") -> Column:
-    """Tier of a score; the bands are closed below and open above, so 1.0 is in none."""
+    """Tier of a score; the bands are closed below and open above, the top one closed at 1.0 as well."""
     s = F.col(p)
     return (
-        F.when((s >= 0.5) & (s < 1.0), "Critical").when((s >= threshold) & (s < 0.5), "High")
+        F.when((s >= 0.5) & (s <= 1.0), "Critical").when((s >= threshold) & (s < 0.5), "High")
         .when((s >= threshold * 0.5) & (s < threshold), "Watch").when((s >= 0) & (s < threshold * 0.5), "Low Risk")
     )
 

@@ -79,9 +79,9 @@ def test_best_threshold_prefers_the_lowest_on_ties(spark):
     assert metrics.best_f1(df).first()["threshold"] == 0.7
 
 
-def test_score_of_one_is_in_no_priority_tier(spark):
+def test_score_of_one_is_in_the_top_priority_tier(spark):
     df = spark.createDataFrame([(0, 1, 1.0), (1, 0, 0.6), (2, 0, 0.05)], "id long, y int, p double")
-    assert {r["tier"]: r["n"] for r in metrics.priority_tiers(df, 0.3).collect()} == {"Critical": 1, "Low Risk": 1}
+    assert {r["tier"]: r["n"] for r in metrics.priority_tiers(df, 0.3).collect()} == {"Critical": 2, "Low Risk": 1}
 
 
 def test_business_arms(skewed):
