@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.llm import jaccard, line_templates, mixing, packing, toxicity
 from ebbtide.llm.catalog import tokenizer_path
-from ebbtide.session import settle
+from ebbtide.session import settle, share_package
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,6 +62,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the last stage over the table documents."""
+    share_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = settle(stage(spark, docs, sf_dir))

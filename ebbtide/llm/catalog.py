@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ebbtide.llm import exact_topk, jaccard, line_templates, mixing, multi_index, packing, secrets, toxicity, window_dedup, wrappers
+from ebbtide.session import share_package
 
 BPE = "byte_bpe_50k.json"
 
@@ -18,6 +19,7 @@ def tokenizer_path(name: str = BPE) -> str:
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    share_package(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

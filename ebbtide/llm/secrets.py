@@ -35,6 +35,7 @@ MIN_ASSIGN, MIN_ACCESS = 6, 20
 NAME_SCORE = {
     "password": 1.0, "passwd": 1.0, "pwd": 0.9, "passphrase": 1.0, "secret": 1.0, "token": 0.9, "apikey": 1.0, "credential": 0.8, "credentials": 0.8,
     "auth": 0.6, "private": 0.6, "access": 0.5, "key": 0.5, "signature": 0.5, "salt": 0.5,
+    "privatekey": 1.0, "accesskey": 1.0, "authkey": 1.0, "signingkey": 1.0, "encryptionkey": 1.0,
 }
 THRESHOLD = 1.2  # name score plus literal score
 _NAME = r"[A-Za-z_][A-Za-z0-9_.\-]{0,79}"
