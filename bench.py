@@ -1,5 +1,7 @@
 """Headline queries, timed. Prints one JSON line.
 
+``rows_per_sec`` divides the rows of the four base tables by a query's seconds.
+
 Environment: BENCH_SF_DIR (data folder), BENCH_CPUS (local cores), BENCH_RUNS
 (timed runs per query, the median counts).
 """
@@ -17,7 +19,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 HEADLINE = [
     "ml_feature_matrix", "agg_call_features", "agg_usage_features", "join_asof_latest", "ml_target_encode_fit", "met_all", "win_decile", "met_segment",
-    "met_business_impact", "drf_psi_all", "drf_dataset", "surv_km_strata", "dq_gate", "agg_corr_matrix", "scr_format",
+    "met_business_impact", "drf_psi_all", "drf_dataset", "surv_km_strata", "dq_gate", "agg_corr_matrix", "scr_format", "sink_features", "surv_cox_fit",
 ]
 
 
@@ -47,6 +49,7 @@ def main() -> None:
     print(json.dumps({
         "metric": "headline_queries_total_seconds", "value": total, "unit": "sec", "queries": times, "sf": Path(folder).name.removeprefix("sf"),
         "cpus": cpus, "shuffle_partitions": cpus, "runs": runs, "input_rows": rows,
+        "rows_per_sec": {key: round(rows / seconds) for key, seconds in times.items()},
     }))
     spark.stop()
 

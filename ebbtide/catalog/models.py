@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+import hashlib
 
+from pyspark.errors import AnalysisException
 from pyspark.ml.classification import LogisticRegression
-from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.catalog.ctes import ID, S, h32, sql
@@ -18,23 +18,28 @@ from ebbtide.config import Settings
 from ebbtide.functions.scalars import ID as KEY, portable_hash
 from ebbtide.operators import attribution, encoding, hazards, learning, metrics, splitting, trees, uplift
 from ebbtide.plans import scoring as score_plans, training
-from ebbtide.session import scratch
+from ebbtide.session import scratch, shared_dir
 from ebbtide.sources import readers
-from ebbtide.sources.starschema import SPLITS, StarSchema
+from ebbtide.sources.starschema import SPLITS
 from ebbtide.streaming import jobs
 
 SETTINGS = Settings(splits=SPLITS)
-QUICK = {"rounds": 10, "max_depth": 4, "step_size": 0.2}
 
 
-@lru_cache(maxsize=4)
-def _features_folder(spark: SparkSession, folder: str) -> str:
-    return written_matrix(StarSchema(spark, folder))
+def once(fn):
+    """Result kept on the query's own data binding, so one call of a query builds it once."""
+    def get(d):
+        if fn.__name__ not in d.built:
+            d.built[fn.__name__] = fn(d)
+        return d.built[fn.__name__]
 
+    return get
 
+
+@once
 def features(d):
-    """Written feature matrix of all three snapshots; built once per session and data folder."""
-    folder = _features_folder(d.spark, d.folder)
+    """Written feature matrix of all three snapshots, with its encoder."""
+    folder = written_matrix(d)
     return readers.read_snapshots(d.spark, folder + "/matrix"), encoding.FittedEncoder.load(d.spark, folder + "/encoder")
 
 
@@ -42,15 +47,15 @@ def parts(d):
     return splitting.temporal_split(training.with_row_key(features(d)[0]), splits=SPLITS)
 
 
-@lru_cache(maxsize=4)
-def _boosted(spark: SparkSession, folder: str):
-    s = parts(StarSchema(spark, folder))
-    model = learning.fit_boosted(s.train, s.val, QUICK)
-    return model, learning.calibrate(model.score(s.val), y="churned")
-
-
+@once
 def boosted(d):
-    return _boosted(d.spark, d.folder)
+    """Model and calibrator of the run saved for this application and data folder; the first user trains it."""
+    path = f"{shared_dir(d.spark)}/runs/{d.spark.sparkContext.applicationId}/{hashlib.sha256(d.folder.encode()).hexdigest()[:16]}"
+    try:
+        return training.load_run(d.spark, path)
+    except AnalysisException:  # nothing saved yet
+        training.train(features(d)[0], SETTINGS, n_trials=0, run_path=path)
+        return training.load_run(d.spark, path)
 
 
 @query("mdl_logreg")
@@ -62,7 +67,7 @@ def mdl_logreg(d):
 @query("mdl_gbt")
 def mdl_gbt(d):
     s = parts(d)
-    model = learning.fit_boosted(s.train, s.val, QUICK)
+    model = learning.fit_boosted(s.train, s.val)
     return rounded(model.score(s.test).select("row_key", "churned", "p"))
 
 
@@ -97,7 +102,7 @@ def mdl_tune(d):
 
 @query("mdl_train")
 def mdl_train(d):
-    run = training.train(features(d)[0], SETTINGS, fixed=QUICK, run_path=scratch(d.spark, "run"), run_id="run-1")
+    run = training.train(features(d)[0], SETTINGS, n_trials=0, run_path=scratch(d.spark, "run"), run_id="run-1")
     return rounded(run.metrics)
 
 
@@ -140,13 +145,9 @@ def lifetimes(d):
     return d.lifetimes()
 
 
-@lru_cache(maxsize=4)
-def _cox(spark: SparkSession, folder: str):
-    return hazards.fit_cox(lifetimes(StarSchema(spark, folder)), COVARIATES)
-
-
+@once
 def cox(d):
-    return _cox(d.spark, d.folder)
+    return hazards.fit_cox(lifetimes(d), COVARIATES)
 
 
 @query("surv_cox_fit")

@@ -9,11 +9,11 @@ from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbtide.config import DEFAULTS, NON_FEATURES
@@ -80,7 +80,16 @@ class ChurnModel:
         return out.drop("_features", "_scaled", "_raw", "_probability", "_prediction", *[c for c in out.columns if c.endswith("_is_null") and c not in df.columns])
 
     def save(self, path: str) -> None:
-        self.model.write().overwrite().save(path)
+        """Spark model, feature list and kind, so that ``load`` scores alike."""
+        self.model.write().overwrite().save(f"{path}/model")
+        spark = SparkSession.active()
+        spark.createDataFrame([(self.kind, list(self.features))], "kind string, features array<string>").coalesce(1).write.mode("overwrite").json(f"{path}/features")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> ChurnModel:
+        row = spark.read.schema("kind string, features array<string>").json(f"{path}/features").first()
+        reader = GBTClassificationModel if row["kind"] == "boosted" else PipelineModel
+        return ChurnModel(reader.load(f"{path}/model"), list(row["features"]), row["kind"])
 
 
 def with_null_flags(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -110,41 +119,64 @@ def fit_logistic(train: DataFrame, features: Sequence[str] | None = None, target
 
 
 # --- fixed values: boosting defaults ----------------------------------------------------------
-BOOSTING = {"max_depth": 5, "step_size": 0.05, "min_rows": 50, "subsample": 0.8, "feature_share": 0.8, "rounds": 60, "stop_tolerance": 0.001}
+BOOSTING = {"max_depth": 5, "step_size": 0.05, "min_rows": 50, "subsample": 0.8, "feature_share": 0.8, "rounds": 1000, "patience": 50}
+
+
+def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """Rounds up to the lowest loss, and whether ``patience`` rounds without gain have followed it."""
+    best = min(range(len(losses)), key=lambda i: (losses[i], i))
+    return best + 1, len(losses) - best - 1 >= patience
 
 
 def fit_boosted(train: DataFrame, val: DataFrame | None = None, params: Mapping[str, float] | None = None, features: Sequence[str] | None = None, target: str = "churned", seed: int = 42) -> ChurnModel:
     """Class-balanced gradient-boosted trees, stopping early on ``val`` when given.
 
+    Boosting stops when the loss on ``val`` has not fallen for ``patience`` rounds and
+    keeps the rounds up to its lowest value. Every round's sample depends on the seed
+    and the round only, so a longer fit repeats the trees of a shorter one: rounds are
+    doubled until patience has run out, then the best prefix is fitted.
+
     Absent values get indicator columns, because the trees have no branch for NULL.
     """
     p = {**BOOSTING, **(params or {})}
     base = list(features or feature_columns(train))
     holes = train.select(*[F.max(F.col(c).isNull().cast("int")).alias(c) for c in base]).first().asDict()
     features = base + [f"{c}_is_null" for c in base if holes[c]]
-    data = with_weight(train, target).withColumn("_is_val", F.lit(False))
-    if val is not None:
-        data = data.unionByName(val.withColumn("weight", F.lit(1.0)).withColumn("_is_val", F.lit(True)), allowMissingColumns=True)
-    data = assemble_features(with_null_flags(data, features), features, "_features").withColumn("_label", F.col(target).cast("double"))
-    gbt = GBTClassifier(
-        maxDepth=int(p["max_depth"]), stepSize=float(p["step_size"]), minInstancesPerNode=int(p["min_rows"]),
-        subsamplingRate=float(p["subsample"]), featureSubsetStrategy=str(float(p["feature_share"])), maxIter=int(p["rounds"]), validationTol=float(p["stop_tolerance"]), seed=seed,
-    )
-    gbt = _named(gbt)
-    if val is not None:
-        gbt = gbt.setValidationIndicatorCol("_is_val")
-    slim = data.select("_features", "_label", "weight", "_is_val").persist()  # every boosting round reads it again
+
+    def slim(df: DataFrame) -> DataFrame:
+        data = assemble_features(with_null_flags(df, features), features, "_features").withColumn("_label", F.col(target).cast("double"))
+        return data.select("_features", "_label", "weight").persist()  # every boosting round reads it again
+
+    def fit(rounds: int) -> GBTClassificationModel:
+        gbt = GBTClassifier(
+            maxDepth=int(p["max_depth"]), stepSize=float(p["step_size"]), minInstancesPerNode=int(p["min_rows"]),
+            subsamplingRate=float(p["subsample"]), featureSubsetStrategy=str(float(p["feature_share"])), maxIter=rounds, seed=seed,
+        )
+        return _named(gbt).fit(rows)
+
+    rows, most = slim(with_weight(train, target)), int(p["rounds"])
+    held = slim(val.withColumn("weight", F.lit(1.0))) if val is not None else None
     try:
-        return ChurnModel(gbt.fit(slim), features, "boosted")
+        if held is None or not held.limit(1).count():
+            return ChurnModel(fit(most), features, "boosted")
+        rounds = min(most, int(p["patience"]) + 10)
+        while True:
+            model = fit(rounds)
+            best, done = best_round(model.evaluateEachIteration(held), int(p["patience"]))
+            if done or rounds == most:
+                return ChurnModel(model if best == rounds else fit(best), features, "boosted")
+            rounds = min(most, 2 * rounds)
     finally:
-        slim.unpersist()
+        rows.unpersist()
+        if held is not None:
+            held.unpersist()
 
 
 def node_table(model: ChurnModel, spark) -> DataFrame:
     """(tree, node, feature, threshold, left, right, prediction, gain, weight) of a boosted model."""
     path = scratch(spark, "boosted")
     model.save(path)
-    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
+    nodes = spark.read.parquet(f"{path}/model/data").select("treeID", "nodeData.*")
     weights = F.create_map(*[x for i, w in enumerate(model.model.treeWeights) for x in (F.lit(i), F.lit(float(w)))])
     return nodes.select(
         F.col("treeID").alias("tree"), F.col("id").alias("node"), F.col("split.featureIndex").alias("feature"),
@@ -177,6 +209,14 @@ class Calibrator:
         slope, intercept = float(self.model.coefficients[0]), float(self.model.intercept)
         return df.withColumn(name, 1 / (1 + F.exp(-(F.col(p) * slope + intercept))))
 
+    def save(self, path: str) -> None:
+        self.model.write().overwrite().save(f"{path}/{self.method}")
+
+    @staticmethod
+    def load(path: str, method: str = "isotonic") -> Calibrator:
+        reader = {"isotonic": IsotonicRegressionModel, "sigmoid": LogisticRegressionModel}[method]
+        return Calibrator(method, reader.load(f"{path}/{method}"))
+
 
 def calibrate(scored: DataFrame, method: str = "isotonic", y: str = "y", p: str = "p") -> Calibrator:
     """Map raw scores to observed rates: isotonic steps or a logistic curve (L2 strength 1).

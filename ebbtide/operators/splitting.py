@@ -30,9 +30,10 @@ class TemporalSplit:
 
 
 def temporal_split(df: DataFrame, date_col: str = "snapshot_date", splits: Splits = DEFAULTS.splits) -> TemporalSplit:
-    """Three lazy filters; rows after the test end belong to none."""
-    part = split_name(F.col(date_col), splits)
-    return TemporalSplit(*[df.where(part == name) for name in ("train", "val", "test")], splits=splits)
+    """Three lazy range filters, which reach the scan; rows after the test end belong to none."""
+    d = F.col(date_col) if dict(df.dtypes)[date_col] == "date" else F.col(date_col).cast("date")
+    train, val, test = (F.lit(x).cast("date") for x in (splits.train_end, splits.val_end, splits.test_end))
+    return TemporalSplit(df.where(d <= train), df.where((d > train) & (d <= val)), df.where((d > val) & (d <= test)), splits=splits)
 
 
 def split_sizes(df: DataFrame, date_col: str = "snapshot_date", target: str = "churned", splits: Splits = DEFAULTS.splits) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.config import DEFAULTS, Settings
@@ -23,14 +23,19 @@ class TrainingRun:
     sizes: DataFrame
 
 
+def load_run(spark: SparkSession, run_path: str) -> tuple[learning.ChurnModel, learning.Calibrator]:
+    """Model, with its feature list, and calibrator of a logged run."""
+    return learning.ChurnModel.load(spark, f"{run_path}/churn"), learning.Calibrator.load(f"{run_path}/calibrator")
+
+
 def with_row_key(df: DataFrame, name: str = "row_key") -> DataFrame:
     """Unique tie-break for rows that may repeat a customer: id first, then the row's own values."""
     numbers = [c for c in df.columns if c != ID]
     return df.withColumn(name, F.concat_ws("|", F.col(ID), F.lower(F.hex(F.xxhash64(*numbers)))))
 
 
-def train(matrix: DataFrame, settings: Settings = DEFAULTS, n_trials: int = 0, fixed: dict | None = None, run_path: str | None = None, run_id: str = "run") -> TrainingRun:
-    """Split by time, check leakage, search (``n_trials`` > 0), fit with early stop on val,
+def train(matrix: DataFrame, settings: Settings = DEFAULTS, n_trials: int = 50, fixed: dict | None = None, run_path: str | None = None, run_id: str = "run") -> TrainingRun:
+    """Split by time, check leakage, search ``n_trials`` settings (0: none), fit with early stop on val,
     calibrate on val, evaluate calibrated scores on test, and log the run.
     """
     quality.validate(matrix, "matrix")
@@ -50,5 +55,6 @@ def train(matrix: DataFrame, settings: Settings = DEFAULTS, n_trials: int = 0, f
     if run_path:
         sinks.log_metrics(result, f"{run_path}/metrics", run_id)
         sinks.log_params(matrix.sparkSession, {**params, **fixed, "window_days": settings.label.window_days}, f"{run_path}/params", run_id)
-        model.save(f"{run_path}/model")
+        model.save(f"{run_path}/churn")
+        calibrator.save(f"{run_path}/calibrator")
     return TrainingRun(model, calibrator, {**params, **fixed}, result, sizes)

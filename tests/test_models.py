@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ebbtide.operators import attribution, drift, hazards, learning, survival, trees, uplift
+from ebbtide.plans import training
 
 
 @pytest.fixture(scope="module")
@@ -123,6 +124,28 @@ def test_missing_feature_scores_as_zero(boosted):
     assert a == pytest.approx(model.score(df.withColumn("c", F.lit(0.0))).agg(F.sum("p")).first()[0])
 
 
+def test_best_round_and_patience():
+    assert learning.best_round([5.0, 4.0, 3.0, 3.0, 3.5], 2) == (3, True)
+    assert learning.best_round([5.0, 4.0, 3.0, 3.5], 2) == (3, False)
+
+
+def test_boosting_stops_by_patience(spark):
+    df = spark.range(400).select(F.rand(1).alias("a"), F.rand(2).alias("b"), (F.rand(3) > 0.5).cast("int").alias("churned"), (F.col("id") % 2).alias("part")).cache()
+    train, val = df.where("part = 0").drop("part"), df.where("part = 1").drop("part")
+    model = learning.fit_boosted(train, val, {"patience": 2, "max_depth": 2, "step_size": 0.5, "min_rows": 5})
+    assert 1 <= model.model.getNumTrees <= 12 < learning.BOOSTING["rounds"]  # pure noise: 1,000 rounds never run
+
+
+def test_a_loaded_run_scores_alike(boosted, tmp_path):
+    df, model = boosted
+    calibrator = learning.calibrate(model.score(df), y="churned")
+    model.save(f"{tmp_path}/churn")
+    calibrator.save(f"{tmp_path}/calibrator")
+    again, mapped = training.load_run(df.sparkSession, str(tmp_path))
+    a, b = (c.apply(m.score(df)).agg(F.sum("p"), F.sum("calibrated")).first() for m, c in ((model, calibrator), (again, mapped)))
+    assert tuple(a) == pytest.approx(tuple(b)) and again.features == model.features
+
+
 @pytest.mark.parametrize("method", ["isotonic", "sigmoid"])
 def test_calibration_is_monotone_and_in_range(skewed, method):
     df, _ = skewed
