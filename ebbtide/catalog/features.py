@@ -141,13 +141,6 @@ def prj_fillna(d):
     return rounded(assembled(d).select(ID, *cols).fillna(0))
 
 
-@query("prj_drop_const")
-def prj_drop_const(d):
-    from ebbtide.operators.profiling import drop_constant
-
-    return rounded(drop_constant(assembled(d).fillna(0), keep=[ID, "snapshot_date"]))
-
-
 @query("prj_align_features", sql("assembled", f"""SELECT {ID}, 0.0::DOUBLE AS sales_channel_encoded, round(tenure_days, 6) AS tenure_days, CAST(is_out_of_contract AS DOUBLE) AS is_out_of_contract,
  0.0::DOUBLE AS "tech_CABLE", CAST(call_count_90d AS DOUBLE) AS call_count_90d FROM assembled"""))
 def prj_align_features(d):
@@ -160,6 +153,15 @@ def prj_align_features(d):
 NUMERIC_COLS = [c for c in [*CONTRACT_COLS, *CALL_COLS, *USAGE_COLS] if c not in ("tenure_bucket", "sales_channel", "crm_package_name")]
 
 
+@query("prj_drop_const", sql("assembled", " UNION ALL ".join(f"SELECT '{c}' AS \"column\", round(stddev_samp(coalesce({c}, 0)), 6) AS std, coalesce(stddev_samp(coalesce({c}, 0)), 0) < 1e-6 AS dropped FROM assembled" for c in [*NUMERIC_COLS, "churned"])))
+def prj_drop_const(d):
+    """What drop_constant decides about every numeric column, after filling."""
+    from ebbtide.operators.profiling import column_spread
+
+    return rounded(column_spread(assembled(d).fillna(0), keep=[ID, "snapshot_date"]))
+
+
+
 @query("prj_numeric_only", sql("assembled", f"SELECT {ID}, {out_cols([*NUMERIC_COLS, 'churned'])} FROM assembled"))
 def prj_numeric_only(d):
     from ebbtide.operators.profiling import numeric_columns

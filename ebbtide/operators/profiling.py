@@ -60,11 +60,16 @@ def undummy(df: DataFrame, prefix: str, default: str = "Unknown") -> Column:
     return F.coalesce(*hits, F.lit(default))
 
 
+def column_spread(df: DataFrame, keep: Sequence[str] = (), tolerance: float = 1e-6) -> DataFrame:
+    """(column, std, dropped) of every numeric column that isn't kept; one aggregate."""
+    cells = [F.struct(F.lit(c).alias("column"), F.stddev_samp(c).alias("std")) for c in numeric_columns(df, keep)]
+    long = df.agg(F.array(*cells).alias("c")).select(F.explode("c").alias("c")).select("c.*")
+    return long.withColumn("dropped", F.coalesce("std", F.lit(0.0)) < tolerance)
+
+
 def drop_constant(df: DataFrame, keep: Sequence[str] = (), tolerance: float = 1e-6) -> DataFrame:
     """Drop numeric columns whose standard deviation is below ``tolerance``."""
-    cols = numeric_columns(df, keep)
-    spread = df.agg(*[F.stddev_samp(c).alias(c) for c in cols]).first().asDict()
-    return df.drop(*[c for c in cols if (spread[c] or 0.0) < tolerance])
+    return df.drop(*[r["column"] for r in column_spread(df, keep, tolerance).where("dropped").collect()])  # one row per column
 
 
 def keep_top_categories(df: DataFrame, column: str, k: int) -> DataFrame:
