@@ -155,12 +155,11 @@ def surv_cox_fit(d):
     return rounded(cox(d).summary(d.spark))
 
 
-@query("surv_concordance", sql("lifetimes", """, r AS (SELECT duration, event, CAST(least(floor(price / 10000), 59) AS INTEGER) AS b FROM lifetimes), a AS (SELECT duration, event, b, count(*)::BIGINT AS n FROM r GROUP BY ALL)
- SELECT concordant, tied, pairs, round((concordant + tied * 0.5::DOUBLE) / pairs, 6) AS c_index FROM (SELECT sum(CASE WHEN o.b < e.b THEN e.n * o.n ELSE 0 END)::BIGINT AS concordant, sum(CASE WHEN o.b = e.b THEN e.n * o.n ELSE 0 END)::BIGINT AS tied, sum(e.n * o.n)::BIGINT AS pairs
+@query("surv_concordance", sql("lifetimes", """, a AS (SELECT duration, event, price, count(*)::BIGINT AS n FROM lifetimes GROUP BY ALL)
+ SELECT concordant, tied, pairs, round((concordant + tied * 0.5::DOUBLE) / pairs, 6) AS c_index FROM (SELECT sum(CASE WHEN o.price < e.price THEN e.n * o.n ELSE 0 END)::BIGINT AS concordant, sum(CASE WHEN o.price = e.price THEN e.n * o.n ELSE 0 END)::BIGINT AS tied, sum(e.n * o.n)::BIGINT AS pairs
  FROM a e JOIN a o ON e.event = 1 AND (o.duration > e.duration OR (o.duration = e.duration AND o.event = 0)))"""))
 def surv_concordance(d):
-    binned = d.lifetimes().withColumn("bin", F.least(F.floor(F.col("price") / 10000), F.lit(59)).cast("int"))
-    return rounded(hazards.concordance(binned, 60))
+    return rounded(hazards.concordance(d.lifetimes(), "price"))
 
 
 @query("surv_cox_predict")
@@ -198,7 +197,7 @@ def surv_coef_flags(d):
 
 @query("upl_tlearner")
 def upl_tlearner(d):
-    est = LogisticRegression(featuresCol="features", labelCol="label", maxIter=30, regParam=0.01)
+    est = LogisticRegression(featuresCol="features", labelCol="label", maxIter=100, regParam=0.01)
     return rounded(uplift.two_model_uplift(contacted(d), list(WEIGHTS), est))
 
 

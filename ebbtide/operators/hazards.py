@@ -22,10 +22,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbtide.functions.scalars import whole_days
+from ebbtide.functions.scalars import one_row, whole_days
 from ebbtide.operators.learning import assemble_features
 from ebbtide.operators.survival import Z95
-from ebbtide.session import settle, shuffle_width
+from ebbtide.session import settle, share_package, shuffle_width
 
 TIE_CHUNK = 1 << 20  # events of one day summed at a time; bounds memory, not the sum
 
@@ -138,6 +138,10 @@ class CoxModel:
             out = out + (F.coalesce(F.col(c).cast("double"), F.lit(0.0)) - float(mu)) * float(b)
         return out
 
+    def concordance(self, df: DataFrame, duration: str = "duration", event: str = "event") -> DataFrame:
+        """C-index of the fitted risk on any rows, those of the fit or others."""
+        return concordance(df, self.partial(), duration, event)
+
     def churn_probability(self, at_days: float) -> Column:
         """1 − S(at | x)."""
         i = int(np.searchsorted(self.baseline_t, at_days, side="right"))
@@ -163,8 +167,27 @@ class CoxModel:
         return df.select("covariate", "coef", "std", (F.col("std") < 0.01).alias("low_variance"), (F.abs("coef") > 5).alias("unstable"), F.row_number().over(order).alias("rank"))
 
 
-def fit_cox(df: DataFrame, covariates: Sequence[str], duration: str = "duration", event: str = "event", penalizer: float = 0.1, max_iter: int = 25, tolerance: float = 1e-8) -> CoxModel:
-    """Efron ties, ridge penalty on standardised covariates per observation; constant covariates are left out."""
+def _penalised_step(beta: np.ndarray, grad: np.ndarray, hessian: np.ndarray, penalizer: float, l1_ratio: float) -> np.ndarray:
+    """Step to the minimum of the local quadratic plus the penalty, by coordinate descent."""
+    ridge, lasso = penalizer * (1 - l1_ratio), penalizer * l1_ratio
+    if not lasso:
+        return np.linalg.solve(hessian + ridge * np.eye(len(beta)), grad - ridge * beta)
+    b = beta.copy()
+    for _ in range(10000):
+        before = b.copy()
+        for j in range(len(b)):
+            pull = grad[j] - hessian[j] @ (b - beta) + hessian[j, j] * b[j]
+            b[j] = math.copysign(max(abs(pull) - lasso, 0.0), pull) / (hessian[j, j] + ridge)
+        if np.abs(b - before).max() < 1e-12:
+            break
+    return b - beta
+
+
+def fit_cox(df: DataFrame, covariates: Sequence[str], duration: str = "duration", event: str = "event", penalizer: float = 0.1, max_iter: int = 25, tolerance: float = 1e-8, l1_ratio: float = 0.0) -> CoxModel:
+    """Efron ties, elastic-net penalty on standardised covariates per observation; constant covariates are left out.
+
+    The penalty is ``penalizer`` · (l1_ratio·|β| + (1 − l1_ratio)/2·β²); steps are proximal Newton steps.
+    """
     filled = df.select(
         whole_days(duration).alias("t"), F.col(event).cast("double").alias("e"), *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_c{i}") for i, c in enumerate(covariates)]
     )
@@ -183,19 +206,18 @@ def fit_cox(df: DataFrame, covariates: Sequence[str], duration: str = "duration"
     for _ in range(max_iter):
         m = _moments(data, beta)
         ll, grad, info, residual = _newton_terms(m, beta)
-        objective = ll / n - penalizer / 2 * float(beta @ beta)
+        objective = ll / n - penalizer * ((1 - l1_ratio) / 2 * float(beta @ beta) + l1_ratio * float(np.abs(beta).sum()))
         if objective < previous - 1e-12 and np.abs(step).max() > tolerance:  # overshoot: go half way back
             step = step / 2
             beta = beta - step
             continue
-        hessian = info / n + penalizer * np.eye(p)
-        step = np.linalg.solve(hessian, grad / n - penalizer * beta)
+        step = _penalised_step(beta, grad / n, info / n, penalizer, l1_ratio)
         if np.abs(step).max() < tolerance:
             break
         previous, beta = objective, beta + step
     else:
         raise ValueError(f"the Cox fit has not converged in {max_iter} steps; raise max_iter or the penalizer")
-    variance = np.linalg.inv(info + n * penalizer * np.eye(p))
+    variance = np.linalg.inv(info + n * penalizer * (1 - l1_ratio) * np.eye(p))
     risk = np.cumsum(m["own"][::-1, 0])[::-1]
     model = CoxModel(
         [covariates[i] for i in use], beta / std, np.sqrt(np.diag(variance)) / std, mean, ll, n, int(stats["events"]), m["t"], np.cumsum(m["d"] / risk)
@@ -220,37 +242,77 @@ def _ph_rows(names: Sequence[str], m: dict[str, np.ndarray], residual: np.ndarra
 
 
 # ---- concordance -----------------------------------------------------------------------------
-def risk_bins(df: DataFrame, risk: Column, bins: int = 1000) -> DataFrame:
-    """Equal-width risk bin 0..bins-1 as ``bin``."""
-    rows = df.withColumn("_risk", risk)
-    span = rows.agg(F.min("_risk").alias("lo"), F.max("_risk").alias("hi")).first()
-    width = (span["hi"] - span["lo"]) / bins if span["lo"] is not None else 0.0
-    at = F.lit(0) if width <= 0 else F.least(F.floor((F.col("_risk") - span["lo"]) / width), F.lit(bins - 1)).cast("int")
-    return rows.withColumn("bin", at).drop("_risk")
-
-
-def concordance(df: DataFrame, bins: int, duration: str = "duration", event: str = "event", bin_col: str = "bin") -> DataFrame:
-    """C-index of binned risk: pairs in one bin count half.
-
-    Works on the day × bin table only; its size is bounded by the observation
-    period and the number of bins.
+def _inside(table: pd.DataFrame) -> tuple[float, float]:
+    """Concordant and tied pairs among the cells (t, r, n, d) of one range of risk, by a tree of prefix sums."""
+    rank = np.unique(table["r"].to_numpy(float), return_inverse=True)[1] + 1
+    size = int(rank.max()) + 1
+    tree = [0] * size
+
+    def add(i: int, x: int) -> None:
+        while i < size:
+            tree[i] += x
+            i += i & -i
+
+    def upto(i: int) -> int:
+        total = 0
+        while i:
+            total += tree[i]
+            i -= i & -i
+        return total
+
+    concordant = tied = 0
+    cells = table.assign(k=rank)[["t", "k", "n", "d"]].sort_values("t", ascending=False)
+    for _, day in cells.groupby("t", sort=False):
+        rows = list(zip(day["k"].tolist(), day["n"].tolist(), day["d"].tolist(), strict=True))
+        for k, n, d in rows:  # those censored on a day outlive its events
+            if n > d:
+                add(k, n - d)
+        for k, _, d in rows:
+            if d:
+                below = upto(k - 1)
+                concordant += d * below
+                tied += d * (upto(k) - below)
+        for k, _, d in rows:
+            if d:
+                add(k, d)
+    return concordant, tied
+
+
+def concordance(df: DataFrame, risk: Column | str, duration: str = "duration", event: str = "event") -> DataFrame:
+    """Exact C-index: of every leaver and everybody who outlived them, who had the higher risk; ties count half.
+
+    Equal days and risks are one cell, and cells are dealt to ranges of risk. Pairs between
+    ranges follow from the day × range table, whose size is bounded by the observation
+    period and the number of tasks; pairs inside a range are counted in its own task.
     """
-    t = F.floor(F.col(duration).cast("double")).cast("double")
-    cells = df.groupBy(t.alias("t"), F.col(bin_col).alias("b")).agg(F.count("*").alias("n"), F.sum(F.col(event).cast("bigint")).alias("d"))
-    grid = cells.select("t").distinct().withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    full = grid.join(cells, ["t", "b"], "left").fillna(0, ["n", "d"])
+    spark, r = df.sparkSession, (F.col(risk) if isinstance(risk, str) else risk).cast("double")
+    cells = df.select(whole_days(duration).alias("t"), r.alias("r"), F.col(event).cast("bigint").alias("e")).where("r IS NOT NULL")
+    share_package(spark)
+    last = shuffle_width(spark) - 1
+    cells = cells.groupBy("t", "r").agg(F.count("*").alias("n"), F.sum("e").alias("d"))
+    cells = settle(cells.repartitionByRange(last + 1, "r").withColumn("b", F.spark_partition_id()))
+
+    def inside(pdf: pd.DataFrame) -> pd.DataFrame:
+        concordant, tied = _inside(pdf)
+        return pd.DataFrame({"concordant": [concordant], "tied": [tied]})
+
+    own = cells.groupBy("b").applyInPandas(inside, "concordant long, tied long").agg(F.coalesce(F.sum("concordant"), F.lit(0)).alias("c_in"), F.coalesce(F.sum("tied"), F.lit(0)).alias("tied"))
+    days = cells.groupBy("t", "b").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
+    grid = days.select("t").distinct().withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(last))))  # days × ranges
+    full = grid.join(days, ["t", "b"], "left").fillna(0, ["n", "d"])
     longer = Window.partitionBy("b").orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, -1)
     outlived = F.coalesce(F.sum("n").over(longer), F.lit(0)) + F.col("n") - F.col("d")
     day = Window.partitionBy("t")
     table = full.select("t", "b", "d", outlived.alias("o"))
-    table = table.select("d", "o", F.coalesce(F.sum("o").over(day.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("below"), F.sum("o").over(day).alias("all"))
-    sums = table.agg(F.sum(F.col("d") * F.col("below")).alias("concordant"), F.sum(F.col("d") * F.col("o")).alias("tied"), F.sum(F.col("d") * F.col("all")).alias("pairs"))
+    table = table.select("d", F.coalesce(F.sum("o").over(day.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("below"), F.sum("o").over(day).alias("all"))
+    across = table.agg(F.sum(F.col("d") * F.col("below")).alias("c_out"), F.sum(F.col("d") * F.col("all")).alias("pairs"))
+    sums = one_row(across, own).select((F.col("c_out") + F.col("c_in")).alias("concordant"), "tied", "pairs")
     return sums.withColumn("c_index", F.try_divide(F.col("concordant") + F.col("tied") * 0.5, F.col("pairs").cast("double")))
 
 
 # ---- parametric ------------------------------------------------------------------------------
 def fit_weibull(df: DataFrame, covariates: Sequence[str], duration: str = "duration", event: str = "event"):
-    """Weibull accelerated-failure-time model; its transform adds the median as ``expected_days_to_churn``."""
+    """Weibull accelerated-failure-time model, without a ridge; its transform adds the median as ``expected_days_to_churn``."""
     data = weibull_input(df, covariates, duration, event)
     return AFTSurvivalRegression(featuresCol="_features", labelCol="_t", censorCol="_e", quantileProbabilities=[0.5], quantilesCol="_q").fit(data)
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,16 +21,41 @@ def group_uplift(df: DataFrame, keys: Sequence[str], treatment: str = "contacted
     return per.withColumn("segment", uplift_segment(F.col("uplift")))
 
 
-def two_model_uplift(df: DataFrame, features: Sequence[str], estimator, treatment: str = "contacted", outcome: str = "retained", id_col: str = "id") -> DataFrame:
-    """One model per arm; uplift is the difference of their probabilities on every row.
+@dataclass
+class UpliftModel:
+    """One fitted classifier per arm (0 control, 1 treated); scores any rows with the features."""
 
-    ``estimator`` is any unfitted Spark ML classifier reading ``features`` and ``label``.
-    """
-    from ebbtide.operators.learning import assemble_features, probability
+    arms: dict[int, object]
+    features: list[str]
 
-    data = assemble_features(df, features).withColumn("label", F.col(outcome).cast("double"))
-    arms = {a: estimator.fit(data.where(F.col(treatment) == a)) for a in (0, 1)}
-    scored = data
-    for a, model in arms.items():
-        scored = model.transform(scored).withColumn(f"p{a}", probability()).drop("rawPrediction", "probability", "prediction")
-    return scored.select(id_col, (F.col("p1") - F.col("p0")).alias("uplift_score"), uplift_segment(F.col("p1") - F.col("p0")).alias("uplift_segment"))
+    def score(self, df: DataFrame, id_col: str = "id") -> DataFrame:
+        """(id, uplift_score, uplift_segment): probability if treated minus probability if not."""
+        from ebbtide.operators.learning import ChurnModel, assemble_features, probability
+
+        scored = df if all(isinstance(m, ChurnModel) for m in self.arms.values()) else assemble_features(df, self.features)
+        for a, model in self.arms.items():
+            if isinstance(model, ChurnModel):
+                scored = model.score(scored, f"p{a}")
+            else:
+                scored = model.transform(scored).withColumn(f"p{a}", probability()).drop("rawPrediction", "probability", "prediction")
+        u = F.col("p1") - F.col("p0")
+        return scored.select(id_col, u.alias("uplift_score"), uplift_segment(u).alias("uplift_segment"))
+
+
+def fit_uplift(df: DataFrame, features: Sequence[str], estimator=None, treatment: str = "contacted", outcome: str = "retained", params: Mapping[str, float] | None = None) -> UpliftModel:
+    """Fit one model per arm: boosted trees, or any unfitted Spark ML classifier reading ``features`` and ``label``."""
+    from ebbtide.operators.learning import assemble_features, fit_boosted
+
+    arms = {}
+    for a in (0, 1):
+        rows = df.where(F.col(treatment) == a)
+        if estimator is None:
+            arms[a] = fit_boosted(rows, params={"rounds": 100, **(params or {})}, features=features, target=outcome)
+        else:
+            arms[a] = estimator.fit(assemble_features(rows, features).withColumn("label", F.col(outcome).cast("double")))
+    return UpliftModel(arms, list(features))
+
+
+def two_model_uplift(df: DataFrame, features: Sequence[str], estimator=None, treatment: str = "contacted", outcome: str = "retained", id_col: str = "id") -> DataFrame:
+    """Fit both arms and score the same rows."""
+    return fit_uplift(df, features, estimator, treatment, outcome).score(df, id_col)

@@ -67,19 +67,37 @@ def test_tie_sums(risk, tied, d):
     assert hazards.tie_sums(risk, tied, d) == pytest.approx(want, rel=1e-10)
 
 
-def test_concordance_by_pairs(lifetimes):
+@pytest.mark.parametrize("pen,ratio", [(0.05, 0.5), (0.15, 1.0)])
+def test_elastic_net_cox_meets_its_optimality_conditions(lifetimes, pen, ratio):
     df, t, e, x = lifetimes
-    b = np.clip(np.floor((x[:, 0] + 3) / 6 * 20), 0, 19).astype(int)
+    m = hazards.fit_cox(df, ["x", "z"], penalizer=pen, l1_ratio=ratio)
+    std = x.std(axis=0, ddof=1)
+    beta = m.coef * std
+    _, grad = efron(t, e, (x - x.mean(axis=0)) / std, beta)
+    left = grad / len(t) - pen * (1 - ratio) * beta
+    for b, g in zip(beta, left, strict=True):
+        assert abs(g) <= pen * ratio + 1e-6 if b == 0 else g == pytest.approx(math.copysign(pen * ratio, b), abs=1e-6)
+
+
+@pytest.mark.parametrize("steps", [4, 1000])
+def test_concordance_by_pairs(lifetimes, steps):
+    df, t, e, x = lifetimes
+    r = np.floor(x[:, 0] * steps)
     con = tie = pairs = 0
     for i in np.flatnonzero(e == 1):
         other = (t > t[i]) | ((t == t[i]) & (e == 0))
         pairs += other.sum()
-        con += (other & (b < b[i])).sum()
-        tie += (other & (b == b[i])).sum()
-    binned = df.withColumn("bin", F.greatest(F.lit(0), F.least(F.lit(19), F.floor((F.col("x") + 3) / 6 * 20))).cast("int"))
-    r = hazards.concordance(binned, 20).first()
-    assert (r["concordant"], r["tied"], r["pairs"]) == (con, tie, pairs)
-    assert r["c_index"] == pytest.approx((con + tie / 2) / pairs)
+        con += (other & (r < r[i])).sum()
+        tie += (other & (r == r[i])).sum()
+    got = hazards.concordance(df, F.floor(F.col("x") * steps)).first()
+    assert (got["concordant"], got["tied"], got["pairs"]) == (con, tie, pairs)
+    assert got["c_index"] == pytest.approx((con + tie / 2) / pairs)
+
+
+def test_fractional_durations_are_whole_days(spark):
+    df = spark.range(3000).select((F.col("id") / 1000).alias("duration"), (F.col("id") % 2).alias("event"), F.rand(1).alias("x"))
+    model = hazards.fit_cox(df, ["x"])
+    assert model.baseline_t.tolist() == [1.0, 2.0] and 0 <= model.concordance(df).first()["c_index"] <= 1
 
 
 def test_kaplan_meier_by_hand(spark):
@@ -204,3 +222,15 @@ def test_severity_levels(spark):
 def test_uplift_bands(spark):
     df = spark.createDataFrame([(0.06,), (0.05,), (-0.05,), (-0.06,)], "u double")
     assert [r[0] for r in df.select(uplift.uplift_segment(F.col("u"))).collect()] == ["Persuadable", "Neutral", "Neutral", "Do Not Disturb"]
+
+
+@pytest.mark.parametrize("boosted_arms", [True, False])
+def test_uplift_is_fitted_on_one_frame_and_scores_another(spark, boosted_arms):
+    from pyspark.ml.classification import LogisticRegression
+
+    df = spark.range(800).select("id", F.rand(1).alias("x"), (F.col("id") % 2).cast("int").alias("contacted")).withColumn("retained", (F.col("x") + 0.4 * F.col("contacted") > 0.7).cast("int")).cache()
+    est = None if boosted_arms else LogisticRegression(maxIter=50)
+    model = uplift.fit_uplift(df, ["x"], est, params={"rounds": 5, "max_depth": 2, "min_rows": 10, "step_size": 0.5})
+    new = spark.createDataFrame([(1, 0.5), (2, 0.95)], "id long, x double")
+    got = {r["id"]: r for r in model.score(new).collect()}
+    assert got[1]["uplift_segment"] == "Persuadable" and got[1]["uplift_score"] > got[2]["uplift_score"]
