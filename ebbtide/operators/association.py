@@ -67,6 +67,10 @@ def pearson_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return both.unionByName(diagonal)
 
 
+# --- fixed values: direction texts --------------------------------------------------------------
+HIGHER, LOWER = "⬆ Higher → More Churn", "⬇ Higher → Less Churn"
+
+
 def target_correlation(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """Correlation of each feature with the target and which way it points."""
     t = F.col(target).cast("double")
@@ -76,7 +80,7 @@ def target_correlation(df: DataFrame, cols: Sequence[str], target: str) -> DataF
         r = F.try_divide(F.covar_pop(x, t), F.stddev_pop(F.when(t.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), t)))
         cells.append(F.struct(F.lit(c).alias("feature"), r.alias("r")))
     long = df.agg(F.array(*cells).alias("cells")).select(F.explode("cells").alias("c")).select("c.*")
-    direction = F.when(F.col("r") > 0, "⬆ Higher → More Churn").otherwise("⬇ Higher → Less Churn")
+    direction = F.when(F.col("r") > 0, HIGHER).otherwise(LOWER)
     order = Window.orderBy(F.abs("r").desc_nulls_last(), "feature")  # one row per feature
     return long.select("feature", "r", F.abs("r").alias("abs_r"), direction.alias("direction"), F.row_number().over(order).alias("rank"))
 

@@ -38,8 +38,12 @@ def driver_names(contributions: Column | str = "contributions", n: int = 3) -> C
     return F.transform(top_drivers(contributions, n), lambda e: e["feature"])
 
 
+# --- fixed values: direction texts --------------------------------------------------------------
+UP, DOWN = "↑ Increases churn", "↓ Decreases churn"
+
+
 def direction(c: Column) -> Column:
-    return F.when(c > 0, "↑ Increases churn").otherwise("↓ Decreases churn")
+    return F.when(c > 0, UP).otherwise(DOWN)
 
 
 def long_form(df: DataFrame, *keep: str, contributions: str = "contributions") -> DataFrame:

@@ -93,20 +93,26 @@ def full_monitoring(ref: DataFrame, cur: DataFrame, columns: Sequence[str] | Non
     return one_row(dataset_drift(ks(ref, cur, columns, settings), settings), alert_list(psi_all(ref, cur, columns, settings), settings))
 
 
+# --- fixed values: alert texts ------------------------------------------------------------------
+QUIET_TITLE, ALERT_TITLE, QUIET_MESSAGE = "No Drift Detected", "Churn Model Drift Alert", "All features stable."
+DRIFT_LINE, SHARE_LINE, PSI_LINE = "Drift detected: ", "Drifted feature share: %.1f%%", "Features with PSI > 0.2: "
+ACTION_LINE = "→ **Recommended action**: trigger retraining pipeline"
+
+
 def severity(result: DataFrame, settings: Drift = DEFAULTS.drift) -> DataFrame:
     """Title, message and severity of a monitoring row."""
     quiet = ~F.col("drift_detected") & (F.col("n_alerts") == 0)
     level = F.when(quiet, "info").when((F.col("drift_share") > settings.critical_share) | (F.col("n_alerts") > settings.critical_alerts), "critical").otherwise("warning")
     lines = F.concat_ws(
         "\n",
-        F.concat(F.lit("Drift detected: "), F.when(F.col("drift_detected"), "Yes").otherwise("No")),
-        F.format_string("Drifted feature share: %.1f%%", F.col("drift_share") * 100),
-        F.when(F.col("n_alerts") > 0, F.concat(F.lit("Features with PSI > 0.2: "), F.col("psi_alerts"))),
-        F.lit("→ **Recommended action**: trigger retraining pipeline"),
+        F.concat(F.lit(DRIFT_LINE), F.when(F.col("drift_detected"), "Yes").otherwise("No")),
+        F.format_string(SHARE_LINE, F.col("drift_share") * 100),
+        F.when(F.col("n_alerts") > 0, F.concat(F.lit(PSI_LINE), F.col("psi_alerts"))),
+        F.lit(ACTION_LINE),
     )
     return result.select(
-        F.when(quiet, "No Drift Detected").otherwise("Churn Model Drift Alert").alias("title"),
-        F.when(quiet, "All features stable.").otherwise(lines).alias("message"),
+        F.when(quiet, QUIET_TITLE).otherwise(ALERT_TITLE).alias("title"),
+        F.when(quiet, QUIET_MESSAGE).otherwise(lines).alias("message"),
         level.alias("severity"),
     )
 

@@ -46,8 +46,9 @@ def retrospective_anchor(panel: DataFrame, cease: DataFrame) -> DataFrame:
 def first_per_key(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str | Column]) -> DataFrame:
     """One row per key: the smallest by ``order``, which must decide ties.
 
-    A ``min`` over a struct combines on the map side, so a key holding a third
-    of all rows still ends as one small partial row per task.
+    ``min_by`` over a struct runs as a sort aggregate: every task sorts its rows by key,
+    then combines them, so a key holding a third of all rows still ends as one small
+    partial row per task.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     payload = [c for c in df.columns if c not in keys]

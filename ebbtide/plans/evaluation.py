@@ -12,6 +12,10 @@ from ebbtide.functions.scalars import one_row
 from ebbtide.operators import business, metrics
 
 
+# --- fixed values: verdict texts ----------------------------------------------------------------
+DEGRADED, STABLE = "Some degradation detected", "Stable across periods"
+
+
 def compare_models(splits: Mapping[str, DataFrame], models: Mapping[str, str], y: str = "y", id_col: str = "id") -> DataFrame:
     """(model, split, metric, value) for every score column on every split."""
     parts = [
@@ -38,5 +42,5 @@ def executive_summary(val: DataFrame, test: DataFrame, y: str = "y", p: str = "p
         now.select("auc_pr", "auc_roc", "brier_score", "lift_at_10pct", F.lit(t).alias("threshold")),
         money.select(F.col("model_net_value").alias("net_value"), "uplift_vs_random"),
         counts,
-        worse.select(F.when(F.col("n") > 0, "Some degradation detected").otherwise("Stable across periods").alias("stability")),
+        worse.select(F.when(F.col("n") > 0, DEGRADED).otherwise(STABLE).alias("stability")),
     )
