@@ -10,10 +10,11 @@ Two sets with J >= 3/4 share at least ceil(3n/4) of the n shingles of either. So
   pair of shingles among one more (light: a list per enumerated 2-subset).
 
 The boundary between light and heavy is the size with the smallest expected cost.
-Equal sets are one node, so copies never meet. Candidates are verified in two steps:
-every node against the smallest node of each of its lists, then, after connected
-components, only nodes of one list that are still in different components. A pair
-inside one component needs no check, so a group of n near copies costs about n checks
+Equal sets are one node, so copies never meet. Candidates are verified in three steps:
+every node against the most central node of each of its lists; then, after connected
+components, nodes of lists that still hold several components against a few more
+central ones; then all pairs of one list that are still in different components and
+whose places in it allow the threshold. A pair inside one component needs no check, so a group of n near copies costs about n checks
 per list instead of n*n/2, and no link between components is missed.
 
 Edge cases: null or word-free texts have an empty set and link with nothing; fewer
@@ -27,7 +28,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,11 +40,13 @@ from ebbtide.session import settle
 SHINGLE = 5
 NUM, DEN = 3, 4  # the threshold 0.75 as a fraction, so that comparisons are exact
 MAX_LOG_WIDTH = 30  # bitmap of all shingles: 128 MB at most, however large the corpus
-LOG_LEVELS = 18  # cells of the sketch that tells how common a shingle is (1 MB)
+LOG_LEVELS = 22  # cells of the sketch that tells how common a shingle is (4 MB)
+COMMON = 32  # a cell below this count is not common
+HUBS = 8  # central nodes of a list that a still unlinked node is checked against before the full pass
 LIGHT_MAX = 24  # sizes tried as boundary between light and heavy
 LIST_COST = 4.0  # expected cost of scanning one inverted list, in keys written
 BLOCK = 1024  # nodes of one list that meet another block of it in one group
-ROWS = 1000
+ROWS = 500
 
 
 def _need(n):
@@ -111,24 +114,24 @@ def _candidate_sets(docs: DataFrame, tokens: int) -> DataFrame:
             node, n, sets, flags = zip(*rows, strict=True) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_pydict({"node": pa.array(node, pa.int64()), "n": pa.array(n, pa.int64()), "shingles": pa.array(sets, pa.binary()), "maybe": pa.array(flags, pa.binary())})
 
-    return docs.mapInArrow(run, "node long, n long, shingles binary, maybe binary")
+    sets = settle(docs.mapInArrow(run, "node long, n long, shingles binary, maybe binary"))
+    bits.destroy()
+    return sets
 
 
 def _levels(sets: DataFrame) -> np.ndarray:
-    """How common a shingle's cell is among the candidate sets: the logarithm of its count."""
-    size, part = 1 << LOG_LEVELS, 1 << 12
+    """How common a shingle's cell is among the candidate sets: the logarithm of its count, 0 below COMMON."""
 
     def count(batches):
-        total = np.zeros(size, np.int64)
         for batch in _sliced(batches, 10000):
             data = np.frombuffer(b"".join(batch.column("shingles").to_pylist()), U)
-            total += np.bincount((data >> U(64 - LOG_LEVELS)).astype(np.int64), minlength=size)
-        for b in range(size // part):
-            yield pa.RecordBatch.from_pydict({"block": pa.array(np.arange(b * part, (b + 1) * part)), "n": pa.array(total[b * part : (b + 1) * part])})
+            cell, n = np.unique((data >> U(64 - LOG_LEVELS)).astype(np.int32), return_counts=True)
+            yield pa.RecordBatch.from_pydict({"cell": pa.array(cell), "n": pa.array(n)})
 
-    out = np.zeros(size, np.uint8)
-    for r in sets.select("shingles").mapInArrow(count, "block long, n long").groupBy("block").agg(F.sum("n").alias("n")).where("n > 0").toLocalIterator():
-        out[r["block"]] = min(255, int(math.log2(r["n"])))
+    total = sets.select("shingles").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON)
+    out = np.zeros(1 << LOG_LEVELS, np.uint8)
+    for r in total.toLocalIterator():
+        out[r["cell"]] = min(255, int(math.log2(r["n"])))
     return out
 
 
@@ -149,32 +152,45 @@ def light_boundary(sizes: DataFrame) -> int:
 
 
 def _keys(sets: DataFrame, levels, bound: int) -> DataFrame:
-    """(key, node, n): inverted lists of single shingles and of 2-subsets."""
+    """(key, node, n, pos, rank): inverted lists of single shingles and of 2-subsets.
+
+    ``pos`` is the place of the (first) shingle in the set's order. ``rank`` is small for
+    central nodes, which have few shingles of their own.
+    """
 
     def run(batches):
         for batch in _sliced(batches):
-            keys, node, size = [], [], []
+            keys, places, counts, own_rows = [], [], [], []
             for r in batch.to_pylist():
                 s, n = np.frombuffer(r["shingles"], U), r["n"]
                 maybe = np.unpackbits(np.frombuffer(r["maybe"], np.uint8))[:n].astype(bool)
                 own = s[maybe]
                 order = np.lexsort((own, levels.value[own >> U(64 - LOG_LEVELS)]))
                 own, alone = own[order], n - int(maybe.sum())  # shingles that occur nowhere else come first
-                found = []
                 if n > bound or n >= _need(bound + 1):
-                    found.append(own[: max(0, n - _need(n) + 1 - alone)])
+                    keys.append(own[: max(0, n - _need(n) + 1 - alone)])
+                    places.append(alone + np.arange(len(keys[-1])))
                 if n <= bound:
                     head = own[: max(0, n - _need(n) + 2 - alone)]
                     i, j = np.triu_indices(len(head), 1)
-                    found.append(mix(np.minimum(head[i], head[j]) * U(3) + mix(np.maximum(head[i], head[j]))))
-                k = np.concatenate(found)
-                keys.append(k)
-                node.append(np.full(len(k), r["node"], np.int64))
-                size.append(np.full(len(k), n, np.int64))
-            if keys:
-                yield pa.RecordBatch.from_pydict({"key": pa.array(np.concatenate(keys).view(np.int64)), "node": pa.array(np.concatenate(node)), "n": pa.array(np.concatenate(size))})
+                    keys.append(mix(np.minimum(head[i], head[j]) * U(3) + mix(np.maximum(head[i], head[j]))))
+                    places.append(alone + i)
+                counts.append(sum(map(len, keys)))
+                own_rows.append((r["node"], n, ((alone << 14) // n << 48) | (r["node"] >> 16 & (1 << 48) - 1)))
+            if own_rows:
+                times = np.diff(counts, prepend=0)
+                node, n, rank = (np.repeat(np.array(x, np.int64), times) for x in zip(*own_rows, strict=True))
+                yield pa.RecordBatch.from_pydict({
+                    "key": pa.array(np.concatenate(keys).view(np.int64)), "node": pa.array(node), "n": pa.array(n.astype(np.int32)),
+                    "pos": pa.array(np.concatenate(places).astype(np.int32)), "rank": pa.array(rank),
+                })
+
+    return sets.mapInArrow(run, "key long, node long, n int, pos int, rank long")
+
 
-    return sets.mapInArrow(run, "key long, node long, n long")
+def _may_link(n, pos, m, at):
+    """Whether two sets whose first common shingle stands at these places can still reach the threshold."""
+    return (NUM + DEN) * np.minimum(n - pos, m - at) >= NUM * (n + m)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -199,7 +215,10 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _across(lists: DataFrame) -> DataFrame:
-    """Pairs (a, b) of one list (key, node, n, part) in different parts, of compatible sizes.
+    """Pairs (a, b) of one list (key, node, n, pos, part) in different parts that can reach the threshold.
+
+    A pair that does has a first common shingle, and passes the test on sizes and
+    places in that shingle's list.
 
     A list of more than BLOCK nodes is cut into blocks, and every two blocks meet in a
     partition row range of their own; the rows stream through, one such range at a time.
@@ -207,15 +226,15 @@ def _across(lists: DataFrame) -> DataFrame:
     many = lists.groupBy("key").agg(F.count("*").alias("_m"))
     cut = lists.join(many, "key").withColumn("_k", F.ceil(F.col("_m") / BLOCK).cast("int")).withColumn("_own", F.expr("cast(pmod(xxhash64(node), _k) as int)"))
     met = cut.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
-    met = met.select("key", F.least("_own", "_other").alias("_lo"), F.greatest("_own", "_other").alias("_hi"), "_own", "node", "n", "part")
+    met = met.select("key", F.least("_own", "_other").alias("_lo"), F.greatest("_own", "_other").alias("_hi"), "_own", "node", "n", "pos", "part")
 
     def pairs(group: np.ndarray):
-        lo, hi, own, node, n, part = group.T
+        lo, hi, own, node, n, pos, part = group.T
         a_side = own == lo[0]
         b_side = own == hi[0]
         ia, ib = np.flatnonzero(a_side), np.flatnonzero(b_side)
         for i in ia:
-            ok = (part[ib] != part[i]) & (DEN * np.minimum(n[ib], n[i]) >= NUM * np.maximum(n[ib], n[i]))
+            ok = (part[ib] != part[i]) & _may_link(n[ib], pos[ib], n[i], pos[i])
             if lo[0] == hi[0]:
                 ok &= node[ib] > node[i]
             j = ib[ok]
@@ -230,7 +249,7 @@ def _across(lists: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"a": pa.array(np.concatenate([x for x, _ in found])), "b": pa.array(np.concatenate([y for _, y in found]))})
 
         for batch in batches:
-            rows = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("key", "_lo", "_hi", "_own", "node", "n", "part")], axis=1)
+            rows = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("key", "_lo", "_hi", "_own", "node", "n", "pos", "part")], axis=1)
             rows = rows if rest is None else np.concatenate([rest, rows])
             if not len(rows):
                 continue
@@ -246,6 +265,13 @@ def _across(lists: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def _apart(lists: DataFrame, parts: DataFrame) -> DataFrame:
+    """The lists, with each node's part, that hold nodes of more than one part."""
+    labelled = lists.join(parts.select(F.col("a").alias("node"), F.col("b").alias("part")), "node", "left").withColumn("part", F.coalesce("part", "node"))
+    several = labelled.groupBy("key").agg(F.min("part").alias("_x"), F.max("part").alias("_y")).where("_x < _y").select("key")
+    return labelled.join(several, "key", "left_semi")
+
+
 def _empty(spark: SparkSession, schema: str) -> DataFrame:
     return spark.createDataFrame([], T._parse_datatype_string(schema))
 
@@ -259,20 +285,27 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     tokens = sizes.agg(F.sum("n")).first()[0] or 0
     labels = _empty(spark, "node long, comp long")
     if tokens:
-        sets = settle(_candidate_sets(texts, tokens))
+        sets = _candidate_sets(texts, tokens)
         levels = spark.sparkContext.broadcast(_levels(sets))
         keys = settle(_keys(sets, levels, light_boundary(sizes)))
+        levels.destroy()
         sets = sets.select("node", "n", "shingles").dropDuplicates(["node"])
-        hubs = keys.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("_last"), F.max_by("n", -F.col("node")).alias("hub_n")).where("hub < _last").drop("_last")
-        lists = settle(keys.join(hubs, "key").dropDuplicates(["key", "node"]))
-        fits = DEN * F.least("n", "hub_n") >= NUM * F.greatest("n", "hub_n")
-        first = lists.where((F.col("node") != F.col("hub")) & fits).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+        hubs = keys.groupBy("key").agg(F.min_by("node", "rank").alias("hub"), F.min_by("n", "rank").alias("hub_n"), F.min_by("pos", "rank").alias("hub_pos"), F.min("node").alias("_x"), F.max("node").alias("_y"))
+        lists = settle(keys.join(hubs.where("_x < _y").drop("_x", "_y"), "key").dropDuplicates(["key", "node"]))
+        fits = (NUM + DEN) * F.least(F.col("n") - F.col("pos"), F.col("hub_n") - F.col("hub_pos")) >= NUM * (F.col("n") + F.col("hub_n"))
+        pair = [F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")]
+        first = lists.where((F.col("node") != F.col("hub")) & fits).select(*pair).distinct()
         needed = settle(sets.join(lists.select("node").distinct(), "node", "left_semi"))
         linked = settle(_verified(first, needed))
-        parts = components(linked).select(F.col("a").alias("node"), F.col("b").alias("comp"))
-        labelled = lists.join(parts, "node", "left").select("key", "node", "n", F.coalesce("comp", "node").alias("part"))
-        open_keys = labelled.groupBy("key").agg(F.min("part").alias("_x"), F.max("part").alias("_y")).where("_x < _y").select("key")
-        rest = settle(_across(labelled.join(open_keys, "key", "left_semi")))
+        lists, parts = lists.drop("hub", "hub_n", "hub_pos"), components(linked)
+        # Nodes still apart from their lists' central nodes are checked against a few of these ...
+        rest = settle(_apart(lists, parts))
+        central = F.row_number().over(Window.partitionBy("key").orderBy("rank", "node"))
+        heads = rest.withColumn("_place", central).where(F.col("_place") <= HUBS).select("key", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("pos").alias("hub_pos"), F.col("part").alias("hub_part"))
+        again = rest.join(heads, "key").where((F.col("part") != F.col("hub_part")) & fits).select(*pair).distinct()
+        linked = settle(linked.unionByName(_verified(again, needed)))
+        # ... and what remains apart meets in full.
+        rest = settle(_across(_apart(lists, components(linked))))
         linked = linked.unionByName(_verified(rest, needed))
         labels = components(linked).select(F.col("a").alias("node"), F.col("b").alias("comp"))
     filled = sizes.where("n > 0")

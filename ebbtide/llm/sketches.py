@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ebbtide.llm.words import U, mix
 
 LOG_BLOCK = 19
-FLUSH = 1 << 22  # hashes that a task holds before it emits them
+FLUSH = 1 << 20  # hashes that a task holds before it emits them
 FAN = 64  # task sketches that one merge reads at most, level by level
 _SCHEMA = "_part long, _block int, _once binary, _twice binary"
 
