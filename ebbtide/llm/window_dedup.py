@@ -28,7 +28,7 @@ WINDOW = 50
 GRAM = 10
 DEPTH = 2
 LOG_WIDTH = 26  # cells of one sketch row; the merged sketch of DEPTH * 2**LOG_WIDTH bits (16 MB) goes to every task
-ROWS = 2000  # documents hashed at a time
+ROWS = 1000  # documents hashed at a time
 
 
 def _runs(blobs, window: int):
@@ -108,6 +108,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             })
 
     rows = settle(numbered.mapInArrow(emit, "_doc long, _print long, _anchor long, _run long, _from long, _n long, _hashes binary"))
+    bits.destroy()
     # First holder of each run; then only anchors with two different runs can hide partial overlaps.
     holders = rows.groupBy("_anchor", "_run").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last"))
     mixed = holders.groupBy("_anchor").agg(F.count("*").alias("_kinds"))
@@ -127,7 +128,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             })
 
     single = rows.where("_first = _doc AND _kinds > 1").select("_doc", "_print", "_from", "_hashes").mapInArrow(unfold, "_doc long, _print long, _from long, _hash long")
-    least = single.groupBy("_hash").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last")).where("_first < _last").drop("_last")
+    # Settled, so that the join below reads two plain exchanges, whose large partitions Spark can split.
+    least = settle(single.groupBy("_hash").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last")).where("_first < _last").drop("_last"))
     partial = single.join(least, "_hash").where("_first < _doc").select("_doc", "_print", "_from", F.lit(1).cast("long").alias("_n"))
     return whole.unionByName(partial).groupBy("_doc", "_print").agg(F.collect_set(F.struct("_from", "_n")).alias("_ranges"))
 
