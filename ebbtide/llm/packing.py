@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.unit_encoder import encoder
+from ebbtide.llm.unit_encoder import UnitEncoder
 
 WINDOW = 1024
 END_ID = 0
@@ -64,11 +64,13 @@ class LevelArray:
 
 def _encoded(batches, path: str):
     """(doc_id, token ids with the end mark) of every row, in order."""
+    encoder = None  # one per task: its cache must not outlive the task in a reused worker
     for batch in batches:
+        encoder = encoder or UnitEncoder(path)
         for at in range(0, batch.num_rows, _ROWS):
             part = batch.slice(at, _ROWS)
             texts = [t or "" for t in part.column("_text").to_pylist()]
-            for doc, ids in zip(part.column("_doc").to_pylist(), encoder(path).encode(texts), strict=True):
+            for doc, ids in zip(part.column("_doc").to_pylist(), encoder.encode(texts), strict=True):
                 yield doc, np.append(ids, np.uint32(END_ID)).astype("<u4")
 
 

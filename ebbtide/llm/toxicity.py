@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from ebbtide.llm.words import U, affix_hashes, mix
 
-SAMPLE = 3000  # labelled rows of each kind that the field is fitted on
+SAMPLE = 2000  # labelled rows of each kind that the field is fitted on
 FOLDS, HELD_OUT = 5, 0  # rows with crc32(id) % FOLDS == HELD_OUT are never fitted on
 LOG_FEATURES = 18
 PREFIXES = (4, 5, 6)
@@ -41,7 +41,7 @@ SEGMENT_TOKENS = 128
 SUPPORT, LIFT = 6, 20.0  # documents a marker feature occurs in, and its ratio of toxic to clean rates
 STEPS, RATE, RIDGE = 60, 0.5, 1e-4
 SPAN_AT = 0.5
-_BATCH = 2 << 20  # bytes of text handled at a time
+_BATCH = 1 << 20  # bytes of text handled at a time
 
 
 def fold(id_col) -> F.Column:

@@ -11,7 +11,6 @@ Texts with other Unicode white space or with a special token are encoded whole.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -21,7 +20,7 @@ from ebbtide.llm.words import SEGMENT, U, Runs, byte_codes, segment
 _ODD = re.compile(r"[^\S\x20\x09-\x0D]|\x85")
 _LEAD = np.zeros(256, bool)  # first bytes of the white space that _ODD finds
 _LEAD[[0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
-CACHE_UNITS = 2_500_000  # the cache starts anew beyond this; a segment of SEGMENT bytes holds fewer units
+CACHE_UNITS = 600_000  # the cache starts anew beyond this; a segment of SEGMENT bytes holds fewer units
 
 
 class UnitEncoder:
@@ -34,7 +33,7 @@ class UnitEncoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.table = KeyTable(22)
+        self.table = KeyTable(20)
         self.pool, self.begin, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.gaps: dict[bytes, int] = {}
 
@@ -179,12 +178,6 @@ class KeyTable:
         self.used += len(keys)
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> UnitEncoder:
-    """The worker's encoder, so that its cache outlives a task."""
-    return UnitEncoder(path)
-
-
 def hash_gap(gap: bytes) -> int:
     """Key of a run of white space: its bytes in base 256, mixed by Runs' finaliser."""
     codes = np.frombuffer(gap, np.uint8).astype(U) + U(1)
