@@ -292,3 +292,32 @@ def test_region_without_article():
     region, template = wrappers.induce([page.format(k=f"v{k}" * 5) for k in range(6)])
     assert region == "/body/div" and wrappers.main_text(page.format(k="q"), region, frozenset(template)).startswith("A q long text")
     assert wrappers.main_text("<p>" * 3000 + "deep") == "deep"
+
+
+def _pages(spark, pages):
+    return wrappers.extract(spark.createDataFrame(pages, "page_id long, url string, html string"))
+
+
+def _prose(k, n=12):
+    return " ".join(f"w{k}x{j * k % 97}" for j in range(n))
+
+
+def test_templates_of_all_pages_of_a_host_are_learnt(spark):
+    """Two page types, and a notice on a few of 200 pages: no small sample of pages shows all of them."""
+    def page(k):
+        notice = "<div class='msg'>We moved to a new address.</div>" if k % 25 == 3 else ""
+        if k % 10 == 7:
+            return f"<body><section>{notice}<p>Second type legend.</p><p>{_prose(k)}</p></section></body>"
+        return f"<body><div>{notice}<p>{_prose(k)}</p><p>{_prose(k + 1000)}</p><p>All rights are ours.</p></div></body>"
+
+    out = {r["page_id"]: r["text"] for r in _pages(spark, [(k, f"http://h.org/{k}", page(k)) for k in range(200)]).collect()}
+    for k in range(200):
+        assert out[k] == (_prose(k) if k % 10 == 7 else f"{_prose(k)}\n\n{_prose(k + 1000)}"), k
+
+
+def test_templates_of_small_hosts_and_of_near_copies(spark):
+    small = [(k, f"http://small.org/{k}", f"<body><div><p>{_prose(k)}</p><p>Made by us.</p></div></body>") for k in range(3)]
+    near = [(10 + k, f"http://near.org/{k}", f"<body><div><p>{_prose(5, 60)}</p><p>{_prose(6, 60)}</p><p>No {k}</p></div></body>") for k in range(9)]
+    out = {r["page_id"]: r["text"] for r in _pages(spark, small + near).collect()}
+    assert all(out[k] == _prose(k) for k in range(3))
+    assert all(out[10 + k] == f"{_prose(5, 60)}\n\n{_prose(6, 60)}\n\nNo {k}" for k in range(9))
