@@ -321,3 +321,13 @@ def test_templates_of_small_hosts_and_of_near_copies(spark):
     out = {r["page_id"]: r["text"] for r in _pages(spark, small + near).collect()}
     assert all(out[k] == _prose(k) for k in range(3))
     assert all(out[10 + k] == f"{_prose(5, 60)}\n\n{_prose(6, 60)}\n\nNo {k}" for k in range(9))
+
+
+def test_induced_region_goes_before_article(spark):
+    """Main text in a div, teasers in articles; and a host with two layouts."""
+    teaser = "<article><p>Teaser {}</p></article>"
+    div = [(k, f"http://d/{k}", f"<body><div><section><p>{_prose(k)}</p><p>{_prose(k + 500)}</p></section></div>{teaser.format(k)}</body>") for k in range(30)]
+    two = [(100 + k, f"http://t/{k}", f"<body><article><p>{_prose(k)}</p></article></body>" if k % 3 else f"<body><div><p>{_prose(k)}</p></div>{teaser.format(k)}</body>") for k in range(30)]
+    out = {r["page_id"]: r["text"] for r in _pages(spark, div + two).collect()}
+    assert all(out[k] == f"{_prose(k)}\n\n{_prose(k + 500)}" for k in range(30))
+    assert all(out[100 + k] == _prose(k) for k in range(30))
