@@ -97,12 +97,12 @@ def mdl_calibrate_sigmoid(d):
 @query("mdl_tune")
 def mdl_tune(d):
     s = parts(d)
-    return rounded(learning.tune(s.train, s.val, n_trials=2, fixed={"rounds": 5})[1])
+    return rounded(learning.tune(s.train, s.val)[1])
 
 
 @query("mdl_train")
 def mdl_train(d):
-    run = training.train(features(d)[0], SETTINGS, n_trials=0, run_path=scratch(d.spark, "run"), run_id="run-1")
+    run = training.train(features(d)[0], SETTINGS, run_path=scratch(d.spark, "run"), run_id="run-1")
     return rounded(run.metrics)
 
 

@@ -234,3 +234,32 @@ def test_uplift_is_fitted_on_one_frame_and_scores_another(spark, boosted_arms):
     new = spark.createDataFrame([(1, 0.5), (2, 0.95)], "id long, x double")
     got = {r["id"]: r for r in model.score(new).collect()}
     assert got[1]["uplift_segment"] == "Persuadable" and got[1]["uplift_score"] > got[2]["uplift_score"]
+
+
+def test_registered_search_is_whole(monkeypatch):
+    """mdl_tune and mdl_train search with the library's own trials and rounds."""
+    import inspect
+    from types import SimpleNamespace
+
+    from ebbtide.catalog import models
+    from ebbtide.plans import training
+
+    calls = {}
+
+    def record(name, fn, result):
+        def call(*args, **kwargs):
+            bound = inspect.signature(fn).bind(*args, **kwargs)
+            bound.apply_defaults()
+            calls[name] = bound.arguments
+            return result
+        return call
+
+    monkeypatch.setattr(models.learning, "tune", record("tune", models.learning.tune, ({}, None)))
+    monkeypatch.setattr(models.training, "train", record("train", training.train, SimpleNamespace(metrics=None)))
+    for name, value in (("parts", SimpleNamespace(train=None, val=None)), ("features", (None, None)), ("scratch", ""), ("rounded", None)):
+        monkeypatch.setattr(models, name, lambda *_, value=value: value)
+    d = SimpleNamespace(spark=None)
+    models.mdl_tune(d)
+    models.mdl_train(d)
+    assert calls["tune"]["n_trials"] == calls["train"]["n_trials"] == 50
+    assert not calls["tune"]["fixed"] and not calls["train"]["fixed"]
