@@ -15,7 +15,7 @@ was bound to its name before the use.
 
 from __future__ import annotations
 
-import hashlib
+import heapq
 import math
 import re
 from collections import Counter
@@ -38,15 +38,21 @@ NAME_SCORE = {
     "privatekey": 1.0, "accesskey": 1.0, "authkey": 1.0, "signingkey": 1.0, "encryptionkey": 1.0,
 }
 THRESHOLD = 1.2  # name score plus literal score
-_NAME = r"[A-Za-z_][A-Za-z0-9_.\-]{0,79}"
+PLACEHOLDERS = ("none", "null", "true", "false", "changeme", "example")
+LONGEST_PLACEHOLDER = max(map(len, PLACEHOLDERS))
+_NAME = r"[A-Za-z_][A-Za-z0-9_.\-]*+"
+_QUOTED = r"""(?:"(?P<dq>[^"\n]+)"|'(?P<sq>[^'\n]+)'"""
+_BARE = r"""[^\s"'<>,;(){}\[\]]"""
 #: A name, a binding mark, then a quoted literal, a bare literal or a name.
-PAIR = re.compile(
-    rf"""(?<![A-Za-z0-9_.\-])["']?(?P<name>{_NAME})["']?[ \t]*(?::=|=>|[:=])[ \t]*(?:"(?P<dq>[^"\n]{{1,400}})"|'(?P<sq>[^'\n]{{1,400}})'|(?P<bare>[^\s"'<>,;(){{}}\[\]]{{1,400}}))""",
-)
-JOIN = re.compile(rf"""[ \t]*\+[ \t]*({_NAME})""")
+PAIR = re.compile(rf"""(?<![A-Za-z0-9_.\-])["']?(?P<name>{_NAME})["']?[ \t]*+(?::=|=>|[:=])[ \t]*+{_QUOTED}|(?P<bare>{_BARE}+))""")
+#: An element whose content is text only, with or without a name space and attributes.
+ELEMENT = re.compile(rf"<(?:{_NAME}:)?(?P<name>{_NAME})(?:\s[^<>]*+)?>\s*+(?P<xml>[^<>]*[^<>\s])\s*+</(?:{_NAME}:)?(?P=name)\s*+>")
+#: An option of a command line, its value after white space or an equals sign.
+OPTION = re.compile(rf"""(?<![A-Za-z0-9_.\-])(?:--(?P<name>{_NAME})(?:[ \t]*+=[ \t]*+|[ \t]++(?!-))|-(?P<short>{_NAME})=){_QUOTED}|(?P<bare>{_BARE}+))""")
+JOIN = re.compile(rf"""[ \t]*+\+[ \t]*+({_NAME})""")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 _IDENT = re.compile(rf"{_NAME}\Z")
-_BINDS = re.compile(r"[:=]")
+_BINDS = re.compile(r"[:=]|--|</")
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -66,40 +72,94 @@ def name_score(name: str) -> float:
 
 def literal_score(value: str) -> float:
     """0 to 1: long mixed strings score high, prose, paths, numbers and placeholders low."""
-    if len(value) < 6 or any(c in value for c in " \t$<>{}%") or value.lower() in ("none", "null", "true", "false", "changeme", "example"):
+    return _score(len(value), Counter(value), value)
+
+
+def _score(size: int, counts: Counter, value: str | None) -> float:
+    """The same from a literal's length and characters; its text (None: longer than all placeholders) matters for placeholders only."""
+    if size < 6 or any(c in counts for c in " \t$<>{}%") or (value is not None and value.lower() in PLACEHOLDERS):
         return 0.0
-    classes = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in Counter(value).values())
-    if classes == 1 and len(value) < 16:
+    chars = "".join(counts)
+    classes = sum(bool(re.search(p, chars)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+    entropy = -sum(n / size * math.log2(n / size) for n in counts.values())
+    if classes == 1 and size < 16:
         return 0.1
     return min(1.0, entropy / 4) * min(1.0, 0.4 + 0.2 * classes)
 
 
+class _Bound:
+    """What a name is bound to: one literal at a place, or the concatenation of other bound values."""
+
+    __slots__ = ("value", "start", "end", "parts", "size", "counts")
+
+    def __init__(self, value: str, start: int, end: int):
+        self.value, self.start, self.end, self.parts, self.size, self.counts = value, start, end, (), len(value), None
+
+    def score(self) -> float:
+        return _score(self.size, self.characters(), self.value)
+
+    def characters(self) -> Counter:
+        if self.counts is None:
+            self.counts = Counter(self.value)
+        return self.counts
+
+
+def _joined(parts: list[_Bound]) -> _Bound:
+    """Concatenation by length and character counts, so that x = x + x costs no more than its text."""
+    out = _Bound("", -1, -1)
+    out.parts, out.size, out.counts = tuple(parts), sum(p.size for p in parts), Counter()
+    for p in parts:
+        for c, n in p.characters().items():
+            out.counts[c] += n
+    out.value = "".join(p.value for p in parts) if out.size <= LONGEST_PLACEHOLDER else None
+    return out
+
+
+def _matches(text: str):
+    """Bindings in the order of the text."""
+    found = [PAIR.finditer(text)]
+    if "</" in text:
+        found.append(ELEMENT.finditer(text))
+    if "-" in text:
+        found.append(OPTION.finditer(text))
+    return heapq.merge(*found, key=lambda m: m.start()) if len(found) > 1 else found[0]
+
+
 def lexed_spans(text: str) -> list[tuple[str, int, int]]:
     """Literals of sensitive names, directly bound (literal) or through constants (const)."""
     if not _BINDS.search(text):
         return []
-    known: dict[str, list[tuple[str, int, int]]] = {}
+    known: dict[str, _Bound] = {}
     found: set[tuple[int, int, str]] = set()
-    for m in PAIR.finditer(text):
+    told: set[_Bound] = set()  # constants whose literals are in found
+    for m in _matches(text):
         group = m.lastgroup
         value, start, end = m[group], m.start(group), m.end(group)
-        name = m["name"].lower()
-        leaves, via = [(value, start, end)], False
-        if group == "bare" and _IDENT.match(value) and value.lower() in known:
-            leaves, via = list(known[value.lower()]), True
+        name = (m["name"] or m["short"] if m.re is OPTION else m["name"]).lower()
+        parts, via = [_Bound(value, start, end)], False
+        if group == "bare" and value.lower() in known and _IDENT.match(value):
+            parts, via = [known[value.lower()]], True
+        direct = None if via else parts[0]
         after = m.end()
         while plus := JOIN.match(text, after):
             if plus[1].lower() not in known:
                 break
-            leaves, via, after = leaves + known[plus[1].lower()], True, plus.end()
+            parts.append(known[plus[1].lower()])
+            after = plus.end()
+        bound = parts[0] if len(parts) == 1 else _joined(parts)
         score = name_score(name)
-        if score:
-            whole = literal_score("".join(v for v, _, _ in leaves))
-            for v, a, b in leaves:
-                if score + (whole if len(leaves) > 1 else literal_score(v)) >= THRESHOLD:
-                    found.add((a, b, "const" if via and a != start else "literal"))
-        known[name] = leaves[:16]
+        if score and score + bound.score() >= THRESHOLD:
+            if direct:
+                found.add((start, end, "literal"))
+            todo = [p for p in parts if p is not direct]
+            while todo:
+                part = todo.pop()
+                if part not in told:
+                    told.add(part)
+                    todo.extend(part.parts)
+                    if not part.parts:
+                        found.add((part.start, part.end, "const"))
+        known[name] = bound
     return [(k, a, b) for a, b, k in sorted(found)]
 
 

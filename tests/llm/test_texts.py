@@ -331,3 +331,34 @@ def test_induced_region_goes_before_article(spark):
     out = {r["page_id"]: r["text"] for r in _pages(spark, div + two).collect()}
     assert all(out[k] == f"{_prose(k)}\n\n{_prose(k + 500)}" for k in range(30))
     assert all(out[100 + k] == _prose(k) for k in range(30))
+
+
+LONG = "".join(hashlib.sha256(str(k).encode()).hexdigest()[:9] + "Zq" for k in range(600))
+
+
+@pytest.mark.parametrize("text,value", [
+    ("<password>aZ81kQpw</password>", "aZ81kQpw"),
+    ("<ns:auth kind='x'>\n  aZ81kQpw77\n</ns:auth>", "aZ81kQpw77"),
+    ("run --token aZ81kQpw77 --verbose", "aZ81kQpw77"),
+    ("run --auth='aZ81 kQpw' --credential=\"aZ81kQpw77\"", "aZ81kQpw77"),
+    ("run -pwd=aZ81kQpw77", "aZ81kQpw77"),
+    (f"auth: {LONG}", LONG),
+    (f"<credential>{LONG}</credential>", LONG),
+    (f"--pwd {LONG}", LONG),
+    (f'privateKey = "{LONG}"', LONG),
+    (f"{'part_' * 40}pwd = aZ81kQpw77", "aZ81kQpw77"),
+])
+def test_all_forms_and_lengths_are_found(text, value):
+    assert secrets.lexed_spans(text) == [("literal", text.index(value), text.index(value) + len(value))]
+
+
+def test_constants_have_any_number_of_parts():
+    parts = [f"Zq{k}w8" for k in range(40)]
+    text = "\n".join(f"c{k} = '{p}'" for k, p in enumerate(parts)) + "\nall = " + " + ".join(f"c{k}" for k in range(40)) + "\npassword = all\n"
+    assert [text[a:b] for _, a, b in secrets.lexed_spans(text)] == parts
+    doubled = "x = 'Zq81kQpw77'\n" + "x = x + x\n" * 200 + "secret = x\n"
+    assert [doubled[a:b] for _, a, b in secrets.lexed_spans(doubled)] == ["Zq81kQpw77"]
+
+
+def test_options_and_elements_without_a_secret():
+    assert secrets.lexed_spans("--password --token -v <key>value</key> <auth></auth> --secret required") == []
