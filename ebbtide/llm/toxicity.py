@@ -13,8 +13,8 @@ the score of a text without any toxic token; rows may repeat; without labels of
 kinds every score is the share of toxic labels (0 without labels).
 
 The fitting sample is bounded: ``SAMPLE`` labelled rows of each kind, the ones with
-the smallest hash of their id. It is fitted in one task; the model (about 1 MB) goes to
-every task. Forward-backward runs over segments of ``SEGMENT_TOKENS`` tokens side by side: a
+the smallest hash of their id. It is fitted in one task, in slices of ``SLICE`` bytes whose
+sums are added; the model (about 1 MB) goes to every task. Forward-backward runs over segments of ``SEGMENT_TOKENS`` tokens side by side: a
 first sweep gives each segment's transfer matrix, the matrices of a text are chained,
 and a second sweep runs from the true incoming state, so the result is exact.
 """
@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from ebbtide.llm.words import U, affix_hashes, mix
 
-SAMPLE = 2000  # labelled rows of each kind that the field is fitted on
+SAMPLE = 3000  # labelled rows of each kind that the field is fitted on
 FOLDS, HELD_OUT = 5, 0  # rows with crc32(id) % FOLDS == HELD_OUT are never fitted on
 LOG_FEATURES = 18
 PREFIXES = (4, 5, 6)
@@ -42,6 +42,7 @@ SUPPORT, LIFT = 6, 20.0  # documents a marker feature occurs in, and its ratio o
 STEPS, RATE, RIDGE = 60, 0.5, 1e-4
 SPAN_AT = 0.5
 _BATCH = 1 << 20  # bytes of text handled at a time
+SLICE = 2 << 20  # bytes of text that the fit handles at a time; its sums run over all slices
 
 
 def fold(id_col) -> F.Column:
@@ -160,19 +161,36 @@ def _doc_features(p: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def _token_labels(feats, bounds, toxic) -> np.ndarray:
-    """1 for tokens of toxic texts that hold a marker feature."""
+def _slices(texts: list[bytes]):
+    """Bounds of runs of whole texts of about ``SLICE`` bytes."""
+    i = 0
+    while i < len(texts):
+        j, size = i, 0
+        while j < len(texts) and (j == i or size + len(texts[j]) <= SLICE):
+            size += len(texts[j])
+            j += 1
+        yield i, j
+        i = j
+
+
+def _owners(bounds: np.ndarray) -> np.ndarray:
+    return np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+
+
+def _token_labels(slices, toxic) -> list[np.ndarray]:
+    """1 for tokens of toxic texts that hold a marker feature, slice by slice of (features, bounds, toxic)."""
     size = 1 << LOG_FEATURES
-    doc = np.repeat(np.arange(len(toxic)), np.diff(bounds))
-    marks = np.zeros(feats.shape[1], bool)
     n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
-    for kind in feats:
-        pair = np.unique(doc.astype(np.int64) << LOG_FEATURES | kind)
-        f, is_toxic = pair & (size - 1), toxic[pair >> LOG_FEATURES]
-        one, zero = np.bincount(f[is_toxic], minlength=size), np.bincount(f[~is_toxic], minlength=size)
-        marker = (one >= min(SUPPORT, max(1, n1 // 4))) & (one / n1 > LIFT * (zero + 0.5) / n0)
-        marks |= marker[kind]
-    return (marks & toxic[doc]).astype(float)
+    one, zero = (np.zeros((len(slices[0][0]), size), np.int64) for _ in range(2))
+    for feats, bounds, bad in slices:
+        doc = _owners(bounds).astype(np.int64) << LOG_FEATURES
+        for k, kind in enumerate(feats):
+            pair = np.unique(doc | kind)
+            f, is_toxic = pair & (size - 1), bad[pair >> LOG_FEATURES]
+            one[k] += np.bincount(f[is_toxic], minlength=size)
+            zero[k] += np.bincount(f[~is_toxic], minlength=size)
+    marker = (one >= min(SUPPORT, max(1, n1 // 4))) & (one / n1 > LIFT * (zero + 0.5) / n0)
+    return [(np.any([m[kind] for m, kind in zip(marker, feats, strict=True)], axis=0) & bad[_owners(bounds)]).astype(float) for feats, bounds, bad in slices]
 
 
 def fit_field(texts: list[bytes], toxic: np.ndarray, weight: np.ndarray) -> Field:
@@ -182,29 +200,39 @@ def fit_field(texts: list[bytes], toxic: np.ndarray, weight: np.ndarray) -> Fiel
     flat = Field(np.zeros(1 << LOG_FEATURES, np.float32), 0.0, np.zeros((2, 2)), np.array([_logit(prior), 0.0, 0.0]))
     if not len(toxic) or toxic.all() or not toxic.any():
         return flat
-    feats, bounds, *_ = tokenize(texts)
-    if not feats.shape[1]:
+    slices = []
+    for i, j in _slices(texts):
+        feats, bounds, *_ = tokenize(texts[i:j])
+        slices.append((feats, bounds, toxic[i:j]))
+    n = sum(feats.shape[1] for feats, _, _ in slices)
+    if not n:
         return flat
-    y = _token_labels(feats, bounds, toxic)
-    # Training sequences are the segments: pairs of neighbours inside a segment count.
-    segs = np.concatenate([np.arange(lo, hi, SEGMENT_TOKENS) for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)] + [[bounds[-1]]])
-    cuts = segs.astype(np.int64)
-    inner = np.ones(len(y), bool)
-    inner[cuts[:-1]] = False
-    left = np.flatnonzero(inner) - 1
-    seen = np.array([[((1 - y[left]) * (1 - y[left + 1])).sum(), ((1 - y[left]) * y[left + 1]).sum()], [(y[left] * (1 - y[left + 1])).sum(), (y[left] * y[left + 1]).sum()]])
-    w, b, trans = np.zeros(1 << LOG_FEATURES), math.log((y.sum() + 1) / (len(y) - y.sum() + 1)), np.zeros((2, 2))
+    parts, seen = [], np.zeros((2, 2))
+    for (feats, bounds, _), y in zip(slices, _token_labels(slices, toxic), strict=True):
+        # Training sequences are the segments: pairs of neighbours inside a segment count.
+        segs = np.concatenate([np.arange(lo, hi, SEGMENT_TOKENS) for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)] + [[bounds[-1]]])
+        cuts = segs.astype(np.int64)
+        inner = np.ones(len(y), bool)
+        inner[cuts[:-1]] = False
+        left = np.flatnonzero(inner) - 1
+        seen += np.array([[((1 - y[left]) * (1 - y[left + 1])).sum(), ((1 - y[left]) * y[left + 1]).sum()], [(y[left] * (1 - y[left + 1])).sum(), (y[left] * y[left + 1]).sum()]])
+        if len(y):
+            parts.append((feats, cuts, left, y))
+    marked = sum(y.sum() for *_, y in parts)
+    w, b, trans = np.zeros(1 << LOG_FEATURES), math.log((marked + 1) / (n - marked + 1)), np.zeros((2, 2))
     gw2, gb2, gt2 = np.full(len(w), 1e-6), 1e-6, np.full((2, 2), 1e-6)
     for _ in range(STEPS):
-        score = w[feats].sum(axis=0) + b
-        p = marginals(score, cuts, trans)
-        pair = _pairs(score, cuts, trans, p, left)
-        diff = y - p
-        gw = np.zeros(len(w))
-        for kind in feats:
-            gw += np.bincount(kind, diff, len(w))
-        gw = gw / len(y) * 100 - RIDGE * w
-        gb, gt = diff.mean() * 100, (seen - pair) / len(y) * 100
+        gw, gb, pair = np.zeros(len(w)), 0.0, np.zeros((2, 2))
+        for feats, cuts, left, y in parts:
+            score = w[feats].sum(axis=0) + b
+            p = marginals(score, cuts, trans)
+            pair += _pairs(score, cuts, trans, p, left)
+            diff = y - p
+            gb += diff.sum()
+            for kind in feats:
+                gw += np.bincount(kind, diff, len(w))
+        gw = gw / n * 100 - RIDGE * w
+        gb, gt = gb / n * 100, (seen - pair) / n * 100
         gw2 += gw**2
         gb2 += gb**2
         gt2 += gt**2
@@ -212,7 +240,7 @@ def fit_field(texts: list[bytes], toxic: np.ndarray, weight: np.ndarray) -> Fiel
         b += RATE * gb / math.sqrt(gb2)
         trans += RATE * gt / np.sqrt(gt2)
         trans -= trans[0, 0]
-    x = _doc_features(marginals(w[feats].sum(axis=0) + b, bounds, trans), bounds)
+    x = np.concatenate([_doc_features(marginals(w[feats].sum(axis=0) + b, bounds, trans), bounds) for feats, bounds, _ in slices])
     return Field(w.astype(np.float32), float(b), trans, _logistic(x, toxic.astype(float), weight * len(weight) / weight.sum()))
 
 

@@ -362,3 +362,22 @@ def test_constants_have_any_number_of_parts():
 
 def test_options_and_elements_without_a_secret():
     assert secrets.lexed_spans("--password --token -v <key>value</key> <auth></auth> --secret required") == []
+
+
+def test_field_is_the_same_in_any_slices_and_needs_less_memory(monkeypatch):
+    import tracemalloc
+
+    assert toxicity.SAMPLE == 3000
+    monkeypatch.setattr(toxicity, "STEPS", 10)
+    texts, labels = toxic_corpus(None, 400)
+    texts, toxic = [t.encode() * 8 + b" " for _, t in texts] + [b"", b"!?"], np.array([y for _, y in labels] + [0, 1])
+    fields, peaks = [], []
+    for size in (1 << 40, 20_000):
+        monkeypatch.setattr(toxicity, "SLICE", size)
+        tracemalloc.start()
+        fields.append(toxicity.fit_field(texts, toxic, np.ones(len(toxic))))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    for f in fields[1:]:
+        assert np.allclose(f.weight, fields[0].weight, atol=1e-4) and np.allclose(f.trans, fields[0].trans, atol=1e-6) and np.allclose(f.doc, fields[0].doc, atol=1e-4)
+    assert peaks[1] < peaks[0]
