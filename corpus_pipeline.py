@@ -56,7 +56,8 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-#: The toxicity model, the subset sums and the packing are not SQL; tests hold run() against brute force.
+#: The toxicity model, the subset sums and the packing are not SQL. Tests hold the single operators against brute force,
+#: run() only by counts and columns of its stages.
 ORACLE_SQL = None
 
 
