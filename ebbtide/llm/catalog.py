@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import exact_topk, jaccard, line_templates, mixing, multi_index, packing, secrets, toxicity, window_dedup, wrappers
+from ebbtide.llm import exact_topk, jaccard, line_templates, mixing, multi_index, packing, presence_masks, rule_ensemble, secrets, toxicity, vector_codes, window_dedup, wrappers
 from ebbtide.session import share_package
 
 BPE = "byte_bpe_50k.json"
@@ -63,6 +63,18 @@ def exact_search(spark: SparkSession, folder: str) -> DataFrame:
     return exact_topk.top_k(_table(spark, folder, "embeddings"))
 
 
+def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return rule_ensemble.digest(rule_ensemble.score_documents(_table(spark, folder, "documents"), _table(spark, folder, "labels")))
+
+
+def ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return presence_masks.rank(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def vector_codes_of(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.digest(vector_codes.encode(_table(spark, folder, "embeddings")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity_scores,
     "op2_secret_scan": secret_spans,
@@ -74,9 +86,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mix": source_mix,
     "op9_jaccard_join": similar_documents,
     "op10_exact_topk": exact_search,
+    "op11_rule_ensemble": quality_scores,
+    "op12_presence_masks": ranked_search,
+    "op13_vector_codes": vector_codes_of,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), {_LETTERS}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+def _lloyd_sql(rounds: int) -> str:
+    """Assignment and update steps, one table each; the last assignment is a<rounds>."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""a{k} AS MATERIALIZED (SELECT rid, part, arg_min(entry, d * 16 + entry) AS entry, min(d) AS d FROM
+  (SELECT rid, c.part, entry, sum((x - y) * (x - y))::BIGINT AS d FROM cell c JOIN b{k} b ON c.part = b.part AND c.place = b.place GROUP BY rid, c.part, entry) GROUP BY rid, part)""")
+        if k < rounds:
+            steps.append(f"""m{k} AS (SELECT part, entry, place, sum(x)::BIGINT AS s, count(*) AS n FROM a{k} JOIN cell USING (rid, part) GROUP BY part, entry, place),
+b{k + 1} AS MATERIALIZED (SELECT part, entry, place, coalesce((s - (((s % n) + n) % n)) // n, y)::BIGINT AS y FROM b{k} LEFT JOIN m{k} USING (part, entry, place))""")
+    return ",\n".join(steps)
+
 
 ORACLE_SQL: dict[str, str] = {
     "op3_line_dedup": r"""
@@ -118,4 +148,26 @@ WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOU
 s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0),
 r AS (SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op12_presence_masks": rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS t FROM documents),
+doc AS (SELECT rid, doc_id, t, len(t) AS n FROM d WHERE len(t) > 0),
+corpus AS (SELECT count(*)::BIGINT AS nn, sum(n)::BIGINT AS ll FROM doc),
+post AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(t) AS term FROM doc) GROUP BY rid, term),
+df AS (SELECT term, count(*) AS df FROM post GROUP BY term),
+ask AS (SELECT item_id, term, count(*) AS q FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY item_id, term),
+w AS (SELECT item_id, term, q, floor(1000 * ln((2 * nn + 2) / (2 * df + 1)))::BIGINT AS w FROM ask JOIN df USING (term), corpus),
+s AS (SELECT item_id, doc_id, sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nn) // ll))))::BIGINT AS score FROM w JOIN post USING (term) JOIN doc USING (rid), corpus GROUP BY item_id, rid, doc_id),
+r AS (SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20""",
+    "op13_vector_codes": f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cell AS MATERIALIZED (SELECT rid, (i - 1) // (n // 8) AS part, (i - 1) % (n // 8) AS place, x FROM (SELECT rid, len(e) AS n, unnest(e) AS x, generate_subscripts(e, 1) AS i FROM v)),
+seed AS (SELECT rid, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v ORDER BY vec_id LIMIT 16),
+b0 AS MATERIALIZED (SELECT part, entry, place, x AS y FROM seed JOIN cell USING (rid)),
+{_lloyd_sql(6)},
+h AS (SELECT sha256(string_agg(y::VARCHAR, ',' ORDER BY part, entry, place)) AS codebooks_sha256 FROM b6),
+c AS (SELECT rid, string_agg('0' || substr('0123456789abcdef', entry::INTEGER + 1, 1), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a6 GROUP BY rid),
+l AS (SELECT label, sum(error)::BIGINT AS label_error FROM c JOIN v USING (rid) GROUP BY label)
+SELECT vec_id, code, error, label_error, codebooks_sha256 FROM c JOIN v USING (rid) JOIN l ON v.label IS NOT DISTINCT FROM l.label, h""",
 }
