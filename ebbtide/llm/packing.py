@@ -19,17 +19,19 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.unit_encoder import UnitEncoder
+from ebbtide.llm.unit_encoder import encoder
+from ebbtide.session import bound_batches
 
 WINDOW = 1024
 END_ID = 0
 TASK_BITS = 36
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-_ROWS = 1000  # documents encoded at a time
+_BYTES = 1 << 20  # bytes of text encoded at a time, or one document
 
 
 class LevelArray:
@@ -64,18 +66,20 @@ class LevelArray:
 
 def _encoded(batches, path: str):
     """(doc_id, token ids with the end mark) of every row, in order."""
-    encoder = None  # one per task: its cache must not outlive the task in a reused worker
+    end = np.array([END_ID], "<u4")
     for batch in batches:
-        encoder = encoder or UnitEncoder(path)
-        for at in range(0, batch.num_rows, _ROWS):
-            part = batch.slice(at, _ROWS)
-            texts = [t or "" for t in part.column("_text").to_pylist()]
-            for doc, ids in zip(part.column("_doc").to_pylist(), encoder.encode(texts), strict=True):
-                yield doc, np.append(ids, np.uint32(END_ID)).astype("<u4")
+        docs, sizes = batch.column("_doc").to_pylist(), pc.binary_length(batch.column("_text")).fill_null(0).to_numpy()
+        group = (np.cumsum(sizes) - sizes) // _BYTES  # rows by where their text begins
+        cuts = np.flatnonzero(np.diff(group, prepend=-1, append=-1))
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            texts = [t or "" for t in batch.column("_text").slice(lo, hi - lo).to_pylist()]
+            for doc, ids in zip(docs[lo:hi], encoder(path).encode(texts), strict=True):
+                yield doc, np.concatenate([ids, end])
 
 
 def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece of a document, see SCHEMA."""
+    bound_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).cast("string").alias("_text"))
 
     def run(batches):

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.session import settle
+from ebbtide.session import bound_batches, settle
 
 TERM = re.compile(rb"[0-9a-z\x80-\xff]+")
 _PIECE = re.compile(rb"(?s).{1,1000000}[0-9a-z\x80-\xff]*+")
@@ -77,6 +77,7 @@ def _questions(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[tu
 def forward_index(docs: DataFrame, vocabulary: list[bytes], id_col: str, text_col: str) -> DataFrame:
     """(doc_id, tie, n, term, tf): terms of every document, and its asked ones by number with their occurrences."""
     spark = docs.sparkSession
+    bound_batches(spark)
     shared = spark.sparkContext.broadcast({t: i for i, t in enumerate(vocabulary)})
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("tie"), F.col(text_col).cast("binary").alias("text")).where("text IS NOT NULL")
 
@@ -191,91 +192,27 @@ def search(block: Block, term: np.ndarray, weight: np.ndarray, best: Best, doc_i
     present, order, first = _groups(masks(bitmaps, block.width)[matched], len(place))
     order, after = matched[order], np.append(first[1:], len(matched))
     bound = present @ most
-    scored = 0
+    scored = held = 0
     waiting: list[np.ndarray] = []
 
-    def settle_scores() -> None:
+    def evaluate() -> None:
+        nonlocal held
         docs = np.sort(np.concatenate(waiting))
         waiting.clear()
+        held = 0
         score = block.score(place, weight, docs)
         for i in np.flatnonzero(score >= best.bar()).tolist():
             best.add(int(score[i]), doc_id[docs[i]], int(tie[docs[i]]))
 
     for g in np.argsort(-bound, kind="stable").tolist():
+        size = int(after[g] - first[g])
+        if waiting and held + size > _EVALUATED:
+            evaluate()
         if bound[g] < best.bar():  # equal scores may still win by a smaller doc_id
             break
         waiting.append(order[first[g] : after[g]])
-        scored += after[g] - first[g]
-        if sum(map(len, waiting)) >= _EVALUATED:
-            settle_scores()
+        held += size
+        scored += size
     if waiting:
-        settle_scores()
-    return int(scored)
-
-
-def _blocks(batches) -> Iterator[tuple[list, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """doc_id, tie, n, ends, term and tf of bounded runs of documents."""
-    held: list[pa.RecordBatch] = []
-    docs = postings = 0
-
-    def out():
-        table = pa.Table.from_batches(held).combine_chunks()
-        lists = [table[c].combine_chunks() for c in ("term", "tf")]
-        ends = np.append(0, np.cumsum(lists[0].value_lengths().to_numpy(zero_copy_only=False)))
-        return table["doc_id"].to_pylist(), table["tie"].to_numpy(), table["n"].to_numpy(), ends, lists[0].flatten().to_numpy(), lists[1].flatten().to_numpy()
-
-    for batch in batches:
-        for at in range(0, batch.num_rows, 1024):
-            part = batch.slice(at, 1024)
-            held.append(part)
-            docs += part.num_rows
-            postings += len(part.column("term").flatten())
-            if docs >= DOCS or postings >= POSTINGS:
-                yield out()
-                held, docs, postings = [], 0, 0
-    if held:
-        yield out()
-
-
-def _answers(index: DataFrame, asked, vocabulary: list[bytes], docs: int, words: int, k: int) -> DataFrame:
-    """(item_id, doc_id, tie, score): k rows per item and task."""
-    spark = index.sparkSession
-    df = {r["t"]: r["df"] for r in index.select(F.explode("term").alias("t")).groupBy("t").agg(F.count("*").alias("df")).collect()}  # at most one row per asked term
-    number = {t: i for i, t in enumerate(vocabulary)}
-    questions = []
-    for item, count in asked:
-        term = np.array([number[t] for t, _ in count], np.int32)
-        weight = np.array([q * math.floor(1000 * math.log((2 * docs + 2) / (2 * df.get(number[t], 0) + 1))) for t, q in count], np.int64)
-        questions.append((item, term, weight))
-    shared = spark.sparkContext.broadcast(questions)
-
-    def run(batches):
-        best = [Best(k) for _ in shared.value]
-        for doc_id, tie, n, ends, term, tf in _blocks(batches):
-            block = Block(n, ends, term, tf, docs, words)
-            for (_, wanted, weight), top in zip(shared.value, best, strict=True):
-                search(block, wanted, weight, top, doc_id, tie)
-        rows = [(item, doc, tie, score) for (item, *_), top in zip(shared.value, best, strict=True) for score, doc, tie in top.rows()]
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["item_id", "doc_id", "tie", "score"])
-
-    return index.mapInArrow(run, "item_id long, doc_id long, tie long, score long")
-
-
-def rank(docs: DataFrame, items: DataFrame, k: int = 20, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(item_id, rank, doc_id, score): each item's k highest-scoring documents with a score above 0."""
-    spark = docs.sparkSession
-    found = []
-    for asked in _questions(items, item_col, item_text):
-        vocabulary = sorted({t for _, count in asked for t, _ in count})
-        index = settle(forward_index(docs, vocabulary, id_col, text_col))
-        n, words = index.agg(F.count("*"), F.sum("n")).first()
-        if n:
-            found.append(_answers(index, asked, vocabulary, n, words, k))
-    if not found:
-        return spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
-    every = found[0]
-    for more in found[1:]:
-        every = every.unionByName(more)
-    place = F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last(), "tie"))
-    return every.withColumn("rank", place).where(F.col("rank") <= k).select("item_id", "rank", "doc_id", "score")
+        evaluate()
+    return scored

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.llm.words import _pieces
-from ebbtide.session import scratch, settle
+from ebbtide.session import bound_batches, scratch, settle
 
 SAMPLE = 100_000  # labelled ids of each kind that are read for fitting, as expected by their hash
 FOLDS, HELD_OUT = 3, 1
@@ -78,6 +78,7 @@ def statistics(blob: bytes | None) -> list[float]:
 
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, one column per statistic) of every row."""
+    bound_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
 
     def run(batches):

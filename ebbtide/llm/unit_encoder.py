@@ -10,6 +10,7 @@ Texts with other Unicode white space or with a special token are encoded whole.
 
 from __future__ import annotations
 
+import os
 import re
 from itertools import chain
 
@@ -21,20 +22,37 @@ _ODD = re.compile(r"[^\S\x20\x09-\x0D]|\x85")
 _LEAD = np.zeros(256, bool)  # first bytes of the white space that _ODD finds
 _LEAD[[0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
 CACHE_UNITS = 600_000  # the cache starts anew beyond this; a segment of SEGMENT bytes holds fewer units
+CACHE_IDS = 8 << 20  # and beyond this many ids of units
+_AT_ONCE = 2000  # units handed to the tokenizer at a time: its results take about a kilobyte each
+_OPEN: dict[str, UnitEncoder] = {}
+
+
+def encoder(path: str) -> UnitEncoder:
+    """The encoder of this worker process: tokenizer and cache serve all tasks that run in it.
+
+    The cache is bounded by CACHE_UNITS and CACHE_IDS, about 50 MB, and only one is kept.
+    """
+    if path not in _OPEN:
+        _OPEN.clear()
+        _OPEN[path] = UnitEncoder(path)
+    return _OPEN[path]
 
 
 class UnitEncoder:
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs one task per core
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        self.kind = np.uint16 if self.tok.get_vocab_size() <= 1 << 16 else np.uint32
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.codes = byte_codes(False)
         self._reset()
 
     def _reset(self) -> None:
         self.table = KeyTable(20)
-        self.pool, self.begin, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool, self.filled = np.zeros(1 << 16, self.kind), 0
+        self.begin, self.size = np.zeros(CACHE_UNITS, np.int32), np.zeros(CACHE_UNITS, np.int32)
         self.gaps: dict[bytes, int] = {}
 
     def _whole(self, text: str) -> np.ndarray:
@@ -114,6 +132,19 @@ class UnitEncoder:
         units = np.searchsorted(start, np.concatenate([begins, [len(data) + 1]]))
         return self._gather(data, keys, start, end, units)
 
+    def _learn(self, keys: np.ndarray, units: list[str]) -> None:
+        """Put the ids of new units into the cache."""
+        ids = [enc.ids for enc in self.tok.encode_batch_fast(units, add_special_tokens=False)]
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        end = self.filled + int(size.sum())
+        if end > len(self.pool):
+            self.pool = np.concatenate([self.pool[: self.filled], np.zeros(max(end, 2 * len(self.pool)) - self.filled, self.kind)])
+        self.pool[self.filled : end] = np.fromiter(chain.from_iterable(ids), self.kind, end - self.filled)
+        own = slice(self.table.used, self.table.used + len(ids))
+        self.begin[own], self.size[own] = self.filled + np.cumsum(size) - size, size
+        self.filled = end
+        self.table.add(keys)
+
     def _gather(self, data: bytes, keys, start, end, units) -> list[np.ndarray]:
         if not len(keys):
             return [np.zeros(0, "<u4") for _ in units[1:]]
@@ -122,21 +153,15 @@ class UnitEncoder:
         if len(missing):
             new, first = np.unique(keys[missing], return_index=True)
             first = missing[first]
-            if self.table.used + len(new) > CACHE_UNITS:
+            if self.table.used and (self.table.used + len(new) > CACHE_UNITS or self.filled > CACHE_IDS):
                 self._reset()
                 return self._gather(data, keys, start, end, units)
-            coded = self.tok.encode_batch_fast([data[x:y].decode() for x, y in zip(start[first].tolist(), end[first].tolist(), strict=True)], add_special_tokens=False)
-            ids = [enc.ids for enc in coded]
-            size = np.fromiter(map(len, ids), np.int64, len(ids))
-            base = len(self.pool)
-            self.pool = np.concatenate([self.pool, np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))])
-            self.begin = np.concatenate([self.begin, base + np.cumsum(size) - size])
-            self.size = np.concatenate([self.size, size])
-            self.table.add(new)
+            for k in range(0, len(new), _AT_ONCE):
+                self._learn(new[k : k + _AT_ONCE], [data[x:y].decode() for x, y in zip(start[first[k : k + _AT_ONCE]].tolist(), end[first[k : k + _AT_ONCE]].tolist(), strict=True)])
             at = self.table.find(keys)
-        count = self.size[at]
+        count = self.size[at].astype(np.int64)
         stop = np.cumsum(count)
-        flat = self.pool[np.arange(stop[-1]) + np.repeat(self.begin[at] - (stop - count), count)]
+        flat = self.pool[np.arange(stop[-1]) + np.repeat(self.begin[at] - (stop - count), count)].astype("<u4")
         cuts = np.concatenate([[0], stop])[units]
         return [flat[x:y] for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
