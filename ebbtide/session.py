@@ -39,6 +39,20 @@ def share_package(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
+# --- fixed values: a Spark setting and its default -----------------------------------------------
+BATCH_SETTING, BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
+def bound_batches(spark: SparkSession, size: int = 8 << 20) -> None:
+    """Keep Arrow batches of long texts small, unless the session has a bound of its own.
+
+    A worker holds a batch several times over (received, as Python objects, as results),
+    so 64 MB a batch is a large share of an executor's memory.
+    """
+    if spark.conf.get(BATCH_SETTING, None) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_SETTING, str(size))
+
+
 def _setting(spark: SparkSession, key: str) -> str | None:
     return spark.conf.get(key, None) or spark.sparkContext.getConf().get(key, None)
 
