@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.llm.words import _pieces
-from ebbtide.session import bound_batches, scratch, settle
+from ebbtide.session import bound_batches, scratch, settle, shuffle_width
 
 SAMPLE = 100_000  # labelled ids of each kind that are read for fitting, as expected by their hash
 FOLDS, HELD_OUT = 3, 1
@@ -170,7 +170,9 @@ def fit(measured: DataFrame, labels: DataFrame, label_col: str = "quality") -> R
     total = {r["label"]: (r["n"], r["w"]) for r in rows.groupBy("label").agg(F.count("*").alias("n"), F.sum("weight").alias("w")).collect()}
     if len(total) < 2:
         return RuleEnsemble(30.0 if 1.0 in total else -30.0, {})
-    data = settle(rows.select("label", "weight", array_to_vector(F.array(*STATISTICS)).alias("x"), *STATISTICS))
+    # Bags and sums follow the order of rows, so it is fixed; the rows are bounded by SAMPLE.
+    data = rows.repartition(shuffle_width(rows.sparkSession), "doc_id").sortWithinPartitions("doc_id")
+    data = settle(data.select("label", "weight", array_to_vector(F.array(*STATISTICS)).alias("x"), *STATISTICS))
     least = max(1, min(LEAST, min(n for n, _ in total.values()) // 4))
     forest = RandomForestClassifier(featuresCol="x", labelCol="label", weightCol="weight", numTrees=TREES, maxDepth=DEPTH, minInstancesPerNode=least, featureSubsetStrategy="onethird", seed=SEED).fit(data)
     path = scratch(measured.sparkSession, "forest")
