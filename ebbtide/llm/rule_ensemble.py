@@ -183,7 +183,9 @@ def fit(measured: DataFrame, labels: DataFrame, label_col: str = "quality") -> R
     if not rules:
         p = total[1.0][1] / (total[0.0][1] + total[1.0][1])
         return RuleEnsemble(float(np.log(p / (1 - p))), {})
-    held = settle(data.select("label", "weight", array_to_vector(F.array(*[r.column().cast("double") for r in rules])).alias("x")))
+    # Rows that the same rules match are one weighted row of the regression.
+    held = data.select("label", "weight", F.array(*[r.column().cast("double") for r in rules]).alias("x"))
+    held = settle(held.groupBy("label", "x").agg(F.sum("weight").alias("weight")).orderBy("label", "x").withColumn("x", array_to_vector("x")))
     lasso = LogisticRegression(featuresCol="x", labelCol="label", weightCol="weight", elasticNetParam=1.0, regParam=LASSO, standardization=False, maxIter=200).fit(held)
     weights = {r: float(w) for r, w in zip(rules, lasso.coefficients.toArray(), strict=True) if w}
     return RuleEnsemble(float(lasso.intercept), weights)
