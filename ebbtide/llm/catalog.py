@@ -113,13 +113,13 @@ ORACLE_SQL: dict[str, str] = {
 WITH docs AS (SELECT doc_id, text, row_number() OVER () AS rid FROM documents),
 parts AS (SELECT rid, doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM docs WHERE text IS NOT NULL),
 lines AS (SELECT rid, doc_id, pos, trim(translate(raw, chr(9) || chr(11) || chr(12) || chr(13), '    ')) AS line FROM parts WHERE doc_id IS NOT NULL),
-toks AS (SELECT rid, doc_id, pos, list_transform(regexp_split_to_array(line, ' +'), lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS t FROM lines WHERE line <> ''),
+toks AS (SELECT rid, doc_id, pos, line, list_transform(regexp_split_to_array(line, ' +'), lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS t FROM lines WHERE line <> ''),
 leaf AS (SELECT *, len(t) AS n, array_to_string(t[1:3], ' ') AS lead FROM toks),
 places AS (SELECT rid, pos, n, lead, unnest(t[4:]) AS tok, generate_subscripts(t[4:], 1) AS place FROM leaf),
 common AS (SELECT n, lead, place, tok FROM places GROUP BY ALL HAVING count(*) >= 5),
-kept AS (SELECT rid, pos, count(*) AS k, string_agg(place || ':' || tok, ' ' ORDER BY place) AS sig FROM places JOIN common USING (n, lead, place, tok) GROUP BY rid, pos),
-tpl AS (SELECT rid, doc_id, pos, n, lead, coalesce(sig, '') AS sig FROM leaf LEFT JOIN kept USING (rid, pos)
-  WHERE (len(list_filter(t[1:3], lambda x: x <> '<*>')) + coalesce(k, 0)) / n >= 0.6),
+kept AS (SELECT rid, pos, count(*) AS k, count(*) FILTER (WHERE tok <> '<*>') AS c, string_agg(place || ':' || tok, ' ' ORDER BY place) AS sig FROM places JOIN common USING (n, lead, place, tok) GROUP BY rid, pos),
+tpl AS (SELECT rid, doc_id, pos, n, lead, CASE WHEN len(list_filter(t[1:3], lambda x: x <> '<*>')) + coalesce(c, 0) = 0 THEN 'line:' || line ELSE coalesce(sig, '') END AS sig
+  FROM leaf LEFT JOIN kept USING (rid, pos) WHERE (least(n, 3) + coalesce(k, 0)) / n >= 0.6),
 known AS (SELECT n, lead, sig, min(doc_id) AS first FROM tpl GROUP BY n, lead, sig HAVING count(DISTINCT doc_id) >= 5),
 gone AS (SELECT rid, pos FROM tpl JOIN known USING (n, lead, sig) WHERE doc_id > first),
 done AS (SELECT p.rid, count(*) AS n_lines, count(g.pos) AS n_dropped, coalesce(string_agg(p.raw, chr(10) ORDER BY p.pos) FILTER (WHERE g.pos IS NULL), '') AS txt

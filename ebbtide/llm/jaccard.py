@@ -35,7 +35,8 @@ from pyspark.sql import types as T
 from ebbtide.llm.components import components
 from ebbtide.llm.sketches import allows_two, repeated
 from ebbtide.llm.words import U, Runs, hash_words, mix
-from ebbtide.session import settle
+from ebbtide.llm.names import field
+from ebbtide.session import bound_batches, settle
 
 SHINGLE = 5
 NUM, DEN = 3, 4  # the threshold 0.75 as a fraction, so that comparisons are exact
@@ -279,6 +280,7 @@ def _empty(spark: SparkSession, schema: str) -> DataFrame:
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles and component_id."""
     spark = docs.sparkSession
+    bound_batches(spark)
     base = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).cast("binary").alias("_text"))
     texts = base.select("_text")
     sizes = settle(shingle_sizes(base))
@@ -314,3 +316,11 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     named = members.join(heads, "comp").select("node", "component_id")
     alone = sizes.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return filled.join(named, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(alone)
+
+
+def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose id names their component, and those without an id; the caller's columns as they are."""
+    heads = similar_documents(docs, id_col, text_col).where("doc_id = component_id").select(F.col("doc_id").alias("_head")).distinct()
+    rows = docs.select(F.struct(*[field(c) for c in docs.columns]).alias("_row"), F.col(id_col).cast("long").alias("_doc"))
+    kept = rows.join(heads, F.col("_doc") == F.col("_head"), "left_semi").unionByName(rows.where("_doc IS NULL"))
+    return kept.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ebbtide.llm.names import field
 from ebbtide.session import settle
 
 WEIGHTS = (5, 2, 1)  # by rank of the source, repeating
@@ -157,10 +158,11 @@ def _same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner"
 def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 42) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it; equal rows share their copies."""
     copies = mix(docs, id_col, text_col, source_col, seed).groupBy("_hash").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-    rows = docs.withColumn("_hash", row_hash(seed, id_col, text_col)).join(copies.where("_copies > 0"), "_hash")
+    rows = docs.select(F.struct(*[field(c) for c in docs.columns]).alias("_row"), row_hash(seed, id_col, text_col).alias("_hash")).join(copies.where("_copies > 0"), "_hash")
     place = F.row_number().over(Window.partitionBy("_hash").orderBy("_hash")) - 1
     share = F.expr("cast(_copies div _rows as int)") + F.when(place < F.col("_copies") % F.col("_rows"), 1).otherwise(0)
-    return rows.withColumn("_times", share).where("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    rows = rows.withColumn("_times", share).where("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    return rows.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
 
 
 def digest(mixed: DataFrame) -> DataFrame:

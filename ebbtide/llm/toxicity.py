@@ -12,9 +12,10 @@ Nothing but the text enters a score. Edge cases: null, empty and word-free texts
 the score of a text without any toxic token; rows may repeat; without labels of both
 kinds every score is the share of toxic labels (0 without labels).
 
-The fitting sample is bounded: ``SAMPLE`` labelled rows of each kind, the ones with
-the smallest hash of their id. It is fitted in one task, in slices of ``SLICE`` bytes whose
-sums are added; the model (about 1 MB) goes to every task. Forward-backward runs over segments of ``SEGMENT_TOKENS`` tokens side by side: a
+The fitting sample is bounded: ``SAMPLE`` labelled ids of each kind, the ones with the
+smallest hash, one row each. It is fitted in one task, in slices of ``SLICE`` bytes whose
+sums are added; beyond ``HELD`` bytes the features of a slice are taken anew in each step.
+The model (about 1 MB) goes to every task. Forward-backward runs over segments of ``SEGMENT_TOKENS`` tokens side by side: a
 first sweep gives each segment's transfer matrix, the matrices of a text are chained,
 and a second sweep runs from the true incoming state, so the result is exact.
 """
@@ -31,7 +32,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ebbtide.llm.names import field, free_name
 from ebbtide.llm.words import U, affix_hashes, mix
+from ebbtide.session import bound_batches
 
 SAMPLE = 3000  # labelled rows of each kind that the field is fitted on
 FOLDS, HELD_OUT = 5, 0  # rows with crc32(id) % FOLDS == HELD_OUT are never fitted on
@@ -43,6 +46,7 @@ STEPS, RATE, RIDGE = 60, 0.5, 1e-4
 SPAN_AT = 0.5
 _BATCH = 1 << 20  # bytes of text handled at a time
 SLICE = 2 << 20  # bytes of text that the fit handles at a time; its sums run over all slices
+HELD = 64 << 20  # bytes of features that the fit keeps between its steps
 
 
 def fold(id_col) -> F.Column:
@@ -177,12 +181,35 @@ def _owners(bounds: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
 
 
-def _token_labels(slices, toxic) -> list[np.ndarray]:
-    """1 for tokens of toxic texts that hold a marker feature, slice by slice of (features, bounds, toxic)."""
+class _Slices:
+    """Features and token bounds of the slices of the fitting texts, kept up to HELD bytes and else taken anew."""
+
+    def __init__(self, texts: list[bytes]):
+        self.texts, self.ranges, self.kept, self.held = texts, list(_slices(texts)), {}, 0
+
+    def __len__(self) -> int:
+        return len(self.ranges)
+
+    def __getitem__(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        if k in self.kept:
+            return self.kept[k]
+        i, j = self.ranges[k]
+        feats, bounds, *_ = tokenize(self.texts[i:j])
+        if self.held + feats.nbytes <= HELD:
+            self.kept[k] = feats, bounds
+            self.held += feats.nbytes
+        return feats, bounds
+
+
+def _token_labels(slices: _Slices, toxic: np.ndarray) -> list[np.ndarray]:
+    """Whether a token of a toxic text holds a marker feature, slice by slice."""
     size = 1 << LOG_FEATURES
     n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
-    one, zero = (np.zeros((len(slices[0][0]), size), np.int64) for _ in range(2))
-    for feats, bounds, bad in slices:
+    kinds = 1 + len(PREFIXES)
+    one, zero = (np.zeros((kinds, size), np.int64) for _ in range(2))
+    for s, (i, j) in enumerate(slices.ranges):
+        feats, bounds = slices[s]
+        bad = toxic[i:j]
         doc = _owners(bounds).astype(np.int64) << LOG_FEATURES
         for k, kind in enumerate(feats):
             pair = np.unique(doc | kind)
@@ -190,7 +217,20 @@ def _token_labels(slices, toxic) -> list[np.ndarray]:
             one[k] += np.bincount(f[is_toxic], minlength=size)
             zero[k] += np.bincount(f[~is_toxic], minlength=size)
     marker = (one >= min(SUPPORT, max(1, n1 // 4))) & (one / n1 > LIFT * (zero + 0.5) / n0)
-    return [(np.any([m[kind] for m, kind in zip(marker, feats, strict=True)], axis=0) & bad[_owners(bounds)]).astype(float) for feats, bounds, bad in slices]
+    out = []
+    for s, (i, j) in enumerate(slices.ranges):
+        feats, bounds = slices[s]
+        out.append(np.any([m[kind] for m, kind in zip(marker, feats, strict=True)], axis=0) & toxic[i:j][_owners(bounds)])
+    return out
+
+
+def _sequences(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Training sequences are the segments: their cuts, and the left ones of neighbours inside a segment."""
+    segs = np.concatenate([np.arange(lo, hi, SEGMENT_TOKENS) for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)] + [[bounds[-1]]])
+    cuts = segs.astype(np.int64)
+    inner = np.ones(int(bounds[-1]), bool)
+    inner[cuts[:-1]] = False
+    return cuts, np.flatnonzero(inner) - 1
 
 
 def fit_field(texts: list[bytes], toxic: np.ndarray, weight: np.ndarray) -> Field:
@@ -200,30 +240,26 @@ def fit_field(texts: list[bytes], toxic: np.ndarray, weight: np.ndarray) -> Fiel
     flat = Field(np.zeros(1 << LOG_FEATURES, np.float32), 0.0, np.zeros((2, 2)), np.array([_logit(prior), 0.0, 0.0]))
     if not len(toxic) or toxic.all() or not toxic.any():
         return flat
-    slices = []
-    for i, j in _slices(texts):
-        feats, bounds, *_ = tokenize(texts[i:j])
-        slices.append((feats, bounds, toxic[i:j]))
-    n = sum(feats.shape[1] for feats, _, _ in slices)
+    slices = _Slices(texts)
+    tags = _token_labels(slices, toxic)
+    n = sum(map(len, tags))
     if not n:
         return flat
-    parts, seen = [], np.zeros((2, 2))
-    for (feats, bounds, _), y in zip(slices, _token_labels(slices, toxic), strict=True):
-        # Training sequences are the segments: pairs of neighbours inside a segment count.
-        segs = np.concatenate([np.arange(lo, hi, SEGMENT_TOKENS) for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)] + [[bounds[-1]]])
-        cuts = segs.astype(np.int64)
-        inner = np.ones(len(y), bool)
-        inner[cuts[:-1]] = False
-        left = np.flatnonzero(inner) - 1
-        seen += np.array([[((1 - y[left]) * (1 - y[left + 1])).sum(), ((1 - y[left]) * y[left + 1]).sum()], [(y[left] * (1 - y[left + 1])).sum(), (y[left] * y[left + 1]).sum()]])
-        if len(y):
-            parts.append((feats, cuts, left, y))
-    marked = sum(y.sum() for *_, y in parts)
+    seen = np.zeros((2, 2))
+    for s, y in enumerate(tags):
+        _, left = _sequences(slices[s][1])
+        a, b = y[left], y[left + 1]
+        seen += np.array([[(~a & ~b).sum(), (~a & b).sum()], [(a & ~b).sum(), (a & b).sum()]])
+    marked = sum(int(y.sum()) for y in tags)
     w, b, trans = np.zeros(1 << LOG_FEATURES), math.log((marked + 1) / (n - marked + 1)), np.zeros((2, 2))
     gw2, gb2, gt2 = np.full(len(w), 1e-6), 1e-6, np.full((2, 2), 1e-6)
     for _ in range(STEPS):
         gw, gb, pair = np.zeros(len(w)), 0.0, np.zeros((2, 2))
-        for feats, cuts, left, y in parts:
+        for s, y in enumerate(tags):
+            if not len(y):
+                continue
+            feats, bounds = slices[s]
+            cuts, left = _sequences(bounds)
             score = w[feats].sum(axis=0) + b
             p = marginals(score, cuts, trans)
             pair += _pairs(score, cuts, trans, p, left)
@@ -240,8 +276,11 @@ def fit_field(texts: list[bytes], toxic: np.ndarray, weight: np.ndarray) -> Fiel
         b += RATE * gb / math.sqrt(gb2)
         trans += RATE * gt / np.sqrt(gt2)
         trans -= trans[0, 0]
-    x = np.concatenate([_doc_features(marginals(w[feats].sum(axis=0) + b, bounds, trans), bounds) for feats, bounds, _ in slices])
-    return Field(w.astype(np.float32), float(b), trans, _logistic(x, toxic.astype(float), weight * len(weight) / weight.sum()))
+    x = []
+    for s in range(len(slices)):
+        feats, bounds = slices[s]
+        x.append(_doc_features(marginals(w[feats].sum(axis=0) + b, bounds, trans), bounds))
+    return Field(w.astype(np.float32), float(b), trans, _logistic(np.concatenate(x), toxic.astype(float), weight * len(weight) / weight.sum()))
 
 
 def _pairs(score, bounds, trans, p, left) -> np.ndarray:
@@ -286,8 +325,9 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     total = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     picks = [known.where(F.col("toxic") == k).orderBy(F.xxhash64(F.lit("fit"), "doc_id"), "doc_id").limit(SAMPLE).withColumn("weight", F.lit(max(1.0, total.get(k, 0) / SAMPLE))) for k in (0, 1)]
     chosen = picks[0].unionByName(picks[1]).withColumnRenamed("doc_id", "_id")
-    # At most 2 * SAMPLE ids are broadcast, so the texts are never shuffled for it.
-    return docs.where("_text IS NOT NULL").join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select("_doc", "_text", "toxic", "weight")
+    # At most 2 * SAMPLE ids are broadcast, so only their texts are shuffled; an id that repeats gives one row, its smallest text.
+    rows = docs.where("_text IS NOT NULL").join(F.broadcast(chosen), F.col("_doc") == F.col("_id"))
+    return rows.groupBy("_doc", "toxic", "weight").agg(F.min("_text").alias("_text")).select("_doc", "_text", "toxic", "weight")
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Field:
@@ -303,17 +343,20 @@ def fit(docs: DataFrame, labels: DataFrame) -> Field:
 
 
 def score_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All rows and columns of ``docs`` with _score and _spans (start and end byte of the UTF-8 text, marginal)."""
+    """All rows and columns of ``docs`` with _score and _spans (start and end byte of the UTF-8 text, marginal); names that are taken get more underscores."""
+    bound_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).cast("binary").alias("_text"))
     model = docs.sparkSession.sparkContext.broadcast(fit(base, labels))
     span = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())])
-    rows = docs.withColumn("_text", F.col(text_col).cast("binary"))
+    # The caller's columns travel by place, so no name of theirs can clash with the text's.
+    own = [f"c{i}" for i in range(len(docs.columns))]
+    rows = docs.select(F.col(text_col).cast("binary").alias("text"), *[field(c).alias(n) for c, n in zip(docs.columns, own)])
 
     def run(batches):
         field = model.value
         for batch in batches:
-            texts = batch.column("_text").to_pylist()
-            own = batch.drop_columns(["_text"])
+            texts = batch.column("text").to_pylist()
+            others = batch.drop_columns(["text"])
             i = 0
             while i < len(texts):
                 j, size = i, 0
@@ -335,12 +378,14 @@ def score_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
                     else:
                         own_spans.append({"start": a, "end": b, "p": float(p[k])})
                     last = k
-                part = own.slice(i, j - i)
+                part = others.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score, pa.float64()), pa.array(spans, pa.list_(span))], names=[*part.schema.names, "_score", "_spans"])
                 i = j
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("_score", T.DoubleType()), T.StructField("_spans", T._parse_datatype_string("array<struct<start: long, end: long, p: double>>"))])
-    return rows.mapInArrow(run, schema)
+    kinds = [T.StructField(n, f.dataType, f.nullable) for n, f in zip(own, docs.schema.fields)]
+    schema = T.StructType([*kinds, T.StructField("_score", T.DoubleType()), T.StructField("_spans", T._parse_datatype_string("array<struct<start: long, end: long, p: double>>"))])
+    score, spans = free_name(docs, "_score"), free_name(docs, "_spans")
+    return rows.mapInArrow(run, schema).toDF(*docs.columns, score, spans)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
