@@ -13,13 +13,15 @@ from pyspark.sql import functions as F
 
 from ebbtide.llm import jaccard, line_templates, mixing, packing, toxicity
 from ebbtide.llm.catalog import tokenizer_path
+from ebbtide.llm.names import field
 from ebbtide.session import settle, share_package
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below 0.5; the field is fitted on the labelled ones that are not held out."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return toxicity.score_rows(docs, labels).where("_score < 0.5").select(*docs.columns)
+    scored = toxicity.score_rows(docs, labels)
+    return scored.where(F.col(scored.columns[-2]) < 0.5).select(*[field(c) for c in docs.columns])
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,15 +29,13 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     kept = line_templates.drop_recurring_lines(docs)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        kept = kept.withColumn("n_chars", F.when(F.col("_n_dropped") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return kept.select(*docs.columns)
+        kept = kept.withColumn("n_chars", F.when(F.col(kept.columns[-1]) > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return kept.select(*[field(c) for c in docs.columns])
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest doc_id of every component of similar documents stays; rows without an id stay."""
-    heads = jaccard.similar_documents(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_head")).distinct()
-    named = docs.join(heads, F.col("doc_id").cast("long") == F.col("_head"), "left_semi")
-    return named.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    return jaccard.one_per_component(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
