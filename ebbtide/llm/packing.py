@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.unit_encoder import encoder
+from ebbtide.llm.unit_encoder import encoder, merges_agree
 from ebbtide.session import bound_batches
 
 WINDOW = 1024
@@ -64,7 +64,7 @@ class LevelArray:
             self.open[level].append(window)
 
 
-def _encoded(batches, path: str):
+def _encoded(batches, path: str, fast: bool):
     """(doc_id, token ids with the end mark) of every row, in order."""
     end = np.array([END_ID], "<u4")
     for batch in batches:
@@ -73,13 +73,14 @@ def _encoded(batches, path: str):
         cuts = np.flatnonzero(np.diff(group, prepend=-1, append=-1))
         for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             texts = [t or "" for t in batch.column("_text").slice(lo, hi - lo).to_pylist()]
-            for doc, ids in zip(docs[lo:hi], encoder(path).encode(texts), strict=True):
+            for doc, ids in zip(docs[lo:hi], encoder(path, fast).encode(texts), strict=True):
                 yield doc, np.concatenate([ids, end])
 
 
 def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece of a document, see SCHEMA."""
     bound_batches(docs.sparkSession)
+    fast = merges_agree(tokenizer_path)
     base = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).cast("string").alias("_text"))
 
     def run(batches):
@@ -101,7 +102,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, id_col: str
             return batch
 
         new = 0
-        for doc, ids in _encoded(batches, tokenizer_path):
+        for doc, ids in _encoded(batches, tokenizer_path, fast):
             total, whole = len(ids), len(ids) // window * window
             for s in range(0, whole, window):
                 emit([(doc, s, ids[s : s + window], total)])

@@ -6,12 +6,17 @@ with the one space before it, and the white space between (all of it but the las
 character is one unit, the last one another). Units are found and compared as 64-bit
 hashes by whole-array operations; only units not met before go through the tokenizer.
 Texts with other Unicode white space or with a special token are encoded whole.
+
+New units below U+0800 go through ``tiktoken``, several times as fast, if it provably merges
+alike (see merges_agree), all others through ``tokenizers``.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -21,25 +26,67 @@ from ebbtide.llm.words import SEGMENT, U, Runs, byte_codes, segment
 _ODD = re.compile(r"[^\S\x20\x09-\x0D]|\x85")
 _LEAD = np.zeros(256, bool)  # first bytes of the white space that _ODD finds
 _LEAD[[0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
-CACHE_UNITS = 600_000  # the cache starts anew beyond this; a segment of SEGMENT bytes holds fewer units
-CACHE_IDS = 8 << 20  # and beyond this many ids of units
+CACHE_UNITS = 600_000  # units of a generation of the cache; a segment of SEGMENT bytes holds fewer
+CACHE_IDS = 8 << 20  # a generation ends beyond this many ids as well
 _AT_ONCE = 2000  # units handed to the tokenizer at a time: its results take about a kilobyte each
 _OPEN: dict[str, UnitEncoder] = {}
 
 
-def encoder(path: str) -> UnitEncoder:
+# --- fixed values: the split pattern of this tokenizer family, and its printable stand-ins for bytes ------
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+
+
+def _stand_ins() -> dict[str, int]:
+    """Byte by stand-in: printable ones stand for themselves, the others take the characters from 256 on."""
+    hidden = [b for b in range(256) if b not in PRINTABLE]
+    return {chr(b): b for b in PRINTABLE} | {chr(256 + k): b for k, b in enumerate(hidden)}
+
+
+@lru_cache(4)
+def merges_agree(path: str) -> bool:
+    """Whether merging any two neighbours whose union is a token, smallest id first, gives this tokenizer's ids.
+
+    ``tokenizers`` merges listed pairs only, in listed order. Both agree on every text if
+    ids follow that order and every token's own bytes encode to that token: merges below a
+    token's id then leave exactly its listed pair of those bytes wherever they stand, so no
+    other pair of parts with that union ever comes up.
+    """
+    from tokenizers import Tokenizer
+
+    try:
+        import tiktoken  # noqa: F401
+    except ImportError:
+        return False
+    tok = Tokenizer.from_file(path)
+    spec = json.loads(tok.to_str())
+    model, split = spec["model"], spec["pre_tokenizer"] or {}
+    plain = model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges", "unk_token"))
+    if not plain or spec["normalizer"] or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True):
+        return False
+    stand_ins, vocab = _stand_ins(), model["vocab"]
+    pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    ids = [vocab[a + b] for a, b in pairs]
+    if any(a >= b for a, b in zip(ids, ids[1:])) or any(c not in vocab for c in stand_ins):
+        return False
+    own = [t for t in vocab if all(c in stand_ins for c in t)]
+    return all([x.id for x in tok.model.tokenize(t)] == [vocab[t]] for t in own)
+
+
+def encoder(path: str, fast: bool = False) -> UnitEncoder:
     """The encoder of this worker process: tokenizer and cache serve all tasks that run in it.
 
-    The cache is bounded by CACHE_UNITS and CACHE_IDS, about 50 MB, and only one is kept.
+    The cache is two generations of CACHE_UNITS, about 50 MB: units of the older one that
+    are met again move to the younger, so those in use stay. Only one encoder is kept.
     """
     if path not in _OPEN:
         _OPEN.clear()
-        _OPEN[path] = UnitEncoder(path)
+        _OPEN[path] = UnitEncoder(path, fast)
     return _OPEN[path]
 
 
 class UnitEncoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, fast: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs one task per core
         from tokenizers import Tokenizer
 
@@ -47,12 +94,14 @@ class UnitEncoder:
         self.kind = np.uint16 if self.tok.get_vocab_size() <= 1 << 16 else np.uint32
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.codes = byte_codes(False)
-        self._reset()
+        self.quick, self.feed = None, self._whole("\n").tolist()
+        if fast and len(self.feed) == 1:
+            import tiktoken
 
-    def _reset(self) -> None:
-        self.table = KeyTable(20)
-        self.pool, self.filled = np.zeros(1 << 16, self.kind), 0
-        self.begin, self.size = np.zeros(CACHE_UNITS, np.int32), np.zeros(CACHE_UNITS, np.int32)
+            stand_ins, special = _stand_ins(), set(self.special)
+            ranks = {bytes(stand_ins[c] for c in t): i for t, i in self.tok.get_vocab().items() if t not in special}
+            self.quick = tiktoken.Encoding("units", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+        self.young, self.old = Generation(self.kind), Generation(self.kind)
         self.gaps: dict[bytes, int] = {}
 
     def _whole(self, text: str) -> np.ndarray:
@@ -132,38 +181,71 @@ class UnitEncoder:
         units = np.searchsorted(start, np.concatenate([begins, [len(data) + 1]]))
         return self._gather(data, keys, start, end, units)
 
-    def _learn(self, keys: np.ndarray, units: list[str]) -> None:
+    def _learn(self, keys: np.ndarray, units: list[bytes]) -> None:
         """Put the ids of new units into the cache."""
-        ids = [enc.ids for enc in self.tok.encode_batch_fast(units, add_special_tokens=False)]
+        if self.quick is not None:
+            # One text, a line feed after each unit: a unit and an id of its own, which tells where units end.
+            low = [i for i, u in enumerate(units) if not u.isspace() and max(u) < 0xE0]
+            flat = np.array(self.quick.encode_ordinary("".join([units[i].decode() + "\n" for i in low])), np.uint32)
+            cut = np.flatnonzero(flat == self.feed[0])
+            if len(cut) == len(low):
+                size = np.diff(cut, prepend=-1) - 1
+                self.young.add(keys[low], np.delete(flat, cut).astype(self.kind), size)
+                rest = np.delete(np.arange(len(units)), low)
+                keys, units = keys[rest], [units[i] for i in rest.tolist()]
+        ids = [enc.ids for enc in self.tok.encode_batch_fast([u.decode() for u in units], add_special_tokens=False)]
         size = np.fromiter(map(len, ids), np.int64, len(ids))
-        end = self.filled + int(size.sum())
-        if end > len(self.pool):
-            self.pool = np.concatenate([self.pool[: self.filled], np.zeros(max(end, 2 * len(self.pool)) - self.filled, self.kind)])
-        self.pool[self.filled : end] = np.fromiter(chain.from_iterable(ids), self.kind, end - self.filled)
-        own = slice(self.table.used, self.table.used + len(ids))
-        self.begin[own], self.size[own] = self.filled + np.cumsum(size) - size, size
-        self.filled = end
-        self.table.add(keys)
+        self.young.add(keys, np.fromiter(chain.from_iterable(ids), self.kind, int(size.sum())), size)
 
     def _gather(self, data: bytes, keys, start, end, units) -> list[np.ndarray]:
         if not len(keys):
             return [np.zeros(0, "<u4") for _ in units[1:]]
-        at = self.table.find(keys)
+        at = self.young.table.find(keys)
         missing = np.flatnonzero(at < 0)
         if len(missing):
             new, first = np.unique(keys[missing], return_index=True)
             first = missing[first]
-            if self.table.used and (self.table.used + len(new) > CACHE_UNITS or self.filled > CACHE_IDS):
-                self._reset()
+            if self.young.table.used and (self.young.table.used + len(new) > CACHE_UNITS or self.young.filled > CACHE_IDS):
+                self.young, self.old, self.gaps = Generation(self.kind), self.young, {}
                 return self._gather(data, keys, start, end, units)
-            for k in range(0, len(new), _AT_ONCE):
-                self._learn(new[k : k + _AT_ONCE], [data[x:y].decode() for x, y in zip(start[first[k : k + _AT_ONCE]].tolist(), end[first[k : k + _AT_ONCE]].tolist(), strict=True)])
-            at = self.table.find(keys)
+            before = self.old.table.find(new)
+            known, unknown = np.flatnonzero(before >= 0), np.flatnonzero(before < 0)
+            self.young.add(new[known], *self.old.ids(before[known]))
+            for k in range(0, len(unknown), _AT_ONCE):
+                pick = unknown[k : k + _AT_ONCE]
+                self._learn(new[pick], [data[x:y] for x, y in zip(start[first[pick]].tolist(), end[first[pick]].tolist(), strict=True)])
+            at = self.young.table.find(keys)
+        flat, count = self.young.ids(at)
+        cuts = np.append(0, np.cumsum(count))[units]
+        flat = flat.astype("<u4")
+        return [flat[x:y] for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
+
+class Generation:
+    """Ids of units by the order of their arrival, in one growing pool."""
+
+    def __init__(self, kind):
+        self.table, self.kind = KeyTable(20), kind
+        self.pool, self.filled = np.zeros(1 << 16, kind), 0
+        self.begin, self.size = np.zeros(CACHE_UNITS, np.int32), np.zeros(CACHE_UNITS, np.int32)
+
+    def add(self, keys: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+        """New units; ``ids`` of one after the other."""
+        end = self.filled + len(ids)
+        if end > len(self.pool):
+            self.pool = np.concatenate([self.pool[: self.filled], np.zeros(max(end, 2 * len(self.pool)) - self.filled, self.kind)])
+        self.pool[self.filled : end] = ids
+        own = slice(self.table.used, self.table.used + len(keys))
+        self.begin[own], self.size[own] = self.filled + np.cumsum(size) - size, size
+        self.filled = end
+        self.table.add(keys)
+
+    def ids(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units in a row, and how many each has."""
         count = self.size[at].astype(np.int64)
         stop = np.cumsum(count)
-        flat = self.pool[np.arange(stop[-1]) + np.repeat(self.begin[at] - (stop - count), count)].astype("<u4")
-        cuts = np.concatenate([[0], stop])[units]
-        return [flat[x:y] for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        total = int(stop[-1]) if len(stop) else 0
+        return self.pool[np.arange(total) + np.repeat(self.begin[at] - (stop - count), count)], count
 
 
 class KeyTable:
