@@ -16,7 +16,7 @@ from ebbtide.catalog.shared import assembled, rounded
 from ebbtide.catalog.sources import written_matrix
 from ebbtide.config import Settings
 from ebbtide.functions.scalars import ID as KEY, portable_hash
-from ebbtide.operators import attribution, encoding, hazards, learning, metrics, splitting, trees, uplift
+from ebbtide.operators import attribution, boosting, encoding, hazards, learning, metrics, splitting, trees, uplift
 from ebbtide.plans import scoring as score_plans, training
 from ebbtide.session import scratch, shared_dir
 from ebbtide.sources import readers
@@ -47,10 +47,19 @@ def parts(d):
     return splitting.temporal_split(training.with_row_key(features(d)[0]), splits=SPLITS)
 
 
+def data_key(d) -> str:
+    """Name of what a run depends on: its tables' paths, sizes and times, the settings, and how models are fitted."""
+    files = d.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(d.folder)
+    names = ("customer", "orders", "lineitem", "events", "nation")
+    rows = files.select("path", "length", "modificationTime").where(F.col("path").rlike("/(" + "|".join(names) + r")\.parquet")).orderBy("path").collect()  # a listing
+    listing = [(r["path"], r["length"], str(r["modificationTime"])) for r in rows]
+    return hashlib.sha256(repr((listing, SETTINGS, learning.BOOSTING, boosting.FORMAT)).encode()).hexdigest()[:16]
+
+
 @once
 def boosted(d):
-    """Model and calibrator of the run saved for this application and data folder; the first user trains it."""
-    path = f"{shared_dir(d.spark)}/runs/{d.spark.sparkContext.applicationId}/{hashlib.sha256(d.folder.encode()).hexdigest()[:16]}"
+    """Model and calibrator of the run saved for these data, by any session; without one it is trained, or goes on where it was cut off."""
+    path = f"{shared_dir(d.spark)}/runs/{data_key(d)}"
     try:
         return training.load_run(d.spark, path)
     except AnalysisException:  # nothing saved yet

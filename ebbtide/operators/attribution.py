@@ -47,7 +47,7 @@ def direction(c: Column) -> Column:
 
 
 def long_form(df: DataFrame, *keep: str, contributions: str = "contributions") -> DataFrame:
-    return df.select(*keep, F.explode(contributions).alias("c")).select(*keep, "c.feature", "c.contribution", "c.value")
+    return df.select(*keep, F.inline(contributions))
 
 
 def global_importance(df: DataFrame, contributions: str = "contributions") -> DataFrame:

@@ -6,10 +6,11 @@ import math
 import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
@@ -17,7 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbtide.config import DEFAULTS, NON_FEATURES
-from ebbtide.operators.metrics import average_precision
+from ebbtide.operators import boosting
+from ebbtide.operators.boosting import best_round  # noqa: F401 - part of this module's interface
 from ebbtide.operators.profiling import numeric_columns
 from ebbtide.session import scratch
 
@@ -34,12 +36,6 @@ def align_features(df: DataFrame, wanted: Sequence[str], keep: Sequence[str] = (
     return df.select(*keep, *[(F.col(c).cast("double") if c in have else F.lit(0.0)).alias(c) for c in wanted])
 
 
-def missing_flags(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """0/1 ``<c>_is_null`` per column, so trees can tell an absent value from a zero."""
-    names = [f"{c}_is_null" for c in columns]
-    return df.withColumns({n: F.col(c).isNull().cast("double") for n, c in zip(names, columns)}), names
-
-
 def assemble_features(df: DataFrame, features: Sequence[str], output: str = "features") -> DataFrame:
     """Feature vector with NULL as 0; features absent from ``df`` are 0 as well."""
     have = set(df.columns)
@@ -59,8 +55,9 @@ def class_weights(df: DataFrame, target: str = "churned") -> DataFrame:
     return per.withColumn("weight", total / (F.col("n") * 2.0))
 
 
-def with_weight(df: DataFrame, target: str = "churned") -> DataFrame:
-    w = {r["label"]: r["weight"] for r in class_weights(df, target).collect()}  # two rows
+def with_weight(df: DataFrame, target: str = "churned", like: DataFrame | None = None) -> DataFrame:
+    """Add each row's class weight, as found in ``like`` (or in ``df`` itself)."""
+    w = {r["label"]: r["weight"] for r in class_weights(df if like is None else like, target).collect()}  # two rows
     return df.withColumn("weight", F.when(F.col(target) == 1, float(w.get(1, 1.0))).otherwise(float(w.get(0, 1.0))))
 
 
@@ -75,27 +72,42 @@ class ChurnModel:
 
     def score(self, df: DataFrame, name: str = "p") -> DataFrame:
         """Add the leaving probability; missing features count as 0."""
-        x = assemble_features(with_null_flags(df, self.features), self.features, "_features")
+        if self.kind == "boosted":
+            return df.withColumn(name, 1 / (1 + F.exp(-self.margin(df))))
+        x = assemble_features(df, self.features, "_features")
         out = self.model.transform(x).withColumn(name, probability("_probability"))
-        return out.drop("_features", "_scaled", "_raw", "_probability", "_prediction", *[c for c in out.columns if c.endswith("_is_null") and c not in df.columns])
+        return out.drop("_features", "_scaled", "_raw", "_probability", "_prediction")
+
+    def margin(self, df: DataFrame) -> Column:
+        """Sum of the trees' values; NULL takes each split's own branch, absent columns are 0."""
+        model = self.model
+
+        @F.pandas_udf("double")
+        def margins(x: pd.DataFrame) -> pd.Series:
+            return pd.Series(model.margins(x.to_numpy(float)))
+
+        return margins(F.struct(*inputs(df, self.features)))
 
     def save(self, path: str) -> None:
-        """Spark model, feature list and kind, so that ``load`` scores alike."""
-        self.model.write().overwrite().save(f"{path}/model")
+        """Model, feature list and kind, so that ``load`` scores alike."""
         spark = SparkSession.active()
+        if self.kind == "boosted":
+            self.model.save(spark, f"{path}/model")
+        else:
+            self.model.write().overwrite().save(f"{path}/model")
         spark.createDataFrame([(self.kind, list(self.features))], "kind string, features array<string>").coalesce(1).write.mode("overwrite").json(f"{path}/features")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> ChurnModel:
         row = spark.read.schema("kind string, features array<string>").json(f"{path}/features").first()
-        reader = GBTClassificationModel if row["kind"] == "boosted" else PipelineModel
-        return ChurnModel(reader.load(f"{path}/model"), list(row["features"]), row["kind"])
+        model = boosting.BoostedTrees.load(spark, f"{path}/model") if row["kind"] == "boosted" else PipelineModel.load(f"{path}/model")
+        return ChurnModel(model, list(row["features"]), row["kind"])
 
 
-def with_null_flags(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    wanted = [f[: -len("_is_null")] for f in features if f.endswith("_is_null") and f not in df.columns]
+def inputs(df: DataFrame, features: Sequence[str]) -> list[Column]:
+    """Features as doubles named by their place; absent ones are 0."""
     have = set(df.columns)
-    return df.withColumns({f"{c}_is_null": (F.col(c).isNull().cast("double") if c in have else F.lit(1.0)) for c in wanted}) if wanted else df
+    return [(F.col(c).cast("double") if c in have else F.lit(0.0)).alias(f"x{i}") for i, c in enumerate(features)]
 
 
 def predict_label(p: Column, threshold: float = 0.5) -> Column:
@@ -118,79 +130,57 @@ def fit_logistic(train: DataFrame, features: Sequence[str] | None = None, target
     return ChurnModel(PipelineModel([scaler, lr]), features, "logistic")
 
 
-# --- fixed values: boosting defaults ----------------------------------------------------------
-BOOSTING = {"max_depth": 5, "step_size": 0.05, "min_rows": 50, "subsample": 0.8, "feature_share": 0.8, "rounds": 1000, "patience": 50}
+BOOSTING = boosting.DEFAULTS
 
 
-def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
-    """Rounds up to the lowest loss, and whether ``patience`` rounds without gain have followed it."""
-    best = min(range(len(losses)), key=lambda i: (losses[i], i))
-    return best + 1, len(losses) - best - 1 >= patience
+def _watched(train: DataFrame, val: DataFrame | None, features: Sequence[str], target: str) -> DataFrame:
+    """Rows to fit on, class-balanced, and rows to watch the loss on, with the same weights."""
+    own = [*features, target, "weight"]
+    rows = with_weight(train, target).select(*own, F.lit(False).alias("_held"))
+    return rows if val is None else rows.unionByName(with_weight(val, target, train).select(*own, F.lit(True).alias("_held")))
 
 
-def fit_boosted(train: DataFrame, val: DataFrame | None = None, params: Mapping[str, float] | None = None, features: Sequence[str] | None = None, target: str = "churned", seed: int = 42) -> ChurnModel:
+def fit_boosted(
+    train: DataFrame, val: DataFrame | None = None, params: Mapping[str, float] | None = None, features: Sequence[str] | None = None,
+    target: str = "churned", seed: int = 42, run_path: str | None = None,
+) -> ChurnModel:
     """Class-balanced gradient-boosted trees, stopping early on ``val`` when given.
 
     Boosting stops when the loss on ``val`` has not fallen for ``patience`` rounds and
-    keeps the rounds up to its lowest value. Every round's sample depends on the seed
-    and the round only, so a longer fit repeats the trees of a shorter one: rounds are
-    doubled until patience has run out, then the best prefix is fitted.
-
-    Absent values get indicator columns, because the trees have no branch for NULL.
+    keeps the rounds up to its lowest value. NULL has a branch of its own in every split.
+    With ``run_path`` a fit that was cut off goes on from its last written round.
     """
-    p = {**BOOSTING, **(params or {})}
-    base = list(features or feature_columns(train))
-    holes = train.select(*[F.max(F.col(c).isNull().cast("int")).alias(c) for c in base]).first().asDict()
-    features = base + [f"{c}_is_null" for c in base if holes[c]]
-
-    def slim(df: DataFrame) -> DataFrame:
-        data = assemble_features(with_null_flags(df, features), features, "_features").withColumn("_label", F.col(target).cast("double"))
-        return data.select("_features", "_label", "weight").persist()  # every boosting round reads it again
-
-    def fit(rounds: int) -> GBTClassificationModel:
-        gbt = GBTClassifier(
-            maxDepth=int(p["max_depth"]), stepSize=float(p["step_size"]), minInstancesPerNode=int(p["min_rows"]),
-            subsamplingRate=float(p["subsample"]), featureSubsetStrategy=str(float(p["feature_share"])), maxIter=rounds, seed=seed,
-        )
-        return _named(gbt).fit(rows)
-
-    rows, most = slim(with_weight(train, target)), int(p["rounds"])
-    held = slim(val.withColumn("weight", F.lit(1.0))) if val is not None else None
-    try:
-        if held is None or not held.limit(1).count():
-            return ChurnModel(fit(most), features, "boosted")
-        rounds = min(most, int(p["patience"]) + 10)
-        while True:
-            model = fit(rounds)
-            best, done = best_round(model.evaluateEachIteration(held), int(p["patience"]))
-            if done or rounds == most:
-                return ChurnModel(model if best == rounds else fit(best), features, "boosted")
-            rounds = min(most, 2 * rounds)
-    finally:
-        rows.unpersist()
-        if held is not None:
-            held.unpersist()
+    p = {**BOOSTING, "seed": seed, **(params or {})}
+    features = list(features or feature_columns(train))
+    watched = val is not None and val.limit(1).count() > 0
+    cuts = boosting.cut_points(train, features)
+    table = boosting.binned(_watched(train, val if watched else None, features, target), features, cuts, target, "weight", "_held")
+    state = boosting.boost(table, len(features), p, watched, run_path)
+    best = state.best(int(p["patience"]), watched)
+    return ChurnModel(boosting.BoostedTrees(cuts, state.trees[:best], state.losses[:best]), features, "boosted")
 
 
 def node_table(model: ChurnModel, spark) -> DataFrame:
-    """(tree, node, feature, threshold, left, right, prediction, gain, weight) of a boosted model."""
-    path = scratch(spark, "boosted")
-    model.save(path)
-    nodes = spark.read.parquet(f"{path}/model/data").select("treeID", "nodeData.*")
-    weights = F.create_map(*[x for i, w in enumerate(model.model.treeWeights) for x in (F.lit(i), F.lit(float(w)))])
-    return nodes.select(
-        F.col("treeID").alias("tree"), F.col("id").alias("node"), F.col("split.featureIndex").alias("feature"),
-        F.get(F.col("split.leftCategoriesOrThreshold"), 0).alias("threshold"), F.col("leftChild").alias("left"), F.col("rightChild").alias("right"),
-        "prediction", "gain", F.element_at(weights, F.col("treeID")).alias("weight"),
-    )
+    """(tree, node, feature, threshold, null_left, left, right, value, gain, cover) of a boosted model; bounded by rounds and leaves."""
+    rows = []
+    for i, t in enumerate(model.model.trees):
+        for n, f in enumerate(t.feature):
+            cut = model.model.cuts[f] if f >= 0 else []
+            threshold = None if f < 0 else float(cut[t.bin[n]]) if t.bin[n] < len(cut) else math.inf  # beyond the last cut all values go left
+            rows.append((i, n, int(f), threshold, bool(t.null_left[n]), int(t.left[n]), int(t.right[n]), float(t.value[n]), float(t.gain[n]), float(t.cover[n])))
+    return spark.createDataFrame(rows, "tree int, node int, feature int, threshold double, null_left boolean, left int, right int, value double, gain double, cover double")
 
 
 def importance(model: ChurnModel, spark) -> DataFrame:
-    """(feature, gain, splits, rank): gain-type importance and number of splits."""
-    gains = [(i, f, float(g)) for i, (f, g) in enumerate(zip(model.features, model.model.featureImportances.toArray()))]
-    base = spark.createDataFrame(gains, "i int, feature string, gain double")
-    splits = node_table(model, spark).where("left >= 0").groupBy(F.col("feature").alias("i")).agg(F.count("*").alias("splits"))
-    out = base.join(splits, "i", "left").select("feature", "gain", F.coalesce("splits", F.lit(0).cast("bigint")).alias("splits"))
+    """(feature, gain, splits, rank): share of all gains and number of splits."""
+    gain, splits = np.zeros(len(model.features)), np.zeros(len(model.features), int)
+    for t in model.model.trees:
+        for f, g in zip(t.feature, t.gain, strict=True):
+            if f >= 0:
+                gain[f] += g
+                splits[f] += 1
+    rows = [(f, float(g), int(n)) for f, g, n in zip(model.features, gain / max(gain.sum(), 1e-12), splits, strict=True)]
+    out = spark.createDataFrame(rows, "feature string, gain double, splits bigint")
     return out.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("gain"), "feature")))  # one row per feature
 
 
@@ -237,44 +227,58 @@ def calibrate(scored: DataFrame, method: str = "isotonic", y: str = "y", p: str
 
 # ---- tuning ----------------------------------------------------------------------------------
 # --- fixed values: search bounds ---------------------------------------------------------------
-LEAVES, LEARNING_RATE, MIN_ROWS, SHARE = (20, 300), (0.005, 0.3), (20, 500), (0.5, 1.0)
+LEAVES, LEARNING_RATE, MIN_ROWS, SHARE, PENALTY = (20, 300), (0.005, 0.3), (20, 500), (0.5, 1.0), (0.0, 10.0)
+BAGGING_EVERY = 5  # rounds that share their rows
+
+SEARCH_ROWS = 200_000  # rows to fit on, and rows to judge by, that the settings of a search are compared on
 
 
 def draw_trials(n: int, seed: int = 42) -> list[dict[str, float]]:
-    """Seeded random draws within the bounds; a leaf budget becomes the depth that can hold it."""
+    """Seeded random draws within the bounds; trees grow by level, to a depth that can hold the leaves."""
     rng = random.Random(seed)
     trials = []
     for _ in range(n):
         leaves = rng.randint(*LEAVES)
         trials.append({
-            "max_depth": min(10, max(2, round(math.log2(leaves)))),
+            "leaves": leaves,
+            "max_depth": min(10, max(2, math.ceil(math.log2(leaves)) + 1)),
             "step_size": math.exp(rng.uniform(*map(math.log, LEARNING_RATE))),
             "min_rows": rng.randint(*MIN_ROWS),
             "feature_share": rng.uniform(*SHARE),
             "subsample": rng.uniform(*SHARE),
+            "reg_alpha": rng.uniform(*PENALTY),
+            "reg_lambda": rng.uniform(*PENALTY),
         })
     return trials
 
 
-def tune(train: DataFrame, val: DataFrame, n_trials: int = 50, seed: int = 42, parallelism: int = 2, fixed: Mapping[str, float] | None = None, target: str = "churned") -> tuple[dict[str, float], DataFrame]:
+def _bounded(df: DataFrame, features: Sequence[str], rows: int) -> DataFrame:
+    """All rows, or about ``rows`` of them chosen by a hash of their values."""
+    n = df.count()
+    return df if n <= rows else df.where(F.pmod(F.xxhash64(F.lit("search"), *features), F.lit(1 << 30)) < int((1 << 30) * rows / n))
+
+
+def tune(
+    train: DataFrame, val: DataFrame, n_trials: int = 50, seed: int = 42, fixed: Mapping[str, float] | None = None, target: str = "churned", run_path: str | None = None,
+) -> tuple[dict[str, float], DataFrame]:
     """Random search for the highest average precision on the temporal validation split.
 
-    Returns the best parameters and the trial table. Trials are independent Spark
-    jobs and run ``parallelism`` at a time.
+    Returns the best parameters and the trial table. Every setting runs full rounds with
+    patience. Settings are compared on at most about ``SEARCH_ROWS`` labelled rows of each
+    split (fewer if they are very wide), so that a task can hold them; the model itself is
+    fitted on all rows. With ``run_path`` a search that was cut off runs what is missing.
     """
-    fixed = dict(fixed or {})
-
-    def run(trial):
-        i, params = trial
-        model = fit_boosted(train, val, {**params, **fixed}, target=target)
-        ap = average_precision(model.score(val), target, "p").first()["auc_pr"]
-        return {"trial": i, **{k: float(v) for k, v in params.items()}, "auc_pr": float(ap if ap is not None else 0.0)}
-
-    with ThreadPool(parallelism) as pool:
-        rows = pool.map(run, list(enumerate(draw_trials(n_trials, seed))))
-    best = max(rows, key=lambda r: (r["auc_pr"], -r["trial"]))
-    table = train.sparkSession.createDataFrame(rows)
-    return {k: v for k, v in best.items() if k not in ("trial", "auc_pr")}, table
+    spark, features = train.sparkSession, feature_columns(train)
+    most = min(SEARCH_ROWS, boosting.TOGETHER // (2 * (len(features) + 33)))
+    fit, judge = _bounded(train, features, most), _bounded(val, features, most)
+    table = boosting.binned(_watched(fit, judge, features, target), features, boosting.cut_points(fit, features), target, "weight", "_held")
+    trials = [{**t, "subsample_every": BAGGING_EVERY, **(fixed or {})} for t in draw_trials(n_trials, seed)]
+    found = boosting.search(table, [{**BOOSTING, "seed": seed, **t} for t in trials], run_path or scratch(spark, "search"))
+    rows = [(i, *[float(v) for v in t.values()]) for i, t in enumerate(trials)]
+    settings = spark.createDataFrame(rows, "trial int, " + ", ".join(f"{k} double" for k in trials[0]))
+    out = settings.join(found, "trial")
+    best = out.orderBy(F.desc("auc_pr"), "trial").first()
+    return dict(trials[best["trial"]]), out
 
 
 # ---- gates over run tables ---------------------------------------------------------------------

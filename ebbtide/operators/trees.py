@@ -1,85 +1,187 @@
-"""Per-row contributions of boosted trees, and clustering of contributions.
-
-Each tree step from a node to its child changes the expected value; the change
-is credited to the feature that was split on. Contributions plus the bias (the
-weighted root values) add up to the raw margin exactly.
+"""Per-row Shapley values of boosted trees, and clustering of them.
+
+The value of a set of features is the tree's expectation when the others follow the rows
+that were fitted on (path-dependent, by cover). For one leaf only the features on its
+path matter: feature j keeps the row on the path (o = 1) or not (o = 0) when it is known,
+and with the share z of the cover that goes on when it is not. The leaf's part in feature
+i is value * (o_i - z_i) * sum over subsets S of the other path features of
+|S|! (d-1-|S|)! / d! * prod_S o * prod_not-S z, whose products by size are the coefficients
+of the polynomial prod (z_j + o_j t). Contributions plus the bias add up to the raw margin.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.ml.clustering import KMeans
+import pyarrow as pa
 from pyspark.ml.feature import StandardScaler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.operators.learning import ChurnModel, node_table, with_null_flags
+from ebbtide.operators.boosting import NULL, Tree, added
+from ebbtide.operators.learning import ChurnModel, inputs
 from ebbtide.session import settle
 
 
-def _pack(model: ChurnModel, spark) -> list[dict[str, np.ndarray]]:
-    """Node arrays per tree. Their size is fixed by rounds × depth, not by the data."""
-    nodes = node_table(model, spark).toPandas().sort_values(["tree", "node"])
-    packed = []
-    for _, t in nodes.groupby("tree"):
-        packed.append({
-            "feature": t["feature"].to_numpy(int), "threshold": t["threshold"].fillna(0.0).to_numpy(float),
-            "left": t["left"].to_numpy(int), "right": t["right"].to_numpy(int), "value": t["prediction"].to_numpy(float), "weight": float(t["weight"].iloc[0]),
-        })
-    return packed
+@dataclass
+class Paths:
+    """Leaves of one tree: per leaf and path feature its number (-1: none), the bins it lets pass, and its cover share."""
+
+    value: np.ndarray
+    feature: np.ndarray
+    passes: np.ndarray  # (leaf, place, bin)
+    share: np.ndarray
+    expected: float
+
+
+def leaf_paths(tree: Tree) -> Paths:
+    leaves = []
+    bins = np.arange(NULL + 1)
+    todo = [(0, {})]
+    while todo:
+        n, held = todo.pop()
+        f = tree.feature[n]
+        if f < 0:
+            leaves.append((tree.value[n], held))
+            continue
+        goes_left = np.where(bins == NULL, tree.null_left[n], bins <= tree.bin[n])
+        for child, way in ((tree.left[n], goes_left), (tree.right[n], ~goes_left)):
+            passes, share = held.get(f, (np.ones(NULL + 1, bool), 1.0))
+            todo.append((child, {**held, f: (passes & way, share * tree.cover[child] / max(tree.cover[n], 1e-12))}))
+    depth = max(len(held) for _, held in leaves)
+    feature, share = np.full((len(leaves), depth), -1), np.ones((len(leaves), depth))
+    passes = np.ones((len(leaves), depth, NULL + 1), bool)
+    for k, (_, held) in enumerate(leaves):
+        for j, (f, (way, z)) in enumerate(held.items()):
+            feature[k, j], passes[k, j], share[k, j] = f, way, z
+    value = np.array([v for v, _ in leaves])
+    return Paths(value, feature, passes, share, float((value * share.prod(axis=1)).sum()))
+
+
+def shapley(paths: Paths, codes: np.ndarray, out: np.ndarray) -> None:
+    """Add one tree's Shapley values of rows of bins to ``out`` (rows, features).
+
+    Places that a leaf does not use have o = z = 1: players that change nothing.
+    """
+    depth = paths.feature.shape[1]
+    if not depth:
+        return
+    weight = [math.factorial(k) * math.factorial(depth - 1 - k) / math.factorial(depth) for k in range(depth)]
+    leaf = np.arange(len(paths.value))
+    known = [paths.passes[leaf, j, codes[:, paths.feature[:, j]]].astype(float) for j in range(depth)]  # (rows, leaves)
+    for i in range(depth):
+        poly = [np.ones((len(codes), len(leaf)))]
+        for j in range(depth):
+            if j == i:
+                continue
+            z, o = paths.share[:, j], known[j]
+            longer = [c * z for c in poly] + [np.zeros_like(poly[0])]
+            for k, c in enumerate(poly):
+                longer[k + 1] = longer[k + 1] + c * o
+            poly = longer
+        part = paths.value * (known[i] - paths.share[:, i]) * sum(w * c for w, c in zip(weight, poly, strict=True))
+        for k in np.flatnonzero(paths.feature[:, i] >= 0).tolist():
+            out[:, paths.feature[k, i]] += part[:, k]
+
+
+_ROWS = 512  # rows explained at a time
 
 
 def tree_contributions(df: DataFrame, model: ChurnModel, keep: list[str], name: str = "contributions") -> DataFrame:
     """``keep`` columns, margin, bias and the contribution array of every row."""
     spark = df.sparkSession
-    trees = spark.sparkContext.broadcast(_pack(model, spark))
-    features = list(model.features)
-    have = set(df.columns)
-    flagged = with_null_flags(df, features)
-    x = flagged.select(*keep, *[(F.coalesce(F.col(c).cast("double"), F.lit(0.0)) if c in flagged.columns else F.lit(0.0)).alias(f"_x{i}") for i, c in enumerate(features)])
-    kept_types = {c: t for c, t in df.dtypes if c in have}
-    schema = ", ".join(f"`{c}` {kept_types[c]}" for c in keep) + ", margin double, bias double, shares array<double>, inputs array<double>"
-
-    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            m = pdf[[f"_x{i}" for i in range(len(features))]].to_numpy(float)
-            rows = np.arange(len(m))
-            share, bias = np.zeros_like(m), 0.0
-            for t in trees.value:
-                bias += t["weight"] * t["value"][0]
-                at = np.zeros(len(m), dtype=int)
-                going = t["left"][at] >= 0
-                while going.any():
-                    r, a = rows[going], at[going]
-                    f = t["feature"][a]
-                    nxt = np.where(m[r, f] <= t["threshold"][a], t["left"][a], t["right"][a])
-                    share[r, f] += t["weight"] * (t["value"][nxt] - t["value"][a])
-                    at[going] = nxt
-                    going = t["left"][at] >= 0
-            out = pdf[keep].copy()
-            out["margin"], out["bias"] = share.sum(axis=1) + bias, bias
-            out["shares"], out["inputs"] = list(share), list(m)
-            yield out
-
-    raw = x.mapInPandas(explain, schema)
-    names = F.array(*[F.lit(c) for c in features])
-    entries = F.transform(F.arrays_zip(names.alias("feature"), F.col("shares"), F.col("inputs")), lambda e: F.struct(e["feature"].alias("feature"), e["shares"].alias("contribution"), e["inputs"].alias("value")))
-    return raw.select(*keep, "margin", "bias", entries.alias(name))
+    boosted, features = model.model, list(model.features)
+    shared = spark.sparkContext.broadcast((boosted, [leaf_paths(t) for t in boosted.trees]))  # bounded by rounds and leaves
+    # One array, not a renamed column per feature: Spark would derive constraints for every choice of names.
+    x = df.select(*keep, F.array(*inputs(df, features)).alias("_x"))
+    kinds = dict(df.dtypes)
+    entry = "array<struct<feature: string, contribution: double, value: double>>"
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + f", margin double, bias double, `{name}` {entry}"
+
+    def explain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fitted, paths = shared.value
+        bias, width = sum(p.expected for p in paths), len(features)
+        for batch in batches:
+            for at in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(at, _ROWS)
+                n = part.num_rows
+                m = part.column("_x").flatten().to_numpy(zero_copy_only=False).astype(float).reshape(n, width)
+                share = np.zeros_like(m)
+                codes = fitted.codes(m)
+                for p in paths:
+                    shapley(p, codes, share)
+                cells = pa.StructArray.from_arrays([pa.array(features * n, pa.string()), pa.array(share.ravel()), pa.array(m.ravel(), mask=np.isnan(m).ravel())], ["feature", "contribution", "value"])
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * width, pa.int32()), cells)
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], pa.array(share.sum(axis=1) + bias), pa.array(np.full(n, bias)), lists], names=[*keep, "margin", "bias", name])
+
+    return x.mapInArrow(explain, schema)
+
+
+# ---- clusters ------------------------------------------------------------------------------------
+PASSES, SHIFT = 50, 1e-4  # Lloyd steps at most, and the movement below which a start has settled
+
+
+def _seeds(points: DataFrame, k: int, seed: int, starts: int) -> np.ndarray:
+    """Centres (start, cluster, place): per start the k points that its hash puts first, different ones if there are."""
+    out = []
+    for s in range(starts):
+        place = F.xxhash64(F.lit(seed + s), "x")
+        rows = points.groupBy("x").agg(F.min(place).alias("h")).orderBy("h", "x").limit(k).collect()
+        x = [r["x"] for r in rows]
+        out.append([x[i % len(x)] for i in range(k)])
+    return np.array(out, float)
+
+
+def joint_lloyd(points: DataFrame, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Centres and costs of all starts after Lloyd steps that share each pass over ``points`` (x array<double>)."""
+    starts, k, width = centres.shape
+
+    def step(now: np.ndarray) -> np.ndarray:
+        shared = points.sparkSession.sparkContext.broadcast(now)
+
+        def run(batches):
+            total = np.zeros((starts, k, width + 2))  # sums, rows, cost
+            for batch in batches:
+                x = batch.column("x").flatten().to_numpy().reshape(batch.num_rows, width)
+                for s, c in enumerate(shared.value):
+                    far = ((x[:, None, :] - c[None]) ** 2).sum(axis=2)
+                    near = far.argmin(axis=1)
+                    np.add.at(total[s], near, np.column_stack([x, np.ones(len(x)), far[np.arange(len(x)), near]]))
+            yield pa.RecordBatch.from_pydict({"sums": pa.array([total.tobytes()], pa.binary())})
+
+        out = added(points.mapInArrow(run, "sums binary"), starts * k * (width + 2)).reshape(starts, k, width + 2)
+        shared.unpersist()
+        return out
+
+    moving = np.ones(starts, bool)
+    for _ in range(PASSES):
+        sums = step(centres)
+        n = sums[..., width]
+        new = np.where(n[..., None] > 0, sums[..., :width] / np.maximum(n, 1)[..., None], centres)
+        moving = ((new - centres) ** 2).sum(axis=2).max(axis=1) > SHIFT**2
+        centres = new
+        if not moving.any():
+            break
+    return centres, step(centres)[..., width + 1].sum(axis=1)
 
 
 def cluster_contributions(df: DataFrame, k: int = 4, seed: int = 42, starts: int = 10, contributions: str = "contributions", name: str = "cluster") -> DataFrame:
-    """K-means on standardised contributions, the cheapest of ``starts`` seeded runs; adds the cluster id."""
+    """K-means on standardised contributions, the cheapest of ``starts`` seeded starts; adds the cluster id."""
     values = F.transform(F.col(contributions), lambda e: e["contribution"])
-    data = df.withColumn("_v", array_to_vector(values))
-    scaled = StandardScaler(inputCol="_v", outputCol="_s", withMean=True, withStd=True).fit(data).transform(data)
-    points = settle(scaled.select("_s"))
-    runs = [KMeans(k=k, seed=seed + i, featuresCol="_s", predictionCol=name).fit(points) for i in range(starts)]
-    best = min(runs, key=lambda m: m.summary.trainingCost)
-    return best.transform(scaled).drop("_v", "_s")
+    data = settle(df.withColumn("_v", array_to_vector(values)))
+    scaled = StandardScaler(inputCol="_v", outputCol="_s", withMean=True, withStd=True).fit(data).transform(data).withColumn("_s", vector_to_array("_s"))
+    points = settle(scaled.select(F.col("_s").alias("x")))
+    if not points.limit(1).count():
+        return df.withColumn(name, F.lit(0))
+    centres, cost = joint_lloyd(points, _seeds(points, k, seed, starts))
+    best = centres[int(cost.argmin())]
+    far = [F.aggregate(F.zip_with("_s", F.array(*[F.lit(float(v)) for v in c]), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, b: a + b) for c in best]
+    near = F.array(*[F.struct(d.alias("d"), F.lit(i).alias("i")) for i, d in enumerate(far)])
+    return scaled.withColumn(name, F.array_min(near)["i"]).drop("_v", "_s")
 
 
 # --- fixed values: default names of the four segments ------------------------------------------

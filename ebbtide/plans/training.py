@@ -37,6 +37,9 @@ def with_row_key(df: DataFrame, name: str = "row_key") -> DataFrame:
 def train(matrix: DataFrame, settings: Settings = DEFAULTS, n_trials: int = 50, fixed: dict | None = None, run_path: str | None = None, run_id: str = "run") -> TrainingRun:
     """Split by time, check leakage, search ``n_trials`` settings (0: none), fit with early stop on val,
     calibrate on val, evaluate calibrated scores on test, and log the run.
+
+    Trials and rounds are written to ``run_path`` as they end; a run that was cut off and
+    starts again there goes on from them.
     """
     quality.validate(matrix, "matrix")
     bad = splitting.leaky_columns(matrix)
@@ -45,8 +48,8 @@ def train(matrix: DataFrame, settings: Settings = DEFAULTS, n_trials: int = 50,
     split = splitting.temporal_split(matrix, splits=settings.splits)
     split.check()
     fixed = dict(fixed or {})
-    params, _ = learning.tune(split.train, split.val, n_trials, fixed=fixed) if n_trials else ({}, None)
-    model = learning.fit_boosted(split.train, split.val, {**params, **fixed})
+    params, _ = learning.tune(split.train, split.val, n_trials, fixed=fixed, run_path=run_path and f"{run_path}/search") if n_trials else ({}, None)
+    model = learning.fit_boosted(split.train, split.val, {**params, **fixed}, run_path=run_path and f"{run_path}/fit")
     calibrator = learning.calibrate(model.score(split.val), y="churned")
     # The metrics read the scores several times; written once, each test row is scored once.
     scored = settle(calibrator.apply(model.score(with_row_key(split.test))).select("row_key", "churned", "calibrated"))
