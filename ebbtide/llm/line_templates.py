@@ -47,7 +47,7 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(_doc, _print, _drop): positions of the lines that go, for documents (_doc, _text, _print)."""
-    lines = _lines(docs)
+    lines = settle(_lines(docs))  # lexed once, read twice
     leaves = lines.groupBy("_leaf").agg(F.count("*").alias("_lines")).where(F.col("_lines") >= min_docs).drop("_lines")
     held = settle(lines.join(leaves, "_leaf").select("_doc", "_print", "_pos", "_leaf", "_line", "_n"))
     tokens = held.select("_doc", "_print", "_pos", "_leaf", "_n", F.posexplode(F.split("_line", " +")).alias("_at", "_token"))
@@ -71,15 +71,16 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
     """All rows and columns of ``docs``; ``text_col`` without recurring lines, and _n_lines, _n_dropped (the last two columns; taken names get more underscores)."""
-    text = F.col(text_col)
-    mark = F.coalesce(F.xxhash64(text), F.lit(0))
-    base = docs.select(F.struct(*[field(c) for c in docs.columns]).alias("_row"), F.col(id_col).cast("long").alias("_doc"), text.alias("_text"), mark.alias("_print"))
-    gone = recurring_lines(base.select("_doc", "_text", "_print"), min_docs).withColumnsRenamed({"_doc": "_gone_doc", "_print": "_gone_print"})
-    rows = base.join(gone, (F.col("_doc") == F.col("_gone_doc")) & (F.col("_print") == F.col("_gone_print")), "left")
-    parts = F.split("_text", "\n")
+    mark = F.coalesce(F.xxhash64(F.col(text_col)), F.lit(0))
+    base = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).alias("_text"), mark.alias("_print"))
+    gone = recurring_lines(base, min_docs).withColumnsRenamed({"_doc": "_gone_doc", "_print": "_gone_print"})
+    rows = docs.select(F.struct(*[field(c) for c in docs.columns]).alias("_row"), F.col(id_col).cast("long").alias("_doc"), mark.alias("_print"))
+    rows = rows.join(gone, (F.col("_doc") == F.col("_gone_doc")) & (F.col("_print") == F.col("_gone_print")), "left")
+    text = F.col("_row").getField(text_col)
+    parts = F.split(text, "\n")
     kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.col("_drop"), i)), "\n")
-    kept = F.when(F.col("_drop").isNull(), F.col("_text")).otherwise(kept)
-    lines = F.coalesce(F.when(F.col("_text").isNotNull(), F.size(parts)), F.lit(0)).cast("long")
+    kept = F.when(F.col("_drop").isNull(), text).otherwise(kept)
+    lines = F.coalesce(F.when(text.isNotNull(), F.size(parts)), F.lit(0)).cast("long")
     dropped = F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")).cast("long")
     own = [kept.alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in docs.columns]
     return rows.select(*own, lines.alias(free_name(docs, "_n_lines")), dropped.alias(free_name(docs, "_n_dropped")))
