@@ -287,10 +287,110 @@ def test_copies_do_not_make_each_other_template(spark):
     assert {r["text"] for r in out} == {"Title same\n\nShare this story\n\nFirst & second same line\n\nThird <same>"}
 
 
+def plain_wrapper(trees):
+    """Wrapper of one layout in plain Python: reference, counts and conclusion over all different pages."""
+    different = list({tuple(t.text): t for t in trees}.values())
+    often = {m for t in different for m in t.mark if m and sum(m in u.mark for u in different) >= 0.9 * len(different)}
+    ref = min(different, key=lambda t: (-len(often & set(t.mark)), len(t.up), wrappers._hash("\n".join(x for x in t.text if x))))
+    counts = {}
+    for t in different:
+        for k, (n, size) in wrappers.seen(ref, t).items():
+            counts[k] = (counts.get(k, (0, 0))[0] + n, counts.get(k, (0, 0))[1] + size)
+    return wrappers.conclude(ref, len(different), counts)
+
+
+def plain_match_weight(ref, tree, a=0, b=0):
+    """Heaviest order-preserving match of the children of two nodes, by its definition."""
+    left, right = ref.kids[a], tree.kids[b]
+    best = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
+    for i, x in enumerate(left, 1):
+        for j, y in enumerate(right, 1):
+            w = 0
+            if ref.tag[x] == tree.tag[y]:
+                same = ref.mark[x] == tree.mark[y] if ref.tag[x] == "#text" else ref.label[x] == tree.label[y]
+                w = 2 + same + plain_match_weight(ref, tree, x, y)
+            best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + w)
+    return best[-1][-1]
+
+
+def random_page(rng, depth=3):
+    if depth == 0 or rng.random() < 0.3:
+        return rng.choice(["alpha", "beta", "gamma delta", ""])
+    tag = rng.choice(["div", "p", "ul", "section"])
+    return f"<{tag}{rng.choice(['', ' class=a', ' class=b'])}>" + "".join(random_page(rng, depth - 1) for _ in range(rng.randint(0, 4))) + f"</{tag}>"
+
+
+def test_simple_tree_matching_is_the_heaviest():
+    rng = random.Random(4)
+    for _ in range(300):
+        ref, tree = (wrappers.outline("".join(random_page(rng) for _ in range(rng.randint(0, 5)))) for _ in range(2))
+        to = wrappers.match(ref, tree)
+        used = [(r, k) for k, r in enumerate(to) if r > 0]
+        assert all(ref.tag[r] == tree.tag[k] and to[tree.up[k]] == ref.up[r] for r, k in used) and [r for r, _ in used] == sorted({r for r, _ in used})
+        got = sum(2 + (ref.mark[r] == tree.mark[k] if ref.tag[r] == "#text" else ref.label[r] == tree.label[k]) for r, k in used)
+        assert got == plain_match_weight(ref, tree)
+
+
+def test_long_lists_are_aligned_by_equal_children(monkeypatch):
+    monkeypatch.setattr(wrappers, "CELLS", 10)
+    page = "".join(f"<p>{k} of many</p>" for k in range(50))
+    ref, tree = wrappers.outline(page), wrappers.outline(page.replace("<p>7 of many</p>", "<p>new</p><p>newer</p>"))
+    to = wrappers.match(ref, tree)
+    assert {tree.text[k] for k in tree.runs() if to[k] < 0} == {"new", "newer"}
+    assert all(ref.text[to[k]] == tree.text[k] for k in tree.runs() if to[k] >= 0)
+
+
+def test_extraction_equals_the_plain_version(spark):
+    """One host: layouts told by their containers, each with its own wrapper; singles use the largest one's."""
+    rng = random.Random(8)
+    def page(k):
+        menu = "<ul><li>Home</li><li>About</li></ul>" if k % 2 else ""
+        more = "".join(f"<p>{_prose(k * 50 + j)}</p>" for j in range(rng.randint(1, 4)))
+        if k == 33:
+            return f"<body><section><div><p>All rights are ours.</p>{more}</div></section></body>"
+        return f"<body><div class=top>{menu}<p>Site {'news' if k % 3 else 'blog'}</p></div><div class=c>{more}<p>All rights are ours.</p></div></body>"
+    pages = [(k, f"http://plain.org/{k}", page(k)) for k in range(40)] + [(90, "http://plain.org/90", page(4)), (91, "http://plain.org/91", None)]
+    groups = {}
+    for _, _, html in pages:
+        tree = wrappers.outline(html or "")
+        if tree.runs():
+            groups.setdefault(wrappers.layout(tree), []).append(tree)
+    made = {g: plain_wrapper(ts) for g, ts in groups.items() if len({tuple(t.text) for t in ts}) > 1}
+    main = made[max(made, key=lambda g: (len({tuple(t.text) for t in groups[g]}), g))]
+    want = {k: wrappers.main_text(html, made.get(wrappers.layout(wrappers.outline(html or "")), main) if html else None) for k, _, html in pages}
+    got = {r["page_id"]: r["text"] for r in _pages(spark, pages).collect()}
+    assert got == want and got[91] == "" and len(made) >= 1
+    assert all("rights" not in got[k] and _prose(k * 50) in got[k] for k in range(40) if k != 33)
+
+
+def test_minority_headings_stay_and_common_notices_go(spark):
+    part = [(k, f"http://part/{k}", f"<body><article><h1>{_prose(k, 4)}</h1>" + ("<h2>T</h2>" * (k % 8 == 0)) + f"<p>{_prose(k)}</p>" + ("<h2>Introduction</h2>" * (k % 8 == 0)) + f"<p>{_prose(k + 900)}</p></article></body>") for k in range(64)]
+    notice = " ".join(f"notice{j}" for j in range(120))
+    same = [(100 + k, f"http://same/{k}", f"<body><div><p>{_prose(k, 20)}</p><p>{notice}</p></div></body>") for k in range(10)]
+    out = {r["page_id"]: r["text"] for r in _pages(spark, part + same).collect()}
+    for k in range(64):
+        blocks = [_prose(k, 4), _prose(k), _prose(k + 900)]
+        assert out[k].split("\n\n") == ([blocks[0], "T", blocks[1], "Introduction", blocks[2]] if k % 8 == 0 else blocks)
+    assert all(out[100 + k] == _prose(k, 20) for k in range(10))
+
+
+def test_names_within_an_article_leave_out_whole_lists_only():
+    page = """<body><article><header><h1>Title</h1></header><h2 id="comments-on-history">Comments on history</h2><p id="share">Shares rose</p>
+<section class="related">Related work</section><div class="alert">Mind the gap</div><div id="comments">Nice</div><div class="share-bar">Tweet</div><form>x</form></article><div class="related">Other</div></body>"""
+    assert wrappers.main_text(page) == "Title\n\nComments on history\n\nShares rose\n\nRelated work\n\nMind the gap"
+
+
+def test_tables_without_pages_and_with_null_columns(spark):
+    schema = "page_id long, url string, html string, _host int, text string"
+    assert wrappers.extract(spark.createDataFrame([], schema)).collect() == []
+    rows = wrappers.extract(spark.createDataFrame([(None, None, None, 1, "x"), (1, "http://h/", "", 2, None), (1, "http://h/", "", 2, None)], schema)).collect()
+    assert sorted((r["page_id"] or 0, r["text"]) for r in rows) == [(0, ""), (1, ""), (1, "")]
+
+
 def test_region_without_article():
     page = "<body><div class=menu><a>m</a></div><div id=main><p>A {k} long text of its own</p><p>B {k} more of it</p></div><div><p>s</p></div></body>"
-    region, template = wrappers.induce([page.format(k=f"v{k}" * 5) for k in range(6)])
-    assert region == "/body/div" and wrappers.main_text(page.format(k="q"), region, frozenset(template)).startswith("A q long text")
+    wrapper = plain_wrapper([wrappers.outline(page.format(k=f"v{k}" * 5)) for k in range(6)])
+    assert wrapper.tree.path(wrapper.region) == "/body/div" and wrappers.main_text(page.format(k="q"), wrapper).startswith("A q long text")
     assert wrappers.main_text("<p>" * 3000 + "deep") == "deep"
 
 
