@@ -74,19 +74,20 @@ def recent(events: DataFrame, date_col: str, snapshots: str | Sequence[str], day
     return near.withColumn(SNAP, F.explode(F.filter(every, lambda s: (s > d) & (s <= F.date_add(d, days)))))
 
 
-def last_seen(events: DataFrame, date_col: str, snapshots: str | Sequence[str]) -> DataFrame:
-    """(id, snapshot, _last): newest event before each snapshot, for everybody with one.
+def last_seen(events: DataFrame, date_col: str, snapshots: str | Sequence[str], inclusive: bool = False) -> DataFrame:
+    """(id, snapshot, _last): newest event before (``inclusive``: or on) each snapshot, for everybody with one.
 
     Events are reduced to one date per customer and gap between snapshots first; only
     those few rows are copied to the later snapshots.
     """
     dates = dates_of(snapshots)
     d = F.col(date_col)
-    past = events.where(d < F.lit(dates[-1]).cast("date")).select(ID, date_col)
+    end = F.lit(dates[-1]).cast("date")
+    past = events.where(d <= end if inclusive else d < end).select(ID, date_col)
     if len(dates) == 1:
         return past.groupBy(ID).agg(F.max(date_col).alias("_last")).select(ID, F.lit(dates[0]).cast("date").alias(SNAP), "_last")
     every = F.array(*[F.lit(x).cast("date") for x in dates])
-    per_gap = past.withColumn("_next", F.element_at(F.filter(every, lambda s: s > d), 1)).groupBy(ID, "_next").agg(F.max(date_col).alias("_last"))
+    per_gap = past.withColumn("_next", F.element_at(F.filter(every, lambda s: s >= d if inclusive else s > d), 1)).groupBy(ID, "_next").agg(F.max(date_col).alias("_last"))
     spread = per_gap.withColumn(SNAP, F.explode(F.filter(every, lambda s: s >= F.col("_next"))))
     return spread.groupBy(ID, SNAP).agg(F.max("_last").alias("_last"))
 

@@ -41,7 +41,7 @@ class FittedEncoder:
         """Attach ``<column>_encoded``; unseen and NULL categories get the fallback."""
         for c in self.columns:
             lookup = self.maps.where(F.col("column") == c).select(F.col("category").alias(c), F.col("encoded").alias(f"{c}_encoded"))
-            df = df.join(lookup, c, "left").withColumn(f"{c}_encoded", F.coalesce(f"{c}_encoded", F.lit(self.prior)))
+            df = _attach(df, lookup, c, [], ID if ID in df.columns else F.monotonically_increasing_id()).withColumn(f"{c}_encoded", F.coalesce(f"{c}_encoded", F.lit(self.prior)))
         return df
 
     def save(self, path: str) -> None:
@@ -54,6 +54,23 @@ class FittedEncoder:
         return cls(maps.drop("prior"), maps.select("prior").first()[0], tuple(sorted(names)))
 
 
+NULL_KEYS = 1024  # join keys over which rows with a NULL category are spread
+
+
+def _spread(column: str, key: Column | str) -> Column:
+    """-1 for categories; rows with a NULL one, which find no partner, get keys of their own instead of sharing one task."""
+    key = F.col(key) if isinstance(key, str) else key
+    return F.when(F.col(column).isNull(), F.pmod(F.xxhash64(key), F.lit(NULL_KEYS))).otherwise(F.lit(-1).cast("long"))
+
+
+def _attach(df: DataFrame, lookup: DataFrame, column: str, on: Sequence[str], key: Column | str) -> DataFrame:
+    """Left join of a category lookup that does not gather NULL categories."""
+    held = F.coalesce(F.col(column).cast("string"), F.lit(""))
+    left = df.withColumn("_category", held).withColumn("_spread", _spread(column, key))
+    right = lookup.withColumn("_category", held).drop(column).withColumn("_spread", F.lit(-1).cast("long"))
+    return left.join(right, ["_category", "_spread", *on], "left").select(*df.columns, f"{column}_encoded")
+
+
 def _smoothed(pos: Column, n: Column, prior: Column, strength: float) -> Column:
     return (pos + prior * strength) / (n + F.lit(strength))
 
@@ -84,7 +101,7 @@ def out_of_fold(df: DataFrame, settings: Encoding = DEFAULTS.encoding, target: s
     out = df.withColumn("_fold", fold)
     for c in settings.columns:
         lookup = values.where(F.col("column") == c).select(F.col("category").alias(c), F.col("fold").alias("_fold"), F.col("encoded").alias(f"{c}_encoded"))
-        out = out.join(lookup, [c, "_fold"], "left").withColumn(f"{c}_encoded", F.coalesce(f"{c}_encoded", prior))
+        out = _attach(out, lookup, c, ["_fold"], key).withColumn(f"{c}_encoded", F.coalesce(f"{c}_encoded", prior))
     return out.drop("_fold")
 
 

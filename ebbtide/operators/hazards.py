@@ -9,6 +9,7 @@ read by the driver, which solves a p × p system.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
@@ -16,14 +17,12 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import AFTSurvivalRegression
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbtide.functions.scalars import one_row, whole_days
-from ebbtide.operators.learning import assemble_features
 from ebbtide.operators.survival import Z95
 from ebbtide.session import settle, share_package, shuffle_width
 
@@ -118,6 +117,15 @@ class CoxModel:
     baseline_h: np.ndarray
     ph: list[tuple[str, float, float]] = field(default_factory=list)
 
+    def save(self, spark, path: str) -> None:
+        _write_model(spark, path, self)
+
+    @classmethod
+    def load(cls, spark, path: str) -> "CoxModel":
+        held = _read_model(spark, path)
+        arrays = {k: np.array(held[k]) for k in ("coef", "se", "mean", "baseline_t", "baseline_h")}
+        return cls(**held | arrays | {"ph": [tuple(x) for x in held["ph"]]})
+
     def summary(self, spark) -> DataFrame:
         """coef, hazard ratio, standard error, z, p and 95 % interval per covariate."""
         rows = []
@@ -311,17 +319,115 @@ def concordance(df: DataFrame, risk: Column | str, duration: str = "duration", e
 
 
 # ---- parametric ------------------------------------------------------------------------------
-def fit_weibull(df: DataFrame, covariates: Sequence[str], duration: str = "duration", event: str = "event"):
-    """Weibull accelerated-failure-time model, without a ridge; its transform adds the median as ``expected_days_to_churn``."""
-    data = weibull_input(df, covariates, duration, event)
-    return AFTSurvivalRegression(featuresCol="_features", labelCol="_t", censorCol="_e", quantileProbabilities=[0.5], quantilesCol="_q").fit(data)
+def _weibull_sums(data: DataFrame, theta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Log-likelihood of (intercept, coefficients, log scale) with its gradient and Hessian, summed per task, then by Spark."""
+    p = len(theta) - 1  # with the intercept
+    iu = np.triu_indices(p + 1)
+
+    def reduce_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(1 + p + 1 + len(iu[0]))
+        for pdf in batches:
+            if len(pdf):
+                x = np.column_stack([np.ones(len(pdf)), np.array(pdf["x"].tolist(), float).reshape(len(pdf), p - 1)])
+                e, scale = pdf["e"].to_numpy(float), math.exp(theta[-1])
+                z = (np.log(pdf["t"].to_numpy(float)) - x @ theta[:-1]) / scale
+                w = np.exp(np.minimum(z, 500.0))
+                second = np.zeros((p + 1, p + 1))
+                second[:p, :p] = -(x.T * (w / scale**2)) @ x
+                second[:p, p] = second[p, :p] = -((w * z + w - e) / scale) @ x
+                second[p, p] = -(w * z * z + (w - e) * z).sum()
+                first = np.append((w - e) / scale @ x, ((w - e) * z - e).sum())
+                total += np.concatenate([[(e * (z - theta[-1]) - w).sum()], first, second[iu]])
+        yield pd.DataFrame({"i": np.arange(len(total)), "v": total})
+
+    rows = data.mapInPandas(reduce_rows, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()  # (p + 2)² / 2 sums
+    out = np.zeros(1 + p + 1 + len(iu[0]))
+    for r in rows:
+        out[r["i"]] = r["v"]
+    second = np.zeros((p + 1, p + 1))
+    second[iu] = out[p + 2:]
+    return out[0], out[1:p + 2], second + np.triu(second, 1).T
+
+
+@dataclass
+class WeibullModel:
+    """log T = intercept + x·coef + scale·ε for the smallest extreme value ε."""
+
+    covariates: list[str]
+    intercept: float
+    coef: list[float]
+    scale: float
+    log_likelihood: float  # without the constant −Σ e·log t
+
+    def location(self) -> Column:
+        """Linear predictor; NULL covariates count as 0."""
+        out = F.lit(self.intercept)
+        for c, b in zip(self.covariates, self.coef, strict=True):
+            out = out + F.coalesce(F.col(c).cast("double"), F.lit(0.0)) * F.lit(b)
+        return out
+
+    def median_lifetime(self) -> Column:
+        return F.exp(self.location() + F.lit(self.scale * math.log(math.log(2))))
+
+    def save(self, spark, path: str) -> None:
+        _write_model(spark, path, self)
+
+    @classmethod
+    def load(cls, spark, path: str) -> "WeibullModel":
+        return cls(**_read_model(spark, path))
+
+
+def _write_model(spark, path: str, model) -> None:
+    plain = {k: v.tolist() if isinstance(v, np.ndarray) else v for k, v in vars(model).items()}
+    spark.createDataFrame([(json.dumps(plain),)], "model string").write.mode("overwrite").parquet(path)
 
 
-def weibull_input(df: DataFrame, covariates: Sequence[str], duration: str, event: str) -> DataFrame:
-    data = assemble_features(df, covariates, "_features")
-    return data.withColumn("_t", whole_days(duration)).withColumn("_e", F.col(event).cast("double"))
+def _read_model(spark, path: str) -> dict:
+    return json.loads(spark.read.parquet(path).first()["model"])
 
 
-def weibull_median(model, df: DataFrame, covariates: Sequence[str], duration: str = "duration", event: str = "event") -> DataFrame:
-    out = model.transform(weibull_input(df, covariates, duration, event))
-    return out.withColumn("expected_days_to_churn", vector_to_array("_q")[0]).drop("_features", "_t", "_e", "_q", "prediction")
+def fit_weibull(df: DataFrame, covariates: Sequence[str], duration: str = "duration", event: str = "event", penalizer: float = 0.0, max_iter: int = 100, tolerance: float = 1e-9) -> WeibullModel:
+    """Weibull accelerated-failure-time model by damped Newton steps.
+
+    The mean log-likelihood is lowered by ``penalizer`` / 2 times the sum of squared
+    coefficients of the standardised covariates; intercept and scale are free. Constant
+    covariates get the coefficient 0. Only sums of the width of the model reach the driver.
+    """
+    filled = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in covariates]
+    rows = df.select(whole_days(duration).alias("t"), F.col(event).cast("double").alias("e"), *[x.alias(f"x{i}") for i, x in enumerate(filled)]).where("t IS NOT NULL AND e IS NOT NULL")
+    stats = rows.agg(F.count("*").alias("n"), F.sum("e").alias("d"), F.sum("t").alias("t"), *[f(f"x{i}").alias(f"{k}{i}") for i in range(len(filled)) for k, f in (("m", F.avg), ("s", F.stddev_samp))]).first()
+    if not stats["d"]:
+        raise ValueError("the Weibull fit needs at least one event")
+    mean, std = (np.array([stats[f"{k}{i}"] or 0.0 for i in range(len(filled))]) for k in "ms")
+    use = np.flatnonzero(std > 0)
+    scaled = [(F.col(f"x{i}") - float(mean[i])) / float(std[i]) for i in use]
+    data = settle(rows.select("t", "e", F.array(*scaled).cast("array<double>").alias("x")))
+    n, p = stats["n"], len(use)
+    ridge = np.array([0.0] + [penalizer] * p + [0.0])
+    theta = np.zeros(p + 2)
+    theta[0] = math.log(stats["t"] / stats["d"])
+
+    def at(theta: np.ndarray):
+        ll, first, second = _weibull_sums(data, theta)
+        return ll / n - float(ridge @ theta**2) / 2, first / n - ridge * theta, second / n - np.diag(ridge), ll
+
+    value, first, second, ll = at(theta)
+    step = None
+    for _ in range(max_iter):
+        if step is None:
+            lowest = np.linalg.eigvalsh(-second)[0]  # away from the optimum the curvature can be negative
+            step = np.linalg.solve(-second + max(0.0, 1e-6 - lowest) * np.eye(p + 2), first)
+            if np.abs(step).max() < tolerance:
+                break
+            step = step / max(1.0, np.abs(step).max())
+        tried = at(theta + step)
+        if tried[0] >= value - 1e-13:
+            theta, step = theta + step, None
+            value, first, second, ll = tried
+        else:  # overshoot
+            step = step / 2
+    else:
+        raise ValueError(f"the Weibull fit has not converged in {max_iter} steps; raise max_iter or the penalizer")
+    coef = np.zeros(len(filled))
+    coef[use] = theta[1:-1] / std[use]
+    return WeibullModel(list(covariates), float(theta[0] - coef @ mean), coef.tolist(), math.exp(theta[-1]), float(ll))

@@ -13,15 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.functions.scalars import ID, flag
-from ebbtide.operators.activity import dates_of, grain, stamp, stamped
+from ebbtide.operators.activity import dates_of, last_seen
 
 
 def latest_asof(panel: DataFrame, snapshots: str | Sequence[str]) -> DataFrame:
     """Newest panel rows on or before each snapshot; rows tied on the newest date all stay."""
-    keys, _ = grain(snapshots)
     past = panel.where(F.col("datevalue") <= F.lit(dates_of(snapshots)[-1]).cast("date"))
-    newest = stamp(past.select(ID, "datevalue"), "datevalue", snapshots, inclusive=True)
-    newest = stamped(newest.groupBy(*keys).agg(F.max("datevalue").alias("datevalue")), snapshots)
+    newest = last_seen(past, "datevalue", snapshots, inclusive=True).withColumnRenamed("_last", "datevalue")
     return past.join(newest, [ID, "datevalue"])
 
 
