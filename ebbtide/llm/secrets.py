@@ -1,12 +1,16 @@
 """Secret scan with an assignment-aware lexer.
 
-Three base patterns run over the whole text. On top of them each line is lexed into
+Three base patterns run over the whole text. On top of them the text is lexed into
 name-literal pairs, as source code and configuration files write them (NAME = "x",
-name: x, "name": "x", export NAME=x, <name>x</name>, --name x). Literals bound to a
-name are constants: a later sensitive name bound to such a name marks the constant's
-literal (kind const), and concatenated constants are followed as well. A literal is
-scored by the sensitivity of its target name and by its own shape; literals at or
-above the threshold are added as kind literal. Base spans always stay.
+name: x, "name": "x", NAME: type = "x", table["name"] = "x", export NAME=x,
+<name>x</name>, --name x, scheme://user:x@host). Literals are bare, quoted with escapes,
+or triple quoted; literals that stand side by side or are added up are one value. A
+general name within braces (value, data) goes by the name the braces are bound to.
+Literals bound to a name are constants: a later sensitive name bound to such a name, or
+to $NAME, ${NAME} or %NAME%, marks the constant's literal (kind const), and concatenated
+constants are followed as well. A literal is scored by the sensitivity of its target
+name and by its own shape; literals at or above the threshold are added as kind literal.
+Base spans always stay.
 
 Edge cases: a null text counts as empty; the base spans of a kind never overlap;
 names are compared without regard to letter case; a constant is the last literal that
@@ -41,15 +45,28 @@ THRESHOLD = 1.2  # name score plus literal score
 PLACEHOLDERS = ("none", "null", "true", "false", "changeme", "example")
 LONGEST_PLACEHOLDER = max(map(len, PLACEHOLDERS))
 _NAME = r"[A-Za-z_][A-Za-z0-9_.\-]*+"
-_QUOTED = r"""(?:"(?P<dq>[^"\n]+)"|'(?P<sq>[^'\n]+)'"""
+_STRING = r"""(?:\"{3}(?P<td>.+?)\"{3}|'{3}(?P<ts>.+?)'{3}|"(?P<dq>(?:[^"\\\n]|\\.)++)"|'(?P<sq>(?:[^'\\\n]|\\.)++)'"""
 _BARE = r"""[^\s"'<>,;(){}\[\]]"""
-#: A name, a binding mark, then a quoted literal, a bare literal or a name.
-PAIR = re.compile(rf"""(?<![A-Za-z0-9_.\-])["']?(?P<name>{_NAME})["']?[ \t]*+(?::=|=>|[:=])[ \t]*+{_QUOTED}|(?P<bare>{_BARE}+))""")
+_REFERENCE = rf"(?:\$\{{{_NAME}\}}|\$[A-Za-z_][A-Za-z0-9_]*+|%[A-Za-z_][A-Za-z0-9_]*+%)(?!{_BARE})"
+_LITERAL = rf"{_STRING}|(?P<ref>{_REFERENCE})|(?P<bare>{_BARE}++))"
+_KEY = rf"""["']?(?P<name>{_NAME}(?:\[["']?[A-Za-z0-9_.\-]++["']?\])*+)["']?"""
+_MARK = r"(?::=|=>|[:=])"
+#: A name, perhaps subscripts and a type, a binding mark, then a string, a reference or a bare literal.
+PAIR = re.compile(rf"(?<![A-Za-z0-9_.\-]){_KEY}(?:[ \t]*+:[ \t]*+[A-Za-z_][\w.]*+(?=[ \t]*+=[^=]))?+[ \t]*+{_MARK}[ \t]*+{_LITERAL}", re.S)
 #: An element whose content is text only, with or without a name space and attributes.
 ELEMENT = re.compile(rf"<(?:{_NAME}:)?(?P<name>{_NAME})(?:\s[^<>]*+)?>\s*+(?P<xml>[^<>]*[^<>\s])\s*+</(?:{_NAME}:)?(?P=name)\s*+>")
 #: An option of a command line, its value after white space or an equals sign.
-OPTION = re.compile(rf"""(?<![A-Za-z0-9_.\-])(?:--(?P<name>{_NAME})(?:[ \t]*+=[ \t]*+|[ \t]++(?!-))|-(?P<short>{_NAME})=){_QUOTED}|(?P<bare>{_BARE}+))""")
-JOIN = re.compile(rf"""[ \t]*+\+[ \t]*+({_NAME})""")
+OPTION = re.compile(rf"(?<![A-Za-z0-9_.\-])(?:--(?P<name>{_NAME})(?:[ \t]*+=[ \t]*+|[ \t]++(?!-))|-(?P<short>{_NAME})=){_LITERAL}", re.S)
+#: The password of a user in an address.
+ADDRESS = re.compile(r"://[^\s:@/\"'<>]++:(?P<url>[^\s@/\"'<>]++)@")
+#: Braces, and the name they are bound to.
+BRACE = re.compile(rf"(?<![A-Za-z0-9_.\-]){_KEY}\s*+{_MARK}\s*+(?P<open>\{{)|(?P<brace>[{{}}])")
+#: What may follow a string: a string side by side or added, or an added name.
+JOIN = re.compile(rf"""[ \t]*+(?:\\\n|\+)?[ \t]*+{_STRING})|[ \t]*+\+[ \t]*+(?P<more>{_NAME})""", re.S)
+REFERENCE = re.compile(rf"\$\{{({_NAME})\}}\Z|\$([A-Za-z_]\w*)\Z|%([A-Za-z_]\w*)%\Z")
+#: Values that stand for another one.
+STANDS_FOR = re.compile(r"<.*>\Z|\$?\{.*\}\Z|\$\w+\Z|%\(?\w*\)?[a-z%]?\Z", re.S)
+GENERAL = {"value", "val", "data", "raw", "text", "string", "content", "default", "literal", "plain"}
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 _IDENT = re.compile(rf"{_NAME}\Z")
 _BINDS = re.compile(r"[:=]|--|</")
@@ -77,7 +94,7 @@ def literal_score(value: str) -> float:
 
 def _score(size: int, counts: Counter, value: str | None) -> float:
     """The same from a literal's length and characters; its text (None: longer than all placeholders) matters for placeholders only."""
-    if size < 6 or any(c in counts for c in " \t$<>{}%") or (value is not None and value.lower() in PLACEHOLDERS):
+    if size < 6 or any(c in counts for c in " \t\n") or (value is not None and (value.lower() in PLACEHOLDERS or STANDS_FOR.match(value))):
         return 0.0
     chars = "".join(counts)
     classes = sum(bool(re.search(p, chars)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
@@ -116,15 +133,21 @@ def _joined(parts: list[_Bound]) -> _Bound:
 
 
 def _matches(text: str):
-    """Bindings in the order of the text."""
+    """Bindings and braces in the order of the text."""
     found = [PAIR.finditer(text)]
-    if "</" in text:
-        found.append(ELEMENT.finditer(text))
-    if "-" in text:
-        found.append(OPTION.finditer(text))
+    for sign, pattern in (("</", ELEMENT), ("-", OPTION), ("://", ADDRESS), ("{", BRACE)):
+        if sign in text:
+            found.append(pattern.finditer(text))
     return heapq.merge(*found, key=lambda m: m.start()) if len(found) > 1 else found[0]
 
 
+def _resolved(value: str, group: str, known: dict[str, _Bound]) -> _Bound | None:
+    """What a literal refers to, if it is a reference to a known name."""
+    if m := REFERENCE.match(value):
+        return known.get((m[1] or m[2] or m[3]).lower())
+    return known.get(value.lower()) if group == "bare" and _IDENT.match(value) else None
+
+
 def lexed_spans(text: str) -> list[tuple[str, int, int]]:
     """Literals of sensitive names, directly bound (literal) or through constants (const)."""
     if not _BINDS.search(text):
@@ -132,26 +155,44 @@ def lexed_spans(text: str) -> list[tuple[str, int, int]]:
     known: dict[str, _Bound] = {}
     found: set[tuple[int, int, str]] = set()
     told: set[_Bound] = set()  # constants whose literals are in found
+    around: list[str] = []  # names of the open braces
+    upto = 0  # end of the last value
     for m in _matches(text):
+        if m.re is BRACE:
+            if m.start("open" if m["open"] else "brace") >= upto:
+                if m["brace"] == "}":
+                    del around[-1:]
+                else:
+                    around.append(m["name"] or "")
+            continue
         group = m.lastgroup
-        value, start, end = m[group], m.start(group), m.end(group)
-        name = (m["name"] or m["short"] if m.re is OPTION else m["name"]).lower()
-        parts, via = [_Bound(value, start, end)], False
-        if group == "bare" and value.lower() in known and _IDENT.match(value):
-            parts, via = [known[value.lower()]], True
-        direct = None if via else parts[0]
-        after = m.end()
-        while plus := JOIN.match(text, after):
-            if plus[1].lower() not in known:
+        name = "password" if m.re is ADDRESS else (m["name"] or m["short"] if m.re is OPTION else m["name"]).lower()
+        target = next((x for x in reversed(around) if x), name) if name in GENERAL else name
+        after, parts, own = m.end(), [], []
+
+        def add(value: str, kind: str, start: int):
+            to = _resolved(value, kind, known)
+            parts.append(to or _Bound(value, start, start + len(value)))
+            if to is None:
+                own.append(parts[-1])
+
+        add(m[group], group, m.start(group))
+        while group != "xml" and (more := JOIN.match(text, after)):
+            kind = more.lastgroup
+            if kind == "more":
+                if more[kind].lower() not in known:
+                    break
+                parts.append(known[more[kind].lower()])
+            elif group in ("bare", "ref", "url") and text[after:more.start(kind)].strip("\"' \t") != "+":
                 break
-            parts.append(known[plus[1].lower()])
-            after = plus.end()
+            else:
+                add(more[kind], kind, more.start(kind))
+            after = more.end()
         bound = parts[0] if len(parts) == 1 else _joined(parts)
-        score = name_score(name)
+        score = name_score(target)
         if score and score + bound.score() >= THRESHOLD:
-            if direct:
-                found.add((start, end, "literal"))
-            todo = [p for p in parts if p is not direct]
+            found.update((p.start, p.end, "literal") for p in own)
+            todo = [p for p in parts if p not in own]
             while todo:
                 part = todo.pop()
                 if part not in told:
@@ -160,6 +201,7 @@ def lexed_spans(text: str) -> list[tuple[str, int, int]]:
                     if not part.parts:
                         found.add((part.start, part.end, "const"))
         known[name] = bound
+        upto = max(upto, after)
     return [(k, a, b) for a, b, k in sorted(found)]
 
 

@@ -460,6 +460,52 @@ def test_constants_have_any_number_of_parts():
     assert [doubled[a:b] for _, a, b in secrets.lexed_spans(doubled)] == ["Zq81kQpw77"]
 
 
+@pytest.mark.parametrize("text,parts", [
+    ("DB_PASS = 'aZ81kQpw77Lm'\npassword: ${DB_PASS}\n", ["aZ81kQpw77Lm"]),
+    ("K='aZ81kQpw77Lm'\nauth_key=$K\n", ["aZ81kQpw77Lm"]),
+    ("set K=aZ81kQpw77Lm\nset AUTH_KEY=%K%\n", ["aZ81kQpw77Lm"]),
+    ("K='aZ81kQpw77Lm'\nprivate_key = \"${K}\"", ["aZ81kQpw77Lm"]),
+    ('os.environ["AUTH_KEY"] = "aZ81kQpw77Lm"', ["aZ81kQpw77Lm"]),
+    ('{"auth": {"value": "aZ81kQpw77Lm"}, "other": {"value": "bZ81kQpw77Lm"}}', ["aZ81kQpw77Lm"]),
+    ('auth_key = """aZ81kQ\npw77Lm9x"""', []),
+    ('auth_key = """aZ81kQpw77Lm9x"""', ["aZ81kQpw77Lm9x"]),
+    (r'auth_key = "aZ81\"kQ\\pw77"', [r'aZ81\"kQ\\pw77']),
+    ('pwd = "Pa$$w0rd%99x7"', ["Pa$$w0rd%99x7"]),
+    ("credential: Zq81%kQpw77", ["Zq81%kQpw77"]),
+    ('auth_key = "aZ81kQ" + "pw77Lm9x"', ["aZ81kQ", "pw77Lm9x"]),
+    ('auth_key = "aZ81kQ" "pw77Lm9x"', ["aZ81kQ", "pw77Lm9x"]),
+    ('auth_key: str = "aZ81kQpw77Lm"', ["aZ81kQpw77Lm"]),
+    ("url = ftp://bob:aZ81kQpw77@host.org/x", ["aZ81kQpw77"]),
+    ("auth = <your-Token-12345>\nauth_key = ${MISSING}\npwd = '{{ Vault_12345 }}'", []),
+])
+def test_lexer_reads_the_forms_of_languages(text, parts):
+    assert [text[a:b] for _, a, b in secrets.lexed_spans(text)] == parts
+
+
+def test_random_assignments_equal_a_plain_evaluator():
+    """Programs of assignments: the literals that reach a sensitive name are those a plain evaluator collects."""
+    rng = random.Random(12)
+    for _ in range(300):
+        held, lines, want, serial = {}, [], set(), 0
+        for _ in range(rng.randint(1, 12)):
+            name, parts, code = rng.choice(["a", "b", "c", "auth_key", "pwd"]), [], []
+            for _ in range(rng.randint(1, 3)):
+                if held and rng.random() < 0.5:
+                    other = rng.choice(sorted(held))
+                    parts += held[other]
+                    code.append(other)
+                else:
+                    serial += 1
+                    parts.append(f"Zq{serial:04d}kQpw7X")
+                    code.append(rng.choice(["'{}'", '"{}"', '"""{}"""']).format(parts[-1]))
+            held[name] = parts
+            lines.append(f"{name} = {' + '.join(code)}")
+            if name in ("auth_key", "pwd"):
+                want.update(parts)
+        text = "\n".join(lines)
+        assert {text[a:b] for _, a, b in secrets.lexed_spans(text)} == want, text
+
+
 def test_options_and_elements_without_a_secret():
     assert secrets.lexed_spans("--password --token -v <key>value</key> <auth></auth> --secret required") == []
 
