@@ -14,6 +14,8 @@ Edge cases: vectors that are null, empty or hold null or non-finite components t
 no part; vectors meet only vectors of their own length; equal vectors and rows that
 repeat a vec_id are candidates of their own (a query's own rows are those with its
 vec_id); each row with the id of a query is asked once per id, by its smallest vector.
+Blocks whose scores could pass 2**52 are added up in Python's integers and not pruned,
+as floating bounds would not hold there; a returned score beyond 64 bits is an error.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from ebbtide.session import settle
 
 CANDIDATES, QUERIES = 8192, 512  # rows of a block
 DIMS = 8  # dimensions added between two prunings
+EXACT = 2.0**52  # scores up to which floating bounds are exact
 
 
 def _search(vertical: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int):
@@ -39,14 +42,18 @@ def _search(vertical: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_id
     square = vertical.astype(np.float64) ** 2
     # Norm of what remains of each candidate after each block, rounded up.
     rest = np.sqrt(np.stack([square[c:].sum(axis=0) for c in cuts])) * (1 + 1e-9) + 1e-9
+    # All sums lie within the product of the norms.
+    large = len(queries) and n and np.sqrt((queries.astype(np.float64) ** 2).sum(axis=1).max()) * rest[0].max() >= EXACT
+    if large:
+        vertical, queries = vertical.astype(object), queries.astype(object)
     for q, qid in zip(queries, query_ids.tolist(), strict=True):
         alive = np.flatnonzero(ids != qid)
-        score = np.zeros(len(alive), np.int64)
+        score = np.zeros(len(alive), object if large else np.int64)
         for b, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True), 1):
             part = vertical[lo:hi] if len(alive) == n else vertical[lo:hi, alive]
             for d in range(hi - lo):
                 score += q[lo + d] * part[d]
-            if hi == dims or len(alive) <= k:
+            if hi == dims or len(alive) <= k or large:
                 continue
             slack = np.sqrt((q[hi:].astype(np.float64) ** 2).sum()) * (1 + 1e-9) * rest[b, alive]
             low = score - slack
@@ -54,7 +61,9 @@ def _search(vertical: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_id
             keep = score + slack >= bar
             alive, score = alive[keep], score[keep]
         top = np.lexsort((ids[alive], -score))[:k]
-        yield qid, ids[alive[top]], score[top]
+        if large and any(not -(2**63) <= x < 2**63 for x in score[top]):
+            raise OverflowError(f"a score of query {qid} does not fit in 64 bits")
+        yield qid, ids[alive[top]], score[top].astype(np.int64)
 
 
 def top_k(vectors: DataFrame, every: int = 50, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:

@@ -69,3 +69,19 @@ def test_empty_and_unusable_tables(spark):
     for rows in ([], [(0, None, 0, 1), (50, [], 0, 1)]):
         df = spark.createDataFrame(rows, SCHEMA)
         assert exact_topk.top_k(df).count() == 0 and multi_index.nearest(df).count() == 0
+
+
+def test_large_scores_are_exact_or_an_error():
+    """Products beyond 2**53 against Python's integers, and beyond 64 bits."""
+    rng = np.random.default_rng(6)
+    for size in (2**20, 2**28):
+        x = rng.integers(-size, size, (200, 12))
+        ids = np.arange(200)
+        got = {q: (c.tolist(), s.tolist()) for q, c, s in exact_topk._search(np.ascontiguousarray(x.T), ids, x[:5], ids[:5], 4)}
+        for q in range(5):
+            scores = {c: sum(int(a) * int(b) for a, b in zip(x[q], x[c], strict=True)) for c in range(200) if c != q}
+            best = sorted(scores, key=lambda c: (-scores[c], c))[:4]
+            assert got[q] == (best, [scores[c] for c in best])
+    big = np.full((3, 4), 2**32)
+    with pytest.raises(OverflowError):
+        list(exact_topk._search(big.T, np.arange(3), big[:1], np.arange(1), 2))
