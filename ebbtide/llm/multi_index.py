@@ -7,8 +7,9 @@ least ``LEAST``), then all vectors of those cells are ranked by exact distance.
 
 The codebooks are fitted by Lloyd steps on the ``SAMPLE`` rows with the smallest hash;
 every row is indexed. Neighbouring cells share a block of entries, and a cell with more
-rows than a block is cut by a hash of the id; queries are cut into blocks as well and
-go only to blocks that hold a cell they visit. Every group is one pair of blocks.
+rows than a block is cut. Each entry is moved once, to the task that holds its block;
+queries go only to blocks that hold a cell they visit and pass by in batches. What is
+moved grows with the rows plus the visits, and no task holds more than one block.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite components
 take no part; only the most frequent length is indexed by halves, and vectors of other
@@ -26,14 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.vectors import best, finite, matrix
+from ebbtide.llm.vectors import best, finite, matrix, n_blocks, pass_by, slot
 from ebbtide.session import settle
 
 CENTROIDS = 64  # per half
 SAMPLE = 8192  # rows the codebooks are fitted on
 LLOYD = 12
 SHARE, LEAST = 0.5, 400  # of all rows; rows
-ENTRIES, QUERIES = 4096, 512  # rows of a block
+ENTRIES = 4096  # rows of a block
+QUERIES = 512  # rows that pass a block at a time
 
 
 def _nearest(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
@@ -92,7 +94,7 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10, id_col: str = "ve
     """(query_id, rank, vec_id, score): nearest found by Euclidean distance for queries with id divisible by ``every``."""
     spark = vectors.sparkSession
     base = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")).where("id IS NOT NULL").where(finite("v"))
-    base = settle(base.where(F.exists("v", lambda x: x != 0)).withColumn("dim", F.size("v")))
+    base = settle(base.where(F.exists("v", lambda x: x != 0)).withColumn("dim", F.size("v")).withColumn("_slot", slot()))
     common = base.groupBy("dim").count().orderBy(F.col("count").desc(), "dim").limit(1).collect()
     dim = common[0]["dim"] if common else 0
 
@@ -115,9 +117,9 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10, id_col: str = "ve
                 x = matrix(batch.column("v").take(pa.array(own)), np.float64)
                 half = one.shape[1]
                 cell[own] = _nearest(x[:, :half], one) * len(two) + _nearest(x[:, half:], two)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("id", "v", "dim")], pa.array(cell)], names=["id", "v", "dim", "cell"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell)], names=[*batch.schema.names, "cell"])
 
-    index = settle(base.mapInArrow(assign, "id long, v array<double>, dim int, cell long"))
+    index = settle(base.mapInArrow(assign, "id long, v array<double>, dim int, _slot long, cell long"))
     counts = index.groupBy("dim", "cell").count()
     held = np.zeros(len(books[0]) * len(books[1]), np.int64)
     for r in counts.where(F.col("dim") == dim).collect():  # at most CENTROIDS ** 2 cells
@@ -125,9 +127,7 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10, id_col: str = "ve
     enough = max(LEAST, int(share * held.sum()), k + 1)
     first, parts = entry_blocks(held)
     shared_cells = spark.sparkContext.broadcast((held, first, parts))
-    queries = index.where(F.col("id") % every == 0).groupBy("id").agg(F.min(F.struct("dim", "v")).alias("_q")).select("id", "_q.*")
-    cols = -(-max(1, queries.count()) // QUERIES)
-    asked = queries.withColumn("_q", F.expr(f"cast(pmod(xxhash64('block', id), {cols}) as int)"))
+    asked = index.where(F.col("id") % every == 0).groupBy("id").agg(F.min(F.struct("dim", "v")).alias("_q")).select("id", "_q.*")
 
     def visit(batches):
         held, first, parts = shared_cells.value
@@ -140,39 +140,42 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10, id_col: str = "ve
                 blocks = np.unique(np.concatenate([np.arange(first[c], first[c] + parts[c]) for c in cells.tolist()]))
                 rows.append((np.packbits(seen).tobytes(), blocks.tolist()))
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in ("id", "v", "dim", "_q")], pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.list_(pa.int64()))],
-                names=["id", "v", "dim", "_q", "seen", "_c"])
+                [*[batch.column(c) for c in ("id", "v", "dim")], pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.list_(pa.int64()))],
+                names=["id", "v", "dim", "seen", "_c"])
 
-    common_visits = asked.where(F.col("dim") == dim).mapInArrow(visit, "id long, v array<double>, dim int, _q int, seen binary, _c array<long>").withColumn("_c", F.explode("_c"))
+    common_visits = asked.where(F.col("dim") == dim).mapInArrow(visit, "id long, v array<double>, dim int, seen binary, _c array<long>").withColumn("_c", F.explode("_c"))
     others = counts.where(F.col("dim") != dim).select("dim", F.ceil(F.col("count") / ENTRIES).alias("_parts"))
     odd_visits = asked.where(F.col("dim") != dim).withColumn("seen", F.lit(None).cast("binary")).join(others, "dim").withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))).drop("_parts")
     # Entries go to their cell's block; a cell of more than ENTRIES rows has several.
     cells = spark.createDataFrame([(c, int(first[c]), int(parts[c])) for c in np.flatnonzero(held).tolist()], "cell long, _first long, _parts long")
-    place = F.pmod(F.xxhash64(F.lit("block"), "id"), F.col("_parts"))
+    place = F.pmod(F.xxhash64(F.lit("block"), "_slot"), F.col("_parts"))
     common_rows = index.where(F.col("dim") == dim).join(F.broadcast(cells), "cell").withColumn("_c", F.col("_first") + place).drop("_first", "_parts")
     odd_rows = index.where(F.col("dim") != dim).join(others, "dim").withColumn("_c", place).drop("_parts")
-    entries = common_rows.unionByName(odd_rows).withColumn("_q", F.explode(F.sequence(F.lit(0), F.lit(cols - 1))))
-
-    def rank(key, rows: pa.Table, asking: pa.Table) -> pa.Table:
-        query, cand, score = [], [], []
-        if len(rows) and len(asking):
-            x, ids, cell = matrix(rows["v"], np.float64), rows["id"].to_numpy(), rows["cell"].to_numpy()
-            for q, qid, seen in zip(matrix(asking["v"], np.float64), asking["id"].to_numpy().tolist(), asking["seen"].to_pylist(), strict=True):
-                mine = ids != qid
-                if seen is not None:
-                    mine &= np.unpackbits(np.frombuffer(seen, np.uint8))[cell] == 1
-                other = np.flatnonzero(mine)
-                d = np.sqrt(((x[other] - q) ** 2).sum(axis=1))
-                if len(d) > k:
-                    near = np.flatnonzero(d <= np.partition(d, k - 1)[k - 1])
-                    other, d = other[near], d[near]
-                top = np.lexsort((ids[other], d))[:k]
-                query.append(np.full(len(top), qid, np.int64))
-                cand.append(ids[other[top]])
-                score.append(d[top])
-        flat = lambda x, t: np.concatenate(x) if x else np.zeros(0, t)
-        return pa.table({"query_id": flat(query, np.int64), "vec_id": flat(cand, np.int64), "score": flat(score, np.float64)})
-
-    grid = ["dim", "_c", "_q"]
-    found = entries.groupBy(*grid).cogroup(common_visits.unionByName(odd_visits).groupBy(*grid)).applyInArrow(rank, "query_id long, vec_id long, score double")
+    entries = common_rows.unionByName(odd_rows).drop("_slot")
+
+    def prepare(rows: pa.Table):
+        return matrix(rows["v"], np.float64), rows["id"].to_numpy(), rows["cell"].to_numpy()
+
+    def answer(block, asking: pa.Table) -> pa.Table:
+        x, ids, cell = block
+        query, cand, score = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        for q, qid, seen in zip(matrix(asking["v"], np.float64), asking["id"].to_numpy().tolist(), asking["seen"].to_pylist(), strict=True):
+            mine = ids != qid
+            if seen is not None:
+                mine &= np.unpackbits(np.frombuffer(seen, np.uint8))[cell] == 1
+            other = np.flatnonzero(mine)
+            d = np.sqrt(((x[other] - q) ** 2).sum(axis=1))
+            if len(d) > k:
+                near = np.flatnonzero(d <= np.partition(d, k - 1)[k - 1])
+                other, d = other[near], d[near]
+            top = np.lexsort((ids[other], d))[:k]
+            query.append(np.full(len(top), qid, np.int64))
+            cand.append(ids[other[top]])
+            score.append(d[top])
+        return pa.table({"query_id": np.concatenate(query), "vec_id": np.concatenate(cand), "score": np.concatenate(score)})
+
+    visits = common_visits.unionByName(odd_visits)
+    # Twice as many partitions as blocks, so that few tasks hold several blocks.
+    partitions = 2 * (n_blocks(index.count(), ENTRIES) + 1)
+    found = pass_by(entries, visits, ["dim", "_c"], partitions, prepare, answer, "query_id long, vec_id long, score double", QUERIES)
     return best(found, k, F.col("score"), F.col("vec_id")).select("query_id", "rank", "vec_id", "score")

@@ -85,3 +85,55 @@ def test_large_scores_are_exact_or_an_error():
     big = np.full((3, 4), 2**32)
     with pytest.raises(OverflowError):
         list(exact_topk._search(big.T, np.arange(3), big[:1], np.arange(1), 2))
+
+
+def shuffled_rows(df):
+    """Rows written by the widest shuffle of the plan that ran."""
+    df.collect()
+    nodes, rows = [df._jdf.queryExecution().executedPlan()], []
+    while nodes:
+        node = nodes.pop()
+        kids = [node.finalPhysicalPlan()] if node.nodeName() == "AdaptiveSparkPlan" else [node.plan()] if node.nodeName() == "ShuffleQueryStage" else [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "Exchange" and "REPARTITION" in node.simpleString(1000):
+            rows.append(node.metrics().apply("shuffleRecordsWritten").value())
+        nodes += kids
+    return max(rows)
+
+
+def test_rows_are_moved_once(spark, monkeypatch):
+    """However many batches of queries pass, a row goes to one block, and a query once to each of its blocks."""
+    monkeypatch.setattr(exact_topk, "CANDIDATES", 100)
+    monkeypatch.setattr(multi_index, "ENTRIES", 100)
+    monkeypatch.setattr(multi_index, "CENTROIDS", 8)
+    df, rows = table(spark)
+    n = len(usable(rows, True))
+    queries = sum(i % 50 == 0 for i, _ in usable(rows, True))
+    for size in (1, 512):
+        monkeypatch.setattr(exact_topk, "QUERIES", size)
+        monkeypatch.setattr(multi_index, "QUERIES", size)
+        assert shuffled_rows(exact_topk.top_k(df)) == n + queries * 10
+        assert n < shuffled_rows(multi_index.nearest(df, every=50)) < n + queries * 15
+
+
+def test_rows_of_one_id_are_spread(spark, monkeypatch):
+    """A third of all rows has one id: no block holds them all, and all of them are candidates."""
+    monkeypatch.setattr(exact_topk, "CANDIDATES", 50)
+    monkeypatch.setattr(multi_index, "ENTRIES", 50)
+    monkeypatch.setattr(multi_index, "CENTROIDS", 4)
+    rng = np.random.default_rng(8)
+    rows = [(7 if i < 200 else i, rng.normal(0, 1, 8).tolist(), 0, 1) for i in range(600)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    held, _, _ = exact_topk.placed(df, 50)
+    assert held.where("id = 7").groupBy("_c").count().agg({"count": "max"}).first()[0] < 60
+    x = [np.float32(v).astype(float) for _, v, *_ in rows]
+    for found, every, score in (
+        (exact_topk.top_k(df), 50, lambda a, b: int(np.floor(256 * a) @ np.floor(256 * b))),
+        (multi_index.nearest(df, share=1.0), 100, lambda a, b: -float(np.sqrt(((a - b) ** 2).sum()))),
+    ):
+        got = {}
+        for r in found.collect():
+            got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+        for i, *_ in rows[200:]:
+            if i % every == 0:
+                want = sorted((-score(x[i], v), j) for (j, *_), v in zip(rows, x, strict=True) if j != i)
+                assert [j for _, j in sorted(got[i])] == [j for _, j in want[: len(got[i])]]
