@@ -110,27 +110,28 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     rows = settle(numbered.mapInArrow(emit, "_doc long, _print long, _anchor long, _run long, _from long, _n long, _hashes binary"))
     bits.destroy()
     # First holder of each run; then only anchors with two different runs can hide partial overlaps.
-    holders = rows.groupBy("_anchor", "_run").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last"))
-    mixed = holders.groupBy("_anchor").agg(F.count("*").alias("_kinds"))
-    known = holders.join(mixed, "_anchor").where("_first < _last OR _kinds > 1").drop("_last")
+    # All sides are settled, so that the joins read plain exchanges, whose large partitions Spark can split.
+    holders = settle(rows.groupBy("_anchor", "_run").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last")))
+    mixed = settle(holders.groupBy("_anchor").agg(F.count("*").alias("_kinds")).where("_kinds > 1"))
+    known = settle(holders.join(mixed, "_anchor", "left").where("_first < _last OR _kinds > 1").drop("_last"))
     rows = settle(rows.join(known, ["_anchor", "_run"]))
     whole = rows.where("_first < _doc").select("_doc", "_print", "_from", "_n")
 
     def unfold(batches):
         for batch in _sliced(batches):
-            doc, mark, start, blobs = _columns(batch, "_doc", "_print", "_from", "_hashes")
+            doc, mark, anchor, start, blobs = _columns(batch, "_doc", "_print", "_anchor", "_from", "_hashes")
             count = np.array([len(b) // 8 for b in blobs], np.int64)
             hashes = np.frombuffer(b"".join(blobs), "<i8")
             at = np.arange(len(hashes)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(np.asarray(start, np.int64), count)
             yield pa.RecordBatch.from_pydict({
                 "_doc": pa.array(np.repeat(np.asarray(doc, np.int64), count)), "_print": pa.array(np.repeat(np.asarray(mark, np.int64), count)),
-                "_from": pa.array(at), "_hash": pa.array(hashes),
+                "_anchor": pa.array(np.repeat(np.asarray(anchor, np.int64), count)), "_from": pa.array(at), "_hash": pa.array(hashes),
             })
 
-    single = rows.where("_first = _doc AND _kinds > 1").select("_doc", "_print", "_from", "_hashes").mapInArrow(unfold, "_doc long, _print long, _from long, _hash long")
-    # Settled, so that the join below reads two plain exchanges, whose large partitions Spark can split.
-    least = settle(single.groupBy("_hash").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last")).where("_first < _last").drop("_last"))
-    partial = single.join(least, "_hash").where("_first < _doc").select("_doc", "_print", "_from", F.lit(1).cast("long").alias("_n"))
+    single = rows.where("_first = _doc AND _kinds > 1").select("_doc", "_print", "_anchor", "_from", "_hashes").mapInArrow(unfold, "_doc long, _print long, _anchor long, _from long, _hash long")
+    # A window is known by its hash and its anchor, 128 bits, as a run is by its own two hashes.
+    least = settle(single.groupBy("_anchor", "_hash").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last")).where("_first < _last").drop("_last"))
+    partial = single.join(least, ["_anchor", "_hash"]).where("_first < _doc").select("_doc", "_print", "_from", F.lit(1).cast("long").alias("_n"))
     return whole.unionByName(partial).groupBy("_doc", "_print").agg(F.collect_set(F.struct("_from", "_n")).alias("_ranges"))
 
 
