@@ -163,7 +163,7 @@ def dq_panel_overlap(d):
  UNION ALL SELECT 'Join integrity', CASE WHEN cease_in_customer_info / n_cease > 0.95 THEN 'PASS' ELSE 'WARN' END FROM ({COVERAGE_SQL})
  UNION ALL SELECT 'Temporal coverage', CASE WHEN sum(n_future) = 0 THEN 'PASS' ELSE 'WARN' END FROM ({TEMPORAL_SQL})
  UNION ALL SELECT 'Outliers & cardinality', CASE WHEN (SELECT count(*) FROM panel WHERE tenure_days < 0 OR (speed = 0 AND line_speed > 0) OR ooc_days < -3650) + (SELECT count(*) FROM usage WHERE usage_download_mbs = 'n/a') = 0 THEN 'PASS' ELSE 'WARN' END
- UNION ALL SELECT 'Leakage risk', 'PASS')
+ UNION ALL SELECT 'Leakage risk', CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'WARN' END FROM (SELECT unnest({list(MATRIX_COLS)}) AS c) WHERE lower(c) IN ('cease_placed_date', 'cease_completed_date', 'reason_description', 'reason_description_insight'))
  SELECT "check", status FROM g UNION ALL SELECT 'VERDICT', CASE WHEN count(*) FILTER (WHERE status = 'FAIL') > 0 THEN 'BLOCKED' WHEN count(*) FILTER (WHERE status = 'WARN') > 0 THEN 'PROCEED WITH CAUTION' ELSE 'ALL CLEAR' END FROM g"""))
 def dq_gate(d):
     rows = settle(dq.gate(d.raw_tables(), DATA_END, assembled(d).columns))  # a handful of rows, used for the verdict as well

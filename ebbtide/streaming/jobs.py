@@ -45,6 +45,18 @@ def call_counts(calls: DataFrame, time_col: str = "event_time", width: str = "7
     return counted.select(ID, utc_date(F.col("w.start")).alias("window_start"), utc_date(F.col("w.end")).alias("window_end"), "n_calls", "n_loyalty")
 
 
+def closing_row(calls: DataFrame, time_col: str = "event_time", days: int = 38) -> DataFrame:
+    """One row without a customer, ``days`` after the newest call, that ends a finite stream.
+
+    Sent last, it moves the watermark past the end of every window that holds a call
+    (``days`` is the delay and one window or more), so these windows are all emitted;
+    its own windows stay open. Without calls there is no row.
+    """
+    newest = calls.agg(F.max(time_col).alias("_newest")).where("_newest IS NOT NULL")
+    end = F.timestamp_seconds(F.unix_seconds("_newest") + days * 86400)
+    return newest.select(*[(end if f.name == time_col else F.lit(None)).cast(f.dataType).alias(f.name) for f in calls.schema])
+
+
 def utc_midnight(day: Column) -> Column:
     """Instant at which ``day`` starts in UTC, whatever the session time zone."""
     return F.timestamp_seconds(F.unix_date(day).cast("bigint") * 86400)

@@ -125,3 +125,24 @@ def test_late_calls_are_dropped(spark):
     stream = jobs.read_parquet_stream(spark, path, spark.read.parquet(path).schema, files_per_batch=1)
     out = jobs.run_to_table(jobs.call_counts(stream), "late").where("window_start = '2023-12-31' OR window_start = '2024-01-01'").collect()
     assert out and all(r["n_calls"] == 1 and r["n_loyalty"] == 1 for r in out)
+
+
+def test_closing_row_ends_all_windows(spark):
+    path = scratch(spark, "calls")
+    calls = spark.createDataFrame([(i, dt.datetime(2024, 3, day), "Tech") for i, day in (("a", 1), ("a", 9), ("b", 9), (None, 9))], "unique_customer_identifier string, event_time timestamp, call_type string")
+    calls.unionByName(jobs.closing_row(calls)).write.parquet(path)
+    out = jobs.run_to_table(jobs.call_counts(jobs.read_parquet_stream(spark, path, calls.schema)), "closed").collect()
+    got = {(r["unique_customer_identifier"], r["window_start"]): r["n_calls"] for r in out}
+    first = lambda day: [dt.date(2024, 3, day) - dt.timedelta(i) for i in range(7)]
+    assert got == {("a", d): 1 for d in first(1) + first(9)} | {(i, d): 1 for i in ("b", None) for d in first(9)}
+    assert jobs.closing_row(calls.limit(0)).count() == 0
+
+
+def test_gate_warns_of_leaking_columns(spark):
+    from conftest import SMALL
+    from ebbtide.operators import quality
+    from ebbtide.sources.starschema import StarSchema
+
+    tables = StarSchema(spark, SMALL).raw_tables()
+    status = lambda columns: {r["check"]: r["status"] for r in quality.gate(tables, "2000-01-01", columns).collect()}["Leakage risk"]
+    assert status(["speed", "churned"]) == "PASS" and status(["speed", "Cease_Placed_Date"]) == "WARN"
