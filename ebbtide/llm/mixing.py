@@ -8,9 +8,10 @@ proportional share, the longest lengths that still fit close most of the gap, an
 bounded-knapsack table over the remaining lengths hits the last ``EXACT`` words or less. Which
 documents of a length are taken follows from a seeded hash of the id and text.
 
-Edge cases: a null text has size 0; a null source is one source, last in order; an
-empty table gives no rows; equal rows share a hash, and ties within it are resolved
-by counting them together with their id, so reruns agree.
+Edge cases: a null text has size 0; a document without words is never taken; a null
+source is one source, last in order; an empty table gives no rows; equal rows share a
+hash, and ties within it are resolved by counting them together with their id, so
+reruns agree.
 """
 
 from __future__ import annotations
@@ -128,8 +129,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         size, target = int(table["source_size"][0].as_py()), float(table["target"][0].as_py())
         whole = min(MAX_REPEAT, int(target // size)) if size else 0
         budget = 0 if not size or whole == MAX_REPEAT else max(0, round(target - whole * size))
-        more = fit_counts(length, n, budget)
-        return pa.table({"source": table["source"], "size": table["size"], "_whole": pa.array(np.full(len(n), whole)), "_more": pa.array(more)})
+        words = length > 0  # nothing is taken from a document without words
+        more = np.where(words, fit_counts(length, n, budget), 0)
+        return pa.table({"source": table["source"], "size": table["size"], "_whole": pa.array(np.where(words, whole, 0)), "_more": pa.array(more)})
 
     chosen = settle(_same(lengths, targets, ["source"]).groupBy("source").applyInArrow(fit, "source string, size long, _whole long, _more long"))
     # Per hash range: taken whole, not at all, or in part; only the range at the edge is ranked.

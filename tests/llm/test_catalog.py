@@ -34,7 +34,6 @@ def test_pipeline_stages(spark):
         seen = out
     packed = corpus_pipeline.STAGES[-1][1](spark, seen, SMALL)
     assert packed.select("doc_id").distinct().count() == seen.select("doc_id").distinct().count()
-    assert sorted(map(tuple, corpus_pipeline.run(spark, SMALL).select("doc_id", "start", "length").collect())) is not None
 
 
 def test_stages_bear_null_and_repeated_rows(spark):
