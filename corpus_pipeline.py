@@ -56,8 +56,8 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-#: The toxicity model, the subset sums and the packing are not SQL. Tests hold the single operators against brute force,
-#: run() only by counts and columns of its stages.
+#: The toxicity model, the subset sums and the packing are not SQL. tests/llm/test_whole_pipeline.py holds run() against
+#: plain Python over a planted table, given the scores of the first stage.
 ORACLE_SQL = None
 
 
