@@ -1,6 +1,7 @@
 """Toxicity, secrets, line templates, packing, mixing and page text."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -40,6 +41,20 @@ def test_marginals_match_enumeration():
         assert got == pytest.approx(want[:, 1] / want.sum(axis=1), abs=1e-9)
 
 
+def test_marginals_match_all_tag_sequences():
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 3, 9):
+        score, trans = rng.normal(0, 2, n), rng.normal(0, 1, (2, 2))
+        weight = {}
+        for tags in itertools.product((0, 1), repeat=n):  # the tag before the first token is either, equally likely
+            before = [np.exp(trans[s, tags[0]]) / 2 for s in (0, 1)]
+            inner = sum(trans[a, b] for a, b in itertools.pairwise(tags)) + sum(x for x, t in zip(score, tags, strict=True) if t)
+            weight[tags] = sum(before) * np.exp(inner)
+        total = sum(weight.values())
+        want = [sum(w for tags, w in weight.items() if tags[i]) / total for i in range(n)]
+        assert toxicity.marginals(score, np.array([0, n]), trans) == pytest.approx(want, abs=1e-9)
+
+
 def toxic_corpus(spark, n=400):
     rng = random.Random(3)
     bad = ["idiot", "moronweg", "moronlich"]
