@@ -11,9 +11,11 @@ best round is a prefix of the trees.
 
 Rows stay in their partitions. Of a table larger than ``TOGETHER`` bytes, every task makes
 the histograms of its rows, they are added up on the way, and only sums (open nodes x
-features x bins) reach the driver, where the trees are kept; row margins are a column that
-is written anew every ``EVERY`` rounds. Of a smaller table one task holds all rows and grows
+features x bins) reach the driver, where the trees are kept. The tasks' rows stay in Spark's
+cache as arrays; row margins are written anew every ``EVERY`` rounds. Of a smaller table one task holds all rows and grows
 ``EVERY`` rounds a job. Both ways run the same code and differ in the order of sums alone.
+Only the smaller child of a split is counted, over the round's own features; its sibling's
+histogram is what the parent's leaves.
 
 With a run folder, trees and losses are written after every job of rounds, and a restarted
 driver goes on from there.
@@ -28,18 +30,20 @@ from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.session import settle
 
-FORMAT = 2  # raised when the same data would give other trees
+FORMAT = 3  # raised when the same data would give other trees
 BINS = 64  # the last one is NULL's
 NULL = BINS - 1
 EVERY = 25  # rounds between two settled states
 TOGETHER = 64 << 20  # bytes of binned rows that one task may hold
 STEP = 4096  # binned rows per stored row of a table
 _EPS = 1e-12
+_TIE = 1e-9  # gains that differ by less, as sums taken in another order do, are equal
 
 
 # ---- trees -------------------------------------------------------------------------------------
@@ -61,6 +65,12 @@ class Tree:
             getattr(self, name).append(empty)
         return len(self.feature) - 1
 
+    def passes_left(self, n: int) -> np.ndarray:
+        """Flags of the bins that go left at a node."""
+        out = np.arange(BINS) <= self.bin[n]
+        out[NULL] = self.null_left[n]
+        return out
+
     def nodes(self, codes: np.ndarray) -> np.ndarray:
         """The node that each row of bins reaches."""
         feature, cut, null_left = np.array(self.feature), np.array(self.bin), np.array(self.null_left)
@@ -77,6 +87,13 @@ class Tree:
     def margins(self, codes: np.ndarray) -> np.ndarray:
         return np.array(self.value)[self.nodes(codes)]
 
+    def add_margins(self, codes: np.ndarray, margin: np.ndarray) -> None:
+        """The same for many rows, whose codes lie by feature, added to ``margin``."""
+        at = {0: np.arange(len(codes))}
+        divide(self, codes, at)
+        for n, rows in at.items():
+            margin[rows] += self.value[n]
+
 
 # --- fixed values: boosting defaults --------------------------------------------------------------
 DEFAULTS = {
@@ -107,13 +124,15 @@ def drawn_features(n: int, p: Mapping[str, float], rounds: int) -> np.ndarray:
     return place <= np.sort(place)[wanted - 1]
 
 
-def histogram(codes: np.ndarray, node: np.ndarray, nodes: int, g: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Sums (node, feature, bin, kind) of gradients, Hessians and rows."""
-    rows, width = codes.shape
-    cell = ((node[:, None] * width + np.arange(width)) * BINS + codes).ravel()
-    size = nodes * width * BINS
-    parts = [np.bincount(cell, None if w is None else np.repeat(w, width), size) for w in (g, h, None)]
-    return np.stack(parts, axis=1).reshape(nodes, width, BINS, 3) if rows else np.zeros((nodes, width, BINS, 3))
+def histogram(codes: np.ndarray, node: np.ndarray, nodes: int, g: np.ndarray, h: np.ndarray, rows: np.ndarray | None = None, features: Sequence[int] | None = None) -> np.ndarray:
+    """Sums (node, feature, bin, kind) of gradients, Hessians and rows; of these ``rows`` and ``features`` of ``codes`` only, if given."""
+    which = range(codes.shape[1]) if features is None else features
+    out, first = np.zeros((nodes, len(which), BINS, 3)), node.astype(np.int64) * BINS
+    for i, f in enumerate(which):
+        cell = first + (codes[:, f] if rows is None else codes[:, f].take(rows))
+        for k, w in enumerate((g, h, None)):
+            out[:, i, :, k] = np.bincount(cell, w, nodes * BINS).reshape(nodes, BINS)
+    return out
 
 
 def _shrunk(g: np.ndarray, alpha: float) -> np.ndarray:
@@ -138,7 +157,7 @@ def best_splits(hist: np.ndarray, features: np.ndarray, p: Mapping[str, float]):
         fine = (left[..., 2] >= p["min_rows"]) & (right[..., 2] >= p["min_rows"]) & features[None, :, None]
         found.append(np.where(fine, gain, 0.0))
     both = np.stack(found, axis=1).reshape(len(hist), -1)  # node, (side, feature, bin); ties to NULL right, then to the first feature and bin
-    pick = both.argmax(axis=1)
+    pick = (both >= both.max(axis=1, keepdims=True) * (1 - _TIE)).argmax(axis=1)
     gain = both[np.arange(len(hist)), pick]
     width = hist.shape[1]
     side, f, b = pick // (width * NULL), pick // NULL % width, pick % NULL
@@ -151,25 +170,35 @@ def leaf_value(sums: np.ndarray, p: Mapping[str, float]) -> float:
 
 
 class Growing:
-    """A tree while it grows: which nodes are open, and how far its leaf budget goes."""
+    """A tree while it grows: which nodes are open, which of them are counted, and how far its leaf budget goes."""
 
     def __init__(self, p: Mapping[str, float], width: int, rounds: int):
         self.p, self.tree, self.open, self.leaves, self.depth = p, Tree(), [0], 1, 0
-        self.features = drawn_features(width, p, rounds)
+        self.which = np.flatnonzero(drawn_features(width, p, rounds))
+        self.counted: list[int] = [0]  # open nodes whose histograms are made from rows
+        self.hist: np.ndarray | None = None  # of the level above
+        self.pairs: list[tuple[int, bool]] = []  # per two open siblings their parent's place in ``hist``, and whether the left one is counted
 
     def done(self) -> bool:
         return not self.open or self.depth >= self.p["max_depth"] or self.leaves >= self.p["leaves"]
 
-    def slots(self, at: np.ndarray) -> np.ndarray:
-        """Number of a row's node among the open ones, -1 elsewhere."""
-        slot = np.full(len(self.tree.feature), -1)
-        slot[self.open] = np.arange(len(self.open))
-        return slot[at]
+    def _whole(self, sums: np.ndarray) -> np.ndarray:
+        """Histograms of all open nodes from those of the counted ones."""
+        if self.hist is None:
+            return sums
+        out = np.empty((2 * len(self.pairs), *sums.shape[1:]))
+        for i, (k, left) in enumerate(self.pairs):
+            rest = self.hist[k] - sums[i]
+            rest[rest[..., 2] == 0] = 0.0  # no rows, so cuts beside such bins stay equal and the first one counts
+            out[2 * i + (not left)], out[2 * i + left] = sums[i], rest
+        return out
 
-    def split(self, hist: np.ndarray) -> None:
-        """Split open nodes by gain, largest first, until the budget is spent."""
-        gain, feature, cut, null_left, left, right = best_splits(hist, self.features, self.p)
+    def split(self, sums: np.ndarray) -> None:
+        """Split open nodes by gain, largest first, until the budget is spent; ``sums`` are the counted nodes' histograms."""
+        hist = self._whole(sums)
+        gain, feature, cut, null_left, left, right = best_splits(hist, np.ones(len(self.which), bool), self.p)
         tree, opened = self.tree, []
+        self.counted, self.pairs, self.hist = [], [], hist
         if self.depth == 0:
             whole = hist[0, 0].sum(axis=0)
             tree.cover[0], tree.value[0] = float(whole[1]), leaf_value(whole, self.p)
@@ -177,16 +206,39 @@ class Growing:
             if gain[k] <= _EPS or self.leaves >= self.p["leaves"]:
                 break
             n = self.open[k]
-            tree.feature[n], tree.bin[n], tree.null_left[n], tree.gain[n] = int(feature[k]), int(cut[k]), bool(null_left[k]), float(gain[k])
-            for side, sums in (("left", left[k]), ("right", right[k])):
+            tree.feature[n], tree.bin[n], tree.null_left[n], tree.gain[n] = int(self.which[feature[k]]), int(cut[k]), bool(null_left[k]), float(gain[k])
+            for side, sums_ in (("left", left[k]), ("right", right[k])):
                 child = tree.add()
                 getattr(tree, side)[n] = child
-                tree.value[child], tree.cover[child] = leaf_value(sums, self.p), float(sums[1])
+                tree.value[child], tree.cover[child] = leaf_value(sums_, self.p), float(sums_[1])
                 opened.append(child)
+            fewer_left = bool(left[k, 2] <= right[k, 2])
+            self.pairs.append((k, fewer_left))
+            self.counted.append(tree.left[n] if fewer_left else tree.right[n])
             self.leaves += 1
         self.open, self.depth = opened, self.depth + 1
 
 
+def slots(tree: Tree, counted: Sequence[int], at: np.ndarray) -> np.ndarray:
+    """Number of a row's node among the counted ones, -1 elsewhere."""
+    slot = np.full(len(tree.feature), -1)
+    slot[list(counted)] = np.arange(len(counted))
+    return slot[at]
+
+
+def divide(tree: Tree, codes: np.ndarray, at: dict[int, np.ndarray]) -> None:
+    """Move the rows that nodes hold on to their children, down to the leaves."""
+    todo = [n for n in at if tree.feature[n] >= 0]
+    while todo:
+        n = todo.pop()
+        rows = at.pop(n)
+        left = tree.passes_left(n)[codes[:, tree.feature[n]].take(rows)]
+        for child, own in ((tree.left[n], rows[left]), (tree.right[n], rows[~left])):
+            at[child] = own
+            if tree.feature[child] >= 0:
+                todo.append(child)
+
+
 def slopes(margin: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     p = 1 / (1 + np.exp(-margin))
     return w * (p - y), w * p * (1 - p)
@@ -230,23 +282,30 @@ class State:
 
 def grow_rounds(rows: Rows, p: Mapping[str, float], state: State, rounds: int, watched: bool) -> State:
     """Add up to ``rounds`` trees to a state whose margins ``rows`` hold; updates the margins."""
-    fit = ~rows.held
-    codes, y, w, number = rows.codes[fit], rows.y[fit], rows.w[fit], rows.number[fit]
+    fit = np.flatnonzero(~rows.held)
+    part = np.flatnonzero(rows.held) if watched else fit
+    codes, y, w, number = np.asfortranarray(rows.codes), rows.y[fit], rows.w[fit], rows.number[fit]
+    g, h = np.zeros(len(rows.y)), np.zeros(len(rows.y))
     for _ in range(rounds):
         if state.ended or len(state.trees) >= p["rounds"]:
             state.ended = True
             break
         r = len(state.trees)
-        g, h = slopes(rows.margin[fit], y, w)
-        use = drawn_rows(number, p, r)
-        grown, own, ug, uh = Growing(p, codes.shape[1], r), codes[use], g[use], h[use]
+        g[fit], h[fit] = slopes(rows.margin[fit], y, w)
+        use = np.zeros(len(rows.y), bool)
+        use[fit[drawn_rows(number, p, r)]] = True
+        grown = Growing(p, codes.shape[1], r)
+        at, others = {0: np.flatnonzero(use)}, {0: np.flatnonzero(~use)}
         while not grown.done():
-            slot = grown.slots(grown.tree.nodes(own))
-            at = np.flatnonzero(slot >= 0)
-            grown.split(histogram(own[at], slot[at], len(grown.open), ug[at], uh[at]))
-        rows.margin += grown.tree.margins(rows.codes)
+            held = [at[n] for n in grown.counted]
+            own, node = np.concatenate(held), np.repeat(np.arange(len(held)), [len(x) for x in held])
+            grown.split(histogram(codes, node, len(held), g[own], h[own], own, grown.which))
+            divide(grown.tree, codes, at)
+        divide(grown.tree, codes, others)
+        for leaves in (at, others):
+            for n, own in leaves.items():
+                rows.margin[own] += grown.tree.value[n]
         state.trees.append(grown.tree)
-        part = rows.held if watched else fit
         total = loss_sums(rows.margin[part], rows.y[part], rows.w[part])
         state.losses.append(float(total[0] / max(total[1], _EPS)))
         state.ended = watched and best_round(state.losses, int(p["patience"]))[1]
@@ -280,7 +339,7 @@ def binned(df: DataFrame, features: Sequence[str], cuts: list[list[float]], targ
                 n = part.column("number").to_numpy(zero_copy_only=False).astype(np.int64)
                 y, w = (part.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("y", "w"))
                 out = part.column("held").to_numpy(zero_copy_only=False).astype(np.uint8)
-                blobs = [x.tobytes() for x in (n, codes, y, w, np.zeros(len(n)), out)]
+                blobs = [x.tobytes() for x in (n, codes.T, y, w, np.zeros(len(n)), out)]  # codes by feature
                 yield pa.RecordBatch.from_arrays([pa.array([b], pa.binary()) for b in blobs], names=list(_BLOCK))
 
     return settle(base.mapInArrow(run, ", ".join(f"{c} binary" for c in _BLOCK)))
@@ -292,14 +351,21 @@ _BLOCK = {"number": np.int64, "codes": np.uint8, "y": np.float64, "w": np.float6
 def unpack(batch) -> Iterator[Rows]:
     """Rows of every block."""
     for row in batch.to_pylist():
-        a = {c: np.frombuffer(row[c], kind) for c, kind in _BLOCK.items()}
-        n = len(a["number"])
-        yield Rows(a["number"], a["codes"].reshape(n, -1), a["y"], a["w"], a["margin"].copy(), a["held"].astype(bool))
+        yield _rows(row)
+
+
+def _rows(row: Mapping[str, bytes]) -> Rows:
+    a = {c: np.frombuffer(row[c], kind) for c, kind in _BLOCK.items()}
+    n = len(a["number"])
+    return Rows(a["number"], a["codes"].reshape(-1, n).T, a["y"], a["w"], a["margin"].copy(), a["held"].astype(bool))
 
 
 def together(blocks: Iterator[Rows]) -> Rows | None:
     parts = list(blocks)
-    return Rows(*[np.concatenate([getattr(b, c) for b in parts]) for c in ("number", "codes", "y", "w", "margin", "held")]) if parts else None
+    if not parts:
+        return None
+    number, y, w, margin, held = (np.concatenate([getattr(b, c) for b in parts]) for c in ("number", "y", "w", "margin", "held"))
+    return Rows(number, np.concatenate([b.codes.T for b in parts], axis=1).T, y, w, margin, held)
 
 
 def _task_rounds(table: DataFrame, p: Mapping[str, float], trees: list[Tree], losses: list[float], rounds: int, watched: bool) -> State:
@@ -311,8 +377,9 @@ def _task_rounds(table: DataFrame, p: Mapping[str, float], trees: list[Tree], lo
             return
         order = np.argsort(rows.number, kind="stable")
         rows = Rows(*[getattr(rows, c)[order] for c in ("number", "codes", "y", "w", "margin", "held")])
+        rows.codes = np.asfortranarray(rows.codes)
         for t in trees:
-            rows.margin += t.margins(rows.codes)
+            t.add_margins(rows.codes, rows.margin)
         state = grow_rounds(rows, p, State(list(trees), list(losses)), rounds, watched)
         new = json.dumps([asdict(t) for t in state.trees[len(trees) :]])
         yield pa.RecordBatch.from_pydict({"trees": [new], "losses": [state.losses], "ended": [state.ended]})
@@ -342,37 +409,66 @@ def added(df: DataFrame, size: int) -> np.ndarray:
     return np.sum(parts, axis=0) if parts else np.zeros(size)
 
 
-def _spread_rounds(table: DataFrame, p: Mapping[str, float], trees: list[Tree], losses: list[float], since: int, rounds: int, watched: bool, width: int) -> State:
-    """Rounds of a table of any size: one job per level. Margins in the table hold the first ``since`` trees."""
+def in_partitions(table: DataFrame, size: int) -> tuple[RDD, RDD]:
+    """Arrays of the rows to fit on and of the held ones, dealt to even partitions in Spark's cache.
+
+    A level's job reads them without planning or decoding anything; only a tree's first level needs the held ones.
+    """
+    wide = max(table.sparkSession.sparkContext.defaultParallelism, math.ceil(size / TOGETHER))
+    blocks = table.select(*_BLOCK).repartition(wide).rdd.map(_rows)
+
+    def pack(want: bool):
+        def run(blocks):
+            rows = together(b for b in blocks if (b.held == want).any())
+            if rows is not None:
+                at = np.flatnonzero(rows.held == want)
+                yield Rows(rows.number[at], np.asfortranarray(rows.codes[at]), rows.y[at], rows.w[at], rows.margin[at], rows.held[at])
+
+        return run
+
+    return tuple(blocks.mapPartitions(pack(want)).persist(StorageLevel.MEMORY_AND_DISK) for want in (False, True))
+
+
+def _spread_rounds(blocks: tuple[RDD, RDD], p: Mapping[str, float], trees: list[Tree], losses: list[float], since: int, rounds: int, watched: bool, width: int) -> State:
+    """Rounds of a table of any size: one job per level. Margins in ``blocks`` hold the first ``since`` trees."""
     state = State(list(trees), list(losses))
-    sc = table.sparkSession.sparkContext
+    fitted, everything = blocks[0], blocks[0].context.union(list(blocks))
+    sc = everything.context
 
     def level(grown: Growing | None) -> np.ndarray:
-        shared = sc.broadcast((state.trees[since:], grown))
-        r, nodes = len(state.trees), len(grown.open) if grown else 0
-        size = nodes * width * BINS * 3 + 2
-
-        def run(batches):
-            newer, growing = shared.value
+        """Loss sums of the trees so far, by the first level of a tree only, and the counted nodes' histograms."""
+        tree, counted, which = (grown.tree, grown.counted, grown.which) if grown else (Tree(), [], [])
+        shared = sc.broadcast((state.trees[since:], tree, counted, which))
+        r, nodes, judge = len(state.trees), len(counted), grown is None or grown.depth == 0
+        size = nodes * len(which) * BINS * 3 + 2
+
+        def run(parts):
+            newer, growing, counted, which = shared.value
             total = np.zeros(size)
-            for batch in batches:
-                for rows in unpack(batch):
-                    for t in newer:
-                        rows.margin += t.margins(rows.codes)
-                    part = rows.held if watched else ~rows.held
-                    total[:2] += loss_sums(rows.margin[part], rows.y[part], rows.w[part])
-                    if growing is None:
-                        continue
-                    use = ~rows.held & drawn_rows(rows.number, p, r)
-                    slot = growing.slots(growing.tree.nodes(rows.codes[use]))
-                    at = np.flatnonzero(use)[slot >= 0]
-                    g, h = slopes(rows.margin[at], rows.y[at], rows.w[at])
-                    total[2:] += histogram(rows.codes[at], slot[slot >= 0], nodes, g, h).ravel()
-            yield pa.RecordBatch.from_pydict({"sums": pa.array([total.tobytes()], pa.binary())})
-
-        out = added(table.mapInArrow(run, "sums binary"), size)
+            for rows in parts:
+                use = ~rows.held & drawn_rows(rows.number, p, r) if nodes else np.zeros(len(rows.y), bool)
+                part = (rows.held if watched else ~rows.held) if judge else use
+                at = np.flatnonzero(use | part)
+                if not judge:
+                    at = at[slots(growing, counted, growing.nodes(rows.codes[at])) >= 0]
+                codes, margin, y, w = np.asfortranarray(rows.codes[at]), rows.margin[at], rows.y[at], rows.w[at]
+                for t in newer:
+                    t.add_margins(codes, margin)
+                if judge:
+                    own = part[at]
+                    total[:2] += loss_sums(margin[own], y[own], w[own])
+                if nodes:
+                    slot = slots(growing, counted, growing.nodes(codes))
+                    g, h = slopes(margin, y, w)
+                    own = np.flatnonzero(use[at] & (slot >= 0))
+                    total[2:] += histogram(codes, slot[own], nodes, g[own], h[own], own, which).ravel()
+            yield total
+
+        use = everything if judge and watched else fitted
+        sums = use.mapPartitions(run)
+        parts = sums.collect() if use.getNumPartitions() <= 32 else [sums.treeReduce(np.add)]
         shared.unpersist()
-        return out
+        return np.sum(parts, axis=0) if parts else np.zeros(size)
 
     def note(sums) -> None:
         """The loss of the trees so far comes with the first level of the next one."""
@@ -390,7 +486,7 @@ def _spread_rounds(table: DataFrame, p: Mapping[str, float], trees: list[Tree],
             note(sums)
             if state.ended:
                 return state
-            grown.split(sums[2:].reshape(len(grown.open), width, BINS, 3))
+            grown.split(sums[2:].reshape(len(grown.counted), len(grown.which), BINS, 3))
         state.trees.append(grown.tree)
     note(level(None))
     return state
@@ -407,7 +503,10 @@ def boost(table: DataFrame, width: int, p: Mapping[str, float], watched: bool, r
         if spread:
             if len(state.trees) > since:
                 table, since = _moved(table, state.trees[since:]), len(state.trees)
-            state = _spread_rounds(table, p, state.trees, state.losses, since, EVERY, watched, width)
+            blocks = in_partitions(table, size)
+            state = _spread_rounds(blocks, p, state.trees, state.losses, since, EVERY, watched, width)
+            for b in blocks:
+                b.unpersist()
         else:
             state = _task_rounds(table, p, state.trees, state.losses, EVERY, watched)
         if run_path:
@@ -424,7 +523,7 @@ def _moved(table: DataFrame, trees: list[Tree]) -> DataFrame:
             margins = []
             for rows in unpack(batch):
                 for t in shared.value:
-                    rows.margin += t.margins(rows.codes)
+                    t.add_margins(rows.codes, rows.margin)
                 margins.append(rows.margin.tobytes())
             at = batch.schema.get_field_index("margin")
             yield pa.RecordBatch.from_arrays([pa.array(margins, pa.binary()) if i == at else c for i, c in enumerate(batch.columns)], names=batch.schema.names)

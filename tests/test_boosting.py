@@ -58,6 +58,38 @@ def test_trees_hold_their_budget_and_lower_the_loss():
             assert f < 0 or t.cover[n] == pytest.approx(t.cover[t.left[n]] + t.cover[t.right[n]])
 
 
+def test_only_the_smaller_child_is_counted_and_its_sibling_is_the_rest():
+    r, p = rows(3000, 5), {**P, "max_depth": 4}
+    codes = np.asfortranarray(r.codes)
+    g, h = boosting.slopes(r.margin, r.y, r.w)
+    grown, at = boosting.Growing(p, 5, 0), {0: np.arange(3000)}
+    while not grown.done():
+        mine = [at[n] for n in grown.counted]
+        assert grown.depth == 0 or 2 * sum(map(len, mine)) <= sum(len(at[n]) for n in grown.open)
+        node = np.repeat(np.arange(len(mine)), [len(x) for x in mine])
+        own = np.concatenate(mine)
+        sums = boosting.histogram(codes, node, len(mine), g[own], h[own], own, grown.which)
+        for n, hist in zip(grown.open, grown._whole(sums), strict=True):
+            plain = boosting.histogram(r.codes[at[n]], np.zeros(len(at[n]), int), 1, g[at[n]], h[at[n]])[0]
+            assert np.allclose(hist, plain, atol=1e-9) and (hist[plain[..., 2] == 0] == 0).all()
+        grown.split(sums)
+        boosting.divide(grown.tree, codes, at)
+    assert all((grown.tree.nodes(r.codes[rows_]) == n).all() for n, rows_ in at.items())
+
+
+def test_equal_gains_go_to_the_first_feature_in_any_row_order():
+    r = rows(1500, 2, seed=3)
+    own = np.minimum(r.codes[:, 0], 8)
+    codes = np.column_stack([own, 8 - own, own])  # three features that part the rows alike
+    y = r.y * np.linspace(0.1, 1, 1500)
+    for seed in range(30):
+        order = np.random.default_rng(seed).permutation(1500)
+        g, h = boosting.slopes(r.margin, y, r.w * 0.37)
+        hist = boosting.histogram(codes[order], np.zeros(1500, int), 1, g[order], h[order])
+        assert boosting.best_splits(hist, np.array([False, True, True]), P)[1][0] == 1
+        assert boosting.best_splits(hist, np.ones(3, bool), P)[1][0] == 0
+
+
 def draw(k):
     return F.pmod(F.xxhash64(F.lit(k), "id"), F.lit(1 << 20)) / float(1 << 20)
 
