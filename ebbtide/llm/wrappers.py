@@ -21,8 +21,10 @@ Edge cases: null and empty pages give an empty text; a null url or one without a
 has no wrapper; broken markup is read as browsers do as far as blocks are concerned;
 pages of equal text count once, and a page that would keep less than ``KEPT`` of its
 text is taken for a near copy of its reference and loses nothing; rows may repeat; texts
-of any length are whole. Below ``DEPTH`` nested blocks only text runs are nodes, and child
-lists of more than ``CELLS`` pairs are aligned by children equal and unique in both.
+of any length are whole. Below ``DEPTH`` nested blocks only text runs are nodes. Child lists
+of any length are aligned exactly: of large tables of sums only some rows are held and the
+others made again (``HELD``), and weights that were forgotten (``KNOWN``) are found again, so
+neither bound decides a result.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ from __future__ import annotations
 import bisect
 import hashlib
 import html as entities
+import math
 import re
 import zlib
 from collections import Counter
@@ -46,8 +49,9 @@ NEARLY = 0.9  # of a layout's different pages, for a template node (two pages at
 MOST = 0.6  # of the varying text, for the region
 KEPT = 0.05  # of a page's text that a template must leave
 DEPTH = 60
-CELLS = 4_000_000  # pairs of one child list
-PAIRS = 20_000  # pairs of children with children of their own that are looked into, per page
+CELLS = math.inf  # an option, off: child lists of more pairs are aligned by children equal and unique in both
+HELD = 4_000_000  # sums of one child list that are held at once; beyond, rows of them by the root of their number
+KNOWN = 500_000  # weights of pairs that are remembered at once
 FLUSH = 100_000  # counts a task holds before it passes them on
 CONTAINERS = {"article", "main", "section", "div", "body", "td"}
 
@@ -265,33 +269,71 @@ def match(ref: Tree, tree: Tree) -> list[int]:
     Nodes match by tag below matched parents, in order. A pair weighs 2 and the weight of
     its children's match, 1 more for equal names, or equal text if they are runs of text.
     """
-    known: dict[tuple[int, int], int] = {}
-
-    def pairs(a: int, b: int) -> np.ndarray:
-        """Best sums of the pairs of the first children of both, for all numbers of children."""
-        left, right = ref.kids[a], tree.kids[b]
-        code, name, only, flat = tree.code[right], tree.name[right], tree.only[right], tree.simple[right]
-        best = np.zeros((len(left) + 1, len(right) + 1), np.int32)
-        for i, x in enumerate(left):
-            like = code == ref.code[x]
-            same = only == ref.only[x]
-            if ref.tag[x] == "#text":
-                w = like * (2 + same)
-            else:
-                w = like * (2 + (name == ref.name[x]) + (only != 0) * (ref.only[x] != 0) * (2 + same))
-                for j in np.flatnonzero(like if not ref.simple[x] else like & ~flat).tolist():
-                    w[j] = weight(x, right[j])
-            best[i + 1, 1:] = np.maximum.accumulate(np.maximum(best[i, 1:], best[i, :-1] + w))
-        return best
+    known: dict[tuple[int, int], int] = {}  # by the hashes of two subtrees
+
+    def side(b: int) -> tuple:
+        right = tree.kids[b]
+        return right, tree.code[right], tree.name[right], tree.only[right], tree.simple[right]
+
+    def add(x: int, right: tuple, before: np.ndarray) -> np.ndarray:
+        """Best sums of the pairs of the first children up to ``x`` and all first children of the other node, from those before ``x``."""
+        kids, code, name, only, flat = right
+        like = code == ref.code[x]
+        same = only == ref.only[x]
+        if ref.tag[x] == "#text":
+            w = like * (2 + same)
+        else:
+            w = like * (2 + (name == ref.name[x]) + (only != 0) * (ref.only[x] != 0) * (2 + same))
+            for j in np.flatnonzero(like if not ref.simple[x] else like & ~flat).tolist():
+                w[j] = weight(x, kids[j])
+        out = np.zeros(len(before), np.int32)
+        out[1:] = np.maximum.accumulate(np.maximum(before[1:], before[:-1] + w))
+        return out
 
     def weight(a: int, b: int) -> int:
-        if (a, b) not in known:
-            w = known[a, b] = 2 + int(ref.label[a] == tree.label[b])
-            if ref.sub[a] == tree.sub[b]:
-                known[a, b] = 3 * ref.size[a]
-            elif ref.kids[a] and tree.kids[b] and len(known) < PAIRS and len(ref.kids[a]) * len(tree.kids[b]) <= CELLS:
-                known[a, b] = w + int(pairs(a, b)[-1, -1])
-        return known[a, b]
+        key = ref.sub[a], tree.sub[b]
+        if key[0] == key[1]:
+            return 3 * ref.size[a]
+        if key not in known:
+            w = 2 + int(ref.label[a] == tree.label[b])
+            if ref.kids[a] and tree.kids[b] and len(ref.kids[a]) * len(tree.kids[b]) <= CELLS:
+                right = side(b)
+                sums = np.zeros(len(right[0]) + 1, np.int32)
+                for x in ref.kids[a]:
+                    sums = add(x, right, sums)
+                w += int(sums[-1])
+            if len(known) >= KNOWN:
+                known.clear()
+            known[key] = w
+        return known[key]
+
+    def heaviest(a: int, b: int) -> list[tuple[int, int]]:
+        """Places of the matched children, last ones first."""
+        left, right = ref.kids[a], side(b)
+        i, j = len(left), len(right[0])
+        step = i if i * j <= HELD else math.isqrt(i)
+        row = np.zeros(j + 1, np.int32)
+        rows = {0: row}  # every so many
+        for k in range((i - 1) // step * step):
+            row = add(left[k], right, row)
+            if (k + 1) % step == 0:
+                rows[k + 1] = row
+        found, first, block = [], -1, []
+        while i and j:
+            if first != (i - 1) // step * step:
+                first = (i - 1) // step * step
+                block = [rows[first]]
+                for x in left[first:i]:
+                    block.append(add(x, right, block[-1]))
+            above, own = block[i - 1 - first], block[i - first]
+            if own[j] == above[j]:
+                i -= 1
+            elif own[j] == own[j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                found.append((i, j))
+        return found
 
     to = [-1] * len(tree.up)
     to[0] = 0
@@ -301,20 +343,10 @@ def match(ref: Tree, tree: Tree) -> list[int]:
         left, right = ref.kids[a], tree.kids[b]
         if not left or not right:
             continue
-        found = []
         if len(left) * len(right) > CELLS:
             found = _equal_in_order([(ref.tag[x], ref.sub[x]) for x in left], [(tree.tag[x], tree.sub[x]) for x in right])
         else:
-            best = pairs(a, b)
-            i, j = len(left), len(right)
-            while i and j:
-                if best[i, j] == best[i - 1, j]:
-                    i -= 1
-                elif best[i, j] == best[i, j - 1]:
-                    j -= 1
-                else:
-                    i, j = i - 1, j - 1
-                    found.append((i, j))
+            found = heaviest(a, b)
         for i, j in found:
             to[right[j]] = left[i]
             todo.append((left[i], right[j]))

@@ -355,6 +355,30 @@ def test_long_lists_are_aligned_by_equal_children(monkeypatch):
     assert all(ref.text[to[k]] == tree.text[k] for k in tree.runs() if to[k] >= 0)
 
 
+def test_lists_of_any_length_are_aligned_alike():
+    for n in (50, 2100):  # 2,100 children on both sides were more pairs than were aligned exactly
+        page = "".join(f"<p>{k} of many</p>" for k in range(n))
+        ref, tree = wrappers.outline(page), wrappers.outline(page.replace("<p>7 of many</p>", "<p>new</p>"))
+        to = wrappers.match(ref, tree)
+        assert [ref.text[to[k]] for k in tree.runs() if ref.text[to[k]] != tree.text[k]] == ["7 of many"]
+
+
+def test_every_pair_of_children_is_looked_into():
+    page = lambda n, word: "".join(f"<div><p>{word} {k}</p><p>{k * 7} {word}</p></div>" for k in range(n))
+    ref, tree = wrappers.outline(page(160, "a") + "<div><p>same</p><p>last</p></div>"), wrappers.outline(page(150, "b") + "<div><p>same</p><p>other</p></div>")
+    to = wrappers.match(ref, tree)
+    assert [ref.text[to[k]] for k in tree.runs() if ref.text[to[k]] == tree.text[k]] == ["same"]
+
+
+def test_bounds_on_memory_decide_nothing(monkeypatch):
+    rng = random.Random(9)
+    trees = [tuple(wrappers.outline("".join(random_page(rng, 4) for _ in range(rng.randint(0, 12)))) for _ in range(2)) for _ in range(60)]
+    whole = [wrappers.match(*pair) for pair in trees]
+    monkeypatch.setattr(wrappers, "HELD", 1)
+    monkeypatch.setattr(wrappers, "KNOWN", 1)
+    assert [wrappers.match(*pair) for pair in trees] == whole
+
+
 def test_extraction_equals_the_plain_version(spark):
     """One host: layouts told by their containers, each with its own wrapper; singles use the largest one's."""
     rng = random.Random(8)
