@@ -260,8 +260,5 @@ def str_score(d):
  SELECT {ID}, window_start, CAST(window_start + 7 AS DATE) AS window_end, count(*) AS n_calls, count(*) FILTER (WHERE call_type = 'Loyalty') AS n_loyalty FROM w GROUP BY 1, 2"""))
 def str_call_counts(d):
     """All sliding windows that hold a call, as the stream emits them; a closing row ends the input."""
-    path = scratch(d.spark, "calls")
-    calls = d.calls().withColumn("event_time", jobs.utc_midnight(F.col("event_date")))
-    calls.unionByName(jobs.closing_row(calls)).write.parquet(path)
-    stream = jobs.read_parquet_stream(d.spark, path, d.spark.read.parquet(path).schema)
-    return jobs.run_to_table(jobs.call_counts(stream), "call-counts")
+    calls = d.calls().select(KEY, "call_type", jobs.utc_midnight(F.col("event_date")).alias("event_time"))
+    return jobs.replay(calls, jobs.call_counts, "call-counts")

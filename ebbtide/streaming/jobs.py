@@ -23,8 +23,48 @@ def run_to_table(stream: DataFrame, name: str, mode: str = "append") -> DataFram
     """Process everything available now into Parquet, with its checkpoint in the shared folder, and read it back."""
     spark = stream.sparkSession
     out, state = scratch(spark, name), scratch(spark, f"{name}-state")
+    _advance(stream, out, state, mode)
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+def _advance(stream: DataFrame, out: str, state: str, mode: str) -> None:
     query = stream.writeStream.outputMode(mode).format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start()
     query.awaitTermination()
+
+
+ROWS_PER_STEP = 2_000_000  # of a finite table that a stream reads before its watermark moves
+
+
+def replay(rows: DataFrame, job: Callable[[DataFrame], DataFrame], name: str, time_col: str = "event_time") -> DataFrame:
+    """A finite table sent through a stream in the order of its days, all of it, and closed by ``closing_row``.
+
+    Rows are sent in steps of whole days, one after another, so that the state holds the windows
+    of a step and of the watermark's delay, however long the table's history is. All rows of a
+    step are newer than those before it, so none is late. A table of ``ROWS_PER_STEP`` rows is one step.
+    """
+    spark = rows.sparkSession
+    day = F.coalesce(utc_date(F.col(time_col)), F.lit("1970-01-01").cast("date"))
+    starts, held = [], 0
+    for r in rows.groupBy(day.alias("day")).count().orderBy("day").collect():  # one row per day
+        if not starts or held + r["count"] > ROWS_PER_STEP:
+            starts.append(r["day"])
+            held = 0
+        held += r["count"]
+    step = F.when(F.lit(False), 0)
+    for i in range(len(starts) - 1, 0, -1):
+        step = step.when(day >= F.lit(starts[i]), i)
+    step = step.otherwise(0)
+    path, sent, out, state = (scratch(spark, f"{name}-{kind}") for kind in ("rows", "sent", "out", "state"))
+    rows.withColumn("_step", step).write.partitionBy("_step").parquet(path)
+    schema = rows.select(*rows.columns, F.lit(0).alias("_step")).schema
+    kept = spark.read.schema(schema).parquet(path)
+    for i in range(max(1, len(starts))):
+        part = kept.where(F.col("_step") == i).drop("_step")
+        if i >= len(starts) - 1:
+            part = part.unionByName(closing_row(part, time_col))
+        part.write.mode("append").parquet(sent)
+        stream = job(read_parquet_stream(spark, sent, rows.schema))
+        _advance(stream, out, state, "append")
     return spark.read.schema(stream.schema).parquet(out)
 
 

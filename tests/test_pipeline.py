@@ -138,6 +138,22 @@ def test_closing_row_ends_all_windows(spark):
     assert jobs.closing_row(calls.limit(0)).count() == 0
 
 
+def test_a_replayed_table_gives_all_windows_whatever_its_steps(spark, monkeypatch):
+    days = [dt.datetime(2024, 1, 1) + dt.timedelta(k * 17 % 200) for k in range(60)]
+    rows = [("a" if k % 3 else None, day, "Loyalty" if k % 4 == 0 else "Tech") for k, day in enumerate(days)] + [("b", None, "Tech")]
+    calls = spark.createDataFrame(rows, "unique_customer_identifier string, event_time timestamp, call_type string").repartition(3)
+    want = {}
+    for who, day, kind in rows[:-1]:
+        for i in range(7):
+            n = want.setdefault((who, (day - dt.timedelta(i)).date()), [0, 0])
+            n[0], n[1] = n[0] + 1, n[1] + (kind == "Loyalty")
+    for size in (1000, 25):
+        monkeypatch.setattr(jobs, "ROWS_PER_STEP", size)
+        out = jobs.replay(calls, jobs.call_counts, "replayed").collect()
+        assert len(out) == len(want) and {(r["unique_customer_identifier"], r["window_start"]): [r["n_calls"], r["n_loyalty"]] for r in out} == want
+    assert jobs.replay(calls.limit(0), jobs.call_counts, "empty").count() == 0
+
+
 def test_gate_warns_of_leaking_columns(spark):
     from conftest import SMALL
     from ebbtide.operators import quality
