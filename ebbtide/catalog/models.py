@@ -17,8 +17,8 @@ from ebbtide.catalog.sources import written_matrix
 from ebbtide.config import Settings
 from ebbtide.functions.scalars import ID as KEY, portable_hash
 from ebbtide.operators import attribution, boosting, encoding, hazards, learning, metrics, splitting, trees, uplift
-from ebbtide.plans import scoring as score_plans, training
-from ebbtide.session import scratch, shared_dir
+from ebbtide.plans import features as feature_plans, scoring as score_plans, training
+from ebbtide.session import scratch, settle, shared_dir
 from ebbtide.sources import readers
 from ebbtide.sources.starschema import SPLITS
 from ebbtide.streaming import jobs
@@ -140,9 +140,13 @@ def mdl_retune_gate(d):
     return learning.retune_gate(tuned, "2001-08-28")
 
 
+PCA_COLUMNS = ["tenure_days", "ooc_days", "speed_gap", "dd_cancel_60_day", "contract_dd_cancels", "contract_status_risk", "tech_FTTC", "tech_FTTP", "tech_GFAST", "tech_MPF", "call_count_90d", "avg_download_30d"]
+
+
 @query("mdl_pca")
 def mdl_pca(d):
-    out, loadings, share = learning.pca(features(d)[0].where(F.col("snapshot_date") == F.lit(SPLITS.train_end).cast("date")), ["tenure_days", "ooc_days", "speed_gap", "dd_cancel_60_day", "contract_dd_cancels", "contract_status_risk", "tech_FTTC", "tech_FTTP", "tech_GFAST", "tech_MPF", "call_count_90d", "avg_download_30d"])
+    matrix = feature_plans.assemble(d.panel(), d.calls(), d.usage(), d.cease(), SPLITS.train_end)  # no encoded column takes part
+    out, loadings, share = learning.pca(settle(matrix.select(*PCA_COLUMNS)), PCA_COLUMNS)
     return rounded(learning.top_loadings(loadings).withColumn("explained_pc1", F.lit(share[0])).withColumn("explained_pc2", F.lit(share[1])))
 
 

@@ -303,3 +303,12 @@ def test_weibull_solves_its_penalised_score_equations(spark):
     again = hazards.CoxModel.load(spark, path)
     pick = lambda model: [tuple(r) for r in df.select(model.churn_probability(90), model.median_lifetime()).collect()]
     assert pick(again) == pick(cox) and [tuple(r) for r in again.summary(spark).collect()] == [tuple(r) for r in cox.summary(spark).collect()]
+
+
+def test_the_projection_builds_its_own_snapshot_only(spark, monkeypatch):
+    from conftest import SMALL
+    from ebbtide.catalog import QUERIES, models
+
+    monkeypatch.setattr(models, "written_matrix", lambda d: pytest.fail("all snapshots were written"))
+    out = QUERIES["mdl_pca"](spark, SMALL).collect()
+    assert len(out) == 10 and {r["feature"] for r in out} <= set(models.PCA_COLUMNS)
