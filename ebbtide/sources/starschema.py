@@ -7,6 +7,7 @@ All frames are lazy; the only joins are the ones the mapping itself needs.
 
 from __future__ import annotations
 
+import math
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.config import LEAVING_REASONS, Splits
 from ebbtide.functions.scalars import ID, month_of, portable_hash
+from ebbtide.session import shuffle_width
 
 SNAPSHOT = "1998-06-01"
 SPLITS = Splits("1998-06-01", "1999-06-01", "2000-06-01")
@@ -22,6 +24,7 @@ USAGE_ANCHOR = "1998-06-15"
 STATUS_BY_PRIORITY = {"1-URGENT": "06 OOC", "2-HIGH": "05 Newly OOC", "3-MEDIUM": "03 Soon to be OOC", "5-LOW": " 02 In Contract"}
 TECH_BY_SEGMENT = {"AUTOMOBILE": "FTTC", "BUILDING": "FTTP", "FURNITURE": "GFAST", "HOUSEHOLD": "MPF"}
 CALL_BY_FLAG = {"R": "Loyalty", "A": "Tech", "N": "Billing"}
+JOIN_ROWS = 500_000  # line items that a task of the join with orders sorts, about
 SPEEDS = (40.0, 55.0, 80.0, 160.0)
 
 
@@ -92,10 +95,18 @@ class StarSchema:
         """Panel with the unique order key, for row-level tie-breaks."""
         return self._accounts.select("o_orderkey", *self.PANEL_COLUMNS)
 
+    @cached_property
+    def _call_parts(self) -> int:
+        """Partitions of the join of line items and orders, more with more rows; 0 while the session's own number is enough."""
+        n = math.ceil(self.table("lineitem").count() / JOIN_ROWS)  # from the files' footers
+        return n if n > shuffle_width(self.spark) else 0
+
     def calls(self) -> DataFrame:
         """Calls carry the customer of their order."""
         items = self.table("lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_tax", "l_returnflag", "l_shipdate")
         owner = self._orders.select("o_orderkey", "o_custkey")
+        if self._call_parts:
+            items, owner = items.repartition(self._call_parts, "l_orderkey"), owner.repartition(self._call_parts, "o_orderkey")
         return items.join(owner, F.col("l_orderkey") == F.col("o_orderkey")).select(
             F.col("o_custkey").cast("string").alias(ID),
             F.col("l_shipdate").cast("date").alias("event_date"),

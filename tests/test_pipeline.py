@@ -154,6 +154,20 @@ def test_a_replayed_table_gives_all_windows_whatever_its_steps(spark, monkeypatc
     assert jobs.replay(calls.limit(0), jobs.call_counts, "empty").count() == 0
 
 
+def test_the_join_of_calls_gets_more_partitions_with_more_rows(spark, monkeypatch):
+    from conftest import SMALL
+    from ebbtide.session import shuffle_width
+    from ebbtide.sources import starschema
+
+    plain = starschema.StarSchema(spark, SMALL).calls()
+    monkeypatch.setattr(starschema, "JOIN_ROWS", 100)
+    many = starschema.StarSchema(spark, SMALL)
+    n = many.table("lineitem").count()
+    assert many._call_parts == -(-n // 100) > shuffle_width(spark)
+    assert many.calls().rdd.getNumPartitions() > shuffle_width(spark)
+    assert many.calls().exceptAll(plain).count() == 0 and many.calls().count() == plain.count()
+
+
 def test_gate_warns_of_leaking_columns(spark):
     from conftest import SMALL
     from ebbtide.operators import quality
