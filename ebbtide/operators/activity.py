@@ -8,6 +8,7 @@ Several snapshots share the same scan.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,6 +59,21 @@ def _last(date_col: str, snap: Column, days: int) -> Column:
     return F.col(date_col) >= F.date_sub(snap, days)
 
 
+def _next(d: Column, dates: Sequence[str]) -> Column:
+    """First of the ascending ``dates`` after ``d``, NULL after the last one."""
+    out = None
+    for x in dates:
+        day = F.lit(x).cast("date")
+        out = F.when(d < day, day) if out is None else out.when(d < day, day)
+    return out
+
+
+def _apart(dates: Sequence[str], days: int) -> bool:
+    """Whether no window of ``days`` days before a date reaches back beyond the date before."""
+    at = [date.fromisoformat(str(x)[:10]).toordinal() for x in dates]
+    return all(b - a >= days for a, b in zip(at, at[1:], strict=False))
+
+
 def recent(events: DataFrame, date_col: str, snapshots: str | Sequence[str], days: int) -> DataFrame:
     """Events of the last ``days`` days before each snapshot, once per such snapshot.
 
@@ -70,10 +86,39 @@ def recent(events: DataFrame, date_col: str, snapshots: str | Sequence[str], day
     near = events.where((d >= F.date_sub(first, days)) & (d < last))
     if len(dates) == 1:
         return near.withColumn(SNAP, last)
+    if _apart(dates, days):
+        return near.withColumn(SNAP, _next(d, dates)).where(d >= F.date_sub(F.col(SNAP), days))
     every = F.array(*[F.lit(x).cast("date") for x in dates])
     return near.withColumn(SNAP, F.explode(F.filter(every, lambda s: (s > d) & (s <= F.date_add(d, days)))))
 
 
+def seen(events: DataFrame, date_col: str, snapshots: str | Sequence[str], days: int) -> DataFrame:
+    """All events before the last snapshot, each at the first snapshot after it and at later ones whose window of ``days`` days holds it."""
+    dates = dates_of(snapshots)
+    d = F.col(date_col)
+    last = F.lit(dates[-1]).cast("date")
+    past = events.where(d < last)
+    if len(dates) == 1:
+        return past.withColumn(SNAP, last)
+    if _apart(dates, days):
+        return past.withColumn(SNAP, _next(d, dates))
+    every = F.array(*[F.lit(x).cast("date") for x in dates])
+    return past.withColumn(SNAP, F.explode(F.filter(every, lambda s: (s == _next(d, dates)) | ((s > d) & (s <= F.date_add(d, days))))))
+
+
+def carried(per: DataFrame, snapshots: str | Sequence[str]) -> DataFrame:
+    """Rows by customer and snapshot, of ``seen`` events, with ``_last`` carried on to every later snapshot; other columns stay where they are."""
+    dates = dates_of(snapshots)
+    if len(dates) == 1:
+        return per
+    every = F.array(*[F.lit(x).cast("date") for x in dates])
+    spread = per.withColumn("_at", F.explode(F.filter(every, lambda s: s >= F.col(SNAP))))
+    own = F.col("_at") == F.col(SNAP)
+    kept = [c for c in per.columns if c not in (ID, SNAP, "_last")]
+    out = spread.groupBy(ID, "_at").agg(F.max("_last").alias("_last"), *[F.max(F.when(own, F.col(c))).alias(c) for c in kept])
+    return out.withColumnRenamed("_at", SNAP)
+
+
 def last_seen(events: DataFrame, date_col: str, snapshots: str | Sequence[str], inclusive: bool = False) -> DataFrame:
     """(id, snapshot, _last): newest event before (``inclusive``: or on) each snapshot, for everybody with one.
 
@@ -110,8 +155,10 @@ def call_features(calls: DataFrame, snapshots: str | Sequence[str], windows: Seq
     in30, in90 = _last("event_date", snap, 30), _last("event_date", snap, 90)
     loyal = F.col("call_type") == "Loyalty"
     names = [f"call_count_{w}d" for w in windows]
-    near = recent(calls.select(ID, "event_date", "call_type", "talk_time_seconds", "hold_time_seconds"), "event_date", snapshots, max(90, *windows))
-    per = near.groupBy(ID, SNAP).agg(
+    # One pass: the log's rows may come from a large join, which "last call" and windows share.
+    past = seen(calls.select(ID, "event_date", "call_type", "talk_time_seconds", "hold_time_seconds"), "event_date", snapshots, max(90, *windows))
+    per = past.groupBy(ID, SNAP).agg(
+        F.max("event_date").alias("_last"),
         *[F.count_if(_last("event_date", snap, w)).alias(n) for n, w in zip(names, windows, strict=True)],
         F.max(F.when(loyal & in30, 1).otherwise(0)).alias("loyalty_call_flag_30d"),
         F.count_if(loyal & in90).alias("loyalty_call_count_90d"),
@@ -119,7 +166,7 @@ def call_features(calls: DataFrame, snapshots: str | Sequence[str], windows: Seq
         F.avg(F.when(in30, F.col("talk_time_seconds"))).alias("avg_talk_time_30d"),
         F.avg(F.when(in30, F.col("hold_time_seconds"))).alias("avg_hold_time_30d"),
     )
-    out = last_seen(calls, "event_date", snapshots).join(per, [ID, SNAP], "left")
+    out = carried(per, snapshots)
     loyal90, n30, n90 = (F.coalesce(F.col(c), F.lit(0)) for c in ("loyalty_call_count_90d", "_n30", "_n90"))
     return out.select(
         ID, SNAP, *map(_filled, names), F.coalesce("loyalty_call_flag_30d", F.lit(0)).alias("loyalty_call_flag_30d"), _filled("loyalty_call_count_90d"),

@@ -26,7 +26,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Iterator, Mapping, Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -219,13 +219,6 @@ class Growing:
         self.open, self.depth = opened, self.depth + 1
 
 
-def slots(tree: Tree, counted: Sequence[int], at: np.ndarray) -> np.ndarray:
-    """Number of a row's node among the counted ones, -1 elsewhere."""
-    slot = np.full(len(tree.feature), -1)
-    slot[list(counted)] = np.arange(len(counted))
-    return slot[at]
-
-
 def divide(tree: Tree, codes: np.ndarray, at: dict[int, np.ndarray]) -> None:
     """Move the rows that nodes hold on to their children, down to the leaves."""
     todo = [n for n in at if tree.feature[n] >= 0]
@@ -429,45 +422,40 @@ def in_partitions(table: DataFrame, size: int) -> tuple[RDD, RDD]:
     return tuple(blocks.mapPartitions(pack(want)).persist(StorageLevel.MEMORY_AND_DISK) for want in (False, True))
 
 
-def _spread_rounds(blocks: tuple[RDD, RDD], p: Mapping[str, float], trees: list[Tree], losses: list[float], since: int, rounds: int, watched: bool, width: int) -> State:
-    """Rounds of a table of any size: one job per level. Margins in ``blocks`` hold the first ``since`` trees."""
-    state = State(list(trees), list(losses))
-    fitted, everything = blocks[0], blocks[0].context.union(list(blocks))
-    sc = everything.context
+def _spread_rounds(blocks: tuple[RDD, RDD], p: Mapping[str, float], trees: list[Tree], losses: list[float], rounds: int, watched: bool, width: int) -> State:
+    """Rounds of a table of any size: one job per level. Margins in ``blocks`` hold ``trees``.
+
+    The first level of a tree reads rows to whose margins the tree before it is added, and
+    keeps them in the cache, so a tree is followed by every row once.
+    """
+    state, now = State(list(trees), list(losses)), blocks
+    sc = blocks[0].context
 
     def level(grown: Growing | None) -> np.ndarray:
         """Loss sums of the trees so far, by the first level of a tree only, and the counted nodes' histograms."""
         tree, counted, which = (grown.tree, grown.counted, grown.which) if grown else (Tree(), [], [])
-        shared = sc.broadcast((state.trees[since:], tree, counted, which))
         r, nodes, judge = len(state.trees), len(counted), grown is None or grown.depth == 0
         size = nodes * len(which) * BINS * 3 + 2
 
         def run(parts):
-            newer, growing, counted, which = shared.value
             total = np.zeros(size)
             for rows in parts:
-                use = ~rows.held & drawn_rows(rows.number, p, r) if nodes else np.zeros(len(rows.y), bool)
-                part = (rows.held if watched else ~rows.held) if judge else use
-                at = np.flatnonzero(use | part)
-                if not judge:
-                    at = at[slots(growing, counted, growing.nodes(rows.codes[at])) >= 0]
-                codes, margin, y, w = np.asfortranarray(rows.codes[at]), rows.margin[at], rows.y[at], rows.w[at]
-                for t in newer:
-                    t.add_margins(codes, margin)
                 if judge:
-                    own = part[at]
-                    total[:2] += loss_sums(margin[own], y[own], w[own])
-                if nodes:
-                    slot = slots(growing, counted, growing.nodes(codes))
-                    g, h = slopes(margin, y, w)
-                    own = np.flatnonzero(use[at] & (slot >= 0))
-                    total[2:] += histogram(codes, slot[own], nodes, g[own], h[own], own, which).ravel()
+                    own = np.flatnonzero(rows.held == watched)
+                    total[:2] += loss_sums(rows.margin[own], rows.y[own], rows.w[own])
+                use = np.flatnonzero(~rows.held & drawn_rows(rows.number, p, r)) if nodes and not rows.held.all() else []
+                if len(use):
+                    at = {0: use}
+                    divide(tree, rows.codes, at)
+                    mine = [at[n] for n in counted]
+                    own, node = np.concatenate(mine), np.repeat(np.arange(nodes), [len(x) for x in mine])
+                    g, h = slopes(rows.margin[own], rows.y[own], rows.w[own])
+                    total[2:] += histogram(rows.codes, node, nodes, g, h, own, which).ravel()
             yield total
 
-        use = everything if judge and watched else fitted
+        use = sc.union(list(now)) if judge and watched else now[0]
         sums = use.mapPartitions(run)
         parts = sums.collect() if use.getNumPartitions() <= 32 else [sums.treeReduce(np.add)]
-        shared.unpersist()
         return np.sum(parts, axis=0) if parts else np.zeros(size)
 
     def note(sums) -> None:
@@ -476,6 +464,7 @@ def _spread_rounds(blocks: tuple[RDD, RDD], p: Mapping[str, float], trees: list[
             state.losses.append(float(sums[0] / max(sums[1], _EPS)))
             state.ended = watched and best_round(state.losses, int(p["patience"]))[1]
 
+    before: tuple[RDD, ...] = ()
     for _ in range(rounds):
         if len(state.trees) >= p["rounds"]:
             state.ended = True
@@ -483,15 +472,35 @@ def _spread_rounds(blocks: tuple[RDD, RDD], p: Mapping[str, float], trees: list[
         grown = Growing(p, width, len(state.trees))
         while not grown.done():
             sums = level(grown)
+            for b in before:  # their successors are in the cache now
+                b.unpersist()
+            before = ()
             note(sums)
             if state.ended:
-                return state
+                break
             grown.split(sums[2:].reshape(len(grown.counted), len(grown.which), BINS, 3))
+        if state.ended:
+            break
         state.trees.append(grown.tree)
-    note(level(None))
+        before, now = (*before, *now), tuple(b.map(_followed(grown.tree)).persist(StorageLevel.MEMORY_AND_DISK) for b in now)
+    if not state.ended or len(state.losses) < len(state.trees):
+        note(level(None))
+    for b in (*before, *now):
+        b.unpersist()
     return state
 
 
+def _followed(tree: Tree):
+    """Adds a tree to the margins of a block."""
+
+    def run(rows: Rows) -> Rows:
+        margin = rows.margin.copy()
+        tree.add_margins(rows.codes, margin)
+        return replace(rows, margin=margin)
+
+    return run
+
+
 def boost(table: DataFrame, width: int, p: Mapping[str, float], watched: bool, run_path: str | None = None, spread: bool | None = None) -> State:
     """Fit trees on a binned table, and go on from what ``run_path`` holds; ``spread`` overrides the choice by size."""
     size = table.agg(F.sum(F.length("codes") + 33 * F.length("held"))).first()[0] or 0
@@ -503,10 +512,7 @@ def boost(table: DataFrame, width: int, p: Mapping[str, float], watched: bool, r
         if spread:
             if len(state.trees) > since:
                 table, since = _moved(table, state.trees[since:]), len(state.trees)
-            blocks = in_partitions(table, size)
-            state = _spread_rounds(blocks, p, state.trees, state.losses, since, EVERY, watched, width)
-            for b in blocks:
-                b.unpersist()
+            state = _spread_rounds(in_partitions(table, size), p, state.trees, state.losses, EVERY, watched, width)
         else:
             state = _task_rounds(table, p, state.trees, state.losses, EVERY, watched)
         if run_path:
@@ -618,9 +624,9 @@ class BoostedTrees:
         return np.stack([np.where(np.isnan(x[:, i]), NULL, np.searchsorted(own, x[:, i], side="left")) for i, own in enumerate(self.cuts)], axis=1).astype(np.uint8) if len(self.cuts) else np.zeros((len(x), 0), np.uint8)
 
     def margins(self, x: np.ndarray) -> np.ndarray:
-        codes, out = self.codes(x), np.zeros(len(x))
+        codes, out = np.asfortranarray(self.codes(x)), np.zeros(len(x))
         for t in self.trees:
-            out += t.margins(codes)
+            t.add_margins(codes, out)
         return out
 
     @property

@@ -11,6 +11,7 @@ from ebbtide.config import DEFAULTS, Settings
 from ebbtide.functions.scalars import ID
 from ebbtide.operators import activity, contract, encoding, labels, panel as panels
 from ebbtide.operators.activity import SNAP
+from ebbtide.session import settle
 
 
 def labelled_accounts(panel: DataFrame, cease: DataFrame, snapshots: str | Sequence[str], settings: Settings = DEFAULTS) -> DataFrame:
@@ -61,18 +62,20 @@ def materialise(
 ) -> encoding.FittedEncoder:
     """Write one matrix per snapshot and return the encoder.
 
-    The encoder is fitted on the earliest snapshot, which gets leave-fold-out
-    values; later snapshots get its full-data map. The logs are scanned once for
-    all later dates together, and the encoder is stored next to the matrices.
+    Features and labels of all dates are put together in one pass over the panel and the
+    logs and settled. The encoder is fitted on the earliest snapshot, which gets
+    leave-fold-out values; later snapshots get its full-data map. It is stored next to
+    the matrices.
     """
     from ebbtide.sources.sinks import write_features
 
     spark = panel.sparkSession
     first, *later = sorted(snapshots)
-    write_features(feature_matrix(panel, calls, usage, cease, first, settings=settings), f"{folder}/matrix")
-    written = spark.read.parquet(f"{folder}/matrix").where(F.col(SNAP) == F.lit(first).cast("date"))
-    encoding.fit(written, settings.encoding).save(f"{folder}/encoder")
+    rows = settle(assemble(panel, calls, usage, cease, [first, *later], settings))
+    earliest = F.col(SNAP) == F.lit(first).cast("date")
+    encoding.fit(rows.where(earliest), settings.encoding).save(f"{folder}/encoder")
     encoder = encoding.FittedEncoder.load(spark, f"{folder}/encoder")
+    write_features(encoding.out_of_fold(rows.where(earliest), settings.encoding), f"{folder}/matrix")
     if later:
-        write_features(encoder.apply(assemble(panel, calls, usage, cease, later, settings)), f"{folder}/matrix")
+        write_features(encoder.apply(rows.where(~earliest)), f"{folder}/matrix")
     return encoder

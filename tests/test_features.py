@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ebbtide.config import Label
 from ebbtide.operators import activity, contract, encoding, labels, panel as panels
 from ebbtide.functions import scalars as fx
+from ebbtide.session import scratch
 
 D = dt.date
 PANEL = "unique_customer_identifier string, datevalue date, contract_status string, ooc_days double, contract_dd_cancels double, dd_cancel_60_day double, technology string, speed double, line_speed double, sales_channel string, crm_package_name string, tenure_days double"
@@ -112,3 +113,20 @@ def test_out_of_fold_against_a_loop(spark):
     new = spark.createDataFrame([("z", "never", None)], "unique_customer_identifier string, crm_package_name string, sales_channel string")
     r = enc.apply(new).first()
     assert r["crm_package_name_encoded"] == pytest.approx(mean) and r["sales_channel_encoded"] == pytest.approx(mean)
+
+
+def test_call_features_read_the_log_once_and_equal_those_of_single_dates(spark):
+    """Last call and windows share one pass, whether windows of two dates overlap or not."""
+    days = [(c, f"2023-{m:02d}-{d:02d}", k, float(m * d), None if d % 3 else float(d)) for c in range(6) for m in range(1, 7) for d in range(1 + c % 4, 28, 4 + c) for k in ("Loyalty", "Tech")]
+    path = scratch(spark, "calls")
+    spark.createDataFrame(days, "c int, d string, call_type string, talk_time_seconds double, hold_time_seconds double").select(
+        F.col("c").cast("string").alias("unique_customer_identifier"), F.col("d").cast("date").alias("event_date"), "call_type", "talk_time_seconds", "hold_time_seconds",
+    ).write.parquet(path)
+    calls = spark.read.parquet(path)
+    for dates in (["2023-02-10", "2023-02-20", "2023-06-30"], ["2022-12-01", "2023-02-01", "2023-06-01", "2023-12-01"]):
+        out = activity.call_features(calls, dates)
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+        want = sorted(tuple(r) for d in dates for r in activity.call_features(calls, d).collect())
+        got = sorted(tuple(r) for r in out.collect())
+        assert len(got) == len(want) > 6 and [g[:2] for g in got] == [w[:2] for w in want]
+        assert all(a == b or a == pytest.approx(b) for g, w in zip(got, want, strict=True) for a, b in zip(g, w, strict=True))
