@@ -26,11 +26,12 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark import RDD, StorageLevel
+from pyspark import RDD, StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -147,22 +148,26 @@ def worth(sums: np.ndarray, p: Mapping[str, float]) -> np.ndarray:
 def best_splits(hist: np.ndarray, features: np.ndarray, p: Mapping[str, float]):
     """Per node: gain, feature, bin, whether NULL goes left, and the sums left and right; gain 0 without a split."""
     total = hist.sum(axis=2)  # the same for every feature
-    whole, empty = total[:, :, None], hist[:, :, NULL : NULL + 1]
     low = np.cumsum(hist[:, :, :NULL], axis=2)
-    found = []
+    nodes, rows = np.arange(len(hist)), hist[..., 2].any(axis=0)
+    sides = []
     for null_left in (False, True):
-        left = low + empty if null_left else low
-        right = whole - left
-        gain = worth(left, p) + worth(right, p) - worth(whole, p)
-        fine = (left[..., 2] >= p["min_rows"]) & (right[..., 2] >= p["min_rows"]) & features[None, :, None]
-        found.append(np.where(fine, gain, 0.0))
-    both = np.stack(found, axis=1).reshape(len(hist), -1)  # node, (side, feature, bin); ties to NULL right, then to the first feature and bin
+        # Bins without rows cut as the bin before them does, and NULL's side matters only where there are some.
+        held = rows[:, :NULL] & features[:, None] & (rows[:, NULL:] if null_left else True)
+        f, b = np.nonzero(held)
+        left = low[:, f, b] + hist[:, f, NULL] if null_left else low[:, f, b]
+        right = total[:, f] - left
+        gain = worth(left, p) + worth(right, p) - worth(total, p)[:, f]
+        sides.append((f, b, np.full(len(f), null_left), np.where((left[..., 2] >= p["min_rows"]) & (right[..., 2] >= p["min_rows"]), gain, 0.0)))
+    feature, cut, side = (np.concatenate([s[k] for s in sides]) for k in range(3))
+    if not len(feature):
+        none = np.zeros(len(hist), int)
+        return np.zeros(len(hist)), none, none, none == 1, np.zeros_like(total[:, 0]), total[:, 0]
+    both = np.concatenate([s[3] for s in sides], axis=1)  # node, (side, feature, bin); ties to NULL right, then to the first feature and bin
     pick = (both >= both.max(axis=1, keepdims=True) * (1 - _TIE)).argmax(axis=1)
-    gain = both[np.arange(len(hist)), pick]
-    width = hist.shape[1]
-    side, f, b = pick // (width * NULL), pick // NULL % width, pick % NULL
-    left = low[np.arange(len(hist)), f, b] + np.where(side[:, None] == 1, hist[np.arange(len(hist)), f, NULL], 0.0)
-    return gain, f, b, side == 1, left, total[np.arange(len(hist)), f] - left
+    f, b, null_left = feature[pick], cut[pick], side[pick]
+    left = low[nodes, f, b] + np.where(null_left[:, None], hist[nodes, f, NULL], 0.0)
+    return both[nodes, pick], f, b, null_left, left, total[nodes, f] - left
 
 
 def leaf_value(sums: np.ndarray, p: Mapping[str, float]) -> float:
@@ -568,16 +573,20 @@ def average_precision(y: np.ndarray, score: np.ndarray) -> float:
 def search(table: DataFrame, trials: Sequence[Mapping[str, float]], path: str) -> DataFrame:
     """(trial, rounds, loss, auc_pr) of every setting, fitted with full rounds and patience.
 
-    Trials share the binned table, which the caller bounds to what one task may hold, and
-        are dealt to tasks, some at a time. Trials that have ended are rows in ``path``, so a
-    search that starts again there only runs what is missing.
+    Trials share the binned table, which the caller bounds to what one task may hold. Each
+    is a job of one task and a folder in ``path`` as soon as it ends: no core waits for the
+    longest of a group, and a search that starts again there only runs what is missing.
     """
     from pyspark.errors import AnalysisException
 
     spark = table.sparkSession
+
+    def found() -> DataFrame:
+        return spark.read.schema("rounds int, loss double, auc_pr double, trial int").parquet(f"{path}/trials")
+
     done: set[int] = set()
     try:
-        done = {r["trial"] for r in spark.read.parquet(f"{path}/trials").select("trial").distinct().collect()}
+        done = {r["trial"] for r in found().select("trial").collect()}
     except AnalysisException:  # a new search
         pass
     missing = [(i, json.dumps(dict(p))) for i, p in enumerate(trials) if i not in done]
@@ -602,13 +611,20 @@ def search(table: DataFrame, trials: Sequence[Mapping[str, float]], path: str) -
                     best = state.best(int(p["patience"]), True)
                     yield pa.RecordBatch.from_pydict({"trial": pa.array([i], pa.int32()), "rounds": pa.array([best], pa.int32()), "loss": pa.array([state.losses[best - 1] if best else None], pa.float64()), "auc_pr": pa.array([ap], pa.float64())})
 
-        wave = 2 * spark.sparkContext.defaultParallelism
-        for at in range(0, len(missing), wave):
-            part = missing[at : at + wave]
-            rows = spark.createDataFrame(part, "trial int, setting string").repartitionByRange(len(part), "trial")
-            rows.mapInArrow(run, "trial int, rounds int, loss double, auc_pr double").write.mode("append").parquet(f"{path}/trials")
+        def fitted(trial: tuple[int, str]) -> None:
+            rows = spark.createDataFrame([trial], "trial int, setting string").coalesce(1)
+            rows.mapInArrow(run, "trial int, rounds int, loss double, auc_pr double").drop("trial").write.mode("overwrite").parquet(f"{path}/trials/trial={trial[0]}")
+
+        # As many at a time as there are cores; small steps and deep trees first, so that no long one is left to the end.
+        order = sorted(missing, key=lambda m: (trials[m[0]]["step_size"] / trials[m[0]]["max_depth"], m[0]))
+        pool = ThreadPoolExecutor(min(len(order), spark.sparkContext.defaultParallelism))
+        try:
+            for job in [pool.submit(inheritable_thread_target(spark)(fitted), m) for m in order]:
+                job.result()
+        finally:
+            pool.shutdown(cancel_futures=True)
         shared.unpersist()
-    return spark.read.parquet(f"{path}/trials").dropDuplicates(["trial"])
+    return found().select("trial", "rounds", "loss", "auc_pr")
 
 
 # ---- models --------------------------------------------------------------------------------------

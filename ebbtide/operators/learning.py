@@ -21,7 +21,7 @@ from ebbtide.config import DEFAULTS, NON_FEATURES
 from ebbtide.operators import boosting
 from ebbtide.operators.boosting import best_round  # noqa: F401 - part of this module's interface
 from ebbtide.operators.profiling import numeric_columns
-from ebbtide.session import scratch
+from ebbtide.session import scratch, settle
 
 
 # ---- columns ---------------------------------------------------------------------------------
@@ -253,9 +253,9 @@ def draw_trials(n: int, seed: int = 42) -> list[dict[str, float]]:
 
 
 def _bounded(df: DataFrame, features: Sequence[str], rows: int) -> DataFrame:
-    """All rows, or about ``rows`` of them chosen by a hash of their values."""
+    """All rows, or about ``rows`` of them chosen by a hash of their values, settled: they are read several times."""
     n = df.count()
-    return df if n <= rows else df.where(F.pmod(F.xxhash64(F.lit("search"), *features), F.lit(1 << 30)) < int((1 << 30) * rows / n))
+    return df if n <= rows else settle(df.where(F.pmod(F.xxhash64(F.lit("search"), *features), F.lit(1 << 30)) < int((1 << 30) * rows / n)))
 
 
 def tune(

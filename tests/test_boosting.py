@@ -162,6 +162,17 @@ def test_search_runs_every_setting_and_goes_on(spark):
     assert out[1]["rounds"] == best and out[1]["loss"] == pytest.approx(state.losses[best - 1])
 
 
+def test_a_setting_that_fails_leaves_the_others_written(spark):
+    """Every setting is a job of its own, not one of a group that ends or fails together."""
+    data, path = table(spark), scratch(spark, "search")
+    trials = [{**boosting.DEFAULTS, "rounds": 4, "step_size": s, "max_depth": 2, "min_rows": 10} for s in (0.1, 0.3, 0.6)]
+    broken = {k: v for k, v in trials[2].items() if k != "reg_alpha"}
+    with pytest.raises(Exception, match="reg_alpha"):
+        boosting.search(data, [*trials[:2], broken], path)
+    assert sorted(r["trial"] for r in spark.read.parquet(f"{path}/trials").select("trial").collect()) == [0, 1]
+    assert sorted(r["trial"] for r in boosting.search(data, trials, path).collect()) == [0, 1, 2]
+
+
 def test_average_precision_counts_ties_together(spark, skewed):
     df, plain = skewed
     y, p = np.array([y for _, y, _ in plain]), np.array([p for *_, p in plain])
