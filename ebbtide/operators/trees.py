@@ -36,6 +36,18 @@ class Paths:
     passes: np.ndarray  # (leaf, place, bin)
     share: np.ndarray
     expected: float
+    table: tuple | None = None
+
+    def masked(self) -> tuple[list[np.ndarray], np.ndarray]:
+        """Per place the parts (way, leaf) for every way to pass the places, and per leaf, place and bin the bit it sets; made once."""
+        if self.table is None:
+            leaves, depth = self.feature.shape
+            ways = np.arange(1 << depth)[:, None]
+            # Places without a feature always pass.
+            known = [((ways >> j & 1) | (self.feature[:, j] < 0)).astype(float) for j in range(depth)]
+            bits = (self.passes << np.arange(depth)[None, :, None]).astype(np.uint8)
+            self.table = [np.asfortranarray(part) for part in _parts(self, known)], bits
+        return self.table
 
 
 def leaf_paths(tree: Tree) -> Paths:
@@ -62,19 +74,42 @@ def leaf_paths(tree: Tree) -> Paths:
     return Paths(value, feature, passes, share, float((value * share.prod(axis=1)).sum()))
 
 
+MASKED = 7  # path features up to which a leaf's parts are made once for all 2 ** features ways to pass
+
+
 def shapley(paths: Paths, codes: np.ndarray, out: np.ndarray) -> None:
     """Add one tree's Shapley values of rows of bins to ``out`` (rows, features).
 
+    A leaf's parts depend on which of its path features let the row pass alone. With few
+    path features they are made for every such way and looked up; with many, row by row.
     Places that a leaf does not use have o = z = 1: players that change nothing.
     """
     depth = paths.feature.shape[1]
     if not depth:
         return
+    used = paths.feature >= 0
+    if depth > MASKED:
+        leaf = np.arange(len(paths.value))
+        known = [paths.passes[leaf, j, codes[:, paths.feature[:, j]]].astype(float) for j in range(depth)]  # (rows, leaves)
+        for i, part in enumerate(_parts(paths, known)):
+            for k in np.flatnonzero(used[:, i]).tolist():
+                out[:, paths.feature[k, i]] += part[:, k]
+        return
+    table, bits = paths.masked()
+    for k, (features, places) in enumerate(zip(paths.feature, used, strict=True)):
+        way = np.zeros(len(codes), np.uint8)
+        for j in np.flatnonzero(places).tolist():
+            way |= bits[k, j].take(codes[:, features[j]])
+        for j in np.flatnonzero(places).tolist():
+            out[:, features[j]] += table[j][:, k].take(way)
+
+
+def _parts(paths: Paths, known: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """Per place the parts (rows, leaves) of the feature there; ``known`` holds o by place."""
+    depth = len(known)
     weight = [math.factorial(k) * math.factorial(depth - 1 - k) / math.factorial(depth) for k in range(depth)]
-    leaf = np.arange(len(paths.value))
-    known = [paths.passes[leaf, j, codes[:, paths.feature[:, j]]].astype(float) for j in range(depth)]  # (rows, leaves)
     for i in range(depth):
-        poly = [np.ones((len(codes), len(leaf)))]
+        poly = [np.ones_like(known[0])]
         for j in range(depth):
             if j == i:
                 continue
@@ -83,12 +118,10 @@ def shapley(paths: Paths, codes: np.ndarray, out: np.ndarray) -> None:
             for k, c in enumerate(poly):
                 longer[k + 1] = longer[k + 1] + c * o
             poly = longer
-        part = paths.value * (known[i] - paths.share[:, i]) * sum(w * c for w, c in zip(weight, poly, strict=True))
-        for k in np.flatnonzero(paths.feature[:, i] >= 0).tolist():
-            out[:, paths.feature[k, i]] += part[:, k]
+        yield paths.value * (known[i] - paths.share[:, i]) * sum(w * c for w, c in zip(weight, poly, strict=True))
 
 
-_ROWS = 512  # rows explained at a time
+_ROWS = 4096  # rows explained at a time
 
 
 def tree_contributions(df: DataFrame, model: ChurnModel, keep: list[str], name: str = "contributions") -> DataFrame:
@@ -110,8 +143,8 @@ def tree_contributions(df: DataFrame, model: ChurnModel, keep: list[str], name:
                 part = batch.slice(at, _ROWS)
                 n = part.num_rows
                 m = part.column("_x").flatten().to_numpy(zero_copy_only=False).astype(float).reshape(n, width)
-                share = np.zeros_like(m)
-                codes = fitted.codes(m)
+                share = np.zeros((n, width), order="F")
+                codes = np.asfortranarray(fitted.codes(m))
                 for p in paths:
                     shapley(p, codes, share)
                 cells = pa.StructArray.from_arrays([pa.array(features * n, pa.string()), pa.array(share.ravel()), pa.array(m.ravel(), mask=np.isnan(m).ravel())], ["feature", "contribution", "value"])
@@ -136,6 +169,17 @@ def _seeds(points: DataFrame, k: int, seed: int, starts: int) -> np.ndarray:
     return np.array(out, float)
 
 
+def nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Each row's nearest centre, ties to the first one: by one product, and by differences where that is too close to call."""
+    square = (x * x).sum(axis=1)[:, None] + (centres * centres).sum(axis=1)
+    far = square - 2 * (x @ centres.T)
+    near = far.argmin(axis=1)
+    low = far[np.arange(len(x)), near]
+    close = np.flatnonzero((far <= low[:, None] + 1e-9 * square.max(axis=1, keepdims=True)).sum(axis=1) > 1)
+    near[close] = ((x[close, None, :] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+    return near
+
+
 def joint_lloyd(points: DataFrame, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Centres and costs of all starts after Lloyd steps that share each pass over ``points`` (x array<double>)."""
     starts, k, width = centres.shape
@@ -148,9 +192,9 @@ def joint_lloyd(points: DataFrame, centres: np.ndarray) -> tuple[np.ndarray, np.
             for batch in batches:
                 x = batch.column("x").flatten().to_numpy().reshape(batch.num_rows, width)
                 for s, c in enumerate(shared.value):
-                    far = ((x[:, None, :] - c[None]) ** 2).sum(axis=2)
-                    near = far.argmin(axis=1)
-                    np.add.at(total[s], near, np.column_stack([x, np.ones(len(x)), far[np.arange(len(x)), near]]))
+                    near = nearest(x, c)
+                    cost = ((x - c[near]) ** 2).sum(axis=1)
+                    total[s] += (near == np.arange(k)[:, None]).astype(float) @ np.column_stack([x, np.ones(len(x)), cost])
             yield pa.RecordBatch.from_pydict({"sums": pa.array([total.tobytes()], pa.binary())})
 
         out = added(points.mapInArrow(run, "sums binary"), starts * k * (width + 2)).reshape(starts, k, width + 2)

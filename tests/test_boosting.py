@@ -221,6 +221,20 @@ def test_shapley_values_equal_the_sum_over_all_subsets():
         assert out.sum(axis=1) + paths.expected == pytest.approx(tree.margins(codes))
 
 
+def test_parts_made_once_for_every_way_equal_those_made_row_by_row(monkeypatch):
+    r = rows(3000, 12, seed=5)
+    r.y = ((r.codes[:, :6] > 4).sum(axis=1) + np.random.default_rng(1).random(3000) > 3.5).astype(float)
+    for deepest in (3, 7, 9):  # the last one has leaves with more path features than are made once
+        state = boosting.grow_rounds(rows(3000, 12, seed=5) if deepest == 3 else r, {**P, "max_depth": deepest, "leaves": 200, "rounds": 2, "min_rows": 2}, boosting.State(), 2, False)
+        for tree in state.trees:
+            out = []
+            for most in (7, 0):
+                monkeypatch.setattr(trees, "MASKED", most)
+                out.append(np.zeros((3000, 12)))
+                trees.shapley(trees.leaf_paths(tree), r.codes, out[-1])
+            assert np.abs(out[0]).sum() > 0 and np.allclose(*out, rtol=0, atol=1e-13)
+
+
 # ---- clusters ------------------------------------------------------------------------------------
 def test_joint_starts_equal_single_ones(spark):
     rng = np.random.default_rng(1)
@@ -244,3 +258,10 @@ def test_clusters_are_the_nearest_centres(spark):
     df = spark.createDataFrame(rows_, "id long, contributions array<struct<feature: string, contribution: double, value: double>>")
     out = {r["id"]: r["cluster"] for r in trees.cluster_contributions(df, k=2).collect()}
     assert len({out[i] for i in range(50)}) == 1 and len({out[i] for i in range(50, 100)}) == 1 and out[0] != out[99]
+
+
+def test_nearest_centres_are_exact_where_distances_are_close():
+    x = np.random.default_rng(4).normal(size=(500, 7)) * 1e3
+    centres = np.concatenate([x[:3], x[:1], x[3:4] + 1e-9])  # two equal ones, and one beside a point
+    assert (trees.nearest(x, centres) == ((x[:, None] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)).all()
+    assert trees.nearest(x[:1], centres)[0] == 0
