@@ -24,6 +24,7 @@ from ebbtide.sources.starschema import SPLITS
 from ebbtide.streaming import jobs
 
 SETTINGS = Settings(splits=SPLITS)
+RUN = 2  # raised when a saved run holds other folders
 
 
 def once(fn):
@@ -53,20 +54,33 @@ def data_key(d) -> str:
     names = ("customer", "orders", "lineitem", "events", "nation")
     rows = files.select("path", "length", "modificationTime").where(F.col("path").rlike("/(" + "|".join(names) + r")\.parquet")).orderBy("path").collect()  # a listing
     listing = [(r["path"], r["length"], str(r["modificationTime"])) for r in rows]
-    return hashlib.sha256(repr((listing, SETTINGS, learning.BOOSTING, boosting.FORMAT)).encode()).hexdigest()[:16]
+    return hashlib.sha256(repr((listing, SETTINGS, learning.BOOSTING, boosting.FORMAT, RUN)).encode()).hexdigest()[:16]
+
+
+@once
+def run_folder(d) -> str:
+    return f"{shared_dir(d.spark)}/runs/{data_key(d)}"
 
 
 @once
 def boosted(d):
     """Model and calibrator of the run saved for these data, by any session; without one it is trained, or goes on where it was cut off."""
-    path = f"{shared_dir(d.spark)}/runs/{data_key(d)}"
+    path = run_folder(d)
     try:
         return training.load_run(d.spark, path)
     except AnalysisException:  # nothing saved yet
-        training.train(features(d)[0], SETTINGS, n_trials=0, run_path=path)
+        matrix, encoder = features(d)
+        encoder.save(f"{path}/encoder")
+        training.train(matrix, SETTINGS, n_trials=0, run_path=path)
         return training.load_run(d.spark, path)
 
 
+def encoder_of_run(d):
+    """Encoder saved with the run, so that scoring with a saved run builds no training matrix."""
+    boosted(d)
+    return encoding.FittedEncoder.load(d.spark, f"{run_folder(d)}/encoder")
+
+
 @query("mdl_logreg")
 def mdl_logreg(d):
     s = parts(d)
@@ -234,7 +248,7 @@ def exp_kmeans(d):
 @query("scr_batch")
 def scr_batch(d):
     model, calibrator = boosted(d)
-    return score_plans.score_active(d.panel(), d.calls(), d.usage(), d.cease(), model, calibrator, features(d)[1], settings=SETTINGS)
+    return score_plans.score_active(d.panel(), d.calls(), d.usage(), d.cease(), model, calibrator, encoder_of_run(d), settings=SETTINGS)
 
 
 def requests(d):

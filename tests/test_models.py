@@ -312,3 +312,19 @@ def test_the_projection_builds_its_own_snapshot_only(spark, monkeypatch):
     monkeypatch.setattr(models, "written_matrix", lambda d: pytest.fail("all snapshots were written"))
     out = QUERIES["mdl_pca"](spark, SMALL).collect()
     assert len(out) == 10 and {r["feature"] for r in out} <= set(models.PCA_COLUMNS)
+
+
+def test_scoring_with_a_saved_run_builds_no_training_matrix(spark, monkeypatch):
+    from conftest import SMALL
+    from ebbtide.catalog import models
+    from ebbtide.sources.starschema import StarSchema
+
+    scratch(spark, "run")  # the shared folder has its name from here on
+    first = models.scr_batch(StarSchema(spark, SMALL)).collect()
+
+    def never(d):
+        raise AssertionError("the training matrix is built again")
+
+    monkeypatch.setattr(models, "written_matrix", never)
+    again = models.scr_batch(StarSchema(spark, SMALL)).collect()
+    assert sorted(first) == sorted(again)
