@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbtide.functions.scalars import ID
-from ebbtide.session import scratch
+from ebbtide.session import scratch, settle, share_package
+from ebbtide.streaming import packs
 
 
 def read_parquet_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -32,6 +33,7 @@ def _advance(stream: DataFrame, out: str, state: str, mode: str) -> None:
     query.awaitTermination()
 
 
+PARTS = 8  # of the customers, by hash: with the windows of a batch they spread the state over the tasks
 ROWS_PER_STEP = 2_000_000  # of a finite table that a stream reads before its watermark moves
 
 
@@ -44,23 +46,20 @@ def replay(rows: DataFrame, job: Callable[[DataFrame], DataFrame], name: str, ti
     """
     spark = rows.sparkSession
     day = F.coalesce(utc_date(F.col(time_col)), F.lit("1970-01-01").cast("date"))
+    # Written once, by day within each task, so that a step reads its own days' pages only.
+    kept = settle(rows.withColumn("_day", day).sortWithinPartitions("_day"))
     starts, held = [], 0
-    for r in rows.groupBy(day.alias("day")).count().orderBy("day").collect():  # one row per day
+    for r in kept.groupBy("_day").count().orderBy("_day").collect():  # one row per day
         if not starts or held + r["count"] > ROWS_PER_STEP:
-            starts.append(r["day"])
+            starts.append(r["_day"])
             held = 0
         held += r["count"]
-    step = F.when(F.lit(False), 0)
-    for i in range(len(starts) - 1, 0, -1):
-        step = step.when(day >= F.lit(starts[i]), i)
-    step = step.otherwise(0)
-    path, sent, out, state = (scratch(spark, f"{name}-{kind}") for kind in ("rows", "sent", "out", "state"))
-    rows.withColumn("_step", step).write.partitionBy("_step").parquet(path)
-    schema = rows.select(*rows.columns, F.lit(0).alias("_step")).schema
-    kept = spark.read.schema(schema).parquet(path)
+    sent, out, state = (scratch(spark, f"{name}-{kind}") for kind in ("sent", "out", "state"))
     for i in range(max(1, len(starts))):
-        part = kept.where(F.col("_step") == i).drop("_step")
-        if i >= len(starts) - 1:
+        last = i >= len(starts) - 1
+        part = kept if len(starts) < 2 else kept.where((F.col("_day") >= F.lit(starts[i])) & (F.lit(True) if last else F.col("_day") < F.lit(starts[i + 1])))
+        part = part.drop("_day")
+        if last:
             part = part.unionByName(closing_row(part, time_col))
         part.write.mode("append").parquet(sent)
         stream = job(read_parquet_stream(spark, sent, rows.schema))
@@ -78,11 +77,22 @@ def call_counts(calls: DataFrame, time_col: str = "event_time", width: str = "7
 
     A window is emitted once the watermark (newest event minus ``delay``) has
     passed its end; rows older than the watermark are dropped.
+
+    The state has one entry per window and part of the customers, not one per window and
+    customer: the counts of an instant are packed by task before they are copied to its
+    windows, and a window's packs are added up per customer when it is emitted.
     """
-    counted = calls.withWatermark(time_col, delay).groupBy(F.window(time_col, width, slide).alias("w"), ID).agg(
-        F.count("*").alias("n_calls"), F.count_if(F.col("call_type") == "Loyalty").alias("n_loyalty")
+    share_package(calls.sparkSession)
+    known = calls.where(F.col(time_col).isNotNull()).select(
+        time_col, F.pmod(F.xxhash64(ID), F.lit(PARTS)).cast("int").alias("_part"), F.col(ID).cast("string").alias("_id"),
+        F.coalesce(F.col("call_type") == "Loyalty", F.lit(False)).cast("bigint").alias("_loyal"),
     )
-    return counted.select(ID, utc_date(F.col("w.start")).alias("window_start"), utc_date(F.col("w.end")).alias("window_end"), "n_calls", "n_loyalty")
+    types = {c: calls.schema[c].dataType.simpleString() for c in (time_col, ID)}
+    packed = known.mapInArrow(packs.pack, f"`{time_col}` {types[time_col]}, _part int, _pack binary")
+    held = packed.withWatermark(time_col, delay).groupBy(F.window(time_col, width, slide).alias("w"), "_part").agg(F.collect_list("_pack").alias("packs"))
+    ended = held.select(utc_date(F.col("w.start")).alias("window_start"), utc_date(F.col("w.end")).alias("window_end"), "packs")
+    out = ended.mapInArrow(packs.unpack, f"`{ID}` string, window_start date, window_end date, n_calls bigint, n_loyalty bigint")
+    return out.withColumn(ID, F.col(ID).cast(types[ID]))
 
 
 def closing_row(calls: DataFrame, time_col: str = "event_time", days: int = 38) -> DataFrame:

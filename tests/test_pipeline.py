@@ -154,6 +154,45 @@ def test_a_replayed_table_gives_all_windows_whatever_its_steps(spark, monkeypatc
     assert jobs.replay(calls.limit(0), jobs.call_counts, "empty").count() == 0
 
 
+def test_the_state_of_call_counts_does_not_grow_with_the_customers(spark):
+    path, out, state = (scratch(spark, name) for name in ("calls", "out", "state"))
+    ids = F.when(F.col("id") % 1000 > 0, F.concat(F.lit("ü"), (F.col("id") % 1000).cast("string")))
+    day = F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 3 * 86400)
+    calls = spark.range(3000).select(ids.alias("unique_customer_identifier"), day.alias("event_time"), F.when(F.col("id") % 5 > 0, F.lit("Tech")).alias("call_type"))
+    calls.write.parquet(path)
+    jobs._advance(jobs.call_counts(jobs.read_parquet_stream(spark, path, calls.schema)), out, state, "append")
+    assert 0 < spark.read.format("statestore").load(state).count() <= 9 * jobs.PARTS
+
+
+def test_packs_give_back_their_counts(monkeypatch):
+    import random
+
+    import pyarrow as pa
+
+    from ebbtide.streaming import packs
+
+    rng = random.Random(5)
+    ids = [None, "", "a", "ö€", "x" * 300, *map(str, range(40))]
+    rows = [(rng.randrange(4), rng.randrange(2), rng.choice(ids), int(rng.random() < 0.3)) for _ in range(900)] + [(1, 1, "often", 1)] * 70_000
+    names = ["when", "_part", "_id", "_loyal"]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows[i::3]]) for i in range(3)]
+    want = {}
+    for when, part, who, loyal in rows:
+        n = want.setdefault((when, part), {}).setdefault(who, [0, 0])
+        n[0], n[1] = n[0] + 1, n[1] + loyal
+    for size in (10_000_000, 400):
+        monkeypatch.setattr(packs, "PACK_ROWS", size)
+        held = {}
+        for batch in packs.pack(iter(batches)):
+            for r in batch.to_pylist():
+                held.setdefault((r["when"], r["part"]), []).append(r["pack"])
+        assert {k: {r["id"]: [r["n_calls"], r["n_loyalty"]] for r in packs.totals(v).to_pylist()} for k, v in held.items()} == want
+    monkeypatch.setattr(packs, "EMIT_ROWS", 7)
+    ended = pa.RecordBatch.from_pylist([{"start": k[0], "end": k[1], "packs": v} for k, v in held.items()])
+    out = [r for b in packs.unpack(iter([ended])) for r in b.to_pylist()]
+    assert len(out) == sum(map(len, want.values())) and all(want[r["start"], r["end"]][r["id"]] == [r["n_calls"], r["n_loyalty"]] for r in out)
+
+
 def test_the_join_of_calls_gets_more_partitions_with_more_rows(spark, monkeypatch):
     from conftest import SMALL
     from ebbtide.session import shuffle_width
