@@ -17,6 +17,9 @@ cache as arrays; row margins are written anew every ``EVERY`` rounds. Of a small
 Only the smaller child of a split is counted, over the round's own features; its sibling's
 histogram is what the parent's leaves.
 
+The settings of a search are fitted on all rows too, one task each. Of a table larger than
+``TOGETHER`` such a task keeps its rows in files and works on ``PART`` of them at once.
+
 With a run folder, trees and losses are written after every job of rounds, and a restarted
 driver goes on from there.
 """
@@ -25,6 +28,7 @@ from __future__ import annotations
 
 import json
 import math
+import tempfile
 from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field, replace
@@ -43,6 +47,8 @@ NULL = BINS - 1
 EVERY = 25  # rounds between two settled states
 TOGETHER = 64 << 20  # bytes of binned rows that one task may hold
 STEP = 4096  # binned rows per stored row of a table
+PART = 1 << 18  # rows in files that a task works on at once
+CELLS = 1 << 14  # sums of one kind that a bundle of features may have over the counted nodes
 _EPS = 1e-12
 _TIE = 1e-9  # gains that differ by less, as sums taken in another order do, are equal
 
@@ -230,8 +236,8 @@ def divide(tree: Tree, codes: np.ndarray, at: dict[int, np.ndarray]) -> None:
     while todo:
         n = todo.pop()
         rows = at.pop(n)
-        left = tree.passes_left(n)[codes[:, tree.feature[n]].take(rows)]
-        for child, own in ((tree.left[n], rows[left]), (tree.right[n], rows[~left])):
+        left = tree.passes_left(n).take(codes[:, tree.feature[n]].take(rows))
+        for child, own in ((tree.left[n], rows.compress(left)), (tree.right[n], rows.compress(~left))):
             at[child] = own
             if tree.feature[child] >= 0:
                 todo.append(child)
@@ -310,6 +316,186 @@ def grow_rounds(rows: Rows, p: Mapping[str, float], state: State, rounds: int, w
     return state
 
 
+_BLOCK = {"number": np.int64, "codes": np.uint8, "y": np.float64, "w": np.float64, "margin": np.float64, "held": np.uint8}
+
+
+# ---- one task, rows in files -----------------------------------------------------------------------
+def _mapped(file, kind, shape) -> np.ndarray:
+    return np.asarray(np.memmap(file, kind, "r+", shape=shape)) if shape[0] else np.zeros(shape, kind)
+
+
+class Filed:
+    """Binned rows in files of the task that end with it, so that a table of any size needs little memory.
+
+    They are read and written in parts of PART rows; ``parts`` maps them as ``Rows``.
+    """
+
+    def __init__(self, width: int):
+        self.width, self.n, self.waiting, self.short = width, 0, [], 0
+        self.files = {c: tempfile.TemporaryFile() for c in ("number", "codes", "y", "w", "margin")}
+
+    def add(self, rows: Rows) -> None:
+        if len(rows.y):
+            self.waiting.append(rows)
+            self.short += len(rows.y)
+        while self.short >= PART:
+            self._write(PART)
+
+    def end(self) -> None:
+        if self.short:
+            self._write(self.short)
+        for file in self.files.values():
+            file.flush()
+
+    def _write(self, n: int) -> None:
+        rows = together(iter(self.waiting))
+        for c, file in self.files.items():
+            own = getattr(rows, c)[:n]
+            file.write((own.T if c == "codes" else own).tobytes())  # codes by feature within a part
+        self.n += n
+        rest = Rows(*[getattr(rows, c)[n:] for c in _BLOCK])
+        self.waiting, self.short = [rest] if len(rest.y) else [], len(rest.y)
+
+    def column(self) -> list[np.ndarray]:
+        """A new column of numbers, all 0, by part."""
+        file = tempfile.TemporaryFile()
+        file.truncate(8 * self.n)
+        whole = _mapped(file, np.float64, (self.n,))
+        return [whole[a : a + PART] for a in range(0, self.n, PART)]
+
+    def parts(self) -> list[Rows]:
+        flat = {c: _mapped(f, _BLOCK[c], (self.n * (self.width if c == "codes" else 1),)) for c, f in self.files.items()}
+        out = []
+        for a in range(0, self.n, PART):
+            b = min(a + PART, self.n)
+            codes = flat["codes"][a * self.width : b * self.width].reshape(self.width, b - a).T
+            out.append(Rows(flat["number"][a:b], codes, flat["y"][a:b], flat["w"][a:b], flat["margin"][a:b], np.zeros(0, bool)))
+        return out
+
+
+def filed(blocks: Iterator[Rows]) -> tuple[Filed, Filed, np.ndarray]:
+    """Rows to fit on, held rows, and each feature's largest bin but NULL."""
+    fit = held = top = None
+    for rows in blocks:
+        if fit is None:
+            width = rows.codes.shape[1]
+            fit, held, top = Filed(width), Filed(width), np.zeros(width, np.uint8)
+        top = np.maximum(top, np.where(rows.codes == NULL, 0, rows.codes).max(axis=0, initial=0))
+        for to, at in ((fit, np.flatnonzero(~rows.held)), (held, np.flatnonzero(rows.held))):
+            to.add(Rows(*[getattr(rows, c)[at] for c in _BLOCK]))
+    if fit is None:
+        fit, held, top = Filed(0), Filed(0), np.zeros(0, np.uint8)
+    fit.end()
+    held.end()
+    return fit, held, top
+
+
+def bundles(sizes: Sequence[int], most: int) -> list[list[int]]:
+    """Places of features by size, put together while the product of their sizes is not above ``most``."""
+    out, cells = [], most + 1
+    for i in np.argsort(sizes, kind="stable").tolist():
+        if cells * sizes[i] > most:
+            out.append([])
+            cells = 1
+        out[-1].append(i)
+        cells *= sizes[i]
+    return out
+
+
+def bundled_histogram(parts: Sequence[Rows], at: Sequence[dict[int, np.ndarray]], counted: Sequence[int], slope: Sequence[tuple[np.ndarray, np.ndarray]], which: Sequence[int], top: np.ndarray) -> np.ndarray:
+    """``histogram`` of the rows that the counted nodes hold in all parts; ``top`` is the largest bin of each feature but NULL.
+
+    Features are counted together, as one feature with a bin per combination of theirs, and
+    the sums of each are read off the joint ones, which are few: nodes x bins within CELLS.
+    """
+    nodes, sizes = len(counted), [int(top[f]) + 2 for f in which]
+    groups = bundles(sizes, max(BINS, CELLS // nodes))
+    wide = [math.prod(sizes[i] for i in g) for g in groups]
+    sums = [np.zeros((3, nodes * c)) for c in wide]
+    for rows, mine, (g, h) in zip(parts, at, slope, strict=True):
+        held = [mine[n] for n in counted]
+        own, node = np.concatenate(held).astype(np.int64), np.repeat(np.arange(nodes), [len(x) for x in held])
+        if not len(own):
+            continue
+        weights = (g[own], h[own], None)
+        for group, cells, total in zip(groups, wide, sums, strict=True):
+            code = None
+            for i in group:
+                c = np.minimum(rows.codes[:, which[i]].take(own), sizes[i] - 1)  # NULL is the last one
+                code = c if code is None else code.astype(np.uint32) * np.uint32(sizes[i]) + c
+            cell = node * cells
+            cell += code
+            for k, w in enumerate(weights):
+                total[k] += np.bincount(cell, w, nodes * cells)
+    out = np.zeros((nodes, len(which), BINS, 3))
+    for group, total in zip(groups, sums, strict=True):
+        joint = total.reshape(3, nodes, *[sizes[i] for i in group])
+        for j, i in enumerate(group):
+            own = np.moveaxis(joint.sum(axis=tuple(k for k in range(2, joint.ndim) if k != j + 2)), 0, 2)
+            out[:, i, : sizes[i] - 1], out[:, i, NULL] = own[:, :-1], own[:, -1]
+    return out
+
+
+def grow_filed(fit: Filed, held: Filed, top: np.ndarray, p: Mapping[str, float]) -> tuple[State, float]:
+    """All rounds on rows in files, stopped by the loss of the held ones, and the average precision of these at the best round.
+
+    The trees are those of ``grow_rounds`` but for the order of sums.
+    """
+    state, parts, judged = State(), fit.parts(), held.parts()
+    slope, best = list(zip(fit.column(), fit.column(), strict=True)), held.column()
+    drawn: list[np.ndarray] = []
+    while not state.ended and len(state.trees) < p["rounds"]:
+        r = len(state.trees)
+        if r % int(p["subsample_every"]) == 0:
+            drawn = [drawn_rows(rows.number, p, r) for rows in parts]
+        for rows, (g, h) in zip(parts, slope, strict=True):
+            g[:], h[:] = slopes(rows.margin, rows.y, rows.w)
+        grown = Growing(p, fit.width, r)
+        at = [{0: np.flatnonzero(use).astype(np.int32)} for use in drawn]
+        while not grown.done():
+            grown.split(bundled_histogram(parts, at, grown.counted, slope, grown.which, top))
+            for rows, mine in zip(parts, at, strict=True):
+                divide(grown.tree, rows.codes, mine)
+        for rows, mine, use in zip(parts, at, drawn, strict=True):
+            others = {0: np.flatnonzero(~use).astype(np.int32)}
+            divide(grown.tree, rows.codes, others)
+            for leaves in (mine, others):
+                for n, own in leaves.items():
+                    rows.margin[own] += grown.tree.value[n]
+        state.trees.append(grown.tree)
+        total = np.zeros(2)
+        for rows in judged:
+            grown.tree.add_margins(rows.codes, rows.margin)
+            total += loss_sums(rows.margin, rows.y, rows.w)
+        state.losses.append(float(total[0] / max(total[1], _EPS)))
+        at_best, state.ended = best_round(state.losses, int(p["patience"]))
+        if at_best == len(state.losses):
+            for rows, kept in zip(judged, best, strict=True):
+                kept[:] = rows.margin
+    return state, precision_of_parts([rows.y for rows in judged], best)
+
+
+def precision_of_parts(y: Sequence[np.ndarray], score: Sequence[np.ndarray]) -> float:
+    """``average_precision`` of parts, which are sorted in place and read range by range, best scores first."""
+    edges = [-math.inf]
+    for labels, s in zip(y, score, strict=True):
+        order = np.argsort(s, kind="stable")
+        s[:], labels[:] = s[order], labels[order]
+        edges.extend(s[PART // 16 :: PART // 16].tolist())
+    edges = [*sorted(set(edges))[::16], math.inf]  # ranges of about PART rows, if no score is common
+    seen, hits, out = 0, 0, 0.0
+    for low, high in zip(edges[-2::-1], edges[:0:-1], strict=True) if y else ():
+        cut = [slice(*np.searchsorted(s, (low, high), side="left").tolist()) for s in score]
+        own, s = np.concatenate([a[c] for a, c in zip(y, cut, strict=True)]), np.concatenate([a[c] for a, c in zip(score, cut, strict=True)])
+        order = np.argsort(-s, kind="stable")
+        own, s = own[order], s[order]
+        last = np.flatnonzero(np.append(s[1:] != s[:-1], True)) if len(s) else np.zeros(0, int)
+        gained = np.cumsum(own == 1)[last]
+        out += float((np.diff(gained, prepend=0) * (hits + gained) / (seen + last + 1)).sum())
+        seen, hits = seen + len(s), hits + int((own == 1).sum())
+    return out / hits if hits else 0.0
+
+
 # ---- tables --------------------------------------------------------------------------------------
 def cut_points(df: DataFrame, features: Sequence[str]) -> list[list[float]]:
     """At most BINS - 2 cuts per feature, at quantiles; a value goes to the first bin whose cut is not below it."""
@@ -340,10 +526,8 @@ def binned(df: DataFrame, features: Sequence[str], cuts: list[list[float]], targ
                 blobs = [x.tobytes() for x in (n, codes.T, y, w, np.zeros(len(n)), out)]  # codes by feature
                 yield pa.RecordBatch.from_arrays([pa.array([b], pa.binary()) for b in blobs], names=list(_BLOCK))
 
-    return settle(base.mapInArrow(run, ", ".join(f"{c} binary" for c in _BLOCK)))
-
-
-_BLOCK = {"number": np.int64, "codes": np.uint8, "y": np.float64, "w": np.float64, "margin": np.float64, "held": np.uint8}
+    # Small groups of rows, as a reader holds one at a time and a search has a reader on every core.
+    return settle(base.mapInArrow(run, ", ".join(f"{c} binary" for c in _BLOCK)), **{"parquet.block.size": 8 << 20})
 
 
 def unpack(batch) -> Iterator[Rows]:
@@ -573,9 +757,10 @@ def average_precision(y: np.ndarray, score: np.ndarray) -> float:
 def search(table: DataFrame, trials: Sequence[Mapping[str, float]], path: str) -> DataFrame:
     """(trial, rounds, loss, auc_pr) of every setting, fitted with full rounds and patience.
 
-    Trials share the binned table, which the caller bounds to what one task may hold. Each
-    is a job of one task and a folder in ``path`` as soon as it ends: no core waits for the
-    longest of a group, and a search that starts again there only runs what is missing.
+    All rows of the table take part. Each setting is a job of one task and a folder in ``path``
+    as soon as it ends: no core waits for the longest of a group, and a search that starts again
+    there only runs what is missing. Of a table within ``TOGETHER`` bytes all tasks share one
+    copy in memory; of a larger one every task writes its rows to files of its own.
     """
     from pyspark.errors import AnalysisException
 
@@ -591,8 +776,12 @@ def search(table: DataFrame, trials: Sequence[Mapping[str, float]], path: str) -
         pass
     missing = [(i, json.dumps(dict(p))) for i, p in enumerate(trials) if i not in done]
     if missing:
-        blocks = [r.asDict() for r in table.collect()]  # bounded: at most TOGETHER bytes
-        shared = spark.sparkContext.broadcast(blocks)
+        size = table.agg(F.sum(F.length("codes") + 33 * F.length("held"))).first()[0] or 0
+        shared = None if size > TOGETHER else spark.sparkContext.broadcast([r.asDict() for r in table.collect()])
+
+        def result(i: int, p: Mapping[str, float], state: State, ap: float) -> pa.RecordBatch:
+            best = state.best(int(p["patience"]), True)
+            return pa.RecordBatch.from_pydict({"trial": pa.array([i], pa.int32()), "rounds": pa.array([best], pa.int32()), "loss": pa.array([state.losses[best - 1] if best else None], pa.float64()), "auc_pr": pa.array([ap], pa.float64())})
 
         def run(batches):
             for batch in batches:
@@ -608,12 +797,21 @@ def search(table: DataFrame, trials: Sequence[Mapping[str, float]], path: str) -
                         for t in state.trees[: state.best(int(p["patience"]), True)]:
                             margin = margin + t.margins(codes)
                         ap = average_precision(rows.y[rows.held], margin)
-                    best = state.best(int(p["patience"]), True)
-                    yield pa.RecordBatch.from_pydict({"trial": pa.array([i], pa.int32()), "rounds": pa.array([best], pa.int32()), "loss": pa.array([state.losses[best - 1] if best else None], pa.float64()), "auc_pr": pa.array([ap], pa.float64())})
+                    yield result(i, p, state, ap)
+
+        def run_filed(trial: tuple[int, str]):
+            def run(batches):
+                p = json.loads(trial[1])
+                yield result(trial[0], p, *grow_filed(*filed(r for b in batches for r in unpack(b)), p))
+
+            return run
 
         def fitted(trial: tuple[int, str]) -> None:
-            rows = spark.createDataFrame([trial], "trial int, setting string").coalesce(1)
-            rows.mapInArrow(run, "trial int, rounds int, loss double, auc_pr double").drop("trial").write.mode("overwrite").parquet(f"{path}/trials/trial={trial[0]}")
+            if shared is None:
+                rows, job = table.coalesce(1), run_filed(trial)
+            else:
+                rows, job = spark.createDataFrame([trial], "trial int, setting string").coalesce(1), run
+            rows.mapInArrow(job, "trial int, rounds int, loss double, auc_pr double").drop("trial").write.mode("overwrite").parquet(f"{path}/trials/trial={trial[0]}")
 
         # As many at a time as there are cores; small steps and deep trees first, so that no long one is left to the end.
         order = sorted(missing, key=lambda m: (trials[m[0]]["step_size"] / trials[m[0]]["max_depth"], m[0]))
@@ -623,7 +821,8 @@ def search(table: DataFrame, trials: Sequence[Mapping[str, float]], path: str) -
                 job.result()
         finally:
             pool.shutdown(cancel_futures=True)
-        shared.unpersist()
+        if shared is not None:
+            shared.unpersist()
     return found().select("trial", "rounds", "loss", "auc_pr")
 
 

@@ -230,8 +230,6 @@ def calibrate(scored: DataFrame, method: str = "isotonic", y: str = "y", p: str
 LEAVES, LEARNING_RATE, MIN_ROWS, SHARE, PENALTY = (20, 300), (0.005, 0.3), (20, 500), (0.5, 1.0), (0.0, 10.0)
 BAGGING_EVERY = 5  # rounds that share their rows
 
-SEARCH_ROWS = 200_000  # rows to fit on, and rows to judge by, that the settings of a search are compared on
-
 
 def draw_trials(n: int, seed: int = 42) -> list[dict[str, float]]:
     """Seeded random draws within the bounds; trees grow by level, to a depth that can hold the leaves."""
@@ -252,26 +250,17 @@ def draw_trials(n: int, seed: int = 42) -> list[dict[str, float]]:
     return trials
 
 
-def _bounded(df: DataFrame, features: Sequence[str], rows: int) -> DataFrame:
-    """All rows, or about ``rows`` of them chosen by a hash of their values, settled: they are read several times."""
-    n = df.count()
-    return df if n <= rows else settle(df.where(F.pmod(F.xxhash64(F.lit("search"), *features), F.lit(1 << 30)) < int((1 << 30) * rows / n)))
-
-
 def tune(
     train: DataFrame, val: DataFrame, n_trials: int = 50, seed: int = 42, fixed: Mapping[str, float] | None = None, target: str = "churned", run_path: str | None = None,
 ) -> tuple[dict[str, float], DataFrame]:
     """Random search for the highest average precision on the temporal validation split.
 
     Returns the best parameters and the trial table. Every setting runs full rounds with
-    patience. Settings are compared on at most about ``SEARCH_ROWS`` labelled rows of each
-    split (fewer if they are very wide), so that a task can hold them; the model itself is
-    fitted on all rows. With ``run_path`` a search that was cut off runs what is missing.
+    patience on all rows of ``train`` and is judged by all rows of ``val``. With ``run_path``
+    a search that was cut off runs what is missing.
     """
     spark, features = train.sparkSession, feature_columns(train)
-    most = min(SEARCH_ROWS, boosting.TOGETHER // (2 * (len(features) + 33)))
-    fit, judge = _bounded(train, features, most), _bounded(val, features, most)
-    table = boosting.binned(_watched(fit, judge, features, target), features, boosting.cut_points(fit, features), target, "weight", "_held")
+    table = boosting.binned(_watched(train, val, features, target), features, boosting.cut_points(train, features), target, "weight", "_held")
     trials = [{**t, "subsample_every": BAGGING_EVERY, **(fixed or {})} for t in draw_trials(n_trials, seed)]
     found = boosting.search(table, [{**BOOSTING, "seed": seed, **t} for t in trials], run_path or scratch(spark, "search"))
     rows = [(i, *[float(v) for v in t.values()]) for i, t in enumerate(trials)]

@@ -173,6 +173,66 @@ def test_a_setting_that_fails_leaves_the_others_written(spark):
     assert sorted(r["trial"] for r in boosting.search(data, trials, path).collect()) == [0, 1, 2]
 
 
+def watched_rows(n, seed):
+    r = rows(n, 6, seed)
+    rng = np.random.default_rng(seed + 50)
+    r.codes[:, 2], r.codes[:, 3] = rng.integers(0, boosting.NULL, n), rng.integers(0, 2, n)
+    return boosting.Rows(rng.integers(-(2**62), 2**62, n), r.codes, r.y, r.w, r.margin, rng.random(n) < 0.4)
+
+
+@pytest.mark.parametrize("cells", [1, 300, 1 << 14])
+def test_rows_in_files_give_the_trees_of_rows_in_memory(monkeypatch, cells):
+    monkeypatch.setattr(boosting, "PART", 500)
+    monkeypatch.setattr(boosting, "CELLS", cells)
+    p = {**P, "rounds": 25, "patience": 4, "step_size": 0.3, "subsample": 0.7, "subsample_every": 2, "feature_share": 0.7, "leaves": 20, "reg_alpha": 0.5, "reg_lambda": 1.0}
+    for seed in range(3):
+        r = watched_rows(3000, seed)
+        blocks = [boosting.Rows(*[getattr(r, c)[a : a + 700] for c in boosting._BLOCK]) for a in range(0, 3000, 700)]
+        filed = boosting.filed(iter(blocks))
+        assert [len(x.y) for x in filed[0].parts()[:-1]] == [500] * (int((~r.held).sum()) // 500) and filed[0].n + filed[1].n == 3000
+        state, ap = boosting.grow_filed(*filed, p)
+        want = boosting.grow_rounds(r, p, boosting.State(), 25, True)
+        same(state, want)
+        assert state.ended == want.ended
+        margin = sum(t.margins(r.codes[r.held]) for t in want.trees[: want.best(4, True)])
+        assert ap == pytest.approx(boosting.average_precision(r.y[r.held], margin), abs=1e-12)
+
+
+def test_precision_of_parts_is_that_of_all_rows(monkeypatch):
+    monkeypatch.setattr(boosting, "PART", 64)
+    rng = np.random.default_rng(8)
+    for digits in (1, 2, 9):
+        y, score = (rng.random(1000) < 0.2).astype(float), rng.normal(size=1000).round(digits)
+        parts = [[x[a : a + 64].copy() for a in range(0, 1000, 64)] for x in (y, score)]
+        assert boosting.precision_of_parts(*parts) == pytest.approx(boosting.average_precision(y, score), abs=1e-12)
+    assert boosting.precision_of_parts([np.zeros(3)], [np.ones(3)]) == boosting.precision_of_parts([], []) == 0.0
+
+
+def test_a_search_over_a_large_table_gives_the_same(spark, monkeypatch):
+    data = table(spark)
+    trials = [{**boosting.DEFAULTS, "rounds": 12, "patience": 4, "step_size": s, "max_depth": 3, "min_rows": 10} for s in (0.1, 0.5)]
+    want = {r["trial"]: r for r in boosting.search(data, trials, scratch(spark, "search")).collect()}
+    monkeypatch.setattr(boosting, "TOGETHER", 1000)
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda *_: pytest.fail("all rows are sent to every task"))
+    got = {r["trial"]: r for r in boosting.search(data, trials, scratch(spark, "search")).collect()}
+    assert sorted(got) == [0, 1]
+    for i, r in got.items():
+        assert (r["rounds"], r["loss"], r["auc_pr"]) == pytest.approx((want[i]["rounds"], want[i]["loss"], want[i]["auc_pr"]))
+
+
+def test_settings_are_compared_on_all_rows(spark, monkeypatch):
+    seen = []
+
+    def search(data, trials, path):
+        seen.append({r["held"]: r["n"] for r in data.selectExpr("hex(held) LIKE '%01%' AS held", "length(held) AS n").groupBy("held").agg(F.sum("n").alias("n")).collect()})
+        return data.sparkSession.createDataFrame([(0, 1, 0.5, 0.5)], "trial int, rounds int, loss double, auc_pr double")
+
+    monkeypatch.setattr(learning.boosting, "search", search)
+    df = spark.range(230_000).select(draw(1).alias("a"), draw(2).alias("b"), (F.col("id") % 5 == 0).cast("int").alias("churned"))
+    learning.tune(df, df.limit(210_000), 1)
+    assert sum(seen[0].values()) == 440_000
+
+
 def test_average_precision_counts_ties_together(spark, skewed):
     df, plain = skewed
     y, p = np.array([y for _, y, _ in plain]), np.array([p for *_, p in plain])
