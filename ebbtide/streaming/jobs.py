@@ -55,18 +55,34 @@ def replay(rows: DataFrame, job: Callable[[DataFrame], DataFrame], name: str, ti
             held = 0
         held += r["count"]
     sent, out, state = (scratch(spark, f"{name}-{kind}") for kind in ("sent", "out", "state"))
-    for i in range(max(1, len(starts))):
-        last = i >= len(starts) - 1
-        part = kept if len(starts) < 2 else kept.where((F.col("_day") >= F.lit(starts[i])) & (F.lit(True) if last else F.col("_day") < F.lit(starts[i + 1])))
-        part = part.drop("_day")
-        if last:
-            part = part.unionByName(closing_row(part, time_col))
-        part.write.mode("append").parquet(sent)
-        stream = job(read_parquet_stream(spark, sent, rows.schema))
-        _advance(stream, out, state, "append")
+    stream = job(read_parquet_stream(spark, f"{sent}/step-*", rows.schema))
+    query = None
+    try:
+        for i in range(max(1, len(starts))):
+            last = i >= len(starts) - 1
+            part = kept if len(starts) < 2 else kept.where((F.col("_day") >= F.lit(starts[i])) & (F.lit(True) if last else F.col("_day") < F.lit(starts[i + 1])))
+            part = part.drop("_day")
+            if last:
+                part = part.unionByName(closing_row(part, time_col))
+            part.write.parquet(f"{sent}/_next-{i:06d}")
+            _rename(spark, f"{sent}/_next-{i:06d}", f"{sent}/step-{i:06d}")  # the stream sees a step whole or not at all
+            # One query for all steps: every start of a query would load the state once more, beside those before it.
+            query = query or stream.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", state).start()
+            query.processAllAvailable()
+            if any(o.numRowsDroppedByWatermark for p in query.recentProgress for o in p.stateOperators):
+                raise RuntimeError("rows of a step came late: the stream saw a part of it")
+    finally:
+        if query is not None:
+            query.stop()
     return spark.read.schema(stream.schema).parquet(out)
 
 
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (old, new))
+    if not old.getFileSystem(spark._jsc.hadoopConfiguration()).rename(old, new):
+        raise OSError(f"{old} cannot be renamed to {new}")
+
+
 def score_stream(requests: DataFrame, score: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Stateless: the batch scoring function applied to an arriving stream."""
     return score(requests)

@@ -154,6 +154,15 @@ def test_a_replayed_table_gives_all_windows_whatever_its_steps(spark, monkeypatc
     assert jobs.replay(calls.limit(0), jobs.call_counts, "empty").count() == 0
 
 
+def test_all_steps_go_through_one_query(spark, monkeypatch):
+    calls = spark.createDataFrame([(str(k % 3), dt.datetime(2024, 1, 1) + dt.timedelta(k), "Tech") for k in range(8)], "unique_customer_identifier string, event_time timestamp, call_type string")
+    read, opened = jobs.read_parquet_stream, []
+    monkeypatch.setattr(jobs, "read_parquet_stream", lambda *args: opened.append(args) or read(*args))
+    monkeypatch.setattr(jobs, "ROWS_PER_STEP", 2)
+    assert sum(r["n_calls"] for r in jobs.replay(calls, jobs.call_counts, "one").collect()) == 8 * 7
+    assert len(opened) == 1 and not spark.streams.active
+
+
 def test_the_state_of_call_counts_does_not_grow_with_the_customers(spark):
     path, out, state = (scratch(spark, name) for name in ("calls", "out", "state"))
     ids = F.when(F.col("id") % 1000 > 0, F.concat(F.lit("ü"), (F.col("id") % 1000).cast("string")))
